@@ -158,6 +158,7 @@ def parse_value(raw: Column, dtype: T.DataType, field: str, strict: bool) -> Col
     """Typed value of ``raw``.  ``strict``: a non-NULL text that is not
     accepted raises an error; otherwise it becomes NULL."""
     value, valid = parse_typed(raw, dtype)
+    value = value.cast(dtype)  # e.g. TIME(6) of the parse to a declared TIME(3)
     if not strict:
         return value
     message = F.concat(F.lit(f"Failed to parse field '{field}' value '"), raw,
