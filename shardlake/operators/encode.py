@@ -16,10 +16,12 @@ from pyspark.sql import types as T
 
 from ..functions.text import value_text
 from ..model import (ENCODE_METADATA, FIELD_HASH_KEY, FIELD_LOGSTORE, FIELD_SOURCE, FIELD_TIME,
-                     FIELD_TOPIC, TAG_PREFIX, epoch_micros)
+                     FIELD_TOPIC, TAG_PREFIX, epoch_micros, floor_div)
 
 RECORD_COLUMNS = ("logstore", "topic", "source", "hash_key", "time", "time_ns", "contents")
 INT_MIN, INT_MAX = -2**31, 2**31 - 1
+# "blank": empty or only whitespace (space, \t \n \x0B \f \r and \x1C-\x1F)
+BLANK = r"^[ \t\n\x0B\f\r\x1C-\x1F]*$"
 
 
 def _trunc_div(c: Column, n: int) -> Column:
@@ -45,7 +47,8 @@ def time_seconds(c: Column, dtype: T.DataType) -> Column:
     1000 toward zero; number -> its int value; text -> parsed as an int
     (anything else raises)."""
     if isinstance(dtype, T.TimestampNTZType):
-        return _trunc_div(_trunc_div(epoch_micros(c), 1000), 1000).cast("int")
+        # epoch milliseconds (floor), then seconds toward zero
+        return _trunc_div(floor_div(epoch_micros(c), 1000), 1000).cast("int")
     if isinstance(dtype, T.TimestampType):
         return _trunc_div(F.unix_millis(c), 1000).cast("int")
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType)):
@@ -95,7 +98,8 @@ def route_logstore(record_logstore: Column | None, default: str | None) -> Colum
     dflt = F.lit(default).cast("string")
     if record_logstore is None:
         return dflt
-    return F.when(F.trim(record_logstore) != "", record_logstore).otherwise(dflt)
+    blank = F.coalesce(record_logstore.rlike(BLANK), F.lit(True))
+    return F.when(~blank, record_logstore).otherwise(dflt)
 
 
 def encode_rows(df: DataFrame, default_topic: str = "", default_source: str | None = None,
@@ -129,7 +133,8 @@ def encode_rows(df: DataFrame, default_topic: str = "", default_source: str | No
 
 
 def skip_empty(records: DataFrame) -> DataFrame:
-    """Drop NULL records and records without any log content."""
+    """K10 (row sink): drop NULL records (no log item).  A record whose log
+    item has no contents is still written, as the row sink does."""
     return records.where(F.col("contents").isNotNull())
 
 
@@ -144,8 +149,10 @@ def encode_group(records: DataFrame, group_keys: Sequence[str], tags: Column | N
     ``group_keys`` (one element) in one log group.  Tags are kept
     (deliberate; the legacy writer dropped them).  An element's log list is
     bounded by the element, not by the data."""
-    logs = F.struct(F.col("time").alias("time"), F.col("time_ns").alias("time_ns"),
-                    drop_null_keys("contents").alias("contents"))
+    # a record without a log item (NULL contents) adds no log to its group
+    logs = F.when(F.col("contents").isNotNull(), F.struct(
+        F.col("time").alias("time"), F.col("time_ns").alias("time_ns"),
+        drop_null_keys("contents").alias("contents")))
     agg = records.groupBy(*group_keys).agg(
         F.first("logstore").alias("logstore"), F.first("topic").alias("topic"),
         F.first("source").alias("source"), F.collect_list(logs).alias("logs"))
