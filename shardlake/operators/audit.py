@@ -26,13 +26,17 @@ def duplicates(delivered: DataFrame, key: str) -> DataFrame:
                      .where(F.col("copies") > 1))
 
 
-def duplicate_summary(delivered: DataFrame, key: str) -> DataFrame:
-    """A2: reads, distinct ids, and duplicates = reads - distinct."""
-    per_id = delivered.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
-    return per_id.agg(F.sum("c").alias("reads"), F.count(F.lit(1)).alias("distinct_ids"),
-                      (F.sum("c") - F.count(F.lit(1))).alias("duplicates"))
-
-
-def dedup_by(delivered: DataFrame, key: str) -> DataFrame:
-    """A3: one row per sequence number (any copy: copies are equal)."""
-    return delivered.dropDuplicates([key])
+def duplicate_summary(delivered: DataFrame, key: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """A2: reads, distinct ids, and duplicates = reads - distinct (per
+    ``by``).  Two partial aggregates: copies of a hot id are combined
+    map-side before the shuffle."""
+    per_id = delivered.groupBy(*by, key).agg(F.count(F.lit(1)).alias("c"))
+    return per_id.groupBy(*by).agg(F.sum("c").alias("reads"), F.count(F.lit(1)).alias("distinct_ids"),
+                                   (F.sum("c") - F.count(F.lit(1))).alias("duplicates"))
+
+
+def dedup_by(delivered: DataFrame, key: str, by: tuple[str, ...] = ("logstore",)) -> DataFrame:
+    """A3: one row per sequence number (any copy: copies are equal).  A
+    sequence number names a log within its log store, so the store is part
+    of the key."""
+    return delivered.dropDuplicates([*[b for b in by if b in delivered.columns], key])
