@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import value_text
-from ..model import (ENCODE_METADATA, FIELD_HASH_KEY, FIELD_LOGSTORE, FIELD_SOURCE, FIELD_TIME,
+from ..model import (CONTENT, ENCODE_METADATA, FIELD_HASH_KEY, FIELD_LOGSTORE, FIELD_SOURCE, FIELD_TIME,
                      FIELD_TOPIC, TAG_PREFIX, epoch_micros, floor_div)
 
 RECORD_COLUMNS = ("logstore", "topic", "source", "hash_key", "time", "time_ns", "contents")
@@ -80,6 +80,8 @@ def contents_of(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     non-metadata) columns in column order, NULL values left out."""
     dtypes = {f.name: f.dataType for f in df.schema.fields}
     names = [c for c in (columns or df.columns) if c not in ENCODE_METADATA]
+    if not names:
+        return F.array().cast(T.ArrayType(CONTENT))
     pairs = F.array(*[F.struct(F.lit(n).alias("key"), value_text(F.col(f"`{n}`"), dtypes[n]).alias("value"))
                       for n in names])
     return F.filter(pairs, lambda kv: kv["value"].isNotNull())
