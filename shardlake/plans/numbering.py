@@ -32,6 +32,16 @@ from pyspark.sql import functions as F
 from ..session import shuffle_partitions
 
 
+_PERSISTED: list[DataFrame] = []
+
+
+def release_persisted() -> None:
+    """Unpersist the range-partitioned copies made by :func:`position_within`
+    once the results built on them are written."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
+
 def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                     out: str = "pos", partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 0-based rank of each row inside ``keys`` by ``order``."""
@@ -43,6 +53,7 @@ def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id())
                 .persist(StorageLevel.MEMORY_AND_DISK))
+    _PERSISTED.append(ranged)
     counts = (ranged.groupBy("_pid", *keys)
                     .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")))
     earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

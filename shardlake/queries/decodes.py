@@ -9,13 +9,13 @@ from ..functions.parse import parse_value
 from ..operators.decode import (content, content_map_record, decode, decode_logs, explode_logs,
                                 extract_field, fast_group, log_to_json, raw_group, sequence_number,
                                 tag)
-from ..sources.fixtures import events_log_groups
+from ..sources.fixtures import events_log_store
 from .base import with_events
 from .registry import register
 
 
 def logs_of(spark, sf_dir):
-    return explode_logs(events_log_groups(spark, sf_dir))
+    return explode_logs(events_log_store(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- D1-D3
@@ -42,7 +42,7 @@ SELECT CAST(event_id AS BIGINT) AS event_id, CAST(c_attempt AS INTEGER) AS attem
        CAST(n_contents AS INTEGER) AS n_contents
 FROM logs WHERE logstore = 'events-error'"""))
 def last_duplicate_wins(spark, sf_dir):
-    g = events_log_groups(spark, sf_dir).where(F.col("logstore") == "events-error")
+    g = events_log_store(spark, sf_dir).where(F.col("logstore") == "events-error")
     lg = explode_logs(g).withColumn("n_contents", F.size("contents"))
     return decode_logs(lg, "event_id bigint, attempt int", keep=("n_contents",))
 
@@ -54,7 +54,7 @@ META_SCHEMA = "__time__ int, __topic__ string, __source__ string, __shard__ stri
 SELECT logstore, seq, idx, time AS __time__, topic AS __topic__, source AS __source__,
        CAST(shard AS VARCHAR) AS __shard__, cursor AS __cursor__ FROM logs"""))
 def metadata_columns(spark, sf_dir):
-    return decode(events_log_groups(spark, sf_dir), META_SCHEMA, keep=("logstore", "seq", "idx"))
+    return decode(events_log_store(spark, sf_dir), META_SCHEMA, keep=("logstore", "seq", "idx"))
 
 
 # ---------------------------------------------------------------- D4-D9
@@ -73,7 +73,7 @@ SELECT CAST(event_id AS BIGINT) AS event_id, CAST(user_id AS INTEGER) AS user_id
        CAST(c_attempt AS INTEGER) AS attempt, props
 FROM logs"""))
 def typed_parse_strict(spark, sf_dir):
-    return decode(events_log_groups(spark, sf_dir), TYPED_SCHEMA)
+    return decode(events_log_store(spark, sf_dir), TYPED_SCHEMA)
 
 
 LENIENT_SCHEMA = "event_id bigint, props int, value bigint, ok boolean, clock int, user_id tinyint"
@@ -86,13 +86,13 @@ SELECT CAST(event_id AS BIGINT) AS event_id, CAST(NULL AS INTEGER) AS props, CAS
        CASE WHEN user_id <= 127 THEN CAST(user_id AS TINYINT) END AS user_id
 FROM logs"""))
 def typed_parse_lenient(spark, sf_dir):
-    return decode(events_log_groups(spark, sf_dir), LENIENT_SCHEMA, ignore_parse_errors=True)
+    return decode(events_log_store(spark, sf_dir), LENIENT_SCHEMA, ignore_parse_errors=True)
 
 
 @register("parse_numeric", with_events("""
 SELECT CAST(event_id AS BIGINT) AS event_id, CAST(c_value AS DECIMAL(10,2)) AS value_dec,
        CAST(CAST(c_value AS FLOAT) AS DOUBLE) AS value_float,
-       CAST(event_id AS SMALLINT) AS id_small,
+       CASE WHEN event_id <= 32767 THEN CAST(event_id AS SMALLINT) END AS id_small,
        CASE WHEN event_id <= 127 THEN CAST(event_id AS TINYINT) END AS id_tiny
 FROM logs"""))
 def parse_numeric(spark, sf_dir):
@@ -102,7 +102,8 @@ def parse_numeric(spark, sf_dir):
         parse_value(raw_id, T.LongType(), "event_id", True).alias("event_id"),
         parse_value(raw_v, T.DecimalType(10, 2), "value", True).alias("value_dec"),
         parse_value(raw_v, T.FloatType(), "value", True).cast("double").alias("value_float"),
-        parse_value(raw_id, T.ShortType(), "event_id", True).alias("id_small"),
+        # ids above 32767 do not fit: NULL on error
+        parse_value(raw_id, T.ShortType(), "event_id", False).alias("id_small"),
         # ids above 127 do not fit: NULL on error
         parse_value(raw_id, T.ByteType(), "event_id", False).alias("id_tiny"))
 
@@ -111,7 +112,7 @@ def parse_numeric(spark, sf_dir):
 SELECT CAST(event_id AS BIGINT) AS event_id, c_ok AS ok_text, lower(c_ok) = 'true' AS ok,
        CAST(NULL AS BOOLEAN) AS props_bool FROM logs"""))
 def parse_boolean(spark, sf_dir):
-    d = decode(events_log_groups(spark, sf_dir), "event_id bigint, ok boolean, props boolean",
+    d = decode(events_log_store(spark, sf_dir), "event_id bigint, ok boolean, props boolean",
                ignore_parse_errors=True, keep=("contents",))
     return d.select("event_id", content("ok").alias("ok_text"), "ok", F.col("props").alias("props_bool"))
 
@@ -119,14 +120,14 @@ def parse_boolean(spark, sf_dir):
 @register("parse_date", with_events("""
 SELECT CAST(event_id AS BIGINT) AS event_id, c_day AS day_text, CAST(ts AS DATE) AS day FROM logs"""))
 def parse_date(spark, sf_dir):
-    d = decode(events_log_groups(spark, sf_dir), "event_id bigint, day date", keep=("contents",))
+    d = decode(events_log_store(spark, sf_dir), "event_id bigint, day date", keep=("contents",))
     return d.select("event_id", content("day").alias("day_text"), "day")
 
 
 @register("parse_timestamp", with_events(f"""
 SELECT CAST(event_id AS BIGINT) AS event_id, c_at AS at_text, {AT_SQL} AS at FROM logs"""))
 def parse_timestamp(spark, sf_dir):
-    d = decode(events_log_groups(spark, sf_dir), "event_id bigint, at timestamp_ntz", keep=("contents",))
+    d = decode(events_log_store(spark, sf_dir), "event_id bigint, at timestamp_ntz", keep=("contents",))
     return d.select("event_id", content("at").alias("at_text"), "at")
 
 
@@ -136,7 +137,7 @@ SELECT CAST(event_id AS BIGINT) AS event_id, c_clock AS clock_text,
                  ELSE (us % 86400000000) // 1000 END AS INTEGER) AS clock_ms
 FROM logs"""))
 def parse_time(spark, sf_dir):
-    d = decode(events_log_groups(spark, sf_dir), "event_id bigint, clock time(3)", keep=("contents",))
+    d = decode(events_log_store(spark, sf_dir), "event_id bigint, clock time(3)", keep=("contents",))
     millis = F.time_diff(F.lit("MILLISECOND"), F.expr("TIME'00:00:00'"), F.col("clock"))
     return d.select("event_id", content("clock").alias("clock_text"), millis.cast("int").alias("clock_ms"))
 
@@ -153,7 +154,7 @@ def event_time_ns(spark, sf_dir):
 SELECT CAST(event_id AS BIGINT) AS event_id, hex(encode(c_props)) AS props_hex,
        CAST(octet_length(encode(c_props)) AS INTEGER) AS props_bytes FROM logs"""))
 def binary_content(spark, sf_dir):
-    d = decode(events_log_groups(spark, sf_dir), "event_id bigint, props binary")
+    d = decode(events_log_store(spark, sf_dir), "event_id bigint, props binary")
     return d.select("event_id", F.hex("props").alias("props_hex"),
                     F.octet_length("props").alias("props_bytes"))
 
@@ -167,7 +168,7 @@ SELECT l.logstore, l.shard, l.seq, CAST(count(*) AS INTEGER) AS n_logs,
 FROM logs l JOIN groups g USING (logstore, shard, seq)
 GROUP BY l.logstore, l.shard, l.seq"""))
 def raw_group_nested(spark, sf_dir):
-    r = raw_group(events_log_groups(spark, sf_dir))
+    r = raw_group(events_log_store(spark, sf_dir))
     logs = F.col("group.logs")
     n_keys = F.aggregate(logs, F.lit(0), lambda acc, lg: acc + F.size(lg["contents"]))
     return r.select("logstore", "shard", "seq", F.size(logs).alias("n_logs"), n_keys.alias("n_keys"),
@@ -181,7 +182,7 @@ SELECT logstore, shard, seq, CAST(count(*) AS INTEGER) AS n_logs,
        CAST(sum(n_contents) AS INTEGER) AS n_pairs, arg_min(c_event_id, idx) AS first_key_value
 FROM logs GROUP BY logstore, shard, seq"""))
 def fast_group_nested(spark, sf_dir):
-    r = fast_group(events_log_groups(spark, sf_dir))
+    r = fast_group(events_log_store(spark, sf_dir))
     logs = F.col("group.logs")
     n_pairs = F.aggregate(logs, F.lit(0), lambda acc, lg: acc + F.size(lg["contents"]))
     return r.select("logstore", "shard", "seq", F.size(logs).alias("n_logs"), n_pairs.alias("n_pairs"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.audit import dedup_by, duplicate_summary, missing_and_unexpected
 from ..operators.decode import decode, decode_logs, explode_logs, sequence_number
 from ..plans.positions import bounded, resolve_positions
-from ..sources.fixtures import events_log_groups, table
+from ..sources.fixtures import events_log_store, table
 from ..streaming.progress import consumer_lag, merge_commit, progress_time, source_timestamps
 from .base import with_events
 from .reads import (CHECKPOINT_SQL, CONSUMER_GROUP, T_ASOF, T_ASOF_SQL, T_STOP, T_STOP_SQL, _first_at,
@@ -37,7 +37,7 @@ COMMIT_AT = "2024-01-20 00:00:00"
 def committed(spark, sf_dir):
     """The consumer group after reading from its checkpoint (else earliest)
     up to the stop time and committing."""
-    g = events_log_groups(spark, sf_dir)
+    g = events_log_store(spark, sf_dir)
     cp = checkpoint_table(g)
     pos = resolve_positions(g, "checkpoint", stop_time=T_STOP, checkpoints=cp,
                             consumer_group=CONSUMER_GROUP, fallback="earliest")
@@ -87,7 +87,7 @@ SELECT g.logstore, g.shard, g.seq, g.cursor_time, CAST(f.t AS BIGINT) * 1000 AS
 FROM groups g JOIN (SELECT logstore, shard, seq, arg_min(time, idx) AS t FROM logs GROUP BY ALL) f
   USING (logstore, shard, seq)"""))
 def source_timestamp(spark, sf_dir):
-    return source_timestamps(events_log_groups(spark, sf_dir))
+    return source_timestamps(events_log_store(spark, sf_dir))
 
 
 WINDOW_US = 6 * 3600 * 1000000
@@ -99,7 +99,7 @@ SELECT logstore, make_timestamp((epoch_us(ts) // {WINDOW_US}) * {WINDOW_US}) AS
 FROM logs GROUP BY ALL"""))
 def log_rate_tumbling(spark, sf_dir):
     """Six-hour tumbling windows on the logs' own time per log store."""
-    d = decode(events_log_groups(spark, sf_dir), "user_id bigint, __time__ timestamp_ntz", keep=("logstore",))
+    d = decode(events_log_store(spark, sf_dir), "user_id bigint, __time__ timestamp_ntz", keep=("logstore",))
     return (d.groupBy("logstore", F.window("__time__", "6 hours"))
              .agg(F.count(F.lit(1)).alias("n_logs"), F.countDistinct("user_id").alias("n_users"))
              .select("logstore", F.col("window.start").alias("window_start"), "n_logs", "n_users"))
@@ -109,7 +109,7 @@ def log_rate_tumbling(spark, sf_dir):
 def _reads(spark, sf_dir):
     """Two reads of the same stores: before a restart (earliest to the stop
     time) and after it (from the consumer group's checkpoint to the end)."""
-    g = events_log_groups(spark, sf_dir)
+    g = events_log_store(spark, sf_dir)
     first = bounded(g, resolve_positions(g, "earliest", stop_time=T_STOP))
     second = bounded(g, resolve_positions(g, "checkpoint", checkpoints=checkpoint_table(g),
                                           consumer_group=CONSUMER_GROUP, fallback="earliest"))

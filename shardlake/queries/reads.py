@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.decode import decode
 from ..plans.assign import balanced_tasks, modulo_task, writable_rank_tasks
 from ..plans.positions import bounded, finished_shards, resolve_positions, shard_index
-from ..sources.fixtures import events_log_groups, shards_of, table
+from ..sources.fixtures import events_log_store, shards_of, table
 from ..sources.logstore import select_logstores
 from ..sql import register_log_table, sink_records
 from .base import with_events
@@ -22,7 +22,7 @@ CONSUMER_GROUP = "cg-events"
 
 
 def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_log_groups(spark, sf_dir)
+    return events_log_store(spark, sf_dir)
 
 
 def read_summary(pos: DataFrame, read: DataFrame) -> DataFrame:

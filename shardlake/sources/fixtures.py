@@ -22,9 +22,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import hashlib
+
 from ..model import cursor_of, epoch_micros, floor_div
 from ..plans.numbering import position_within
+from ..session import ensure_checkpoint_dir
+from .logstore import materialize_log_store, read_log_store
 
+# bump when the derivation below changes: stored copies are keyed by it
+FIXTURE_VERSION = "events-v1"
 LOGS_PER_GROUP = 10
 SHARDS_PER_STORE = 4
 MICROS_PER_DAY = 86_400_000_000
@@ -114,3 +120,15 @@ def shards_of(groups: DataFrame, readonly_shard: int | None = SHARDS_PER_STORE -
     return (groups.groupBy("logstore", "shard")
                   .agg(F.min("seq").alias("begin_seq"), (F.max("seq") + 1).alias("end_seq"))
                   .select("logstore", "shard", status.alias("status"), "begin_seq", "end_seq"))
+
+
+def events_log_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` log stores as a stored table: derived once per input
+    folder (written into the shared checkpoint folder, keyed by input and
+    derivation version), then read like any log store: a Parquet scan with
+    partition pruning on ``logstore`` and ``shard``."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    key = hashlib.sha1(f"{FIXTURE_VERSION}|{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
+    root = materialize_log_store(spark, f"{base}/shardlake-logstores/{key}",
+                                 lambda: events_log_groups(spark, sf_dir))
+    return read_log_store(spark, root)

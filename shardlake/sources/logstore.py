@@ -15,13 +15,44 @@ from ..model import LOG_GROUP
 
 
 def write_log_store(groups: DataFrame, root: str, mode: str = "append") -> None:
-    """Append (or overwrite) log groups under ``root``.  Rows are clustered by
-    shard and sorted by ``seq`` within each output file."""
-    (groups.repartition("logstore", "shard")
+    """Append (or overwrite) log groups under ``root``.
+
+    Range partitioning on ``(logstore, shard, seq)``: a hot shard is cut
+    into many contiguous ``seq`` ranges written by different tasks (hash
+    partitioning on the shard would give one task a third of the data), and
+    every file covers a narrow ``seq`` range, so Parquet min/max statistics
+    prune position bounds."""
+    (groups.repartitionByRange("logstore", "shard", "seq")
            .sortWithinPartitions("logstore", "shard", "seq")
            .write.mode(mode).partitionBy("logstore", "shard").parquet(root))
 
 
+def _hadoop_fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def materialize_log_store(spark: SparkSession, root: str, build) -> str:
+    """Write ``build()`` as a log store at ``root`` once; later calls reuse
+    it.  The table is written next to ``root`` and renamed into place, so a
+    reader never sees a half-written store and an interrupted build is
+    redone."""
+    fs, final = _hadoop_fs(spark, root)
+    if fs.exists(final.suffix("/_SUCCESS")):
+        return root
+    import uuid
+    tmp = f"{root}.tmp-{uuid.uuid4().hex}"
+    from ..plans.numbering import release_persisted
+    write_log_store(build(), tmp, mode="overwrite")
+    release_persisted()
+    _, tmp_path = _hadoop_fs(spark, tmp)
+    if not fs.rename(tmp_path, final) and not fs.exists(final.suffix("/_SUCCESS")):
+        raise OSError(f"could not move the log store into {root}")
+    fs.delete(tmp_path, True)
+    return root
+
+
 def full_match(name: Column, pattern: str) -> Column:
     """The regular expression must match the whole name."""
     return name.rlike(f"^(?:{pattern})$")
