@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..model import floor_div
+from ..plans.broadcast import checked_broadcast
 from ..plans.numbering import position_within
 
 KEY_SPACE_BITS = 32  # key prefix used for range arithmetic
@@ -68,10 +69,10 @@ def shard_by_hash_key(records: DataFrame, ranges: DataFrame, fallback_shards: in
     counts = ranges.groupBy(F.col("logstore").alias("_ls2")).agg(F.count(F.lit(1)).alias("_nshards"))
     key = F.lower(F.col("hash_key"))
     with_key = records.join(
-        F.broadcast(r),
+        checked_broadcast(r),
         (records["logstore"] == r["_ls"]) & key.isNotNull() & (key >= r["_b"]) & (r["_e"].isNull() | (key < r["_e"])),
         "left")
-    with_n = with_key.join(F.broadcast(counts), with_key["logstore"] == counts["_ls2"], "left")
+    with_n = with_key.join(checked_broadcast(counts), with_key["logstore"] == counts["_ls2"], "left")
     nshards = F.coalesce(F.col("_nshards"), F.lit(fallback_shards)) if fallback_shards else F.col("_nshards")
     no_key_shard = F.pmod(F.xxhash64(F.col("time"), F.col("contents").cast("string")), nshards).cast("int")
     shard = F.when(key.isNull(), no_key_shard).otherwise(F.col("_shard"))

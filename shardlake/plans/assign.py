@@ -2,13 +2,15 @@
 
 The shard table has one row per shard, so the windows here run over a
 handful of rows.  Applying an assignment to the data is a join of that small
-table (broadcast) plus ``repartition(n, 'task')`` for shard affinity.
+table (broadcast after a size check) plus ``repartition(n, 'task')`` for shard affinity.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .broadcast import checked_broadcast
+
 
 def modulo_task(shard: Column | str, n: int) -> Column:
     """``((shard % n) + n) % n``, i.e. the non-negative remainder."""
@@ -36,5 +38,5 @@ def writable_rank_tasks(shards: DataFrame, n: int) -> DataFrame:
 
 def with_task(groups: DataFrame, tasks: DataFrame, n: int) -> DataFrame:
     """Attach the ``task`` of each group's shard and co-locate by it."""
-    t = tasks.select("logstore", "shard", "task")
-    return groups.join(F.broadcast(t), ["logstore", "shard"]).repartition(n, "task")
+    t = checked_broadcast(tasks.select("logstore", "shard", "task"))
+    return groups.join(t, ["logstore", "shard"]).repartition(n, "task")

@@ -10,7 +10,8 @@ The per-(partition, key) count table has at most ``partitions + distinct keys``
 rows (a range partition holds one contiguous key range, so only its first and
 last key can also appear elsewhere).  Keys here are shard identities
 (``logstore, shard``) or a similarly small set, so the table is a few MB even
-for 100k partitions and 100k shards; it is broadcast on that bound.
+for 100k partitions and 100k shards; it is broadcast after a size check
+(``plans.broadcast``), else joined with a shuffle.
 
 ``order`` must make the order unique inside a key (add an id as tie breaker):
 both uses of the range-partitioned rows must see the same order.
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions
+from .broadcast import checked_broadcast
 
 
 _PERSISTED: list[DataFrame] = []
@@ -64,6 +66,6 @@ def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                             F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     # null-safe: rows whose key is NULL form a key of their own, like in GROUP BY
     cond = [F.col("_pid") == F.col("_opid")] + [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)]
-    return (ranged.join(F.broadcast(offsets), cond)
+    return (ranged.join(checked_broadcast(offsets), cond)
                   .withColumn(out, F.col("_mid") - F.col("_first") + F.col("_before"))
                   .drop("_pid", "_mid", "_opid", "_first", "_before", *renamed))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..model import seq_of
+from .broadcast import materialize_small, maybe_broadcast
 
 EARLIEST, LATEST, CHECKPOINT, TIMESTAMP = "earliest", "latest", "checkpoint", "timestamp"
 # Accepted spellings of the starting positions.
@@ -141,12 +142,15 @@ def bounded(groups: DataFrame, positions: DataFrame) -> DataFrame:
     """The groups inside their shard's ``[start_seq, stop_seq)``.
 
     ``positions`` has one row per shard (bounded by the shard count, not the
-    data), so it is broadcast; the join keeps the groups' partitioning."""
-    p = positions.select(F.col("logstore").alias("_ls"), F.col("shard").alias("_sh"), "start_seq", "stop_seq")
+    data), so after a size check it is broadcast and the join keeps the
+    groups' partitioning; the positions stay materialised for later uses."""
+    kept, fits = materialize_small(positions)
+    p = maybe_broadcast(kept.select(F.col("logstore").alias("_ls"), F.col("shard").alias("_sh"),
+                                    "start_seq", "stop_seq"), fits)
     cond = ((groups["logstore"] == p["_ls"]) & (groups["shard"] == p["_sh"])
             & (groups["seq"] >= p["start_seq"])
             & (p["stop_seq"].isNull() | (groups["seq"] < p["stop_seq"])))
-    return groups.join(F.broadcast(p), cond, "left_semi")
+    return groups.join(p, cond, "left_semi")
 
 
 def finished_shards(shards: DataFrame, progress: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ shard, ``seq`` = the next position to read (its ``cursor`` is the text form).
 Commits are append-only rows; the current position of a shard is the largest
 committed ``seq``, so replaying a commit (a retried batch) changes nothing.
 Every table here has one row per shard (or per shard and commit), so joins
-against the log groups broadcast it on that bound.
+against the log groups broadcast it after a size check (``plans.broadcast``).
 """
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..model import CONSUMER_GROUPS, cursor_of, seq_of
+from ..plans.broadcast import checked_broadcast
 from ..plans.positions import shard_index
 
 SHARD_KEY = ["logstore", "shard"]
@@ -55,7 +56,7 @@ def progress_time(positions: DataFrame, groups: DataFrame) -> DataFrame:
     last = groups.select(*SHARD_KEY, (F.col("seq") + 1).alias("next_seq"),
                          F.col("cursor_time").alias("progress_time"))
     # one row per shard on the broadcast side; at most one hit per shard
-    hits = last.join(F.broadcast(p), [*SHARD_KEY, "next_seq"], "inner")
+    hits = last.join(checked_broadcast(p), [*SHARD_KEY, "next_seq"], "inner")
     return p.join(hits.select("consumer_group", *SHARD_KEY, "next_seq", "progress_time"),
                   ["consumer_group", *SHARD_KEY, "next_seq"], "left")
 

@@ -112,3 +112,18 @@ def test_position_within_is_exact_under_skew(spark):
     parts = (df.repartitionByRange(16, "key", "o", "id").where(F.col("key") == "hot")
                .select(F.spark_partition_id().alias("p")).distinct().count())
     assert parts > 4
+
+
+def test_broadcast_fallback_gives_same_results(spark):
+    g = _groups(spark)
+    want = sorted(bounded(g, resolve_positions(g, "earliest", stop_time=120)).select("shard", "seq").collect())
+    df = spark.range(0, 5000).select((F.col("id") % 3).alias("key"), "id")
+    want_pos = sorted(position_within(df, ["key"], ["id"], partitions=8).collect())
+    spark.conf.set("shardlake.broadcast.maxRows", "0")
+    try:
+        read = bounded(g, resolve_positions(g, "earliest", stop_time=120))
+        assert "BroadcastExchange" not in read._jdf.queryExecution().executedPlan().toString()
+        assert sorted(read.select("shard", "seq").collect()) == want
+        assert sorted(position_within(df, ["key"], ["id"], partitions=8).collect()) == want_pos
+    finally:
+        spark.conf.unset("shardlake.broadcast.maxRows")
