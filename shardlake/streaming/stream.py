@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.parse import ntz_to_ltz
 from ..model import CONSUMER_GROUPS
 from ..operators.decode import decode
 from ..sql import parse_checkpoint_mode
@@ -38,9 +39,21 @@ def stream_decoded(spark: SparkSession, root: str, schema, logstore=None, patter
     return decode(groups, schema, ignore_parse_errors, keep=keep)
 
 
+def with_lag_metrics(df: DataFrame, name: str = "lag") -> DataFrame:
+    """W7 on a stream: per micro-batch, the newest write time read and the
+    row count, reported in the query progress (``observedMetrics``) and to
+    ``StreamingQueryListener``s; fetch lag = trigger time - ``max_cursor_time``."""
+    return df.observe(name, F.max("cursor_time").alias("max_cursor_time"), F.count(F.lit(1)).alias("rows"))
+
+
 def with_event_time(df: DataFrame, column: str = "__time__", delay: str | None = None) -> DataFrame:
-    """Pick the event time column and, optionally, a watermark."""
-    out = df.withColumn("event_time", F.col(column))
+    """Pick the event time column and, optionally, a watermark.
+    Watermarks need an instant (TIMESTAMP): a wall-clock TIMESTAMP_NTZ is
+    read as UTC."""
+    col = F.col(column)
+    if isinstance(df.schema[column].dataType, T.TimestampNTZType):
+        col = ntz_to_ltz(col)
+    out = df.withColumn("event_time", col)
     return out.withWatermark("event_time", delay) if delay else out
 
 
