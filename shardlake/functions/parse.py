@@ -87,9 +87,11 @@ def parse_time_millis(raw: Column) -> tuple[Column, Column]:
 
 def millis_to_time(millis: Column) -> Column:
     """TIME value of a millisecond-of-day count (NULL outside one day)."""
-    text = F.format_string("%02d:%02d:%02d.%03d", F.floor(millis / 3600000),
-                           F.floor(millis / 60000) % 60, F.floor(millis / 1000) % 60, millis % 1000)
-    return F.when((millis >= 0) & (millis < 86400000), F.try_to_time(text))
+    ms = millis.cast("long")
+    seconds = (F.pmod(ms, F.lit(60000)).cast("decimal(16,6)") / F.lit(1000)).cast("decimal(16,6)")
+    value = F.make_time(F.call_function("div", ms, F.lit(3600000)).cast("int"),
+                        F.pmod(F.call_function("div", ms, F.lit(60000)), F.lit(60)).cast("int"), seconds)
+    return F.when((ms >= 0) & (ms < 86400000), value)
 
 
 def _cut_fraction(raw: Column) -> Column:

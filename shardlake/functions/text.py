@@ -36,14 +36,16 @@ def iso_timestamp_text(ts: Column) -> Column:
 
 def iso_time_text_from_millis(millis: Column) -> Column:
     """Shortest ISO text of a time of day given in milliseconds."""
-    h = F.floor(millis / 3600000)
-    m = F.floor(millis / 60000) % 60
-    s = F.floor(millis / 1000) % 60
-    ms = millis % 1000
-    hm = F.format_string("%02d:%02d", h, m)
+    ms_all = millis.cast("long")
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    h = F.call_function("div", ms_all, F.lit(3600000))
+    m = F.pmod(F.call_function("div", ms_all, F.lit(60000)), F.lit(60))
+    s = F.pmod(F.call_function("div", ms_all, F.lit(1000)), F.lit(60))
+    ms = F.pmod(ms_all, F.lit(1000))
+    hm = F.concat(two(h), F.lit(":"), two(m))
     return (F.when((s == 0) & (ms == 0), hm)
-             .when(ms == 0, F.concat(hm, F.format_string(":%02d", s)))
-             .otherwise(F.concat(hm, F.format_string(":%02d.%03d", s, ms))))
+             .when(ms == 0, F.concat(hm, F.lit(":"), two(s)))
+             .otherwise(F.concat(hm, F.lit(":"), two(s), F.lit("."), F.lpad(ms.cast("string"), 3, "0"))))
 
 
 def value_text(c: Column, dtype: T.DataType) -> Column:

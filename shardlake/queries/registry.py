@@ -20,8 +20,25 @@ def register(name: str, sql: str | None):
     return deco
 
 
+# Session settings the queries rely on: wall-clock (UTC) text of instants and
+# the TIME type.  Applied before each query is built, so a session made
+# elsewhere (a driver, a notebook) gives the same results.
+REQUIRED_CONF = {"spark.sql.session.timeZone": "UTC", "spark.sql.timeType.enabled": "true"}
+
+
+def _prepared(fn: QueryFn) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        for k, v in REQUIRED_CONF.items():
+            if spark.conf.get(k, None) != v:
+                spark.conf.set(k, v)
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, QueryFn]:
-    return {k: v[0] for k, v in REGISTRY.items()}
+    return {k: _prepared(v[0]) for k, v in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
