@@ -146,19 +146,31 @@ def drop_null_keys(contents: Column | str = "contents") -> Column:
     return F.filter(arr, lambda kv: kv["key"].isNotNull())
 
 
-def encode_group(records: DataFrame, group_keys: Sequence[str], tags: Column | None = None) -> DataFrame:
+def encode_group(records: DataFrame, group_keys: Sequence[str], tags: Column | None = None,
+                 order: Sequence[str] = ("time",), max_logs: int = 4096) -> DataFrame:
     """A group of logs per element: the logs of all records sharing
-    ``group_keys`` (one element) in one log group.  Tags are kept
-    (deliberate; the legacy writer dropped them).  An element's log list is
-    bounded by the element, not by the data."""
+    ``group_keys`` (one element) in one log group, at most ``max_logs`` logs
+    per group (a larger element becomes consecutive groups, ``block``
+    0, 1, ... in ``order``).  Tags are kept (deliberate; the legacy writer
+    dropped them).
+
+    The split uses the skew-safe numbering, so no key, however large, is
+    collected into one task."""
+    from ..plans.numbering import position_within
+    keys = list(group_keys)
+    tie = F.xxhash64(F.col("contents").cast("string"))
+    numbered = position_within(records.withColumn("_tie", tie), keys, [*order, "_tie"], out="_pos")
+    numbered = numbered.withColumn("block", floor_div(F.col("_pos"), max_logs))
     # a record without a log item (NULL contents) adds no log to its group
     logs = F.when(F.col("contents").isNotNull(), F.struct(
-        F.col("time").alias("time"), F.col("time_ns").alias("time_ns"),
+        F.col("_pos").alias("_pos"), F.col("time").alias("time"), F.col("time_ns").alias("time_ns"),
         drop_null_keys("contents").alias("contents")))
-    agg = records.groupBy(*group_keys).agg(
+    agg = numbered.groupBy(*keys, "block").agg(
         F.first("logstore").alias("logstore"), F.first("topic").alias("topic"),
-        F.first("source").alias("source"), F.collect_list(logs).alias("logs"))
-    out = agg.where(F.size("logs") > 0)
+        F.first("source").alias("source"), F.sort_array(F.collect_list(logs)).alias("_logs"))
+    out = agg.select(*keys, "block", "logstore", "topic", "source",
+                     F.transform("_logs", lambda lg: lg.dropFields("_pos")).alias("logs"))
+    out = out.where(F.size("logs") > 0)
     if tags is not None:
         out = out.withColumn("tags", tags)
     return out

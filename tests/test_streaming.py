@@ -82,3 +82,33 @@ def test_failed_batch_is_retried_without_duplicates(spark, scratch):
     run().awaitTermination(300)
     got = spark.read.parquet(out)
     assert got.count() == got.select("event_id").distinct().count() == groups.select(F.sum(F.size("logs"))).first()[0]
+
+
+def test_stream_log_table_with_start_and_stop(spark, scratch):
+    from shardlake.plans.positions import bounded, resolve_positions
+    from shardlake.sql import stream_log_table
+    root = os.path.join(scratch, "store")
+    out = os.path.join(scratch, "out")
+    groups = events_log_groups(spark, SF)
+    write_log_store(groups, root)
+    opts = {"project": root, "logstore": "events-.*", "logstore.pattern": "true",
+            "scan.startup.mode": "1704499200", "stop.time": "1705708800", "max.number.per.fetch": "5"}
+    s = stream_log_table(spark, "event_id bigint", opts)
+    q = (s.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    stored = read_log_store(spark, root)
+    want = bounded(stored, resolve_positions(stored, "1704499200", "1705708800")) \
+        .select(F.sum(F.size("logs"))).first()[0]
+    got = spark.read.parquet(out)
+    assert got.count() == want > 0
+    assert got.select("event_id").distinct().count() == want
+
+
+def test_group_writer_splits_large_elements(spark):
+    from shardlake.operators.encode import encode_group, encode_rows
+    df = spark.range(0, 20).select((F.col("id") % 2).alias("k"), "id")
+    rec = encode_rows(df, default_logstore="ls", now_seconds=0, keep=("k",))
+    g = encode_group(rec, ["k"], max_logs=3)
+    sizes = sorted((r["k"], r["block"], len(r["logs"])) for r in g.collect())
+    assert sizes == [(k, b, 3 if b < 3 else 1) for k in (0, 1) for b in range(4)]
