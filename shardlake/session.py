@@ -13,6 +13,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # partition sizes: AQE coalesces small shuffle partitions and splits
+    # skewed ones toward this size; scans split files at the same size
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # nested fields of the log array are pruned in scans (the default, stated)
+    "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.timeType.enabled": "true",
     "spark.ui.enabled": "false",
@@ -23,7 +29,12 @@ DEFAULT_CONF = {
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "shardlake", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session.  On a cluster pass ``master=None`` and let
-    spark-submit decide; tests and the bench pass ``local[N]``."""
+    spark-submit decide; tests and the bench pass ``local[N]``.
+
+    ``shuffle_partitions`` is the starting number of shuffle partitions
+    (AQE coalesces from there): on a cluster size it to about the shuffled
+    bytes / 256 MB, e.g. tens of thousands at 100 TB, so range-partitioned
+    numbering and sorts fit executor memory."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
