@@ -155,8 +155,12 @@ def bounded(groups: DataFrame, positions: DataFrame) -> DataFrame:
 
 def finished_shards(shards: DataFrame, progress: DataFrame) -> DataFrame:
     """A shard is finished when it is read-only and the consumer's next
-    position has reached its end.  ``progress``: ``logstore, shard, next_seq``."""
-    joined = shards.join(progress, ["logstore", "shard"], "left")
-    done = (F.col("status") == "readonly") & (F.coalesce(F.col("next_seq"), F.lit(-1)) >= F.col("end_seq"))
+    position has reached its end, or when it no longer exists (a consumer
+    has a position for it, the shard table has no row).  ``progress``:
+    ``logstore, shard, next_seq``."""
+    joined = shards.join(progress, ["logstore", "shard"], "full")
+    gone = F.col("status").isNull()
+    done = gone | ((F.col("status") == "readonly")
+                   & (F.coalesce(F.col("next_seq"), F.lit(-1)) >= F.col("end_seq")))
     return joined.select("logstore", "shard", "status", "end_seq",
                          F.col("next_seq"), done.alias("finished"))

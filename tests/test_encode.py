@@ -126,3 +126,14 @@ def test_sink_records_options(spark):
     assert (r["logstore"], r["topic"], r["source"], r["time"]) == ("ls", "tp", "src", 3)
     with pytest.raises(ValueError):
         sink_records(df, {"logstore": "ls", "no.such.option": "1"})
+
+
+def test_parallelism_options(spark):
+    from shardlake.sql import log_table
+    from shardlake.sources.fixtures import events_log_groups
+    df = spark.createDataFrame([("a",), ("b",), ("c",)], "m string")
+    out = sink_records(df, {"logstore": "ls", "sink.parallelism": "2"}, now_seconds=0)
+    assert out.rdd.getNumPartitions() == 2
+    g = events_log_groups(spark, "/root/testdata/sf0.001")
+    t = log_table(spark, "event_id bigint", {"logstore": "events-click", "scan.parallelism": "3"}, groups=g)
+    assert t.rdd.getNumPartitions() == 3

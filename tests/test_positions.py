@@ -134,3 +134,13 @@ def test_broadcast_fallback_gives_same_results(spark):
         for k in ("shardlake.broadcast.maxRows", "spark.sql.autoBroadcastJoinThreshold",
                   "spark.sql.adaptive.autoBroadcastJoinThreshold"):
             spark.conf.unset(k)
+
+
+def test_finished_shards(spark):
+    from shardlake.plans.positions import finished_shards
+    shards = spark.createDataFrame([("s", 0, "readonly", 5), ("s", 1, "readonly", 5), ("s", 2, "readwrite", 5)],
+                                   "logstore string, shard int, status string, end_seq long")
+    progress = spark.createDataFrame([("s", 0, 5), ("s", 1, 4), ("s", 2, 5), ("s", 9, 3)],
+                                     "logstore string, shard int, next_seq long")
+    got = {r["shard"]: r["finished"] for r in finished_shards(shards, progress).collect()}
+    assert got == {0: True, 1: False, 2: False, 9: True}

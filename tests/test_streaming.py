@@ -112,3 +112,21 @@ def test_group_writer_splits_large_elements(spark):
     g = encode_group(rec, ["k"], max_logs=3)
     sizes = sorted((r["k"], r["block"], len(r["logs"])) for r in g.collect())
     assert sizes == [(k, b, 3 if b < 3 else 1) for k in (0, 1) for b in range(4)]
+
+
+def test_commit_modes(spark, scratch):
+    groups = spark.createDataFrame([("s", 0, 3), ("s", 0, 4), ("s", 1, 0)], "logstore string, shard int, seq long")
+    later = spark.createDataFrame([("s", 0, 9)], "logstore string, shard int, seq long")
+    periodic = os.path.join(scratch, "periodic")
+    c = ProgressCommitter(periodic, "cg", mode="periodic", interval_ms=3_600_000)
+    c.commit(groups, 0)          # first commit goes out at once
+    c.commit(later, 1)           # within the interval: held back
+    pos = {r["shard"]: r["seq"] for r in current_positions(read_commits(spark, periodic), "cg").collect()}
+    assert pos == {0: 5, 1: 1}
+    c.interval_ms = 0
+    c.commit(groups, 2)          # interval over: the held rows go out too
+    pos = {r["shard"]: r["seq"] for r in current_positions(read_commits(spark, periodic), "cg").collect()}
+    assert pos == {0: 10, 1: 1}
+    disabled = os.path.join(scratch, "disabled")
+    ProgressCommitter(disabled, "cg", mode="DISABLED").commit(groups, 0)
+    assert not os.path.exists(disabled)
