@@ -165,11 +165,10 @@ def encode_group(records: DataFrame, group_keys: Sequence[str], tags: Column | N
     logs = F.when(F.col("contents").isNotNull(), F.struct(
         F.col("_pos").alias("_pos"), F.col("time").alias("time"), F.col("time_ns").alias("time_ns"),
         drop_null_keys("contents").alias("contents")))
+    meta = [c for c in ("logstore", "topic", "source") if c not in keys]
     agg = numbered.groupBy(*keys, "block").agg(
-        F.first("logstore").alias("logstore"), F.first("topic").alias("topic"),
-        F.first("source").alias("source"), F.sort_array(F.collect_list(logs)).alias("_logs"))
-    out = agg.select(*keys, "block", "logstore", "topic", "source",
-                     F.transform("_logs", lambda lg: lg.dropFields("_pos")).alias("logs"))
+        *[F.first(c).alias(c) for c in meta], F.sort_array(F.collect_list(logs)).alias("_logs"))
+    out = agg.select(*keys, "block", *meta, F.transform("_logs", lambda lg: lg.dropFields("_pos")).alias("logs"))
     out = out.where(F.size("logs") > 0)
     if tags is not None:
         out = out.withColumn("tags", tags)

@@ -302,3 +302,17 @@ def json_to_group_q(spark, sf_dir):
     contents = F.col("g.logs")[0]["contents"]
     return g.select("event_id", F.col("g.tags")["type"].alias("tag_type"), F.size("g.tags").alias("n_tags"),
                     F.size(contents).alias("n_contents"), content("k", contents).alias("k"))
+
+
+@register("sink_round_trip", """
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_totalprice, o_orderdate, o_orderstatus,
+       CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS note
+FROM orders""")
+def sink_round_trip(spark, sf_dir):
+    """Rows -> records -> log groups (at most 100 logs each) -> decoded rows:
+    the rows come back (the sink integration check, by value)."""
+    rec = encode_rows(orders_rows(spark, sf_dir), default_logstore="orders", now_seconds=T_NOW)
+    groups = encode_group(rec, ["logstore"], order=("time",), max_logs=100)
+    from ..operators.decode import decode
+    return decode(groups, "o_orderkey bigint, o_totalprice double, o_orderdate timestamp_ntz, "
+                          "o_orderstatus string, note string")

@@ -247,3 +247,52 @@ def sink_rows_insert_only(spark, sf_dir):
     rec = sink_records(rows, {"logstore": "orders-open", "sink.topic": "orders"}, now_seconds=T_START)
     return rec.groupBy("logstore").agg(F.count(F.lit(1)).alias("n_records"),
                                        F.sum(F.size("contents")).cast("long").alias("n_contents"))
+
+
+# ---------------------------------------------------------------- SQL over a log view
+def _events_view(spark: SparkSession, sf_dir: str, name: str = "events_view") -> None:
+    register_log_table(spark, name, "event_id bigint, user_id bigint, value double, __topic__ string",
+                       {"logstore": "events-.*", "logstore.pattern": "true"},
+                       groups=groups(spark, sf_dir), keep=("logstore",))
+
+
+@register("view_enrichment_join", with_events("""
+SELECT c.c_mktsegment AS segment, CAST(count(*) AS BIGINT) AS n_logs, round(sum(l.value), 4) AS total_value,
+       CAST(count(DISTINCT l.user_id) AS BIGINT) AS n_users
+FROM logs l JOIN customer c ON l.user_id = c.c_custkey
+GROUP BY c.c_mktsegment"""))
+def view_enrichment_join(spark, sf_dir):
+    """Decoded logs joined with a dimension table (customer) in Spark SQL."""
+    _events_view(spark, sf_dir)
+    table(spark, sf_dir, "customer").createOrReplaceTempView("customer_dim")
+    return spark.sql("""
+        SELECT c.c_mktsegment AS segment, count(*) AS n_logs, round(sum(l.value), 4) AS total_value,
+               count(DISTINCT l.user_id) AS n_users
+        FROM events_view l JOIN customer_dim c ON l.user_id = c.c_custkey
+        GROUP BY c.c_mktsegment""")
+
+
+@register("view_topk_window", with_events("""
+SELECT logstore, rk, CAST(event_id AS BIGINT) AS event_id, value FROM (
+  SELECT logstore, event_id, value,
+         CAST(row_number() OVER (PARTITION BY logstore ORDER BY value DESC, event_id) AS INTEGER) AS rk
+  FROM logs) WHERE rk <= 3"""))
+def view_topk_window(spark, sf_dir):
+    """Top 3 values per log store (the limit is the report)."""
+    _events_view(spark, sf_dir)
+    return spark.sql("""
+        SELECT logstore, rk, event_id, value FROM (
+          SELECT logstore, event_id, value,
+                 row_number() OVER (PARTITION BY logstore ORDER BY value DESC, event_id) AS rk
+          FROM events_view) WHERE rk <= 3""")
+
+
+@register("view_rollup", with_events("""
+SELECT logstore, topic, CAST(count(*) AS BIGINT) AS n_logs, round(sum(value), 4) AS total_value
+FROM logs GROUP BY ROLLUP (logstore, topic)"""))
+def view_rollup(spark, sf_dir):
+    """Subtotals per log store and topic, per log store, and in total."""
+    _events_view(spark, sf_dir)
+    return spark.sql("""
+        SELECT logstore, __topic__ AS topic, count(*) AS n_logs, round(sum(value), 4) AS total_value
+        FROM events_view GROUP BY ROLLUP (logstore, __topic__)""")
