@@ -51,19 +51,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point at shared storage and is read as is.
-    Only when it is unset (tests, local runs) a folder is chosen here."""
+    On a cluster the setting must point at shared storage and is read as is
+    (also used for ``Dataset.checkpoint``, which adds a folder per
+    application).  Only when it is unset (tests, local runs) a folder is
+    chosen here."""
     sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return sc.getCheckpointDir() or current
-    path = fallback or os.environ.get("SHARDLAKE_CHECKPOINT_DIR") or "/tmp/shardlake-checkpoints"
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = fallback or os.environ.get("SHARDLAKE_CHECKPOINT_DIR") or "/tmp/shardlake-checkpoints"
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
+    return base
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
