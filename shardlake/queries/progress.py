@@ -10,7 +10,7 @@ from ..plans.positions import bounded, resolve_positions
 from ..sources.fixtures import events_log_store, table
 from ..streaming.progress import consumer_lag, merge_commit, progress_time, source_timestamps
 from .base import with_events
-from .reads import (CHECKPOINT_SQL, CONSUMER_GROUP, T_ASOF, T_ASOF_SQL, T_STOP, T_STOP_SQL, _first_at,
+from .reads import (CHECKPOINT_SQL, CONSUMER_GROUP, T_ASOF_SQL, T_STOP, T_STOP_SQL, _first_at,
                     checkpoint_table)
 from .registry import register
 
