@@ -158,7 +158,7 @@ def encode_group(records: DataFrame, group_keys: Sequence[str], tags: Column | N
     collected into one task."""
     from ..plans.numbering import position_within
     keys = list(group_keys)
-    tie = F.xxhash64(F.col("contents").cast("string"))
+    tie = F.xxhash64(F.col("contents"))
     numbered = position_within(records.withColumn("_tie", tie), keys, [*order, "_tie"], out="_pos")
     numbered = numbered.withColumn("block", floor_div(F.col("_pos"), max_logs))
     # a record without a log item (NULL contents) adds no log to its group

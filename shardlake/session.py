@@ -39,6 +39,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # local mode runs every task in the driver JVM: give it room (a
+        # cluster sizes executors through its own deployment settings)
+        conf["spark.driver.memory"] = os.environ.get("SHARDLAKE_DRIVER_MEMORY", "8g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -16,6 +16,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,13 +104,19 @@ def batch_sink(output_path: str, transform: Callable[[DataFrame], DataFrame] | N
     ``output_path/batch_id=<id>`` (overwrite: a retried batch replaces its
     own output), then committing the consumer progress."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        out = transform(batch) if transform else batch
-        writer = out.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.format(fmt).save(f"{output_path}/batch_id={batch_id}")
-        if committer is not None:
-            committer.commit(batch, batch_id)
+        # the batch feeds both the write and the commit: read it once
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK) if committer is not None else batch
+        try:
+            out = transform(kept) if transform else kept
+            writer = out.write.mode("overwrite")
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
+            writer.format(fmt).save(f"{output_path}/batch_id={batch_id}")
+            if committer is not None:
+                committer.commit(kept, batch_id)
+        finally:
+            if committer is not None:
+                kept.unpersist()
     return run
 
 
