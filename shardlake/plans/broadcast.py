@@ -4,7 +4,8 @@ The small tables joined to the data here (positions, key ranges, task
 assignments, per-partition offsets) have one row per shard, per log store
 or per (partition, key): their size follows the shard count, not the data.
 That bound is still checked at run time: the small side is materialised
-(persisted: a lost block is recomputed from its own deterministic plan),
+(persisted under a plan of its own, ``plans.cache``; a lost block is
+recomputed from that plan),
 counted, and broadcast only when it has at most ``max_rows`` rows
 (``shardlake.broadcast.maxRows``, default 2,000,000, a few tens of MB for
 these narrow rows).  Beyond that the join runs as a shuffle join, where
@@ -12,10 +13,11 @@ adaptive execution splits skewed partitions.
 """
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .cache import persist_fresh
+
 MAX_BROADCAST_ROWS = 2_000_000
 CONF_KEY = "shardlake.broadcast.maxRows"
 
@@ -24,7 +26,7 @@ def materialize_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataF
     """``(df persisted, fits)``: ``fits`` when it has at most ``max_rows`` rows."""
     spark = df.sparkSession
     limit = max_rows if max_rows is not None else int(spark.conf.get(CONF_KEY, str(MAX_BROADCAST_ROWS)))
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = persist_fresh(df)
     return kept, kept.count() <= limit
 
 

@@ -26,22 +26,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions
 from .broadcast import checked_broadcast
-
-
-_PERSISTED: list[DataFrame] = []
-
-
-def release_persisted() -> None:
-    """Unpersist the range-partitioned copies made by :func:`position_within`
-    once the results built on them are written."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
+from .cache import persist_fresh, release_persisted  # noqa: F401  (re-exported)
 
 
 def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -53,9 +43,8 @@ def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     ranged = (df.repartitionByRange(n, *keys, *order)
                 .sortWithinPartitions(*keys, *order)
                 .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .persist(StorageLevel.MEMORY_AND_DISK))
-    _PERSISTED.append(ranged)
+                .withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = persist_fresh(ranged)
     counts = (ranged.groupBy("_pid", *keys)
                     .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")))
     earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
