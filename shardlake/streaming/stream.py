@@ -142,3 +142,28 @@ def console_sink(df: DataFrame, checkpoint: str, rows: int = 20):
     """Print each batch (samples and debugging only)."""
     return (df.writeStream.format("console").option("numRows", rows).option("truncate", "false")
               .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def start_insert(rows: DataFrame, root: str, shards: DataFrame, options: dict, checkpoint: str,
+                 order: tuple[str, ...] = ("time",), available_now: bool = True,
+                 processing_time: str | None = None, once: bool = False):
+    """T4 on a stream: ``INSERT INTO`` a log table.  Each micro-batch is
+    encoded with the table's options (K1-K6) and appended to the log store
+    at ``root`` (K7-K11, continuing each shard's positions).  At least once,
+    as the sink it replaces: a retried batch is appended again."""
+    from ..plans.cache import release_persisted
+    from ..sources.logstore import append_records
+    from ..sql import sink_records
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        append_records(sink_records(batch, options), root, shards, order=order)
+        release_persisted()
+
+    w = rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    if processing_time:
+        w = w.trigger(processingTime=processing_time)
+    elif once:
+        w = w.trigger(once=True)
+    elif available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()

@@ -157,3 +157,19 @@ def test_append_records_round_trip(spark, scratch):
     assert (dup["reads"], dup["distinct_ids"], dup["duplicates"]) == (6000, 3000, 3000)
     dense = shard_index(g).join(g.groupBy("logstore", "shard").count(), ["logstore", "shard"])
     assert dense.where(F.col("end_seq") - F.col("begin_seq") != F.col("count")).count() == 0
+
+
+def test_streaming_insert_into_log_store(spark, scratch):
+    from shardlake.operators.decode import decode
+    from shardlake.streaming.load import synthetic_load
+    from shardlake.streaming.stream import start_insert
+    root = os.path.join(scratch, "sink")
+    shards = spark.createDataFrame([("load", i) for i in range(2)], "logstore string, shard int")
+    q = start_insert(synthetic_load(spark, rows_per_batch=200), root, shards,
+                     {"logstore": "load", "sink.topic": "synthetic"}, os.path.join(scratch, "ck"), once=True)
+    q.awaitTermination(300)
+    g = read_log_store(spark, root)
+    back = decode(g, "seq bigint, text string, __topic__ string")
+    assert back.count() == 200
+    assert back.select("seq").distinct().count() == 200
+    assert back.where("__topic__ = 'synthetic'").count() == 200
