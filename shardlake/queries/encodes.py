@@ -316,3 +316,32 @@ def sink_round_trip(spark, sf_dir):
     from ..operators.decode import decode
     return decode(groups, "o_orderkey bigint, o_totalprice double, o_orderdate timestamp_ntz, "
                           "o_orderstatus string, note string")
+
+
+SINK_LINES = 50
+
+
+@register("sink_groups", f"""
+WITH r AS (
+  SELECT o_orderpriority AS topic, o_orderstatus AS source,
+         CAST(({PREFIX_SQL.replace('url', 'CAST(o_orderkey AS VARCHAR)')} * 4) // 4294967296 AS INTEGER) AS shard
+  FROM orders),
+k AS (SELECT shard, topic, source, count(*) AS n FROM r GROUP BY ALL)
+SELECT 'orders' AS logstore, shard, CAST(sum((n + {SINK_LINES} - 1) // {SINK_LINES}) AS BIGINT) AS n_groups,
+       CAST(sum(n) AS BIGINT) AS n_logs,
+       CAST(sum((n + {SINK_LINES} - 1) // {SINK_LINES}) - 1 AS BIGINT) AS last_seq,
+       CAST(max(least(n, {SINK_LINES})) AS INTEGER) AS max_logs_per_group
+FROM k GROUP BY shard""")
+def sink_groups(spark, sf_dir):
+    """Rows -> records routed by hash key to 4 shards -> groups of at most
+    50 logs per (shard, topic, source) with dense positions per shard."""
+    from ..sources.logstore import records_to_groups
+    o = table(spark, sf_dir, "orders")
+    rows = o.select("o_orderkey", "o_totalprice", F.col("o_orderpriority").alias("__topic__"),
+                    F.col("o_orderstatus").alias("__source__"), hash_key_md5("o_orderkey").alias("__hash_key__"))
+    rec = encode_rows(rows, default_logstore="orders", now_seconds=T_NOW)
+    shards = rec.select("logstore", F.pmod(F.xxhash64("contents"), F.lit(4)).cast("int").alias("shard")).distinct()
+    g = records_to_groups(rec, shards, max_lines=SINK_LINES, max_bytes=None, write_time="2024-01-01 00:00:00")
+    return g.groupBy("logstore", "shard").agg(
+        F.count(F.lit(1)).alias("n_groups"), F.sum(F.size("logs")).cast("long").alias("n_logs"),
+        F.max("seq").alias("last_seq"), F.max(F.size("logs")).alias("max_logs_per_group"))

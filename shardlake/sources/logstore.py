@@ -99,29 +99,24 @@ def stream_log_store(spark: SparkSession, root: str, logstore: str | Sequence[st
     return select_logstores(df, logstore, pattern).select(*[f.name for f in LOG_GROUP.fields])
 
 
-def append_records(records: DataFrame, root: str, shards: DataFrame, order: Sequence[str] = ("time",),
-                   max_lines: int = 4096, max_bytes: int | None = 3 * 1024 * 1024,
-                   write_time: str | None = None) -> None:
-    """K6-K11, then write: append encoded records (``logstore, topic,
-    source, hash_key, time, time_ns, contents``) to the log store at ``root``.
+def records_to_groups(records: DataFrame, shards: DataFrame, ends: DataFrame | None = None,
+                      order: Sequence[str] = ("time",), max_lines: int = 4096,
+                      max_bytes: int | None = 3 * 1024 * 1024, write_time: str | None = None) -> DataFrame:
+    """K7-K11 and positions: encoded records (``logstore, topic, source,
+    hash_key, time, time_ns, contents``) as log-group rows (``LOG_GROUP``).
 
     * shard: the key range holding the record's hash key, else a stable hash
       (``shards``: ``logstore, shard`` of the target stores, one row each);
     * groups: the records of one ``(logstore, shard, topic, source)`` packed
       by ``max_lines`` / ``max_bytes`` in ``order`` (bounded collects);
-    * positions: a shard's new groups follow its current end (dense, in
-      group order) with ``cursor``, ``next_cursor`` and the write time as
-      ``cursor_time``.
-
-    Delivery is at least once: a retried append writes its groups again at
-    new positions (the delivery checks in ``operators.audit`` find them)."""
+    * positions: a shard's groups follow its current end (``ends``:
+      ``logstore, shard, end_seq``; else from 0), dense in group order, with
+      ``cursor``, ``next_cursor`` and the write time as ``cursor_time``."""
     from ..model import cursor_of
     from ..operators.route import pack_groups, shard_by_hash_key, shard_key_ranges
     from ..plans.broadcast import checked_broadcast
-    from ..plans.numbering import position_within, release_persisted
-    from ..plans.positions import shard_index
+    from ..plans.numbering import position_within
 
-    spark = records.sparkSession
     keys = ["logstore", "shard", "topic", "source"]
     routed = shard_by_hash_key(records, shard_key_ranges(shards)).withColumn("_tie", F.xxhash64("contents"))
     sort_keys = [*order, "_tie"]
@@ -134,13 +129,11 @@ def append_records(records: DataFrame, root: str, shards: DataFrame, order: Sequ
     logs = F.transform("_logs", lambda e: F.struct(e["time"].alias("time"), e["time_ns"].alias("time_ns"),
                                                    e["contents"].alias("contents")))
     groups = grouped.select(*keys, "line_block", "byte_block", logs.alias("logs"))
-
     numbered = position_within(groups, ["logstore", "shard"], ["topic", "source", "line_block", "byte_block"],
                                out="_gpos")
-    fs, path = _hadoop_fs(spark, root)
-    if fs.exists(path):
-        ends = checked_broadcast(shard_index(read_log_store(spark, root)).select("logstore", "shard", "end_seq"))
-        numbered = numbered.join(ends, ["logstore", "shard"], "left")
+    if ends is not None:
+        numbered = numbered.join(checked_broadcast(ends.select("logstore", "shard", "end_seq")),
+                                 ["logstore", "shard"], "left")
     else:
         numbered = numbered.withColumn("end_seq", F.lit(None).cast("long"))
     seq = F.coalesce(F.col("end_seq"), F.lit(0)) + F.col("_gpos")
@@ -149,5 +142,22 @@ def append_records(records: DataFrame, root: str, shards: DataFrame, order: Sequ
         "logstore", "shard", seq.alias("seq"), cursor_of(seq).alias("cursor"),
         cursor_of(seq + 1).alias("next_cursor"), now.alias("cursor_time"), "topic", "source",
         F.create_map().cast("map<string,string>").alias("tags"), "logs")
-    write_log_store(out.select(*[F.col(f.name).cast(f.dataType) for f in LOG_GROUP.fields]), root)
+    return out.select(*[F.col(f.name).cast(f.dataType) for f in LOG_GROUP.fields])
+
+
+def append_records(records: DataFrame, root: str, shards: DataFrame, order: Sequence[str] = ("time",),
+                   max_lines: int = 4096, max_bytes: int | None = 3 * 1024 * 1024,
+                   write_time: str | None = None) -> None:
+    """K6-K11, then write: append encoded records to the log store at
+    ``root`` (see :func:`records_to_groups`), after each shard's current end.
+
+    Delivery is at least once: a retried append writes its groups again at
+    new positions (the delivery checks in ``operators.audit`` find them)."""
+    from ..plans.cache import release_persisted
+    from ..plans.positions import shard_index
+
+    spark = records.sparkSession
+    fs, path = _hadoop_fs(spark, root)
+    ends = shard_index(read_log_store(spark, root)) if fs.exists(path) else None
+    write_log_store(records_to_groups(records, shards, ends, order, max_lines, max_bytes, write_time), root)
     release_persisted()
