@@ -30,7 +30,7 @@ from ..session import ensure_checkpoint_dir
 from .logstore import materialize_log_store, read_log_store
 
 # bump when the derivation below changes: stored copies are keyed by it
-FIXTURE_VERSION = "events-v1"
+FIXTURE_VERSION = "events-v2"
 LOGS_PER_GROUP = 10
 SHARDS_PER_STORE = 4
 MICROS_PER_DAY = 86_400_000_000
