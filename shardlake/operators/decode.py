@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.parse import UnsupportedType, parse_value, type_name
+from ..functions.parse import UnsupportedType, millis_to_time, parse_value, type_name
 from ..model import (FIELD_CURSOR, FIELD_SHARD, FIELD_SOURCE, FIELD_TIME, FIELD_TOPIC,
                      cursor_of, floor_div, ntz_from_micros)
 
@@ -80,6 +80,11 @@ def decoded_column(name: str, dtype: T.DataType, strict: bool) -> Column:
         if isinstance(dtype, T.DateType):
             # deliberate: seconds to a date (the reference reads them as days)
             return F.date_from_unix_date(floor_div(F.col("time").cast("long"), 86400).cast("int"))
+        if hasattr(T, "TimeType") and isinstance(dtype, T.TimeType):
+            # deliberate: seconds (and ns) to the time of day (the reference
+            # reads the seconds as milliseconds of the day)
+            ms = F.pmod(F.col("time").cast("long"), F.lit(86400)) * 1000 + floor_div(F.col("time_ns").cast("long"), 1000000)
+            return millis_to_time(ms).cast(dtype)
     return parse_value(_raw_value(name, dtype), dtype, name, strict)
 
 

@@ -124,3 +124,13 @@ def test_validate_touches_unused_columns(spark):
     assert d.select(F.lit(1)).count() == 2   # the pruned column is not checked
     with pytest.raises(Exception, match="Failed to parse"):
         validate(d)
+
+
+def test_time_field_as_date_and_time(spark):
+    # __time__ = 2024-01-01 00:00:00 UTC + 45296 s, ns part 789 ms
+    logs = _logs(spark, ["x"]).withColumn("time", F.lit(1704067200 + 45296)).withColumn("time_ns", F.lit(789000000))
+    d = decode_logs(logs, "__time__ date, __shard__ int")
+    assert d.first()["__time__"] == dt.date(2024, 1, 1)
+    t = decode_logs(logs, "__time__ time(3)").select(
+        F.time_diff(F.lit("MILLISECOND"), F.expr("TIME'00:00:00'"), "__time__").alias("ms")).first()["ms"]
+    assert t == 45296789
