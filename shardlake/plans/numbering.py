@@ -1,7 +1,9 @@
-"""Dense positions within a key, without funnelling a key into one task.
+"""Dense positions within a key, without funnelling a hot key into one task.
 
 ``row_number() over (partition by shard order by ...)`` puts every row of a
-shard into one task; one shard may hold a third of a log store.  Here the rows
+shard into one task; one shard may hold a third of a log store.  So the
+largest key is measured first: below a bound the window is used, above it
+the rows
 are range-partitioned on ``keys + order`` instead (a hot key is cut into many
 ranges), numbered inside each range partition, and shifted by the number of
 rows of the same key in earlier partitions.
@@ -34,12 +36,38 @@ from .broadcast import checked_broadcast
 from .cache import persist_fresh, release_persisted  # noqa: F401  (re-exported)
 
 
+HOT_KEY_ROWS = 2_000_000
+HOT_KEY_CONF = "shardlake.numbering.hotKeyRows"
+
+
+def largest_key_rows(df: DataFrame, keys: Sequence[str]) -> int:
+    """Row count of the largest key: a partial aggregate (one row per key
+    and task crosses the shuffle) reduced to one number."""
+    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return int(top or 0)
+
+
 def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                    out: str = "pos", partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = 0-based rank of each row inside ``keys`` by ``order``."""
+                    out: str = "pos", partitions: int | None = None,
+                    hot_key_rows: int | None = None) -> DataFrame:
+    """Add ``out`` = 0-based rank of each row inside ``keys`` by ``order``.
+
+    The size of the largest key is measured first.  When no key holds more
+    than ``hot_key_rows`` rows (``shardlake.numbering.hotKeyRows``, default
+    2,000,000), one window per key is bounded and ``row_number`` is used;
+    otherwise the range-partitioned numbering below spreads the hot keys."""
     spark = df.sparkSession
-    n = partitions or shuffle_partitions(spark)
     keys, order = list(keys), list(order)
+    limit = hot_key_rows if hot_key_rows is not None else int(spark.conf.get(HOT_KEY_CONF, str(HOT_KEY_ROWS)))
+    if largest_key_rows(df, keys) <= limit:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+    return _position_by_ranges(df, keys, order, out, partitions or shuffle_partitions(spark))
+
+
+def _position_by_ranges(df: DataFrame, keys: list[str], order: list[str], out: str, n: int) -> DataFrame:
+    """Hot keys: range partitions on ``keys + order``, local numbering, and
+    per-(partition, key) offsets (see the module notes)."""
     ranged = (df.repartitionByRange(n, *keys, *order)
                 .sortWithinPartitions(*keys, *order)
                 .withColumn("_pid", F.spark_partition_id())

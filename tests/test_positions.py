@@ -104,7 +104,7 @@ def test_position_within_is_exact_under_skew(spark):
     df = spark.range(0, 30000).select(
         F.when(F.col("id") % 3 != 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 7).cast("string")))
         .alias("key"), (F.col("id") * 7919 % 30011).alias("o"), "id")
-    got = position_within(df, ["key"], ["o", "id"], partitions=16)
+    got = position_within(df, ["key"], ["o", "id"], partitions=16, hot_key_rows=1000)
     want = df.withColumn("pos", F.row_number().over(Window.partitionBy("key").orderBy("o", "id")) - 1)
     assert got.select("key", "id", "pos").exceptAll(want.select("key", "id", "pos")).count() == 0
     assert got.count() == want.count()
@@ -118,7 +118,7 @@ def test_broadcast_fallback_gives_same_results(spark):
     g = _groups(spark)
     want = sorted(bounded(g, resolve_positions(g, "earliest", stop_time=120)).select("shard", "seq").collect())
     df = spark.range(0, 5000).select((F.col("id") % 3).alias("key"), "id")
-    want_pos = sorted(position_within(df, ["key"], ["id"], partitions=8).collect())
+    want_pos = sorted(position_within(df, ["key"], ["id"], partitions=8, hot_key_rows=0).collect())
     spark.catalog.clearCache()   # the small sides are re-materialised below
     spark.conf.set("shardlake.broadcast.maxRows", "0")
     # also no automatic broadcast by Spark's own size estimate
@@ -129,7 +129,7 @@ def test_broadcast_fallback_gives_same_results(spark):
         plan = read._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan
         assert sorted(read.select("shard", "seq").collect()) == want
-        assert sorted(position_within(df, ["key"], ["id"], partitions=8).collect()) == want_pos
+        assert sorted(position_within(df, ["key"], ["id"], partitions=8, hot_key_rows=0).collect()) == want_pos
     finally:
         for k in ("shardlake.broadcast.maxRows", "spark.sql.autoBroadcastJoinThreshold",
                   "spark.sql.adaptive.autoBroadcastJoinThreshold"):
@@ -144,3 +144,11 @@ def test_finished_shards(spark):
                                      "logstore string, shard int, next_seq long")
     got = {r["shard"]: r["finished"] for r in finished_shards(shards, progress).collect()}
     assert got == {0: True, 1: False, 2: False, 9: True}
+
+
+def test_position_within_window_and_range_paths_agree(spark):
+    df = spark.range(0, 20000).select((F.col("id") % 5).alias("key"), (F.col("id") * 31 % 20011).alias("o"), "id")
+    a = position_within(df, ["key"], ["o", "id"], hot_key_rows=10**9)   # window path
+    b = position_within(df, ["key"], ["o", "id"], hot_key_rows=0)       # range path
+    assert "Window" in a._jdf.queryExecution().executedPlan().toString()
+    assert a.select("id", "pos").exceptAll(b.select("id", "pos")).count() == 0
