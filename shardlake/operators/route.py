@@ -88,7 +88,7 @@ def record_bytes(contents: Column | str = "contents") -> Column:
 
 def pack_groups(records: DataFrame, order: Sequence[str], max_lines: int = 4096,
                 max_bytes: int | None = 3 * 1024 * 1024,
-                keys: Sequence[str] = ("logstore", "topic", "source")) -> DataFrame:
+                keys: Sequence[str] = ("logstore", "topic", "source"), largest: int | None = None) -> DataFrame:
     """Batch records sharing ``keys`` into groups of at most
     ``max_lines`` in ``order`` (exact, skew-safe numbering); with
     ``max_bytes`` a line block is cut further where the running byte count
@@ -98,7 +98,7 @@ def pack_groups(records: DataFrame, order: Sequence[str], max_lines: int = 4096,
     The byte sums run over one line block (at most ``max_lines`` rows), so a
     hot key is spread over many windows and no window grows with the data."""
     keys, order = list(keys), list(order)
-    out = position_within(records, keys, order, out="_pos")
+    out = position_within(records, keys, order, out="_pos", largest=largest)
     out = out.withColumn("line_block", floor_div(F.col("_pos"), max_lines))
     if max_bytes:
         w = (Window.partitionBy(*keys, "line_block").orderBy("_pos")

@@ -49,17 +49,19 @@ def largest_key_rows(df: DataFrame, keys: Sequence[str]) -> int:
 
 def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                     out: str = "pos", partitions: int | None = None,
-                    hot_key_rows: int | None = None) -> DataFrame:
+                    hot_key_rows: int | None = None, largest: int | None = None) -> DataFrame:
     """Add ``out`` = 0-based rank of each row inside ``keys`` by ``order``.
 
     The size of the largest key is measured first.  When no key holds more
     than ``hot_key_rows`` rows (``shardlake.numbering.hotKeyRows``, default
     2,000,000), one window per key is bounded and ``row_number`` is used;
-    otherwise the range-partitioned numbering below spreads the hot keys."""
+    otherwise the range-partitioned numbering below spreads the hot keys.
+    ``largest``: a known upper bound of the largest key (skips the measure)."""
     spark = df.sparkSession
     keys, order = list(keys), list(order)
     limit = hot_key_rows if hot_key_rows is not None else int(spark.conf.get(HOT_KEY_CONF, str(HOT_KEY_ROWS)))
-    if largest_key_rows(df, keys) <= limit:
+    top = largest if largest is not None else largest_key_rows(df, keys)
+    if top <= limit:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
     return _position_by_ranges(df, keys, order, out, partitions or shuffle_partitions(spark))

@@ -115,12 +115,16 @@ def records_to_groups(records: DataFrame, shards: DataFrame, ends: DataFrame | N
     from ..model import cursor_of
     from ..operators.route import pack_groups, shard_by_hash_key, shard_key_ranges
     from ..plans.broadcast import checked_broadcast
-    from ..plans.numbering import position_within
+    from ..plans.numbering import largest_key_rows, position_within
 
     keys = ["logstore", "shard", "topic", "source"]
     routed = shard_by_hash_key(records, shard_key_ranges(shards)).withColumn("_tie", F.xxhash64("contents"))
+    # records of the largest shard: bounds both the records of any packing
+    # key and the groups of any shard, so it is measured once
+    per_shard = largest_key_rows(routed, ["logstore", "shard"])
     sort_keys = [*order, "_tie"]
-    packed = pack_groups(routed, sort_keys, max_lines=max_lines, max_bytes=max_bytes, keys=keys)
+    packed = pack_groups(routed, sort_keys, max_lines=max_lines, max_bytes=max_bytes, keys=keys,
+                         largest=per_shard)
     entry = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(sort_keys)],
                      F.col("time").alias("time"), F.col("time_ns").alias("time_ns"),
                      F.col("contents").alias("contents"))
@@ -130,7 +134,7 @@ def records_to_groups(records: DataFrame, shards: DataFrame, ends: DataFrame | N
                                                    e["contents"].alias("contents")))
     groups = grouped.select(*keys, "line_block", "byte_block", logs.alias("logs"))
     numbered = position_within(groups, ["logstore", "shard"], ["topic", "source", "line_block", "byte_block"],
-                               out="_gpos")
+                               out="_gpos", largest=per_shard)
     if ends is not None:
         numbered = numbered.join(checked_broadcast(ends.select("logstore", "shard", "end_seq")),
                                  ["logstore", "shard"], "left")
