@@ -47,6 +47,12 @@ def begin_key(shard_index: Column, n: int | Column) -> Column:
     return F.concat(F.lpad(F.lower(F.hex(prefix)), 8, "0"), F.lit("0" * 24))
 
 
+def adjust_hash_key(hash_key: Column, buckets: int) -> Column:
+    """K9: the begin key of the equal-width bucket (of ``buckets``) holding
+    ``hash_key``; NULL stays NULL."""
+    return F.when(hash_key.isNotNull(), begin_key(bucket_of_key(hash_key, buckets), buckets))
+
+
 def shard_key_ranges(shards: DataFrame) -> DataFrame:
     """Explicit key ranges per shard: equal division of each log store's key
     space in shard order (``begin_key`` inclusive, ``end_key`` exclusive,

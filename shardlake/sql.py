@@ -195,6 +195,11 @@ def sink_records(rows: DataFrame, options: dict, now_seconds: int | None = None)
     opts = LogTableOptions.from_options({"logstore": options.get("logstore", "-"), **options})
     out = encode_rows(insert_only(rows), default_topic=opts.sink_topic, default_source=opts.sink_source,
                       default_logstore=opts.logstore, now_seconds=now_seconds)
+    if opts.producer_buckets and opts.producer_adjust_shard_hash:
+        # K9: a key is moved to the begin key of its bucket, so the records
+        # of one bucket go to one shard together
+        from .operators.route import adjust_hash_key
+        out = out.withColumn("hash_key", adjust_hash_key(F.col("hash_key"), opts.producer_buckets))
     if opts.sink_parallelism:
         out = out.repartition(opts.sink_parallelism)
     return out

@@ -75,6 +75,16 @@ class ProgressCommitter:
     def __post_init__(self):
         self.mode = parse_checkpoint_mode(self.mode)
 
+    @classmethod
+    def from_options(cls, commits_path: str, options: dict) -> "ProgressCommitter":
+        """From log table options: ``consumer-group``, ``checkpoint.mode``,
+        ``commit.interval.ms``."""
+        from ..sql import LogTableOptions
+        opts = LogTableOptions.from_options(options)
+        if not opts.consumer_group:
+            raise ValueError("option 'consumer-group' is required to commit progress")
+        return cls(commits_path, opts.consumer_group, opts.checkpoint_mode, opts.commit_interval_ms)
+
     def commit(self, batch: DataFrame, batch_id: int) -> None:
         if self.mode == "DISABLED":
             return

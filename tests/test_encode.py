@@ -137,3 +137,21 @@ def test_parallelism_options(spark):
     g = events_log_groups(spark, "/root/testdata/sf0.001")
     t = log_table(spark, "event_id bigint", {"logstore": "events-click", "scan.parallelism": "3"}, groups=g)
     assert t.rdd.getNumPartitions() == 3
+
+
+def test_adjusted_hash_keys(spark):
+    df = spark.createDataFrame([("3fffffff" + "f" * 24,), ("40000001" + "0" * 24,), (None,)], "__hash_key__ string")
+    got = [r["hash_key"] for r in sink_records(df, {"logstore": "ls", "producer.buckets": "4"}, now_seconds=0).collect()]
+    assert got == ["00000000" + "0" * 24, "40000000" + "0" * 24, None]
+    kept = sink_records(df, {"logstore": "ls", "producer.buckets": "4", "producer.adjust.shard.hash": "false"},
+                        now_seconds=0).collect()
+    assert kept[0]["hash_key"] == "3fffffff" + "f" * 24
+
+
+def test_committer_from_options(scratch):
+    from shardlake.streaming.stream import ProgressCommitter
+    c = ProgressCommitter.from_options(scratch, {"logstore": "x", "consumer-group": "g", "checkpoint.mode": "periodic",
+                                                 "commit.interval.ms": "500"})
+    assert (c.consumer_group, c.mode, c.interval_ms) == ("g", "PERIODIC", 500)
+    with pytest.raises(ValueError):
+        ProgressCommitter.from_options(scratch, {"logstore": "x"})
