@@ -1,8 +1,8 @@
 """Delivery checks (A1-A3): missing, unexpected and duplicate records.
 
-Anti joins and aggregates: both sides shuffle on the id once; the duplicate
-count is a partial aggregate (map-side combine), so a hot id costs one row
-per task, not one row per copy.
+Aggregates only: each check shuffles on the id once, after a partial
+aggregate (map-side combine), so a hot id costs one row per task, not one
+row per copy.
 """
 from __future__ import annotations
 
@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 def missing_and_unexpected(expected: DataFrame, delivered: DataFrame, key: str) -> DataFrame:
     """A1: ids expected but not delivered (``missing``) and delivered but not
-    expected (``unexpected``)."""
-    e = expected.select(key).distinct()
-    d = delivered.select(key).distinct()
-    missing = e.join(d, key, "left_anti").select(F.lit("missing").alias("kind"), key)
-    unexpected = d.join(e, key, "left_anti").select(F.lit("unexpected").alias("kind"), key)
-    return missing.unionByName(unexpected)
+    expected (``unexpected``).  Both sides are tagged and grouped by id in
+    one shuffle; partial aggregation folds the copies of an id map-side."""
+    tagged = (expected.select(F.col(key), F.lit(1).alias("_e"), F.lit(0).alias("_d"))
+              .unionByName(delivered.select(F.col(key), F.lit(0).alias("_e"), F.lit(1).alias("_d"))))
+    per_id = tagged.groupBy(key).agg(F.max("_e").alias("_e"), F.max("_d").alias("_d"))
+    kind = F.when(F.col("_e") == 1, F.lit("missing")).otherwise(F.lit("unexpected"))
+    return per_id.where(F.col("_e") != F.col("_d")).select(kind.alias("kind"), key)
 
 
 def duplicates(delivered: DataFrame, key: str) -> DataFrame:

@@ -152,3 +152,14 @@ def test_position_within_window_and_range_paths_agree(spark):
     b = position_within(df, ["key"], ["o", "id"], hot_key_rows=0)       # range path
     assert "Window" in a._jdf.queryExecution().executedPlan().toString()
     assert a.select("id", "pos").exceptAll(b.select("id", "pos")).count() == 0
+
+
+def test_delivery_checks(spark):
+    from shardlake.operators.audit import dedup_by, duplicate_summary, missing_and_unexpected
+    expected = spark.createDataFrame([(i,) for i in range(10)], "id long")
+    delivered = spark.createDataFrame([(i,) for i in [1, 2, 2, 3, 3, 3, 11, 11]], "id long")
+    got = sorted((r["kind"], r["id"]) for r in missing_and_unexpected(expected, delivered, "id").collect())
+    assert got == [("missing", i) for i in (0, 4, 5, 6, 7, 8, 9)] + [("unexpected", 11)]
+    s = duplicate_summary(delivered, "id").first()
+    assert (s["reads"], s["distinct_ids"], s["duplicates"]) == (8, 4, 4)
+    assert dedup_by(delivered.withColumn("logstore", F.lit("a")), "id").count() == 4
