@@ -61,6 +61,3 @@ def with_events(body: str, *more_ctes: str) -> str:
     extra = "".join(",\n" + c for c in more_ctes)
     return f"WITH {EVENTS_CTE}{extra}\n{body}"
 
-
-# Java-style text of a TIMESTAMP_NTZ micro count etc. are not needed in SQL;
-# the oracle compares typed values.
