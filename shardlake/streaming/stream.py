@@ -47,6 +47,55 @@ def with_lag_metrics(df: DataFrame, name: str = "lag") -> DataFrame:
     return df.observe(name, F.max("cursor_time").alias("max_cursor_time"), F.count(F.lit(1)).alias("rows"))
 
 
+def fetch_lag_seconds(progress: dict, name: str = "lag") -> float | None:
+    """W7 from one progress report (``query.lastProgress`` or a listener
+    event): trigger time minus the newest write time read in that batch;
+    None for a batch that read nothing."""
+    import datetime as dt
+    row = (progress.get("observedMetrics") or {}).get(name)
+    if row is not None and hasattr(row, "asDict"):
+        row = row.asDict()
+    if not row or row.get("max_cursor_time") is None:
+        return None
+    newest = row["max_cursor_time"]
+    if isinstance(newest, str):
+        newest = dt.datetime.fromisoformat(newest)
+    trigger = dt.datetime.fromisoformat(progress["timestamp"].replace("Z", "+00:00")).replace(tzinfo=None)
+    return (trigger - newest).total_seconds()
+
+
+class LagListener:
+    """A ``StreamingQueryListener`` keeping the latest fetch lag per query
+    (register with ``spark.streams.addListener(LagListener().listener())``)."""
+
+    def __init__(self, name: str = "lag"):
+        self.name = name
+        self.lag: dict[str, float] = {}
+
+    def listener(self):
+        from pyspark.sql.streaming import StreamingQueryListener
+        outer = self
+
+        class _Listener(StreamingQueryListener):
+            def onQueryStarted(self, event):
+                pass
+
+            def onQueryProgress(self, event):
+                p = event.progress
+                metrics = dict(p.observedMetrics or {})
+                lag = fetch_lag_seconds({"observedMetrics": metrics, "timestamp": p.timestamp}, outer.name)
+                if lag is not None:
+                    outer.lag[str(p.id)] = lag
+
+            def onQueryIdle(self, event):
+                pass
+
+            def onQueryTerminated(self, event):
+                pass
+
+        return _Listener()
+
+
 def with_event_time(df: DataFrame, column: str = "__time__", delay: str | None = None) -> DataFrame:
     """Pick the event time column and, optionally, a watermark.
     Watermarks need an instant (TIMESTAMP): a wall-clock TIMESTAMP_NTZ is

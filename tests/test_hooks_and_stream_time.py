@@ -1,6 +1,7 @@
 """User hooks (U1-U6), synthetic load (R17), watermark windows (W2) and the
 streaming lag gauge (W7)."""
 import os
+import time
 
 import pandas as pd
 from pyspark.sql import Window
@@ -14,7 +15,8 @@ from shardlake.operators.route import hash_key_md5
 from shardlake.sources.fixtures import events_log_groups, shards_of
 from shardlake.sources.logstore import write_log_store
 from shardlake.streaming.load import synthetic_load
-from shardlake.streaming.stream import stream_decoded, with_event_time, with_lag_metrics
+from shardlake.streaming.stream import (LagListener, fetch_lag_seconds, stream_decoded, with_event_time,
+                                       with_lag_metrics)
 
 SF = "/root/testdata/sf0.001"
 
@@ -75,11 +77,23 @@ def test_watermark_windows_and_lag_gauge(spark, scratch):
     windows = (with_event_time(s, "__time__", "1 hour")
                .groupBy(F.window("event_time", "1 day")).agg(F.count(F.lit(1)).alias("n")))
     out = os.path.join(scratch, "windows")
+    listener = LagListener("lag")
+    handle = listener.listener()
+    spark.streams.addListener(handle)
     q = (windows.writeStream.outputMode("append").format("parquet").option("path", out)
          .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
     q.awaitTermination(300)
     metrics = [p["observedMetrics"].get("lag") for p in q.recentProgress if p.get("observedMetrics")]
     assert metrics and all(m["rows"] >= 0 for m in metrics)
+    lags = [fetch_lag_seconds(p) for p in q.recentProgress]
+    # the data was written in 2024: the lag is large and positive
+    assert any(lag is not None and lag > 86400 for lag in lags)
+    for _ in range(50):                      # listener events arrive asynchronously
+        if listener.lag:
+            break
+        time.sleep(0.2)
+    spark.streams.removeListener(handle)
+    assert listener.lag and all(v > 86400 for v in listener.lag.values())
     emitted = spark.read.parquet(out).select(F.col("window.start").alias("d"), "n")
     assert emitted.count() > 0
     # every window emitted holds no more than the batch count of that day
