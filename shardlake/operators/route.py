@@ -66,23 +66,42 @@ def shard_key_ranges(shards: DataFrame) -> DataFrame:
                           .alias("end_key")))
 
 
+COARSE_HEX = 3                      # coarse key buckets for the range join
+COARSE_BUCKETS = 16 ** COARSE_HEX
+
+
+def coarse_bucket(hash_key: Column) -> Column:
+    """The first ``COARSE_HEX`` hex digits of a key as a number (short keys
+    padded right)."""
+    return F.conv(F.rpad(F.lower(hash_key), COARSE_HEX, "0").substr(1, COARSE_HEX), 16, 10).cast("int")
+
+
 def shard_by_hash_key(records: DataFrame, ranges: DataFrame, fallback_shards: int | None = None) -> DataFrame:
     """K7: shard of each record: the range holding its ``hash_key``; records
-    without a key get ``pmod(xxhash64(contents), shards of its log store)``
-    so reruns agree.  ``ranges``: one row per shard (broadcast on that bound)."""
+    without a key get ``pmod(xxhash64(time, contents), shards of its log
+    store)`` so reruns agree.
+
+    ``ranges`` has one row per shard.  Each range is listed under every
+    coarse key bucket it spans (at most ``shards + 4096`` rows per log
+    store), and records join on ``(logstore, bucket)``: a record is checked
+    against the one or two ranges of its bucket, not against every shard.
+    The table is broadcast after a size check."""
+    end_bucket = F.when(F.col("end_key").isNull(), F.lit(COARSE_BUCKETS - 1)).otherwise(coarse_bucket(F.col("end_key")))
     r = ranges.select(F.col("logstore").alias("_ls"), F.col("shard").alias("_shard"),
-                      F.lower("begin_key").alias("_b"), F.lower("end_key").alias("_e"))
+                      F.lower("begin_key").alias("_b"), F.lower("end_key").alias("_e"),
+                      F.explode(F.sequence(coarse_bucket(F.col("begin_key")), end_bucket)).alias("_bucket"))
     counts = ranges.groupBy(F.col("logstore").alias("_ls2")).agg(F.count(F.lit(1)).alias("_nshards"))
     key = F.lower(F.col("hash_key"))
     with_key = records.join(
         checked_broadcast(r),
-        (records["logstore"] == r["_ls"]) & key.isNotNull() & (key >= r["_b"]) & (r["_e"].isNull() | (key < r["_e"])),
+        (records["logstore"] == r["_ls"]) & (coarse_bucket(key) == r["_bucket"])
+        & (key >= r["_b"]) & (r["_e"].isNull() | (key < r["_e"])),
         "left")
     with_n = with_key.join(checked_broadcast(counts), with_key["logstore"] == counts["_ls2"], "left")
     nshards = F.coalesce(F.col("_nshards"), F.lit(fallback_shards)) if fallback_shards else F.col("_nshards")
-    no_key_shard = F.pmod(F.xxhash64(F.col("time"), F.col("contents").cast("string")), nshards).cast("int")
+    no_key_shard = F.pmod(F.xxhash64(F.col("time"), F.col("contents")), nshards).cast("int")
     shard = F.when(key.isNull(), no_key_shard).otherwise(F.col("_shard"))
-    return with_n.withColumn("shard", shard).drop("_ls", "_shard", "_b", "_e", "_ls2", "_nshards")
+    return with_n.withColumn("shard", shard).drop("_ls", "_shard", "_b", "_e", "_bucket", "_ls2", "_nshards")
 
 
 def record_bytes(contents: Column | str = "contents") -> Column:
