@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.timeType.enabled": "true",
+    # keep generated code of many distinct plans (the default holds 100)
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
