@@ -2,11 +2,10 @@
 
 ``row_number() over (partition by shard order by ...)`` puts every row of a
 shard into one task; one shard may hold a third of a log store.  So the
-largest key is measured first: below a bound the window is used, above it
-the rows
-are range-partitioned on ``keys + order`` instead (a hot key is cut into many
-ranges), numbered inside each range partition, and shifted by the number of
-rows of the same key in earlier partitions.
+largest key is measured first: below a bound the window is used; above it
+the rows are range-partitioned on ``keys + order`` (a hot key is cut into
+many ranges), numbered inside each range partition, and shifted by the
+number of rows of the same key in earlier partitions.
 
 The per-(partition, key) count table has at most ``partitions + distinct keys``
 rows (a range partition holds one contiguous key range, so only its first and
@@ -35,7 +34,6 @@ from ..session import shuffle_partitions
 from .broadcast import checked_broadcast
 from .cache import persist_fresh, release_persisted  # noqa: F401  (re-exported)
 
-
 HOT_KEY_ROWS = 2_000_000
 HOT_KEY_CONF = "shardlake.numbering.hotKeyRows"
 
