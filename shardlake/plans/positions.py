@@ -138,13 +138,19 @@ def resolve_positions(groups: DataFrame, start: str | int | None = EARLIEST,
     return frame.select("logstore", "shard", start_col.alias("start_seq"), stop_col.alias("stop_seq"))
 
 
-def bounded(groups: DataFrame, positions: DataFrame) -> DataFrame:
+def materialized(positions: DataFrame) -> tuple[DataFrame, bool]:
+    """Positions computed once (persisted) with their broadcast size check,
+    for callers that use them more than once (pass both to :func:`bounded`)."""
+    return materialize_small(positions)
+
+
+def bounded(groups: DataFrame, positions: DataFrame, fits: bool | None = None) -> DataFrame:
     """The groups inside their shard's ``[start_seq, stop_seq)``.
 
     ``positions`` has one row per shard (bounded by the shard count, not the
     data), so after a size check it is broadcast and the join keeps the
     groups' partitioning; the positions stay materialised for later uses."""
-    kept, fits = materialize_small(positions)
+    kept, fits = (positions, fits) if fits is not None else materialize_small(positions)
     p = maybe_broadcast(kept.select(F.col("logstore").alias("_ls"), F.col("shard").alias("_sh"),
                                     "start_seq", "stop_seq"), fits)
     cond = ((groups["logstore"] == p["_ls"]) & (groups["shard"] == p["_sh"])

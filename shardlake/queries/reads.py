@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.decode import decode
 from ..plans.assign import balanced_tasks, modulo_task, writable_rank_tasks
-from ..plans.positions import bounded, finished_shards, resolve_positions, shard_index
+from ..plans.positions import bounded, finished_shards, materialized, resolve_positions, shard_index
 from ..sources.fixtures import events_log_store, shards_of, table
 from ..sources.logstore import select_logstores
 from ..sql import register_log_table, sink_records
@@ -97,7 +97,8 @@ pos AS (SELECT logstore, shard, begin_seq AS start_seq, CAST(NULL AS BIGINT) AS
 def start_earliest(spark, sf_dir):
     g = groups(spark, sf_dir)
     pos = resolve_positions(g, "begin_cursor")
-    return read_summary(pos, bounded(g, pos))
+    pos, fits = materialized(pos)
+    return read_summary(pos, bounded(g, pos, fits))
 
 
 @register("start_latest_asof", with_events(SUMMARY_SQL, _first_at(f"cursor_time > {T_ASOF_SQL}", "lat"), """
@@ -106,7 +107,8 @@ pos AS (SELECT s.logstore, s.shard, coalesce(l.s, s.end_seq) AS start_seq, CAST(
 def start_latest_asof(spark, sf_dir):
     g = groups(spark, sf_dir)
     pos = resolve_positions(g, "LATEST", as_of=T_ASOF)
-    return read_summary(pos, bounded(g, pos))
+    pos, fits = materialized(pos)
+    return read_summary(pos, bounded(g, pos, fits))
 
 
 @register("start_timestamp", with_events(SUMMARY_SQL, _first_at(f"cursor_time >= {T_START_SQL}", "at_t"), """
@@ -115,7 +117,8 @@ pos AS (SELECT s.logstore, s.shard, coalesce(a.s, s.end_seq) AS start_seq, CAST(
 def start_timestamp(spark, sf_dir):
     g = groups(spark, sf_dir)
     pos = resolve_positions(g, str(T_START))
-    return read_summary(pos, bounded(g, pos))
+    pos, fits = materialized(pos)
+    return read_summary(pos, bounded(g, pos, fits))
 
 
 def checkpoint_table(g: DataFrame) -> DataFrame:
@@ -141,7 +144,8 @@ def start_checkpoint_fallback(spark, sf_dir):
     g = groups(spark, sf_dir)
     pos = resolve_positions(g, "consumer_from_checkpoint", checkpoints=checkpoint_table(g),
                             consumer_group=CONSUMER_GROUP, fallback=T_START)
-    return read_summary(pos, bounded(g, pos))
+    pos, fits = materialized(pos)
+    return read_summary(pos, bounded(g, pos, fits))
 
 
 @register("scan_stop_time", with_events(SUMMARY_SQL, _first_at(f"cursor_time >= {T_STOP_SQL}", "st"), """
@@ -150,7 +154,8 @@ pos AS (SELECT s.logstore, s.shard, s.begin_seq AS start_seq, coalesce(t.s, s.en
 def scan_stop_time(spark, sf_dir):
     g = groups(spark, sf_dir)
     pos = resolve_positions(g, "earliest", stop_time=str(T_STOP))
-    return read_summary(pos, bounded(g, pos))
+    pos, fits = materialized(pos)
+    return read_summary(pos, bounded(g, pos, fits))
 
 
 # ---------------------------------------------------------------- R12
