@@ -12,26 +12,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..model import epoch_micros, floor_div
 from .parse import UnsupportedType, type_name
 
 
-def _fraction(micros_of_second: Column) -> Column:
-    return (F.when(micros_of_second == 0, F.lit(""))
-             .when(micros_of_second % 1000 == 0,
-                   F.concat(F.lit("."), F.lpad((micros_of_second / 1000).cast("int").cast("string"), 3, "0")))
-             .otherwise(F.concat(F.lit("."), F.lpad(micros_of_second.cast("string"), 6, "0"))))
+def iso_timestamp_text(ts: Column) -> Column:
+    """Shortest ISO text of a TIMESTAMP_NTZ (``2024-01-01T00:00``, ``..T00:00:01.5`` as ``.500``):
+    the full text once, then the zero seconds or zero fraction digits cut off."""
+    full = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    n = F.length(full)
 
+    def tail(k: int) -> Column:
+        return F.substring(full, -k, k)
 
-def iso_timestamp_text(ts: Column) -> Column:
-    """Shortest ISO text of a TIMESTAMP_NTZ (``2024-01-01T00:00``, ``..T00:00:01.5`` as ``.500``)."""
-    us = epoch_micros(ts)
-    sub = F.pmod(us, F.lit(1000000))
-    seconds = F.pmod(floor_div(us, 1000000), F.lit(60))
-    base = F.date_format(ts, "yyyy-MM-dd'T'HH:mm")
-    tail = F.when((seconds == 0) & (sub == 0), F.lit("")).otherwise(
-        F.concat(F.lit(":"), F.lpad(seconds.cast("string"), 2, "0"), _fraction(sub)))
-    return F.concat(base, tail)
+    def head(cut: int) -> Column:
+        return full.substr(F.lit(1), n - cut)
+
+    return (F.when(tail(10) == ":00.000000", head(10))
+             .when(tail(7) == ".000000", head(7))
+             .when(tail(3) == "000", head(3))
+             .otherwise(full))
 
 
 def iso_time_text_from_millis(millis: Column) -> Column:
