@@ -192,7 +192,7 @@ def insert_only(rows: DataFrame) -> DataFrame:
 
 def sink_records(rows: DataFrame, options: dict, now_seconds: int | None = None) -> DataFrame:
     """Encode rows for ``INSERT INTO`` a log table (T4 with K1-K5)."""
-    opts = LogTableOptions.from_options({"logstore": options.get("logstore", "-"), **options})
+    opts = LogTableOptions.from_options(options)   # a default log store is required
     out = encode_rows(insert_only(rows), default_topic=opts.sink_topic, default_source=opts.sink_source,
                       default_logstore=opts.logstore, now_seconds=now_seconds)
     if opts.producer_buckets and opts.producer_adjust_shard_hash:

@@ -155,3 +155,9 @@ def test_committer_from_options(scratch):
     assert (c.consumer_group, c.mode, c.interval_ms) == ("g", "PERIODIC", 500)
     with pytest.raises(ValueError):
         ProgressCommitter.from_options(scratch, {"logstore": "x"})
+
+
+def test_sink_needs_a_logstore(spark):
+    df = spark.createDataFrame([("a",)], "m string")
+    with pytest.raises(ValueError, match="logstore"):
+        sink_records(df, {"sink.topic": "t"})
