@@ -47,9 +47,16 @@ def materialize_log_store(spark: SparkSession, root: str, build) -> str:
     write_log_store(build(), tmp, mode="overwrite")
     release_persisted()
     _, tmp_path = _hadoop_fs(spark, tmp)
-    if not fs.rename(tmp_path, final) and not fs.exists(final.suffix("/_SUCCESS")):
+    # another builder may have finished meanwhile: keep its store.  (A rename
+    # onto an existing folder would move this copy *inside* it.)
+    if not fs.exists(final):
+        fs.rename(tmp_path, final)
+    nested = final.suffix("/" + tmp_path.getName())
+    for leftover in (tmp_path, nested):
+        if fs.exists(leftover):
+            fs.delete(leftover, True)
+    if not fs.exists(final.suffix("/_SUCCESS")):
         raise OSError(f"could not move the log store into {root}")
-    fs.delete(tmp_path, True)
     return root
 
 

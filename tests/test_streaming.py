@@ -175,3 +175,21 @@ def test_streaming_insert_into_log_store(spark, scratch):
     assert back.count() == 200
     assert back.select("seq").distinct().count() == 200
     assert back.where("__topic__ = 'synthetic'").count() == 200
+
+
+def test_store_build_race_keeps_one_store(spark, scratch):
+    from shardlake.sources.logstore import materialize_log_store
+    root = os.path.join(scratch, "store")
+    groups = events_log_groups(spark, SF)
+
+    def losing_build():
+        # another builder finishes first, while this one is still building
+        materialize_log_store(spark, root, lambda: groups)
+        return groups
+
+    materialize_log_store(spark, root, losing_build)
+    entries = sorted(os.listdir(root))
+    assert "_SUCCESS" in entries
+    assert all(e.startswith(("logstore=", "_", ".")) for e in entries), entries
+    assert not [e for e in os.listdir(scratch) if ".tmp-" in e]
+    assert read_log_store(spark, root).count() == groups.count()
