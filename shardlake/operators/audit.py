@@ -41,3 +41,12 @@ def dedup_by(delivered: DataFrame, key: str, by: tuple[str, ...] = ("logstore",)
     sequence number names a log within its log store, so the store is part
     of the key."""
     return delivered.dropDuplicates([*[b for b in by if b in delivered.columns], key])
+
+
+def dedup_stream(delivered: DataFrame, key: str, event_time: str = "event_time", delay: str = "1 hour",
+                 by: tuple[str, ...] = ("logstore",)) -> DataFrame:
+    """A3 on a stream: drop the copies of a sequence number that arrive
+    within ``delay`` of the first one (state is kept per key only that long,
+    so it stays bounded).  ``event_time`` must be a TIMESTAMP column."""
+    keys = [*[b for b in by if b in delivered.columns], key]
+    return delivered.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)

@@ -193,3 +193,23 @@ def test_store_build_race_keeps_one_store(spark, scratch):
     assert all(e.startswith(("logstore=", "_", ".")) for e in entries), entries
     assert not [e for e in os.listdir(scratch) if ".tmp-" in e]
     assert read_log_store(spark, root).count() == groups.count()
+
+
+def test_stream_dedup_by_sequence_number(spark, scratch):
+    from shardlake.functions.parse import ntz_to_ltz
+    from shardlake.operators.audit import dedup_stream
+    from shardlake.operators.decode import sequence_number
+    from shardlake.streaming.stream import stream_decoded
+    root, out = os.path.join(scratch, "store"), os.path.join(scratch, "out")
+    groups = events_log_groups(spark, SF)
+    write_log_store(groups, root)
+    write_log_store(groups, root)                      # every group delivered twice
+    s = stream_decoded(spark, root, "event_id bigint",
+                       keep=("logstore", "shard", "seq", "idx", "cursor_time"), max_files_per_trigger=4)
+    s = s.withColumn("seq_no", sequence_number()).withColumn("event_time", ntz_to_ltz(F.col("cursor_time")))
+    q = (dedup_stream(s, "seq_no", delay="3650 days").writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = spark.read.parquet(out)
+    total = groups.select(F.sum(F.size("logs"))).first()[0]
+    assert got.count() == total == got.select("event_id").distinct().count()
