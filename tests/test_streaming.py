@@ -213,3 +213,21 @@ def test_stream_dedup_by_sequence_number(spark, scratch):
     got = spark.read.parquet(out)
     total = groups.select(F.sum(F.size("logs"))).first()[0]
     assert got.count() == total == got.select("event_id").distinct().count()
+
+
+def test_text_and_console_sinks(spark, scratch):
+    from shardlake.operators.decode import log_to_json
+    from shardlake.streaming.stream import batch_sink, console_sink, stream_decoded
+    root = os.path.join(scratch, "store")
+    write_log_store(events_log_groups(spark, SF), root)
+    s = stream_decoded(spark, root, "event_id bigint", keep=("contents",))
+    lines = s.select(log_to_json().alias("value"))
+    q = (lines.writeStream.foreachBatch(batch_sink(os.path.join(scratch, "text"), fmt="text"))
+         .option("checkpointLocation", os.path.join(scratch, "ck1")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    text = spark.read.text(os.path.join(scratch, "text"))
+    assert text.count() == events_log_groups(spark, SF).select(F.sum(F.size("logs"))).first()[0]
+    assert text.where(F.col("value").startswith('{"event_id":')).count() == text.count()
+    c = console_sink(s.select("event_id"), os.path.join(scratch, "ck2"), rows=2)
+    c.awaitTermination(300)
+    assert c.exception() is None
