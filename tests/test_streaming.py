@@ -231,3 +231,25 @@ def test_text_and_console_sinks(spark, scratch):
     c = console_sink(s.select("event_id"), os.path.join(scratch, "ck2"), rows=2)
     c.awaitTermination(300)
     assert c.exception() is None
+
+
+def test_stream_log_table_from_checkpoint(spark, scratch):
+    from shardlake.plans.positions import bounded, resolve_positions
+    from shardlake.queries.reads import CONSUMER_GROUP, checkpoint_table
+    from shardlake.sql import stream_log_table
+    root, out = os.path.join(scratch, "store"), os.path.join(scratch, "out")
+    write_log_store(events_log_groups(spark, SF), root)
+    stored = read_log_store(spark, root)
+    cp = checkpoint_table(stored)
+    opts = {"project": root, "logstore": "events-view,events-click", "consumer-group": CONSUMER_GROUP,
+            "scan.startup.mode": "checkpoint", "scan.startup.default-position": "earliest"}
+    q = (stream_log_table(spark, "event_id bigint", opts, checkpoints=cp).writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", os.path.join(scratch, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    sel = stored.where(F.col("logstore").isin("events-view", "events-click"))
+    want = bounded(sel, resolve_positions(sel, "checkpoint", checkpoints=cp, consumer_group=CONSUMER_GROUP,
+                                          fallback="earliest")).select(F.sum(F.size("logs"))).first()[0]
+    got = spark.read.parquet(out).count()
+    assert got == want
+    assert got < sel.select(F.sum(F.size("logs"))).first()[0]    # the checkpoint skipped some
