@@ -163,3 +163,14 @@ def test_delivery_checks(spark):
     s = duplicate_summary(delivered, "id").first()
     assert (s["reads"], s["distinct_ids"], s["duplicates"]) == (8, 4, 4)
     assert dedup_by(delivered.withColumn("logstore", F.lit("a")), "id").count() == 4
+
+
+def test_with_task_keeps_a_shard_in_one_partition(spark):
+    from shardlake.plans.assign import with_task
+    from shardlake.sources.fixtures import events_log_groups, shards_of
+    g = events_log_groups(spark, "/root/testdata/sf0.001")
+    tasks = balanced_tasks(shards_of(g), 3)
+    placed = with_task(g, tasks, 3).withColumn("_p", F.spark_partition_id())
+    assert placed.count() == g.count()
+    spread = placed.groupBy("logstore", "shard").agg(F.countDistinct("_p").alias("parts"))
+    assert spread.where(F.col("parts") != 1).count() == 0
