@@ -2,10 +2,11 @@
 where SQL can express them."""
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import topk, url_filter
+from . import licenses, packing, sp_codec, topk, url_filter
 from .common import table
 
 QUERIES = {}
@@ -61,3 +62,30 @@ best AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM best""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+
+
+PACK_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op8_pack")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), PACK_TOKENIZER)
+
+
+@query("op2_license_scan", licenses.scan_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op4_sentencepiece")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes every text with merge-dropout, decodes the ids and compares."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+    encoded = (sp_codec.encode(docs, PIECE_MODEL, seed=20240601)
+               .withColumn("n_ids", F.size("ids").cast("long")).withColumn("ids_hash", F.xxhash64("ids")))
+    return (sp_codec.decode(encoded, PIECE_MODEL)
+            .select("doc_id", "n_ids", "ids_hash", "text_crc32",
+                    F.crc32(F.col("text").cast("binary")).eqNullSafe(F.col("text_crc32")).alias("lossless")))
