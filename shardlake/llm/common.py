@@ -2,6 +2,7 @@
 and connected components as Spark jobs."""
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -103,6 +104,12 @@ def components(edges: DataFrame) -> DataFrame:
 ROWS_PER_BATCH = 256
 
 
+def workers_find_library(spark: SparkSession) -> None:
+    """Python workers import this library also when they start elsewhere."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def small_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 

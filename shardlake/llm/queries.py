@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, packing, sp_codec, topk, url_filter
-from .common import table
+from . import licenses, line_dedup, ngram_join, packing, quality, sp_codec, topk, toxicity, url_filter
+from .common import table, workers_find_library
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -15,7 +15,11 @@ ORACLE_SQL = {}
 
 def query(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            workers_find_library(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             ORACLE_SQL[name] = sql
         return fn
@@ -89,3 +93,29 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (sp_codec.decode(encoded, PIECE_MODEL)
             .select("doc_id", "n_ids", "ids_hash", "text_crc32",
                     F.crc32(F.col("text").cast("binary")).eqNullSafe(F.col("text_crc32")).alias("lossless")))
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels")
+
+
+@query("op5_line_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its text after the dedup."""
+    return (line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+            .select("doc_id", "n_removed", "emptied", "text"))
+
+
+@query("op6_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), _labels(spark, sf_dir))
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), _labels(spark, sf_dir))
+
+
+@query("op10_ngram_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
