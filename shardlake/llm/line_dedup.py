@@ -86,7 +86,7 @@ def _ranked(rows: DataFrame, by: list[str]) -> DataFrame:
     order.  Range partitions are in order, and so are the numbers."""
     again = rows.groupBy(*by).agg(F.count("*").alias("n")).filter("n > 1").select(*by)
     return written(again.repartitionByRange(*by).sortWithinPartitions(*by)
-                   .withColumn("rank", F.monotonically_increasing_id()), "ranks")
+                   .withColumn("new_rank", F.monotonically_increasing_id()), "ranks")
 
 
 def keyed(docs: DataFrame) -> tuple:
@@ -105,7 +105,7 @@ def repeated_windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     longest = lines.agg(F.max(F.array_max("spans"))).first()[0] or 0
     ranks = _ranked(lines, ["h1", "h2"])
     # suffixes with a repeated prefix of ``size`` lines, and the windows that start at them
-    array = written(lines.join(ranks, ["h1", "h2"]).select(*KEY, "i", "rank", "spans"), "suffixes")
+    array = written(lines.join(ranks, ["h1", "h2"]).select(*KEY, "i", F.col("new_rank").alias("rank"), "spans"), "suffixes")
     spent = [lines, ranks]
     found, size = [], 1
     while size <= longest:
@@ -123,9 +123,8 @@ def repeated_windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         if 2 * size <= longest:
             pairs = written(array.withColumn("j", F.col("i") + size).join(there, [*KEY, "j"]).drop("j"), "pairs")
             ranks = _ranked(pairs, ["rank", "last"])
-            array = written(pairs.join(ranks.withColumnRenamed("rank", "first_rank").withColumnRenamed("last", "last_rank"),
-                                       (F.col("rank") == F.col("first_rank")) & (F.col("last") == F.col("last_rank")))
-                            .select(*KEY, "i", "rank", "spans"), "suffixes")
+            array = written(pairs.join(ranks, ["rank", "last"])
+                            .select(*KEY, "i", F.col("new_rank").alias("rank"), "spans"), "suffixes")
         size *= 2
     for d in spent:
         dropped(d)
@@ -135,7 +134,6 @@ def repeated_windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return out
 
 
-@F.pandas_udf("struct<text string, n_lines int, n_removed int>")
 def _without(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
     """Texts without the non-blank lines in ``runs`` (starts and sizes by
     turns); a blank line goes where the lines on both sides go."""
@@ -179,7 +177,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     both = docs.select(*keep, k.alias("__k"), t.alias("__t")).join(
         runs.select(F.col("k").alias("__k"), F.col("t").alias("__t"), "__runs"), ["__k", "__t"], "left")
     hit = F.col("__runs").isNotNull()
-    cut = both.withColumn("__new", _without(F.when(hit, F.col("text").cast("string")), F.col("__runs")))
+    without = F.pandas_udf(_without, "text string, n_lines int, n_removed int")
+    cut = both.withColumn("__new", without(F.when(hit, F.col("text").cast("string")), F.col("__runs")))
     return cut.select(*(F.when(hit, F.col("__new.text")).otherwise(F.col(c)).alias(c) if c == "text" else F.col(c) for c in keep),
                       F.col("__new.n_removed").cast("long").alias("n_removed"),
                       (hit & (F.col("__new.n_removed") == F.col("__new.n_lines"))).alias("emptied"))
