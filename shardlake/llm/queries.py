@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, line_dedup, ngram_join, packing, quality, sp_codec, topk, toxicity, url_filter
+from . import licenses, line_dedup, ngram_join, packing, pq_dedup, quality, sp_codec, topk, toxicity, url_filter
 from .common import table, workers_find_library
 
 QUERIES = {}
@@ -119,3 +119,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_ngram_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op7_pq_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
