@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.pairs import last_per_key
 from ..functions.parse import UnsupportedType, millis_to_time, parse_value, type_name
 from ..model import (FIELD_CURSOR, FIELD_SHARD, FIELD_SOURCE, FIELD_TIME, FIELD_TOPIC,
                      cursor_of, floor_div, ntz_from_micros)
@@ -39,16 +40,10 @@ def content(name: str, contents: Column | str = "contents") -> Column:
 
 
 def contents_map(contents: Column | str = "contents") -> Column:
-    """Map of the contents, last value per key (no duplicate-key error)."""
+    """Map of the contents, last value per key (no duplicate-key error).
+    Pairs without a key have no place in a map."""
     arr = F.col(contents) if isinstance(contents, str) else contents
-    rev = F.reverse(arr)
-    keys = F.array_distinct(F.transform(rev, lambda kv: kv["key"]))
-    values = F.transform(keys, lambda k: content_of(arr, k))
-    return F.map_from_arrays(F.reverse(keys), F.reverse(values))
-
-
-def content_of(arr: Column, key: Column) -> Column:
-    return F.try_element_at(F.filter(arr, lambda kv: kv["key"] == key), F.lit(-1))["value"]
+    return F.map_from_entries(last_per_key(F.filter(arr, lambda kv: kv["key"].isNotNull())))
 
 
 def _raw_value(name: str, dtype: T.DataType) -> Column:

@@ -14,14 +14,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.pairs import last_per_key
 from ..functions.text import value_text
 from ..model import (CONTENT, ENCODE_METADATA, FIELD_HASH_KEY, FIELD_LOGSTORE, FIELD_SOURCE, FIELD_TIME,
                      FIELD_TOPIC, TAG_PREFIX, epoch_micros, floor_div)
 
 RECORD_COLUMNS = ("logstore", "topic", "source", "hash_key", "time", "time_ns", "contents")
 INT_MIN, INT_MAX = -2**31, 2**31 - 1
-# "blank": empty or only whitespace (space, \t \n \x0B \f \r and \x1C-\x1F)
-BLANK = r"^[ \t\n\x0B\f\r\x1C-\x1F]*$"
+# "blank": empty or only white space, that is controls x09-x0D and x1C-x1F and
+# Unicode's separators but the no-break spaces (fixed values)
+BLANK = r"^[\x09-\x0D\x1C-\x20\x{1680}\x{2000}-\x{2006}\x{2008}-\x{200A}\x{2028}\x{2029}\x{205F}\x{3000}]*\z"
 
 
 def _trunc_div(c: Column, n: int) -> Column:
@@ -181,17 +183,25 @@ def encode_flatmap(df: DataFrame, records: Column) -> DataFrame:
     return df.select(F.explode(records).alias("r")).select("r.*")
 
 
-def json_to_group(json_text: Column | str, now_seconds: int | None = None) -> Column:
+def json_to_group(json_text: Column | str, now_seconds: int | None = None, strict: bool = True) -> Column:
     """A JSON object line to a log group struct: keys starting with
-    ``__tag__:`` become tags (prefix removed), the others contents.  Values
-    keep their JSON text (strings unquoted)."""
+    ``__tag__:`` become tags (prefix removed), the others contents, the last
+    value of a repeated key.  Values keep their JSON text (strings unquoted).
+    A line that is no JSON object raises, or gives NULL without ``strict``."""
     js = F.col(json_text) if isinstance(json_text, str) else json_text
     m = F.from_json(js, T.MapType(T.StringType(), T.StringType()))
-    tags = F.map_filter(m, lambda k, v: k.startswith(TAG_PREFIX))
-    tags = F.transform_keys(tags, lambda k, v: F.substring(k, len(TAG_PREFIX) + 1, 1 << 30))
-    fields = F.map_filter(m, lambda k, v: ~k.startswith(TAG_PREFIX))
+    entries = last_per_key(F.map_entries(m))
+    tags = F.map_from_entries(F.transform(F.filter(entries, lambda e: e["key"].startswith(TAG_PREFIX)), lambda e: F.struct(
+        F.substr(e["key"], F.lit(len(TAG_PREFIX) + 1)).alias("key"), e["value"].alias("value"))))
     now = F.lit(now_seconds).cast("int") if now_seconds is not None else F.unix_timestamp().cast("int")
-    contents = F.transform(F.map_entries(fields), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+    contents = F.filter(entries, lambda e: ~e["key"].startswith(TAG_PREFIX))
     log = F.struct(now.alias("time"), F.lit(0).alias("time_ns"), contents.alias("contents"))
-    return F.struct(F.lit(None).cast("string").alias("topic"), F.lit(None).cast("string").alias("source"),
-                    tags.alias("tags"), F.array(log).alias("logs"))
+    group = F.struct(F.lit(None).cast("string").alias("topic"), F.lit(None).cast("string").alias("source"),
+                     tags.alias("tags"), F.array(log).alias("logs"))
+    bad = js.isNotNull() & m.isNull()
+    checked = F.when(m.isNotNull(), group)
+    if not strict:
+        return checked
+    return F.when(bad, F.raise_error(F.concat(F.lit("Not a JSON object: "), js)).cast(
+        "struct<topic:string,source:string,tags:map<string,string>,logs:array<struct<time:int,time_ns:int,"
+        "contents:array<struct<key:string,value:string>>>>>")).otherwise(checked)

@@ -74,14 +74,14 @@ def shard_index(groups: DataFrame) -> DataFrame:
         F.max("cursor_time").alias("end_time"))
 
 
-def _seconds_ntz(seconds: int):
+def seconds_ntz(seconds: int):
     return F.timestamp_add("SECOND", F.lit(seconds), F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
 
 
 def first_seq_at(groups: DataFrame, seconds: int, strict_after: bool = False, name: str = "at_seq") -> DataFrame:
     """Per shard, the first ``seq`` written at or after ``seconds`` (or
     strictly after, for 'latest as of')."""
-    t = _seconds_ntz(seconds)
+    t = seconds_ntz(seconds)
     cond = F.col("cursor_time") > t if strict_after else F.col("cursor_time") >= t
     return groups.where(cond).groupBy("logstore", "shard").agg(F.min("seq").alias(name))
 
@@ -159,6 +159,38 @@ def bounded(groups: DataFrame, positions: DataFrame, fits: bool | None = None) -
     return groups.join(p, cond, "left_semi")
 
 
+def stored_positions(spark, folder: str, build) -> DataFrame:
+    """The positions in ``folder``; the first call resolves them by ``build()``
+    and stores them (one row per shard, written aside and renamed, so a reader
+    finds all or nothing)."""
+    import uuid
+
+    from ..sources.logstore import hadoop_fs
+    fs, final = hadoop_fs(spark, folder)
+    if not fs.exists(final.suffix("/_SUCCESS")):
+        aside = f"{folder.rstrip('/')}.tmp-{uuid.uuid4().hex}"
+        build().coalesce(1).write.parquet(aside)
+        _, made = hadoop_fs(spark, aside)
+        if not fs.exists(final):
+            fs.mkdirs(final.getParent())
+            fs.rename(made, final)
+        # another start of the same query may have been first: its positions hold
+        for left in (made, final.suffix("/" + made.getName())):
+            if fs.exists(left):
+                fs.delete(left, True)
+    return spark.read.schema("logstore string, shard int, start_seq long, stop_seq long").parquet(folder)
+
+
+def read_from(groups: DataFrame, positions: DataFrame, since: int | None = None) -> DataFrame:
+    """The groups at or after their shard's ``start_seq``; a shard without a
+    position is read from its beginning, or from the write time ``since``."""
+    kept, fits = materialize_small(positions.select(F.col("logstore").alias("_ls"), F.col("shard").alias("_sh"), "start_seq"))
+    p = maybe_broadcast(kept, fits)
+    joined = groups.join(p, (groups["logstore"] == p["_ls"]) & (groups["shard"] == p["_sh"]), "left")
+    late = F.lit(True) if since is None else F.col("start_seq").isNotNull() | (F.col("cursor_time") >= seconds_ntz(since))
+    return joined.where((F.col("seq") >= F.coalesce("start_seq", F.lit(0))) & late).select(*groups.columns)
+
+
 def finished_shards(shards: DataFrame, progress: DataFrame) -> DataFrame:
     """A shard is finished when it is read-only and the consumer's next
     position has reached its end, or when it no longer exists (a consumer

@@ -28,22 +28,21 @@ def explode_groups(spark, sf_dir):
 
 @register("project_contents", with_events("""
 SELECT logstore, seq, idx, c_event_id AS event_id, c_props AS props, c_value AS value,
-       CAST(NULL AS VARCHAR) AS missing, CAST(NULL AS VARCHAR) AS "EVENT_ID" FROM logs"""))
+       CAST(NULL AS VARCHAR) AS missing, CAST(NULL AS VARCHAR) AS upper_event_id FROM logs"""))
 def project_contents(spark, sf_dir):
     lg = logs_of(spark, sf_dir)
     # exact and case-sensitive: 'EVENT_ID' is another (absent) key
     return lg.select("logstore", "seq", "idx", content("event_id").alias("event_id"),
                      content("props").alias("props"), content("value").alias("value"),
-                     content("missing").alias("missing"), content("EVENT_ID").alias("EVENT_ID"))
+                     content("missing").alias("missing"), content("EVENT_ID").alias("upper_event_id"))
 
 
 @register("last_duplicate_wins", with_events("""
 SELECT CAST(event_id AS BIGINT) AS event_id, CAST(c_attempt AS INTEGER) AS attempt,
        CAST(n_contents AS INTEGER) AS n_contents
-FROM logs WHERE logstore = 'events-error'"""))
+FROM logs"""))
 def last_duplicate_wins(spark, sf_dir):
-    g = events_log_store(spark, sf_dir).where(F.col("logstore") == "events-error")
-    lg = explode_logs(g).withColumn("n_contents", F.size("contents"))
+    lg = explode_logs(events_log_store(spark, sf_dir)).withColumn("n_contents", F.size("contents"))
     return decode_logs(lg, "event_id bigint, attempt int", keep=("n_contents",))
 
 

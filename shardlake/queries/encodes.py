@@ -234,11 +234,14 @@ WITH r AS (
   SELECT lang, source, doc_id, {DOC_BYTES_SQL} AS bytes,
          (row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) - 1) // {PACK_LINES} AS line_block
   FROM documents),
-b AS (
+c AS (
   SELECT *, coalesce(sum(bytes) OVER (PARTITION BY lang, source, line_block ORDER BY doc_id
-                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {PACK_BYTES}
-            AS byte_block
-  FROM r)
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM r),
+b AS (
+  SELECT *, 2 * (before // {PACK_BYTES})
+            + CASE WHEN (before + bytes - 1) // {PACK_BYTES} > before // {PACK_BYTES} THEN 1 ELSE 0 END AS byte_block
+  FROM c)
 SELECT lang AS topic, source, CAST(line_block AS BIGINT) AS line_block, CAST(byte_block AS BIGINT) AS byte_block,
        CAST(count(*) AS BIGINT) AS n_records, CAST(sum(bytes) AS BIGINT) AS n_bytes, min(doc_id) AS first_doc
 FROM b GROUP BY ALL""")

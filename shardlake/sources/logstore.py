@@ -27,7 +27,7 @@ def write_log_store(groups: DataFrame, root: str, mode: str = "append") -> None:
            .write.mode(mode).partitionBy("logstore", "shard").parquet(root))
 
 
-def _hadoop_fs(spark: SparkSession, path: str):
+def hadoop_fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
@@ -38,7 +38,7 @@ def materialize_log_store(spark: SparkSession, root: str, build) -> str:
     it.  The table is written next to ``root`` and renamed into place, so a
     reader never sees a half-written store and an interrupted build is
     redone."""
-    fs, final = _hadoop_fs(spark, root)
+    fs, final = hadoop_fs(spark, root)
     if fs.exists(final.suffix("/_SUCCESS")):
         return root
     import uuid
@@ -46,7 +46,7 @@ def materialize_log_store(spark: SparkSession, root: str, build) -> str:
     from ..plans.numbering import release_persisted
     write_log_store(build(), tmp, mode="overwrite")
     release_persisted()
-    _, tmp_path = _hadoop_fs(spark, tmp)
+    _, tmp_path = hadoop_fs(spark, tmp)
     # another builder may have finished meanwhile: keep its store.  (A rename
     # onto an existing folder would move this copy *inside* it.)
     if not fs.exists(final):
@@ -168,7 +168,7 @@ def append_records(records: DataFrame, root: str, shards: DataFrame, order: Sequ
     from ..plans.positions import shard_index
 
     spark = records.sparkSession
-    fs, path = _hadoop_fs(spark, root)
+    fs, path = hadoop_fs(spark, root)
     ends = shard_index(read_log_store(spark, root)) if fs.exists(path) else None
     write_log_store(records_to_groups(records, shards, ends, order, max_lines, max_bytes, write_time), root)
     release_persisted()

@@ -8,7 +8,7 @@ Spark SQL plans like any other (pruning, pushdown, joins).
 """
 from __future__ import annotations
 
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,8 +55,8 @@ class LogTableOptions:
     checkpoint_mode: str = "ON_CHECKPOINTS"
     commit_interval_ms: int = 10_000
     max_number_per_fetch: int = 100
-    fetch_interval_ms: int = 100
-    shards_discovery_interval_ms: int = 60_000
+    fetch_interval_ms: int = 100             # accepted: a trigger interval is the query's
+    shards_discovery_interval_ms: int = 60_000  # accepted: every trigger lists the store
     ignore_parse_errors: bool = False
     scan_parallelism: int | None = None
     sink_parallelism: int | None = None
@@ -64,8 +64,8 @@ class LogTableOptions:
     sink_source: str | None = None
     producer_buckets: int | None = None
     producer_adjust_shard_hash: bool = True
-    extra: dict = field(default_factory=dict)
 
+    # The option names.
     _KEYS = {
         "project": "project", "logstore": "logstore", "logstore.pattern": "logstore_pattern",
         "consumer-group": "consumer_group", "scan.startup.mode": "scan_startup_mode",
@@ -96,8 +96,15 @@ class LogTableOptions:
             setattr(opts, attr, value)
         if not opts.logstore:
             raise ValueError("option 'logstore' is required")
-        parse_start_position(opts.scan_startup_mode)
+        start, fallback = parse_start_position(opts.scan_startup_mode), parse_start_position(opts.scan_startup_default_position)
+        if start.kind == "checkpoint" and not opts.consumer_group:
+            raise ValueError("Starting from a checkpoint needs a consumer group")
+        if start.kind == fallback.kind == "checkpoint":
+            raise ValueError("The fallback position of a checkpoint start cannot be 'checkpoint'")
         parse_stop_time(opts.stop_time)
+        for name in ("commit.interval.ms", "fetch.interval.ms", "shards.discovery.interval.ms"):
+            if getattr(opts, cls._KEYS[name]) <= 0:
+                raise ValueError(f"{name} must be positive")
         opts.checkpoint_mode = parse_checkpoint_mode(opts.checkpoint_mode)
         if opts.max_number_per_fetch <= 0:
             raise ValueError("max.number.per.fetch must be positive")
@@ -135,35 +142,43 @@ def log_table(spark: SparkSession, schema: T.StructType | str, options: dict,
 
 def stream_log_table(spark: SparkSession, schema: T.StructType | str, options: dict,
                      checkpoints: DataFrame | None = None,
-                     keep: tuple[str, ...] = ("logstore", "shard", "seq", "cursor_time")) -> DataFrame:
+                     keep: tuple[str, ...] = ("logstore", "shard", "seq", "cursor_time"),
+                     state: str | None = None) -> DataFrame:
     """The streaming form of :func:`log_table` (R2 with R3-R10).
 
-    ``max.number.per.fetch`` bounds the files read per trigger (the store
-    keeps a shard's groups in seq-ordered files).  A start other than
-    ``earliest``, or a stop time, is resolved once against the groups stored
-    when the stream starts (one row per shard) and applied to the stream as
-    a semi join with that static table: groups of shards found later are
-    read from their beginning."""
-    from .streaming.stream import stream_decoded
+    ``max.number.per.fetch`` bounds the *files* read per trigger (the store
+    keeps a shard's groups in seq-ordered files).
+
+    A start time and a stop time are conditions on the write time, so they
+    hold for shards found later and for groups written later alike.  ``latest``
+    and ``checkpoint`` need a position for each shard: it is resolved once,
+    stored under ``state`` (a folder next to the query's checkpoint, required
+    for these two) and read from there when the query starts again.  A shard
+    found later has no stored position and is read from its beginning (from
+    the fallback time, where the fallback is a time)."""
+    from .plans.positions import CHECKPOINT, LATEST, TIMESTAMP, read_from, seconds_ntz, stored_positions
+    from .sources.logstore import stream_log_store
     opts = LogTableOptions.from_options(options)
     if not opts.project:
         raise ValueError("option 'project' is required")
     sel = opts.selection()
-    start = parse_start_position(opts.scan_startup_mode)
-    if start.kind == "earliest" and opts.stop_time is None:
-        return stream_decoded(spark, opts.project, as_schema(schema), ignore_parse_errors=opts.ignore_parse_errors,
-                              max_files_per_trigger=opts.max_number_per_fetch, keep=keep, **sel)
-    from .sources.logstore import stream_log_store
-    now = read_log_store(spark, opts.project, **sel)
-    pos = resolve_positions(now, opts.scan_startup_mode, opts.stop_time, checkpoints, opts.consumer_group,
-                            opts.scan_startup_default_position)
     groups = stream_log_store(spark, opts.project, max_files_per_trigger=opts.max_number_per_fetch, **sel)
-    # shards absent from the snapshot have no position row: read them whole
-    from .plans.broadcast import checked_broadcast
-    bounded_known = bounded(groups, pos)
-    known = checked_broadcast(pos.select("logstore", "shard"))
-    fresh = groups.join(known, ["logstore", "shard"], "left_anti")
-    return decode(bounded_known.unionByName(fresh), as_schema(schema), opts.ignore_parse_errors, keep=keep)
+    start, stop = parse_start_position(opts.scan_startup_mode), parse_stop_time(opts.stop_time)
+    if stop is not None:
+        groups = groups.where(F.col("cursor_time") < seconds_ntz(stop))
+    if start.kind == TIMESTAMP:
+        groups = groups.where(F.col("cursor_time") >= seconds_ntz(start.timestamp))
+    elif start.kind in (LATEST, CHECKPOINT):
+        if not state:
+            raise ValueError(f"a stream that starts from '{start.kind}' needs a state folder for its positions")
+        pos = stored_positions(spark, state, lambda: resolve_positions(
+            read_log_store(spark, opts.project, **sel), opts.scan_startup_mode, None, checkpoints,
+            opts.consumer_group, opts.scan_startup_default_position))
+        fallback = parse_start_position(opts.scan_startup_default_position)
+        since = fallback.timestamp if start.kind == CHECKPOINT and fallback.kind == TIMESTAMP else None
+        groups = read_from(groups, pos, since)
+    out = decode(groups, as_schema(schema), opts.ignore_parse_errors, keep=keep)
+    return out.repartition(opts.scan_parallelism) if opts.scan_parallelism else out
 
 
 def register_log_table(spark: SparkSession, name: str, schema: T.StructType | str, options: dict,
@@ -193,6 +208,8 @@ def insert_only(rows: DataFrame) -> DataFrame:
 def sink_records(rows: DataFrame, options: dict, now_seconds: int | None = None) -> DataFrame:
     """Encode rows for ``INSERT INTO`` a log table (T4 with K1-K5)."""
     opts = LogTableOptions.from_options(options)   # a default log store is required
+    if opts.logstore_pattern or "," in opts.logstore:
+        raise ValueError("a sink writes to one default log store, not to a list or a pattern")
     out = encode_rows(insert_only(rows), default_topic=opts.sink_topic, default_source=opts.sink_source,
                       default_logstore=opts.logstore, now_seconds=now_seconds)
     if opts.producer_buckets and opts.producer_adjust_shard_hash:

@@ -2,14 +2,17 @@
 
 A consumer-group table (``model.CONSUMER_GROUPS``) holds, per group and
 shard, ``seq`` = the next position to read (its ``cursor`` is the text form).
-Commits are append-only rows; the current position of a shard is the largest
-committed ``seq``, so replaying a commit (a retried batch) changes nothing.
+Commits are append-only rows; in a table of positions the current one of a
+shard is the largest committed ``seq``, so replaying a commit (a retried batch)
+changes nothing.  A stream commits the *ranges* it has read, since files need
+not arrive in ``seq`` order: its position is the end of the ranges that follow
+its start without a gap (``position_of_ranges``).
 Every table here has one row per shard (or per shard and commit), so joins
 against the log groups broadcast it after a size check (``plans.broadcast``).
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..model import CONSUMER_GROUPS, cursor_of, seq_of
@@ -31,6 +34,49 @@ def batch_progress(read_groups: DataFrame, consumer_group: str, updated_at=None)
                       at.cast("timestamp_ntz").alias("updated_at"))
 
 
+def read_ranges(read_groups: DataFrame) -> DataFrame:
+    """The runs of consecutive ``seq`` in a read: ``logstore, shard, from_seq,
+    seq`` (half-open).  The ends of the runs are found by anti joins on the
+    position, so no shard is sorted in one task; only the runs, a few for each
+    file read, are put in order."""
+    at = read_groups.select(*SHARD_KEY, "seq").distinct()
+    key = [*SHARD_KEY, "seq"]
+    first = at.join(at.select(*SHARD_KEY, (F.col("seq") + 1).alias("seq")), key, "left_anti")
+    last = at.join(at.select(*SHARD_KEY, (F.col("seq") - 1).alias("seq")), key, "left_anti")
+    order = Window.partitionBy(*SHARD_KEY).orderBy("seq")
+    nth = F.row_number().over(order)
+    return (first.withColumn("_n", nth).withColumnRenamed("seq", "from_seq")
+            .join(last.withColumn("_n", nth), [*SHARD_KEY, "_n"])
+            .select(*SHARD_KEY, "from_seq", (F.col("seq") + 1).alias("seq")))
+
+
+def position_of_ranges(ranges: DataFrame) -> DataFrame:
+    """``consumer_group, logstore, shard, seq, updated_at``: how far a group
+    has read a shard from 0 on without a gap, by its ``ranges`` (``from_seq``,
+    ``seq``, half-open; a later start is a range from 0).  One row per shard
+    and run read."""
+    key = ["consumer_group", *SHARD_KEY]
+    w = Window.partitionBy(*key).orderBy("from_seq", "seq")
+    before = F.coalesce(F.max("seq").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    gaps = F.sum((F.col("from_seq") > F.col("_before")).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return (ranges.withColumn("_before", before).withColumn("_gaps", gaps)
+            .groupBy(*key).agg(F.coalesce(F.max(F.when(F.col("_gaps") == 0, F.col("seq"))), F.lit(0)).alias("seq"),
+                               F.max("updated_at").alias("updated_at")))
+
+
+def merged_ranges(ranges: DataFrame) -> DataFrame:
+    """The same ranges with adjoining and overlapping ones made one."""
+    key = ["consumer_group", *SHARD_KEY]
+    w = Window.partitionBy(*key).orderBy("from_seq", "seq")
+    before = F.max("seq").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    placed = ranges.withColumn("_new", (before.isNull() | (F.col("from_seq") > before)).cast("int"))
+    run = F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return (placed.withColumn("_run", run).groupBy(*key, "_run")
+            .agg(F.min("from_seq").alias("from_seq"), F.max("seq").alias("seq"), F.max("updated_at").alias("updated_at"),
+                 F.max("batch_id").alias("batch_id"))
+            .select(*key, "from_seq", "seq", "updated_at", "batch_id"))
+
+
 def current_positions(commits: DataFrame, consumer_group: str | None = None) -> DataFrame:
     """Latest committed position per (group, shard) from append-only commit
     rows (``seq`` or, when NULL, the position in ``cursor``)."""

@@ -22,13 +22,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.parse import ntz_to_ltz
-from ..model import CONSUMER_GROUPS
+from ..model import cursor_of
 from ..operators.decode import decode
 from ..sql import parse_checkpoint_mode
 from ..sources.logstore import stream_log_store
-from .progress import COMMIT_COLUMNS, batch_progress
+from .progress import COMMIT_COLUMNS, merged_ranges, position_of_ranges, read_ranges
 
-COMMIT_SCHEMA = T.StructType(CONSUMER_GROUPS.fields + [T.StructField("batch_id", T.LongType())])
+RANGE_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("consumer_group", "logstore")]
+                            + [T.StructField("shard", T.IntegerType())]
+                            + [T.StructField(n, T.LongType()) for n in ("from_seq", "seq")]
+                            + [T.StructField("updated_at", T.TimestampNTZType()), T.StructField("batch_id", T.LongType())])
 
 
 def stream_decoded(spark: SparkSession, root: str, schema, logstore=None, pattern=None,
@@ -109,17 +112,27 @@ def with_event_time(df: DataFrame, column: str = "__time__", delay: str | None =
 
 @dataclass
 class ProgressCommitter:
-    """Commit the read position of each micro-batch for a consumer
-    group.  ``ON_CHECKPOINTS`` commits every batch, ``PERIODIC`` at most
-    once per ``interval_ms`` (the latest position then covers the skipped
-    batches), ``DISABLED`` never.  The table (``commits_path``) is created
-    by the first commit."""
+    """Commit what each micro-batch has read for a consumer group.
+
+    A commit is the ranges of positions read, one row per shard and run; the
+    group's position is where they follow its start without a gap, so files
+    read out of order never commit what was not read.  ``ON_CHECKPOINTS``
+    commits every batch; ``PERIODIC`` the first one and then at most once per
+    ``interval_ms``: held-back ranges are merged (for a dense read that is one
+    row per shard) and go out with the next commit or with :meth:`flush`, to
+    be called when the query has ended; ``DISABLED`` commits never.  The table
+    (``commits_path``) is created by the first commit.  ``start``: positions
+    (``logstore, shard, start_seq``) that the group begins at, if not at 0."""
     commits_path: str
     consumer_group: str
     mode: str = "ON_CHECKPOINTS"
     interval_ms: int = 10_000
-    _last: float = 0.0
-    _pending: list = field(default_factory=list)
+    start: DataFrame | None = None
+    compact_every: int = 100
+    _last: float | None = None
+    _held: list = field(default_factory=list)
+    _commits: int = 0
+    _started: bool = False
 
     def __post_init__(self):
         self.mode = parse_checkpoint_mode(self.mode)
@@ -134,35 +147,98 @@ class ProgressCommitter:
             raise ValueError("option 'consumer-group' is required to commit progress")
         return cls(commits_path, opts.consumer_group, opts.checkpoint_mode, opts.commit_interval_ms)
 
+    def _rows(self, ranges: DataFrame, batch_id: int) -> DataFrame:
+        return ranges.select(F.lit(self.consumer_group).alias("consumer_group"), "logstore", "shard", "from_seq", "seq",
+                             F.localtimestamp().alias("updated_at"), F.lit(batch_id).cast("long").alias("batch_id"))
+
     def commit(self, batch: DataFrame, batch_id: int) -> None:
         if self.mode == "DISABLED":
             return
-        rows = batch_progress(batch, self.consumer_group).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        spark = batch.sparkSession
+        rows = self._rows(read_ranges(batch), batch_id)
+        if self.start is not None and not self._started:
+            # all before the start counts as read
+            anchors = self.start.select("logstore", "shard", F.lit(0).cast("long").alias("from_seq"), F.col("start_seq").alias("seq"))
+            rows = rows.unionByName(self._rows(anchors, batch_id))
+        self._started = True
         if self.mode == "PERIODIC":
-            # a batch DataFrame is only valid inside its call: keep the
-            # per-shard rows (one per shard of the batch) until the next commit
-            self._pending.extend(rows.collect())
+            # a batch is only valid inside its call: what it read is kept
+            # here as merged ranges, never as rows of each batch
+            held = spark.createDataFrame(self._held, RANGE_SCHEMA)
+            self._held = merged_ranges(rows.unionByName(held)).collect()
             now = time.monotonic()
-            if (now - self._last) * 1000 < self.interval_ms:
+            if self._last is not None and (now - self._last) * 1000 < self.interval_ms:
                 return
-            rows = batch.sparkSession.createDataFrame(self._pending, COMMIT_SCHEMA)
-            self._pending, self._last = [], now
-        # one small file per commit: a row per shard of the batch
-        rows.coalesce(1).write.mode("append").parquet(self.commits_path)
+            self._last = now
+            self.flush(spark)
+            return
+        self._write(rows)
+
+    def flush(self, spark: SparkSession) -> None:
+        """Commit what is held back."""
+        if self._held:
+            self._write(spark.createDataFrame(self._held, RANGE_SCHEMA))
+            self._held = []
+
+    def _write(self, rows: DataFrame) -> None:
+        # one small file per commit: a row per shard and run of the batch
+        rows.coalesce(1).write.mode("append").parquet(_generation(rows.sparkSession, self.commits_path, 0))
+        self._commits += 1
+        if self.compact_every and self._commits % self.compact_every == 0:
+            compact_commits(rows.sparkSession, self.commits_path)
+
+
+def _generations(spark: SparkSession, commits_path: str) -> list[str]:
+    """Folders of the commit table, the last one being written to."""
+    from ..sources.logstore import hadoop_fs
+    fs, root = hadoop_fs(spark, commits_path)
+    if not fs.exists(root):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(root) if f.getPath().getName().startswith("part-of-"))
+
+
+def _generation(spark: SparkSession, commits_path: str, more: int) -> str:
+    have = _generations(spark, commits_path)
+    n = int(have[-1].rsplit("-", 1)[1]) if have else 0
+    return f"{commits_path}/part-of-{n + more:08d}"
+
+
+def _ranges(spark: SparkSession, commits_path: str, folders: list[str]) -> DataFrame:
+    return spark.read.schema(RANGE_SCHEMA).parquet(*[f"{commits_path}/{f}" for f in folders])
+
+
+def compact_commits(spark: SparkSession, commits_path: str) -> None:
+    """Merge the commit files: the merged ranges start a new folder, then the
+    older ones go.  A reader between the two sees rows twice, which changes
+    no position; one consumer group writes a table at a time."""
+    from ..sources.logstore import hadoop_fs
+    old = _generations(spark, commits_path)
+    if not old:
+        return
+    merged_ranges(_ranges(spark, commits_path, old)).coalesce(1).write.parquet(_generation(spark, commits_path, 1))
+    for f in old:
+        fs, path = hadoop_fs(spark, f"{commits_path}/{f}")
+        fs.delete(path, True)
 
 
 def read_commits(spark: SparkSession, commits_path: str) -> DataFrame:
-    """The append-only commit rows written by :class:`ProgressCommitter`."""
-    return spark.read.schema(COMMIT_SCHEMA).parquet(commits_path).select(*COMMIT_COLUMNS)
+    """The committed positions of a table written by :class:`ProgressCommitter`:
+    ``model.CONSUMER_GROUPS`` rows, one per group and shard."""
+    pos = position_of_ranges(_ranges(spark, commits_path, _generations(spark, commits_path)))
+    return pos.withColumn("cursor", cursor_of(F.col("seq"))).select(*COMMIT_COLUMNS)
 
 
 def batch_sink(output_path: str, transform: Callable[[DataFrame], DataFrame] | None = None,
                committer: ProgressCommitter | None = None, fmt: str = "parquet",
                partition_by: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function writing each batch to
-    ``output_path/batch_id=<id>`` (overwrite: a retried batch replaces its
-    own output), then committing the consumer progress."""
+    ``output_path/query_id=<id>/batch_id=<id>`` (overwrite: a retried batch
+    replaces its own output), then committing the consumer progress."""
     def run(batch: DataFrame, batch_id: int) -> None:
+        # batch ids start again with each checkpoint: the query's id keeps
+        # the outputs of two queries on one folder apart
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        folder = f"{output_path}/query_id={query}" if query else output_path
         # the batch feeds both the write and the commit: read it once
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK) if committer is not None else batch
         try:
@@ -170,7 +246,7 @@ def batch_sink(output_path: str, transform: Callable[[DataFrame], DataFrame] | N
             writer = out.write.mode("overwrite")
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
-            writer.format(fmt).save(f"{output_path}/batch_id={batch_id}")
+            writer.format(fmt).save(f"{folder}/batch_id={batch_id}")
             if committer is not None:
                 committer.commit(kept, batch_id)
         finally:
@@ -197,8 +273,22 @@ def start_copy(spark: SparkSession, root: str, schema, output_path: str, checkpo
     return w.start()
 
 
-def console_sink(df: DataFrame, checkpoint: str, rows: int = 20):
-    """Print each batch (samples and debugging only)."""
+def finish(query, committer: ProgressCommitter | None = None, timeout: float | None = None) -> None:
+    """Wait for a query to end, then commit what its committer holds back
+    (also after a failure: it was read and written)."""
+    try:
+        query.awaitTermination(timeout) if timeout else query.awaitTermination()
+    finally:
+        if committer is not None:
+            committer.flush(query_session())
+
+
+def query_session() -> SparkSession:
+    return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+
+
+def console_sink(df: DataFrame, checkpoint: str, rows: int = 2 ** 31 - 1):
+    """Print every row of each batch; ``rows`` cuts the print short."""
     return (df.writeStream.format("console").option("numRows", rows).option("truncate", "false")
               .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 

@@ -161,3 +161,60 @@ def test_sink_needs_a_logstore(spark):
     df = spark.createDataFrame([("a",)], "m string")
     with pytest.raises(ValueError, match="logstore"):
         sink_records(df, {"sink.topic": "t"})
+
+
+def test_route_short_and_upper_case_keys(spark):
+    rec = spark.createDataFrame([("s", k, 0) for k in ("8", "0", "F", "3fffffffffffffffffffffffffffffff", "4", "BF", "c")],
+                                "logstore string, hash_key string, time int").withColumn("contents", F.array().cast(
+                                    "array<struct<key:string,value:string>>"))
+    shards = spark.createDataFrame([("s", i) for i in range(4)], "logstore string, shard int")
+    got = {r["hash_key"]: r["shard"] for r in shard_by_hash_key(rec, shard_key_ranges(shards)).collect()}
+    assert got == {"8": 2, "0": 0, "F": 3, "3fffffffffffffffffffffffffffffff": 0, "4": 1, "BF": 2, "c": 3}
+    assert all(got[k] == spark.range(1).select(bucket_of_key(F.lit(k), 4)).first()[0] for k in got)
+
+
+def test_undeliverable_records_raise(spark, scratch):
+    import pytest
+    from shardlake.sources.logstore import append_records
+    shards = spark.createDataFrame([("s", 0)], "logstore string, shard int")
+    for row in (("s", "zz"), ("s", ""), ("s", "0" * 33), ("other", None), ("other", "8"), (None, None)):
+        rec = spark.createDataFrame([(*row, "", "", 0, 0, [("k", "v")])],
+                                    "logstore string, hash_key string, topic string, source string, time int, time_ns int, "
+                                    "contents array<struct<key:string,value:string>>")
+        with pytest.raises(Exception, match="hash key|No shard"):
+            append_records(rec, scratch + "/store", shards)
+
+
+def test_blank_log_store_names(spark):
+    from shardlake.operators.encode import route_logstore
+    blank = ["", " ", "\t\n", "　", "  ", "\x1c\x1f", "   ", None]
+    full = ["a", " a", " ", " ", " ", "\n."]
+    df = spark.createDataFrame([(x,) for x in blank + full], "x string")
+    got = [r[0] for r in df.select(route_logstore(F.col("x"), "dflt")).collect()]
+    assert got == ["dflt"] * len(blank) + full
+
+
+def test_pack_groups_byte_limit_holds(spark):
+    from shardlake.operators.route import record_bytes
+    sizes = [70, 70, 30, 30, 30, 250, 10, 0, 95, 5, 100, 1, 99]
+    df = spark.createDataFrame([(i, [("", "x" * n)]) for i, n in enumerate(sizes)], "id int, contents array<struct<key:string,value:string>>")
+    df = df.withColumn("logstore", F.lit("s")).withColumn("topic", F.lit("")).withColumn("source", F.lit(""))
+    packed = pack_groups(df, ["id"], max_lines=100, max_bytes=100)
+    groups = packed.groupBy("line_block", "byte_block").agg(F.sum(record_bytes()).alias("n"), F.sort_array(F.collect_list("id")).alias("ids"))
+    rows = groups.orderBy("line_block", "byte_block").collect()
+    assert [i for r in rows for i in r["ids"]] == list(range(len(sizes)))
+    assert all(r["n"] <= 100 or len(r["ids"]) == 1 for r in rows)
+
+
+def test_json_lines_to_groups(spark):
+    import pytest
+    from shardlake.operators.encode import json_to_group
+    df = spark.createDataFrame([('{"a":1,"b":"x","a":"last","__tag__:t":"v"}',), (None,)], "j string")
+    got = df.select(json_to_group("j", 5).alias("g")).collect()
+    assert [tuple(c) for c in got[0]["g"]["logs"][0]["contents"]] == [("b", "x"), ("a", "last")]
+    assert got[0]["g"]["tags"] == {"t": "v"} and got[1]["g"] is None
+    for bad in ("nope", "[1]", '{"a":'):
+        line = spark.createDataFrame([(bad,)], "j string")
+        assert line.select(json_to_group("j", 5, strict=False).alias("g")).first()["g"] is None
+        with pytest.raises(Exception, match="JSON object"):
+            line.select(json_to_group("j", 5)).collect()

@@ -117,8 +117,8 @@ def test_group_writer_splits_large_elements(spark):
 
 
 def test_commit_modes(spark, scratch):
-    groups = spark.createDataFrame([("s", 0, 3), ("s", 0, 4), ("s", 1, 0)], "logstore string, shard int, seq long")
-    later = spark.createDataFrame([("s", 0, 9)], "logstore string, shard int, seq long")
+    groups = spark.createDataFrame([*(("s", 0, i) for i in range(5)), ("s", 1, 0)], "logstore string, shard int, seq long")
+    later = spark.createDataFrame([("s", 0, i) for i in range(5, 10)], "logstore string, shard int, seq long")
     periodic = os.path.join(scratch, "periodic")
     c = ProgressCommitter(periodic, "cg", mode="periodic", interval_ms=3_600_000)
     c.commit(groups, 0)          # first commit goes out at once
@@ -243,7 +243,8 @@ def test_stream_log_table_from_checkpoint(spark, scratch):
     cp = checkpoint_table(stored)
     opts = {"project": root, "logstore": "events-view,events-click", "consumer-group": CONSUMER_GROUP,
             "scan.startup.mode": "checkpoint", "scan.startup.default-position": "earliest"}
-    q = (stream_log_table(spark, "event_id bigint", opts, checkpoints=cp).writeStream.format("parquet")
+    s = stream_log_table(spark, "event_id bigint", opts, checkpoints=cp, state=os.path.join(scratch, "state"))
+    q = (s.writeStream.format("parquet")
          .option("path", out).option("checkpointLocation", os.path.join(scratch, "ck"))
          .trigger(availableNow=True).start())
     q.awaitTermination(300)
@@ -253,3 +254,141 @@ def test_stream_log_table_from_checkpoint(spark, scratch):
     got = spark.read.parquet(out).count()
     assert got == want
     assert got < sel.select(F.sum(F.size("logs"))).first()[0]    # the checkpoint skipped some
+
+
+GROUP = ("logstore string, shard int, seq long, cursor string, next_cursor string, cursor_time timestamp_ntz, topic string, "
+         "source string, tags map<string,string>, logs array<struct<time:int,time_ns:int,contents:array<struct<key:string,value:string>>>>")
+
+
+def _put(spark, root, shard, seqs, second):
+    """Groups of one log each, as another process would write them: files
+    that the session's own caches know nothing of."""
+    import datetime as dt
+    import shutil
+    import tempfile
+    at = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=second)
+    rows = [("s", shard, i, "c", "n", at, "", "", {}, [(second, 0, [("event_id", str(100 * shard + i))])]) for i in seqs]
+    aside = tempfile.mkdtemp(prefix="shardlake-put-")
+    spark.createDataFrame(rows, GROUP).drop("logstore", "shard").coalesce(1).write.mode("overwrite").parquet(aside)
+    folder = os.path.join(root, "logstore=s", f"shard={shard}")
+    os.makedirs(folder, exist_ok=True)
+    for name in os.listdir(aside):
+        if name.endswith(".parquet"):
+            shutil.copy(os.path.join(aside, name), os.path.join(folder, f"{shard}-{min(seqs)}-{name}"))
+
+
+def _run(spark, root, out, ck, options, **more):
+    from shardlake.sql import stream_log_table
+    s = stream_log_table(spark, "event_id bigint", {"project": root, "logstore": "s", **options}, **more)
+    q = (s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    read = sum(p["numInputRows"] for p in q.recentProgress)
+    got = spark.read.schema("event_id bigint, logstore string, shard int, seq long").parquet(out)
+    return {s: sorted(r["seq"] for r in got.collect() if r["shard"] == s) for s in {r["shard"] for r in got.collect()}}, read
+
+
+def test_latest_keeps_its_start_over_a_restart(spark, scratch):
+    root, out, ck, state = (os.path.join(scratch, n) for n in ("store", "out", "ck", "state"))
+    _put(spark, root, 0, range(0, 5), 100)
+    assert _run(spark, root, out, ck, {"scan.startup.mode": "latest"}, state=state)[0] == {}
+    _put(spark, root, 0, range(5, 10), 200)
+    _put(spark, root, 1, range(0, 3), 200)
+    assert _run(spark, root, out, ck, {"scan.startup.mode": "latest"}, state=state)[0] == {0: [5, 6, 7, 8, 9], 1: [0, 1, 2]}
+
+
+def test_latest_needs_a_state_folder(spark, scratch):
+    import pytest
+    from shardlake.sql import stream_log_table
+    for mode in ("latest", "checkpoint"):
+        with pytest.raises(ValueError, match="state folder"):
+            stream_log_table(spark, "event_id bigint", {"project": scratch, "logstore": "s", "scan.startup.mode": mode, "consumer-group": "g"})
+
+
+def test_groups_appended_by_the_same_session_after_the_start(spark, scratch):
+    from shardlake.sources.logstore import write_log_store
+    root, out, ck, state = (os.path.join(scratch, n) for n in ("store", "out", "ck", "state"))
+    _put(spark, root, 0, range(0, 5), 100)
+    _run(spark, root, out, ck, {"scan.startup.mode": "latest"}, state=state)
+    more = read_log_store(spark, root).withColumn("seq", F.col("seq") + 5)
+    write_log_store(spark.createDataFrame(more.collect(), more.schema), root)
+    assert _run(spark, root, out, ck, {"scan.startup.mode": "latest"}, state=state)[0] == {0: [5, 6, 7, 8, 9]}
+
+
+def test_stop_time_holds_for_later_groups_and_new_shards(spark, scratch):
+    root, out, ck = (os.path.join(scratch, n) for n in ("store", "out", "ck"))
+    options = {"stop.time": "1000"}
+    _put(spark, root, 0, range(0, 10), 100)
+    assert _run(spark, root, out, ck, options)[0] == {0: list(range(10))}
+    _put(spark, root, 0, range(10, 15), 900)      # known shard, before the stop time
+    _put(spark, root, 1, range(0, 5), 900)        # new shard, half before it
+    _put(spark, root, 1, range(5, 10), 1000)
+    got, read = _run(spark, root, out, ck, options)
+    assert got == {0: list(range(15)), 1: list(range(5))}
+    assert read <= 15                             # every file once
+
+
+def test_start_time_holds_for_new_shards(spark, scratch):
+    root, out, ck = (os.path.join(scratch, n) for n in ("store", "out", "ck"))
+    _put(spark, root, 0, range(0, 2), 100)
+    _put(spark, root, 0, range(2, 4), 500)
+    assert _run(spark, root, out, ck, {"scan.startup.mode": "500"})[0] == {0: [2, 3]}
+    _put(spark, root, 1, range(0, 2), 400)
+    _put(spark, root, 1, range(2, 4), 600)
+    assert _run(spark, root, out, ck, {"scan.startup.mode": "500"})[0] == {0: [2, 3], 1: [2, 3]}
+
+
+SEQS = "logstore string, shard int, seq long"
+
+
+def _positions(spark, path):
+    return {r["shard"]: r["seq"] for r in current_positions(read_commits(spark, path), "cg").collect()}
+
+
+def test_commit_of_ranges_read_out_of_order(spark, scratch):
+    path = os.path.join(scratch, "commits")
+    c = ProgressCommitter(path, "cg")
+    c.commit(spark.createDataFrame([("s", 0, i) for i in range(5, 10)], SEQS), 0)
+    assert _positions(spark, path) == {0: 0}      # 0-4 is still to come
+    c.commit(spark.createDataFrame([("s", 0, i) for i in (0, 1, 2, 4)], SEQS), 1)
+    assert _positions(spark, path) == {0: 3}
+    c.commit(spark.createDataFrame([("s", 0, 3)], SEQS), 2)
+    c.commit(spark.createDataFrame([("s", 0, 3)], SEQS), 2)      # a retried batch
+    assert _positions(spark, path) == {0: 10}
+
+
+def test_commit_from_a_start(spark, scratch):
+    path = os.path.join(scratch, "commits")
+    start = spark.createDataFrame([("s", 0, 7, None), ("s", 1, 2, None)], "logstore string, shard int, start_seq long, stop_seq long")
+    c = ProgressCommitter(path, "cg", start=start)
+    c.commit(spark.createDataFrame([("s", 0, 7), ("s", 0, 8)], SEQS), 0)
+    assert _positions(spark, path) == {0: 9, 1: 2}
+
+
+def test_periodic_commits_are_flushed_and_small(spark, scratch):
+    path = os.path.join(scratch, "commits")
+    c = ProgressCommitter(path, "cg", mode="PERIODIC", interval_ms=100_000)
+    for b in range(4):
+        c.commit(spark.createDataFrame([("s", 0, 5 * b + i) for i in range(5)], SEQS), b)
+        assert len(c._held) <= 1
+    assert _positions(spark, path) == {0: 5}      # the first goes out whatever the clock says
+    c.flush(spark)
+    assert _positions(spark, path) == {0: 20}
+    c.flush(spark)
+    assert _positions(spark, path) == {0: 20}
+
+
+def test_commits_are_compacted(spark, scratch):
+    path = os.path.join(scratch, "commits")
+    c = ProgressCommitter(path, "cg", compact_every=3)
+    for b in (0, 1, 3, 4, 2, 5, 6):
+        c.commit(spark.createDataFrame([("s", 0, b)], SEQS), b)
+    files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    assert _positions(spark, path) == {0: 7} and len(files) <= 3
+
+
+def test_two_queries_on_one_output_folder(spark, scratch):
+    root, out = os.path.join(scratch, "store"), os.path.join(scratch, "out")
+    _put(spark, root, 0, range(0, 3), 100)
+    for k in range(2):
+        start_copy(spark, root, "event_id bigint", out, os.path.join(scratch, f"ck{k}"), logstore="s").awaitTermination(300)
+    assert spark.read.parquet(out).count() == 6
