@@ -6,4 +6,4 @@ Every query reads the driver's tables (through the derived log stores of
 from __future__ import annotations
 
 from .registry import REGISTRY, oracle_sql, queries  # noqa: F401
-from . import reads, decodes, encodes, progress  # noqa: F401,E402  (register)
+from . import reads, decodes, encodes, progress, streams  # noqa: F401,E402  (register)

@@ -52,7 +52,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if master and master.startswith("local[") or spark.conf.get("spark.checkpoint.dir", None):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -61,12 +62,16 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 
     On a cluster the setting must point at shared storage and is read as is
     (also used for ``Dataset.checkpoint``, which adds a folder per
-    application).  Only when it is unset (tests, local runs) a folder is
-    chosen here."""
+    application).  Only when it is unset a folder is chosen here: the one
+    given, or in local mode a folder of this machine; a cluster must name one."""
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = fallback or os.environ.get("SHARDLAKE_CHECKPOINT_DIR") or "/tmp/shardlake-checkpoints"
+        base = fallback or os.environ.get("SHARDLAKE_CHECKPOINT_DIR")
+    if not base and sc.master.startswith("local["):
+        base = "/tmp/shardlake-checkpoints"
+    if not base:
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     return base

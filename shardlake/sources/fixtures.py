@@ -27,7 +27,7 @@ import hashlib
 from ..model import cursor_of, epoch_micros, floor_div
 from ..plans.numbering import position_within
 from ..session import ensure_checkpoint_dir
-from .logstore import materialize_log_store, read_log_store
+from .logstore import hadoop_fs, materialize_log_store, read_log_store
 
 # bump when the derivation below changes: stored copies are keyed by it
 FIXTURE_VERSION = "events-v2"
@@ -123,12 +123,23 @@ def shards_of(groups: DataFrame, readonly_shard: int | None = SHARDS_PER_STORE -
 
 
 def events_log_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` log stores as a stored table: derived once per input
-    folder (written into the shared checkpoint folder, keyed by input and
-    derivation version), then read like any log store: a Parquet scan with
+    """The ``events`` log stores as a stored table: derived once per state of
+    the input (written into the shared checkpoint folder, see
+    :func:`events_log_root`), then read like any log store: a Parquet scan with
     partition pruning on ``logstore`` and ``shard``."""
+    return read_log_store(spark, events_log_root(spark, sf_dir))
+
+
+def events_log_root(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the derived log stores, keyed by the derivation's version and
+    by the name, size and modification time of every input file: changed
+    input gives another store."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    key = hashlib.sha1(f"{FIXTURE_VERSION}|{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
-    root = materialize_log_store(spark, f"{base}/shardlake-logstores/{key}",
+    state = [FIXTURE_VERSION]
+    for name in sorted(table(spark, sf_dir, "events").inputFiles()):
+        fs, path = hadoop_fs(spark, name)
+        status = fs.getFileStatus(path)
+        state.append(f"{name}|{status.getLen()}|{status.getModificationTime()}")
+    key = hashlib.sha1("\n".join(map(str, state)).encode()).hexdigest()[:16]
+    return materialize_log_store(spark, f"{base}/shardlake-logstores/{key}",
                                  lambda: events_log_groups(spark, sf_dir))
-    return read_log_store(spark, root)
