@@ -60,13 +60,17 @@ def _raw_value(name: str, dtype: T.DataType) -> Column:
     return content(name)
 
 
+_METADATA = (FIELD_TOPIC, FIELD_SOURCE, FIELD_SHARD, FIELD_CURSOR, FIELD_TIME)
+
+
 def _event_time_ntz() -> Column:
     """``__time__`` with its nanosecond part, to microseconds."""
     return ntz_from_micros(F.col("time").cast("long") * 1000000 + floor_div(F.col("time_ns").cast("long"), 1000))
 
 
-def decoded_column(name: str, dtype: T.DataType, strict: bool) -> Column:
-    """The typed column for one declared field of an exploded log row."""
+def decoded_column(name: str, dtype: T.DataType, strict: bool, raw: Column | None = None) -> Column:
+    """The typed column for one declared field of an exploded log row; ``raw``
+    is its text where that was extracted before."""
     if name == FIELD_TIME:
         if isinstance(dtype, T.TimestampNTZType):
             return _event_time_ntz()
@@ -80,7 +84,7 @@ def decoded_column(name: str, dtype: T.DataType, strict: bool) -> Column:
             # reads the seconds as milliseconds of the day)
             ms = F.pmod(F.col("time").cast("long"), F.lit(86400)) * 1000 + floor_div(F.col("time_ns").cast("long"), 1000000)
             return millis_to_time(ms).cast(dtype)
-    return parse_value(_raw_value(name, dtype), dtype, name, strict)
+    return parse_value(_raw_value(name, dtype) if raw is None else raw, dtype, name, strict)
 
 
 def _check_supported(schema: T.StructType) -> None:
@@ -105,12 +109,20 @@ def _parse_ddl(ddl: str) -> T.StructType:
 
 def decode_logs(logs: DataFrame, schema: T.StructType | str, ignore_parse_errors: bool = False,
                 keep: Sequence[str] = ()) -> DataFrame:
-    """D2-D9 on exploded log rows: one typed column per declared field."""
+    """D2-D9 on exploded log rows: one typed column per declared field.
+
+    Two projections: the first extracts each declared content once, the
+    second parses its text.  The parse rules use the text several times, so
+    the optimizer keeps the two apart."""
     schema = as_schema(schema)
     _check_supported(schema)
     strict = not ignore_parse_errors
-    cols = [decoded_column(f.name, f.dataType, strict).alias(f.name) for f in schema.fields]
-    return logs.select(*keep, *cols)
+    contents = [f.name for f in schema.fields if f.name not in _METADATA]
+    raw = {name: f"_raw_{i}" for i, name in enumerate(contents)}
+    texts = logs.select("*", *[content(name).alias(alias) for name, alias in raw.items()])
+    cols = [decoded_column(f.name, f.dataType, strict, F.col(raw[f.name]) if f.name in raw else None).alias(f.name)
+            for f in schema.fields]
+    return texts.select(*keep, *cols)
 
 
 def decode(groups: DataFrame, schema: T.StructType | str, ignore_parse_errors: bool = False,

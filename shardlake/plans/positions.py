@@ -144,13 +144,40 @@ def materialized(positions: DataFrame) -> tuple[DataFrame, bool]:
     return materialize_small(positions)
 
 
+#: More log stores than this get no literal bounds.
+LITERAL_STORES = 200
+
+
+def literal_bounds(positions: DataFrame):
+    """A condition with literals that every group inside its positions meets:
+    per log store the least start and the largest stop.  The scan prunes
+    partitions and row groups by it (``PartitionFilters``, ``PushedFilters``);
+    a store that nothing is read from falls out.  None for many log stores."""
+    stores = (positions.where(F.col("stop_seq").isNull() | (F.col("start_seq") < F.col("stop_seq"))).groupBy("logstore")
+              .agg(F.min("start_seq").alias("lo"), F.max(F.coalesce("stop_seq", F.lit(2 ** 63 - 1))).alias("hi"))
+              .limit(LITERAL_STORES + 1).collect())
+    if len(stores) > LITERAL_STORES:
+        return None
+    if not stores:
+        return F.lit(False)
+    cond = F.lit(False)
+    for r in stores:
+        cond = cond | ((F.col("logstore") == r["logstore"]) & (F.col("seq") >= r["lo"]) & (F.col("seq") < r["hi"]))
+    # partitions are pruned by the stores; row groups by a condition on seq alone
+    return cond & (F.col("seq") >= min(r["lo"] for r in stores)) & (F.col("seq") < max(r["hi"] for r in stores))
+
+
 def bounded(groups: DataFrame, positions: DataFrame, fits: bool | None = None) -> DataFrame:
     """The groups inside their shard's ``[start_seq, stop_seq)``.
 
     ``positions`` has one row per shard (bounded by the shard count, not the
     data), so after a size check it is broadcast and the join keeps the
-    groups' partitioning; the positions stay materialised for later uses."""
+    groups' partitioning; the positions stay materialised for later uses.
+    Their extremes reach the scan as literals, so it skips what lies outside."""
     kept, fits = (positions, fits) if fits is not None else materialize_small(positions)
+    extremes = literal_bounds(kept)
+    if extremes is not None:
+        groups = groups.where(extremes)
     p = maybe_broadcast(kept.select(F.col("logstore").alias("_ls"), F.col("shard").alias("_sh"),
                                     "start_seq", "stop_seq"), fits)
     cond = ((groups["logstore"] == p["_ls"]) & (groups["shard"] == p["_sh"])

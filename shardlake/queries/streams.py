@@ -13,7 +13,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources.fixtures import events_log_root, events_log_store
 from ..sources.logstore import write_log_store
 from ..plans.positions import seconds_ntz
-from ..sql import stream_log_table
+from ..sql import insert_sql, register_log_table, stream_log_table
 from ..streaming.progress import current_positions
 from ..streaming.stream import ProgressCommitter, batch_sink, finish, read_commits, stream_decoded, with_event_time
 from .base import with_events
@@ -147,3 +147,23 @@ def stream_event_time(spark, sf_dir):
     finish(days.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{folder}/checkpoint")
            .trigger(availableNow=True).start())
     return spark.read.parquet(f"{folder}/out").withColumn("day", F.col("day").cast("timestamp_ntz"))
+
+
+@register("sql_insert_select", """
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderstatus, CAST(o_custkey AS BIGINT) AS o_custkey,
+       o_orderstatus AS __topic__, 'orders' AS __source__ FROM orders""")
+def sql_insert_select(spark, sf_dir):
+    """INSERT INTO a log table by SQL, in two statements, then SELECT
+    the rows back from its view by value."""
+    root = f"{_scratch(spark)}/store"
+    spark.read.parquet(f"{sf_dir}/orders.parquet").createOrReplaceTempView("_orders_to_insert")
+    sink = {"project": root, "logstore": "orders", "sink.shards": "4", "sink.source": "orders"}
+    for part in (0, 1):
+        insert_sql(spark, f"""SELECT o_orderkey, o_orderstatus, o_custkey, o_orderstatus AS __topic__,
+                              md5(CAST(o_orderkey AS STRING)) AS __hash_key__
+                              FROM _orders_to_insert WHERE o_orderkey % 2 = {part}""", sink, now_seconds=1700000000,
+                   write_time=f"2024-01-0{part + 1} 00:00:00")
+    schema = "o_orderkey bigint, o_orderstatus string, o_custkey bigint, __topic__ string, __source__ string"
+    name = f"orders_log_{uuid.uuid4().hex}"
+    register_log_table(spark, name, schema, {"project": root, "logstore": "orders"})
+    return spark.sql(f"SELECT * FROM {name}")

@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 
 from .operators.decode import as_schema, decode
 from .operators.encode import encode_rows
-from .plans.positions import bounded, parse_start_position, parse_stop_time, resolve_positions
+from .plans.positions import (CHECKPOINT, LATEST, TIMESTAMP, bounded, parse_start_position, parse_stop_time, read_from,
+                              resolve_positions, seconds_ntz, stored_positions)
 from .sources.logstore import read_log_store, select_logstores
 
 
@@ -64,6 +65,7 @@ class LogTableOptions:
     sink_source: str | None = None
     producer_buckets: int | None = None
     producer_adjust_shard_hash: bool = True
+    sink_shards: int = 1                     # shards of a log store that an insert creates
 
     # The option names.
     _KEYS = {
@@ -76,6 +78,7 @@ class LogTableOptions:
         "ignore-parse-errors": "ignore_parse_errors", "scan.parallelism": "scan_parallelism",
         "sink.parallelism": "sink_parallelism", "sink.topic": "sink_topic", "sink.source": "sink_source",
         "producer.buckets": "producer_buckets", "producer.adjust.shard.hash": "producer_adjust_shard_hash",
+        "sink.shards": "sink_shards",
     }
 
     @classmethod
@@ -129,11 +132,17 @@ def log_table(spark: SparkSession, schema: T.StructType | str, options: dict,
         groups = read_log_store(spark, opts.project, **opts.selection())
     else:
         groups = select_logstores(groups, **opts.selection())
-    start = parse_start_position(opts.scan_startup_mode)
-    if start.kind != "earliest" or opts.stop_time is not None:
+    start, stop = parse_start_position(opts.scan_startup_mode), parse_stop_time(opts.stop_time)
+    if start.kind in (LATEST, CHECKPOINT):
         groups = bounded(groups, resolve_positions(
-            groups, opts.scan_startup_mode, opts.stop_time, checkpoints, opts.consumer_group,
+            groups, opts.scan_startup_mode, None, checkpoints, opts.consumer_group,
             opts.scan_startup_default_position))
+    # write times never fall within a shard, so times are plain conditions
+    # that reach the scan
+    if start.kind == TIMESTAMP:
+        groups = groups.where(F.col("cursor_time") >= seconds_ntz(start.timestamp))
+    if stop is not None:
+        groups = groups.where(F.col("cursor_time") < seconds_ntz(stop))
     out = decode(groups, as_schema(schema), opts.ignore_parse_errors, keep=keep)
     if opts.scan_parallelism:
         out = out.repartition(opts.scan_parallelism)
@@ -156,7 +165,6 @@ def stream_log_table(spark: SparkSession, schema: T.StructType | str, options: d
     for these two) and read from there when the query starts again.  A shard
     found later has no stored position and is read from its beginning (from
     the fallback time, where the fallback is a time)."""
-    from .plans.positions import CHECKPOINT, LATEST, TIMESTAMP, read_from, seconds_ntz, stored_positions
     from .sources.logstore import stream_log_store
     opts = LogTableOptions.from_options(options)
     if not opts.project:
@@ -220,3 +228,29 @@ def sink_records(rows: DataFrame, options: dict, now_seconds: int | None = None)
     if opts.sink_parallelism:
         out = out.repartition(opts.sink_parallelism)
     return out
+
+
+def insert_into(rows: DataFrame, options: dict, order: tuple[str, ...] = ("time",), write_time: str | None = None,
+                now_seconds: int | None = None) -> None:
+    """T4: ``INSERT INTO`` the log table described by ``options``: rows are
+    encoded and appended to the log stores under ``project``.
+
+    A row goes to its ``__logstore__`` if that store exists, else to the
+    default ``logstore``, which is created with ``sink.shards`` shards if
+    need be; a row for another store raises."""
+    from .sources.logstore import append_records, hadoop_fs
+    opts = LogTableOptions.from_options(options)
+    if not opts.project:
+        raise ValueError("option 'project' is required")
+    spark = rows.sparkSession
+    fs, root = hadoop_fs(spark, opts.project)
+    own = spark.range(opts.sink_shards).select(F.lit(opts.logstore).alias("logstore"), F.col("id").cast("int").alias("shard"))
+    if fs.exists(root):
+        have = read_log_store(spark, opts.project).select("logstore", "shard").distinct()
+        own = have.unionByName(own.join(have.select("logstore").distinct(), "logstore", "left_anti"))
+    append_records(sink_records(rows, options, now_seconds), opts.project, own, order=order, write_time=write_time)
+
+
+def insert_sql(spark: SparkSession, query: str, options: dict, **more) -> None:
+    """``INSERT INTO`` a log table the rows of a SELECT."""
+    insert_into(spark.sql(query), options, **more)
