@@ -18,7 +18,7 @@ import os
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -197,14 +197,18 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
 
     def run(batches):
         packer, model = Packer(window, TaskContext.get().partitionId() << 33), tokenizer(tokenizer_path)
-        for pdf in batches:
-            texts = [bytes(t) if t is not None else b"" for t in pdf["text"]]
-            for doc, ids in zip(pdf["doc_id"].astype("Int64"), model.encode(texts)):
-                packer.add(doc, ids + end)
+
+        def closed() -> pa.RecordBatch:
             out, packer.closed = packer.closed, []
-            yield pd.DataFrame(out, columns=COLUMNS).astype({"doc_id": "Int64"})
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(len(COLUMNS))], names=COLUMNS)
+
+        for b in batches:
+            texts = [t or b"" for t in b.column("text").to_pylist()]
+            for doc, ids in zip(b.column("doc_id").to_pylist(), model.encode(texts)):
+                packer.add(doc, ids + end)
+            yield closed()
         packer.finish()
-        yield pd.DataFrame(packer.closed, columns=COLUMNS).astype({"doc_id": "Int64"})
+        yield closed()
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-            .mapInPandas(run, ", ".join(f"{c} long" for c in COLUMNS)))
+            .mapInArrow(run, ", ".join(f"{c} long" for c in COLUMNS)))

@@ -7,8 +7,8 @@ Then the pairs of features with the largest gain get two-dimensional tables,
 boosted in the same way with one cut in each direction.  A score is a sum of
 table entries, looked up for a whole batch by bin numbers.
 
-The model is fitted on at most ``TRAIN_ROWS`` labelled rows, taken in the
-order of a hash of the id; it scores every whole text.
+The model is fitted on at most ``TRAIN_ROWS`` labelled rows, taken by a hash
+of the id; it scores every whole text.
 """
 from __future__ import annotations
 
