@@ -7,12 +7,13 @@ certain.  In a tile the parity bitmaps of two sets bound their overlap from
 above; only pairs that pass the bound are checked on the sorted shingle arrays.
 
 No tile emits all its pairs.  First each member meets the tile's smallest
-member only, and the links found join sets into components.  Then, in rounds,
-tiles that still hold several components compare members of different
-components by their bitmaps, and emit pairs that pass only until they would
-join what the round has joined already; a checked pair that is no link is
-remembered and not asked again.  The rounds end when no tile has a pair left,
-so every link counts, but links inside a component are not all listed.
+member only, and the links found join sets into components.  Then tiles that
+still hold several components compare members of different components by
+their bitmaps, and emit the pairs that pass the bound; a tile where these are
+many for its members emits a forest of them only, and is asked again, with the
+new components, until it has no pair left.  A checked pair that is no link is
+remembered and not asked again.  So every link counts, but links inside a
+component are not all listed.
 Large tiles are cut into blocks, each pair of blocks a task of its own.
 """
 from __future__ import annotations
@@ -25,11 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles as S
-from .common import components, dropped, small_batches, written
+from .common import components, small_batches, written
 
 WIDTH, PERCENT = 3, 90
 #: Members of a block of a large tile.
 BLOCK = 1024
+#: Pairs that a tile emits for each member before it keeps to a forest.
+PAIRS_PER_MEMBER = 8
 #: Ids up to this number are broadcast (8 MB), more are shuffled.
 BROADCAST_IDS = 1_000_000
 
@@ -109,11 +112,11 @@ def _passing(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             .filter(room("xa", "na", "xb", "nb")).select("a", "b"))
 
 
-def _forest(percent: int):
-    """Pairs to check in each run of rows with equal (key, ba, bb): between
-    members of different components, as long as they join anything."""
+def _tile_pairs(percent: int, per_member: int):
+    """Pairs to check (a, b, more) in each run of rows with equal (key, ba,
+    bb): all pairs of different components that pass the bound, while they are
+    few for the members; else (``more``) a forest of them."""
     def tile(rows, out):
-        rows.sort(key=lambda r: r[:2])
         parent: dict = {}
 
         def find(c):
@@ -121,18 +124,28 @@ def _forest(percent: int):
                 parent[c] = c = parent.get(p, p)
             return c
 
+        rows.sort(key=lambda r: r[:2])
         second = sum(r[0] for r in rows)
+        passing, forest, limit = [], [], per_member * len(rows)
         for i, (late, rep, comp, n, bits, size, no) in enumerate(rows):
             # of two blocks only pairs across them, of one block all
             others = rows[:i] if not second else rows[: len(rows) - second] if late else ()
             for _, rep2, comp2, n2, bits2, size2, no2 in others:
-                x, y = find(comp), find(comp2)
-                if x == y or 100 * n < percent * n2 or 100 * n2 < percent * n or rep2 in no or rep in no2:
+                if comp == comp2 or 100 * n < percent * n2 or 100 * n2 < percent * n or rep2 in no or rep in no2:
+                    continue
+                few = len(passing) <= limit
+                if not few and find(comp) == find(comp2):
                     continue
                 most = (n + n2 - S.differing_bits(bits, size, bits2, size2)) // 2
                 if 100 * most >= percent * (n + n2 - most):
-                    out.append((min(rep, rep2), max(rep, rep2)))
-                    parent[max(x, y)] = min(x, y)
+                    pair = (min(rep, rep2), max(rep, rep2))
+                    if few:
+                        passing.append(pair)
+                    if (x := find(comp)) != (y := find(comp2)):
+                        forest.append(pair)
+                        parent[max(x, y)] = min(x, y)
+        more = len(passing) > limit
+        out += [(*pair, more) for pair in (forest if more else passing)]
 
     def run(batches):
         now, rows = None, []
@@ -144,24 +157,26 @@ def _forest(percent: int):
                     tile(rows, out)
                     now, rows = (key, ba, bb), []
                 rows.append((int(block != ba), rep, comp, n, int.from_bytes(bits, "little"), 8 * len(bits), frozenset(no or ())))
-            yield _pairs(out)
+            yield _batch(out)
         out = []
         tile(rows, out)
-        yield _pairs(out)
+        yield _batch(out)
 
     return run
 
 
-def _pairs(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], names=["a", "b"])
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.bool_())
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["a", "b", "more"])
 
 
 def _open_tiles(hits: DataFrame, comps: DataFrame, reps: DataFrame, wrong: DataFrame) -> DataFrame:
-    """Rows of the tiles that hold several components, dealt into blocks."""
+    """Rows of the tiles that still hold several components, dealt into
+    blocks.  A tile of two was settled when its members met."""
     rows = (hits.select("key", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
             .select("key", "rep", F.coalesce("component", "rep").alias("comp")))
     wide = (rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members"))
-            .filter("lo < hi").select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
+            .filter("lo < hi and members > 2").select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
     rows = rows.join(wide, "key").join(reps.select("rep", "n", "bits"), "rep")
     rows = rows.join(wrong.groupBy(F.col("a").alias("rep")).agg(F.collect_list("b").alias("no")), "rep", "left")
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
@@ -179,22 +194,22 @@ def link(docs: DataFrame, sets: DataFrame, classes: DataFrame, width: int, perce
     rows = reps.select("rep", F.explode("keys").alias("key"))
     tiles = rows.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("key", "lo")
     hits = written(rows.join(tiles, "key").select("key", "rep", "lo"), "tiles")
-    pairs = hits.filter("rep <> lo").select(F.col("lo").alias("a"), F.col("rep").alias("b")).distinct()
-    pairs = written(_passing(pairs, reps, percent), "pairs")
-    edges = wrong = comps = None
-    star = True
-    while star or pairs.head(1):
-        star = False
-        checked = _checked(pairs, reps, docs, width, percent)
-        good = checked.filter("linked").select("a", "b")
-        bad = checked.filter("not linked").select("a", "b")
+    stars = hits.filter("rep <> lo").select(F.col("lo").alias("a"), F.col("rep").alias("b")).distinct()
+    checked = _checked(written(_passing(stars, reps, percent), "pairs"), reps, docs, width, percent)
+    # enough to tell tiles that are settled: the least member that each one links with
+    comps = checked.filter("linked").groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
+    edges = wrong = None
+    while True:
+        good, bad = checked.filter("linked").select("a", "b"), checked.filter("not linked").select("a", "b")
         bad = bad.unionByName(bad.select(F.col("b").alias("a"), F.col("a").alias("b")))
         edges = good if edges is None else edges.unionByName(good)
         wrong = bad if wrong is None else wrong.unionByName(bad)
-        comps = written(components(edges), "components")
-        dropped(pairs)
-        pairs = written(_open_tiles(hits, comps, reps, wrong).mapInArrow(_forest(percent), "a long, b long").distinct(), "pairs")
-    return comps
+        pairs = written(_open_tiles(hits, comps, reps, wrong).mapInArrow(_tile_pairs(percent, PAIRS_PER_MEMBER), "a long, b long, more boolean")
+                        .groupBy("a", "b").agg(F.bool_or("more").alias("more")), "pairs")
+        checked = _checked(pairs.select("a", "b"), reps, docs, width, percent)
+        if not pairs.filter("more").head(1):
+            return components(edges.unionByName(checked.filter("linked").select("a", "b")))
+        comps = written(components(edges.unionByName(checked.filter("linked").select("a", "b"))), "components")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
