@@ -116,11 +116,35 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), _labels(spark, sf_dir))
 
 
-@query("op10_ngram_join")
+@query("op10_ngram_join", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+           lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w),
+e AS (SELECT doc_id, unnest(s) AS g FROM s),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM e x JOIN e y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * i >= 90 * (len(x.s) + len(y.s) - i)),
+r(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM s
+  UNION SELECT k.b, r.other FROM r JOIN (SELECT a, b FROM l UNION ALL SELECT b, a FROM l) k ON k.a = r.doc_id)
+SELECT s.doc_id, CAST(len(any_value(s.s)) AS BIGINT) AS n_shingles, min(other) AS component_id
+FROM s JOIN r ON r.doc_id = s.doc_id GROUP BY s.doc_id""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query("op7_pq_dedup")
+@query("op7_pq_dedup", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+      WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+r(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.other FROM r JOIN l ON l.a = r.vec_id)
+SELECT vec_id, (SELECT count(*) FROM l WHERE a = r.vec_id) AS n_links, min(other) AS component_id, vec_id = min(other) AS kept
+FROM r GROUP BY vec_id""")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
