@@ -49,6 +49,16 @@ def dropped(df: DataFrame) -> None:
         p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
+def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """All of ``df`` if it has at most ``rows`` rows, else about 95 % of that
+    many, by a hash of ``key``, and never more (also if one key repeats)."""
+    n = df.count()
+    if n <= rows:
+        return df
+    part = F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(0.95 * (1 << 30) * rows / n)
+    return df.filter(part).limit(rows)
+
+
 def held_out(doc_id) -> F.Column:
     """Rows whose labels are never learnt from: crc32 of the id as text, mod 3, is 1."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))

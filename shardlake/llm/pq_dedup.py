@@ -2,7 +2,7 @@
 
 Equal vectors are one class; its smallest id stands for it.  Coarse centroids
 and, for the residuals, one codebook for each subspace are fitted on a bounded
-sample (``SAMPLE`` classes, in the order of a hash of the id).  Every class is
+sample (``SAMPLE`` classes, taken by a hash of the id).  Every class is
 indexed: it joins the inverted list of its nearest centroid with its residual
 code and the length of what the code leaves out.
 
@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, finite_vectors, small_batches, sorted_runs, written
+from .common import bounded_sample, components, finite_vectors, small_batches, sorted_runs, written
 
 COSINE = 0.9
 SAMPLE, LISTS, CODES, SUBSPACE = 32_768, 2048, 256, 4
@@ -160,13 +160,13 @@ def linked_classes(classes: DataFrame, cosine: float = COSINE) -> DataFrame:
     forest of edges (id, other) with the same components as the links."""
     spark = classes.sparkSession
     rows = classes.count()
-    none = spark.createDataFrame([], "id long, links long, other long")
+    none = spark.range(0).select("id", F.col("id").alias("links"), F.col("id").alias("other"))
     if rows < 2:
         return none
     out = none
     for dim in sorted(r[0] for r in classes.select(F.size("v")).distinct().collect()):
         own = classes.filter(F.size("v") == dim)
-        sample = own.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toPandas()
+        sample = bounded_sample(own, "id", SAMPLE).select("v").toPandas()
         model = Quantiser.fit(_unit(sample["v"])[1], max(1, min(LISTS, len(sample) // 16, math.isqrt(rows))))
         coded = written(own.mapInPandas(_coded(model), "id long, n long, v array<double>, list int, codes binary, left double, probes array<int>"), "coded")
         parts = coded.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
