@@ -33,6 +33,7 @@ from .common import dropped, small_batches, written
 
 MIN_WORDS = 8
 KEY = ["k", "t"]
+PLACE = ["i", "m", "line"]
 
 
 def windows(words: list[int], least: int) -> list[list[int]]:
@@ -61,22 +62,26 @@ def windows(words: list[int], least: int) -> list[list[int]]:
     return out
 
 
+SPAN = pa.list_(pa.struct([("size", pa.int32()), ("end", pa.int32())]))
+
+
 def _lines(least: int):
+    """One row per non-blank line: document (k, t), its number among them
+    (i of m), its number in the text, its id (h1, h2), and the windows that
+    start there with the number of their last line in the text."""
     def run(batches):
         for b in batches:
-            keys, hashes, at, high, low, spans = [], [], [], [], [], []
+            rows: list[tuple] = []
             for k, t, text in zip(*(b.column(c).to_pylist() for c in ("k", "t", "text"))):
-                lines = [x for x in (text or "").split("\n") if x.strip()]
-                ids = [xxhash.xxh3_128_intdigest(x.encode("utf-8", "replace")) for x in lines]
-                keys += [k] * len(lines)
-                hashes += [t] * len(lines)
-                at += range(len(lines))
-                high += [(i >> 64) - (1 << 63) for i in ids]
-                low += [(i & (1 << 64) - 1) - (1 << 63) for i in ids]
-                spans += windows([len(x.split(None, least)[:least]) for x in lines], least)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(hashes, pa.int64()), pa.array(at, pa.int32()), pa.array(high, pa.int64()),
-                 pa.array(low, pa.int64()), pa.array(spans, pa.list_(pa.int32()))], names=["k", "t", "i", "h1", "h2", "spans"])
+                lines = [(n, x) for n, x in enumerate((text or "").split("\n")) if x.strip()]
+                spans = windows([len(x.split(None, least)[:least]) for _, x in lines], least)
+                for i, (n, x) in enumerate(lines):
+                    own = xxhash.xxh3_128_intdigest(x.encode("utf-8", "replace"))
+                    rows.append((k, t, i, len(lines), n, (own >> 64) - (1 << 63), (own & (1 << 64) - 1) - (1 << 63),
+                                 [{"size": s, "end": lines[i + s - 1][0]} for s in spans[i]]))
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), SPAN]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)],
+                                             names=["k", "t", "i", "m", "line", "h1", "h2", "spans"])
 
     return run
 
@@ -97,19 +102,21 @@ def keyed(docs: DataFrame) -> tuple:
 
 
 def repeated_windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(k, t, i, size): windows of ``size`` non-blank lines from line ``i`` of
-    document (k, t) that have an earlier copy."""
+    """(k, t, i, size, line, end, m): windows of ``size`` non-blank lines from
+    the ``i``-th of the ``m`` of document (k, t) that have an earlier copy;
+    ``line`` and ``end`` are their first and last line's numbers in the text."""
     small_batches(docs.sparkSession)
     lines = written(docs.select(*keyed(docs), F.col("text").cast("string").alias("text"))
-                    .mapInArrow(_lines(min_words), "k long, t long, i int, h1 long, h2 long, spans array<int>"), "lines")
-    longest = lines.agg(F.max(F.array_max("spans"))).first()[0] or 0
+                    .mapInArrow(_lines(min_words), "k long, t long, i int, m int, line int, h1 long, h2 long, spans array<struct<size:int,end:int>>"), "lines")
+    longest = lines.agg(F.max(F.array_max(F.col("spans.size")))).first()[0] or 0
     ranks = _ranked(lines, ["h1", "h2"])
     # suffixes with a repeated prefix of ``size`` lines, and the windows that start at them
-    array = written(lines.join(ranks, ["h1", "h2"]).select(*KEY, "i", F.col("new_rank").alias("rank"), "spans"), "suffixes")
+    array = written(lines.join(ranks, ["h1", "h2"]).select(*KEY, *PLACE, F.col("new_rank").alias("rank"), "spans"), "suffixes")
     spent = [lines, ranks]
     found, size = [], 1
     while size <= longest:
-        own = array.select(*KEY, "i", "rank", F.explode(F.filter("spans", lambda s: (s >= size) & (s < 2 * size))).alias("size"))
+        fits = F.filter("spans", lambda s: (s["size"] >= size) & (s["size"] < 2 * size))
+        own = array.select(*KEY, *PLACE, "rank", F.explode(fits).alias("span")).select("*", "span.size", "span.end").drop("span")
         there = array.select(*KEY, F.col("i").alias("j"), F.col("rank").alias("last"))
         spans = own.filter(F.col("size") == size).withColumn("last", F.col("rank"))
         if size > 1:
@@ -119,45 +126,42 @@ def repeated_windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         place = F.struct(*KEY, "i")
         first = (spans.groupBy("size", "rank", "last").agg(F.min(place).alias("first"), F.max(place).alias("final"))
                  .filter("first <> final").drop("final"))
-        found.append(spans.join(first, ["size", "rank", "last"]).filter(F.struct(*KEY, "i") != F.col("first")).select(*KEY, "i", "size"))
+        found.append(spans.join(first, ["size", "rank", "last"]).filter(F.struct(*KEY, "i") != F.col("first")).select(*KEY, *PLACE, "size", "end"))
         if 2 * size <= longest:
             pairs = written(array.withColumn("j", F.col("i") + size).join(there, [*KEY, "j"]).drop("j"), "pairs")
             ranks = _ranked(pairs, ["rank", "last"])
             array = written(pairs.join(ranks, ["rank", "last"])
-                            .select(*KEY, "i", F.col("new_rank").alias("rank"), "spans"), "suffixes")
+                            .select(*KEY, *PLACE, F.col("new_rank").alias("rank"), "spans"), "suffixes")
         size *= 2
     for d in spent:
         dropped(d)
-    out = found[0] if found else array.select(*KEY, "i", F.lit(1).alias("size"))
+    out = found[0] if found else array.select(*KEY, *PLACE, F.lit(1).alias("size"), F.col("line").alias("end"))
     for f in found[1:]:
         out = out.unionByName(f)
     return out
 
 
-def _without(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
-    """Texts without the non-blank lines in ``runs`` (starts and sizes by
-    turns); a blank line goes where the lines on both sides go."""
+def _deleted(windows: pd.Series) -> pd.DataFrame:
+    """From the windows of a document (i, size, line, end by turns): for each
+    line of the text whether it goes, and how many non-blank ones go.  Windows
+    that overlap or adjoin are one run, and blank lines inside a run go too."""
     out = []
-    for text, run in zip(texts, runs):
-        if text is None:
-            out.append((None, 0, 0))
-            continue
-        lines = text.split("\n")
-        full = [n for n, x in enumerate(lines) if x.strip()]
-        gone = np.zeros(len(full) + 1, dtype=np.int64)
-        run = np.asarray(run).reshape(-1, 2)
-        np.add.at(gone, run[:, 0], 1)
-        np.add.at(gone, run[:, 0] + run[:, 1], -1)
-        gone = np.cumsum(gone)[:-1] > 0
-        keep, last = [True] * len(lines), None
-        for n, g in zip(full, gone):
-            if g:
-                for x in range(n if last is None else last + 1, n + 1):
-                    keep[x] = False
-            last = n if g else None
-        text = "" if gone.all() else "\n".join([x for x, k in zip(lines, keep) if k])
-        out.append((text, len(full), int(gone.sum())))
-    return pd.DataFrame(out, columns=["text", "n_lines", "n_removed"])
+    for rows in windows:
+        rows = np.asarray(rows, dtype=np.int64).reshape(-1, 4)
+        gone, count, last = np.zeros(int(rows[:, 3].max()) + 1, dtype=bool), 0, -1
+        start = 0
+        for i, size, line, end in rows[np.lexsort((rows[:, 1], rows[:, 0]))].tolist():
+            if i > last + 1 or last < 0:
+                start, done = line, i
+            elif i + size - 1 <= last:
+                continue
+            else:
+                done = last + 1
+            gone[start : end + 1] = True
+            count += i + size - done
+            last, start = i + size - 1, min(start, line)
+        out.append((gone.tolist(), count))
+    return pd.DataFrame(out, columns=["gone", "n"])
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -170,15 +174,17 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     all others.  A text may repeat itself.  An empty table gives no rows; all
     columns are kept (``n_removed`` and ``emptied`` are replaced).
     """
+    deleted = F.pandas_udf(_deleted, "gone array<boolean>, n long")
     runs = (repeated_windows(docs, min_words).distinct().groupBy(*KEY)
-            .agg(F.flatten(F.collect_list(F.array(F.col("i"), F.col("size")))).alias("__runs")))
+            .agg(F.max("m").alias("m"), F.flatten(F.collect_list(F.array("i", "size", "line", "end"))).alias("rows"))
+            .withColumn("__cut", deleted("rows"))
+            .select(F.col("k").alias("__k"), F.col("t").alias("__t"), F.col("m").alias("__m"), "__cut.gone", F.col("__cut.n").alias("__n"))
+            .withColumnRenamed("gone", "__gone"))
     keep = [c for c in docs.columns if c not in ("n_removed", "emptied")]
     k, t = keyed(docs)
-    both = docs.select(*keep, k.alias("__k"), t.alias("__t")).join(
-        runs.select(F.col("k").alias("__k"), F.col("t").alias("__t"), "__runs"), ["__k", "__t"], "left")
-    hit = F.col("__runs").isNotNull()
-    without = F.pandas_udf(_without, "text string, n_lines int, n_removed int")
-    cut = both.withColumn("__new", without(F.when(hit, F.col("text").cast("string")), F.col("__runs")))
-    return cut.select(*(F.when(hit, F.col("__new.text")).otherwise(F.col(c)).alias(c) if c == "text" else F.col(c) for c in keep),
-                      F.col("__new.n_removed").cast("long").alias("n_removed"),
-                      (hit & (F.col("__new.n_removed") == F.col("__new.n_lines"))).alias("emptied"))
+    both = docs.select(*keep, k.alias("__k"), t.alias("__t")).join(runs, ["__k", "__t"], "left")
+    rest = F.filter(F.split(F.col("text").cast("string"), "\n"), lambda x, n: ~F.coalesce(F.get(F.col("__gone"), n), F.lit(False)))
+    all_gone = F.coalesce(F.col("__n") == F.col("__m"), F.lit(False))
+    text = F.when(F.col("__n").isNull(), F.col("text")).when(all_gone, F.lit("")).otherwise(F.array_join(rest, "\n"))
+    return both.select(*(text.alias(c) if c == "text" else F.col(c) for c in keep),
+                       F.coalesce("__n", F.lit(0)).alias("n_removed"), all_gone.alias("emptied"))
