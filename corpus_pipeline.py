@@ -54,7 +54,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     that share the id of a group's document stay with it; a null id stays."""
     workers_find_library(spark)
     found = ngram_join.near_duplicates(docs, WIDTH, PERCENT)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    gone = written(found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "gone")
+    if gone.count() <= ngram_join.BROADCAST_IDS:
+        gone = F.broadcast(gone)
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
