@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, held_out, small_batches, written
+from .common import bounded_sample, dropped, held_out, small_batches, written
 
 TOXIC_ROWS, CLEAN_ROWS, TRAIN_ROWS = 2000, 3000, 20_000
 STEMS, CANDIDATES = 60, 2000
@@ -38,6 +38,8 @@ STEM_LENGTHS, STEM_REPEATS = (4, 5, 6, 7), 3
 STEM_ROWS, COVER = 5, 3
 #: Share of the rows with a stem that may be clean.
 STEM_CLEAN = 0.02
+#: How much a clean row with a stem counts against a toxic one.
+NOISE = 20
 ROUNDS = 4
 #: Voters correlated by this much within a class see the same thing.  Weaker
 #: correlations also come from the language and the length of a text.
@@ -130,12 +132,12 @@ class Voters:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, column: str, rows: int, worst: str) -> DataFrame:
-    """(doc_id, text, y) of up to ``rows`` labelled documents, in the order of
-    a hash of the id, never a held-out one.  Of several labels of a document
-    the ``worst`` ("min" or "max") counts."""
+    """(doc_id, text, y) of up to ``rows`` labelled documents, taken by a hash
+    of the id, never a held-out one.  Of several labels of a document the
+    ``worst`` ("min" or "max") counts."""
     own = (labels.filter(F.col("doc_id").isNotNull() & F.col(column).isNotNull() & ~held_out(F.col("doc_id")))
-           .groupBy("doc_id").agg(getattr(F, worst)(column).cast("int").alias("y"))
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+           .groupBy("doc_id").agg(getattr(F, worst)(column).cast("int").alias("y")))
+    own = written(bounded_sample(own, "doc_id", rows), "labels")
     return docs.select("doc_id", "text").join(F.broadcast(own), "doc_id")
 
 
@@ -164,10 +166,13 @@ def mine_stems(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarra
     need = {d: COVER for ds, _ in cover.values() for d in ds}
     chosen: list[str] = []
     while cover and len(chosen) < STEMS:
-        best = min(cover, key=lambda s: (-sum(need[d] > 0 for d in cover[s][0]) * (1 - min(cover[s][1], 1)), len(s), s))
-        docs_of, noise = cover.pop(best)
-        if sum(need[d] > 0 for d in docs_of) < STEM_ROWS:
+        # rows newly covered, less for every clean row that the stem hits too;
+        # one that hits clean rows is taken for rows without any stem only
+        gain = {s: sum(need[d] > (0 if x == 0 else COVER - 1) for d in ds) * max(0.0, 1 - NOISE * x) for s, (ds, x) in cover.items()}
+        best = min(cover, key=lambda s: (-gain[s], len(s), s))
+        if gain[best] < STEM_ROWS:
             break
+        docs_of, noise = cover.pop(best)
         chosen.append(best)
         for d in docs_of:
             need[d] -= 1
@@ -244,7 +249,7 @@ def fit_label_model(votes: DataFrame, known: np.ndarray, sizes: np.ndarray) -> L
     return model
 
 
-def fit_linear(x: np.ndarray, q: np.ndarray, ridge: float = 1.0, steps: int = 30) -> np.ndarray:
+def fit_linear(x: np.ndarray, q: np.ndarray, ridge: float = 0.1, steps: int = 30) -> np.ndarray:
     """Logistic regression on soft labels by Newton steps; the last weight is
     the intercept, which is not shrunk."""
     x = np.c_[x, np.ones(len(x))]
@@ -290,8 +295,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     fired = F.transform(F.slice("hits", 1, j), lambda h: h > 0)
     patterns = written(votes.groupBy(fired.alias("votes")).agg(F.count("*").alias("n")), "patterns")
     known, size = np.zeros((2, j + 1)), np.zeros(2)
-    own = labels.filter(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("y"))
-    sample = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS // 2)
+    own = labels.filter(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
+    sample = written(bounded_sample(own, "doc_id", TRAIN_ROWS // 2), "labels")
     seen = F.concat(fired, F.array(~F.exists(fired, lambda f: f), F.lit(True)))
     for r in (votes.join(F.broadcast(sample), "doc_id").select("y", F.posexplode(seen).alias("k", "f"))
               .groupBy("y", "k").agg(F.count_if("f").alias("c")).collect()):
@@ -300,9 +305,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
         else:
             known[int(r["y"] > 0), r["k"]] += r["c"]
     model = fit_label_model(patterns, known, size)
-    # labelled rows first, then others; a label, where there is one, is the posterior
-    train = (votes.filter(~held_out(F.col("doc_id"))).join(F.broadcast(sample), "doc_id", "left")
-             .orderBy(F.col("y").isNull(), F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS).select("hits", "y").toPandas())
+    # half labelled rows, half others; a label, where there is one, is the posterior
+    own_votes = votes.filter(~held_out(F.col("doc_id")))
+    others = bounded_sample(own_votes.join(own.select("doc_id"), "doc_id", "left_anti"), "doc_id", TRAIN_ROWS // 2)
+    train = (own_votes.join(F.broadcast(sample), "doc_id").limit(TRAIN_ROWS // 2).select("hits", "y")
+             .unionByName(others.select("hits", F.lit(None).cast("int").alias("y"))).toPandas())
     x = np.array(train["hits"].tolist(), dtype=float).reshape(len(train), j + 1)
     q = np.where(train["y"].isna(), model.posterior(x[:, :j] > 0), train["y"].fillna(0).to_numpy(dtype=float) > 0)
     weights = fit_linear(np.log1p(x), q) if len(x) else np.r_[np.zeros(j + 1), -30.0]
