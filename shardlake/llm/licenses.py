@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
 
-# Notices as their licences ask for them, and common short forms (fixed values).
-TEMPLATES = [
+# Common short forms (fixed values).
+SHORT_FORMS = [
     ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
@@ -49,6 +49,45 @@ TEMPLATES = [
     ("proprietary", "All rights reserved."),
 ]
 
+_GNU = ("{0} you can redistribute it and/or modify it under the terms of the GNU {1} as published by the Free Software Foundation{2} either "
+        "version {3} of the License, or (at your option) any later version.")
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution.")
+_CC = ("This work is licensed under the Creative Commons {0} 4.0 International License. To view a copy of this license, visit "
+       "http://creativecommons.org/licenses/{1}/4.0/ or send a letter to Creative Commons, PO Box 1866, Mountain View, CA 94042, USA.")
+
+# Notices as their licences ask for them: headers and permission paragraphs (fixed values).
+NOTICES = [
+    ("AGPL-3.0", _GNU.format("This program is free software:", "Affero General Public License", ",", "3")),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the "
+                   "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable "
+                   "law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT "
+                   "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
+                   "permissions and limitations under the License."),
+    ("BSD-2-Clause", _BSD),
+    ("BSD-3-Clause", _BSD + " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                            "products derived from this software without specific prior written permission."),
+    ("CC-BY-4.0", _CC.format("Attribution", "by")),
+    ("CC-BY-NC-4.0", _CC.format("Attribution-NonCommercial", "by-nc")),
+    ("CC-BY-SA-4.0", _CC.format("Attribution-ShareAlike", "by-sa")),
+    ("CC0-1.0", "The person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her "
+                "rights to the work worldwide under copyright law, including all related and neighboring rights, to the extent allowed by law."),
+    ("GPL-2.0", _GNU.format("This program is free software;", "General Public License", ";", "2")),
+    ("GPL-3.0", _GNU.format("This program is free software:", "General Public License", ",", "3")),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+            "that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-2.1", _GNU.format("This library is free software;", "Lesser General Public License", ";", "2.1")),
+    ("LGPL-3.0", _GNU.format("This library is free software:", "Lesser General Public License", ",", "3")),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
+                "with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("Unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as "
+                  "a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+]
+
+TEMPLATES = SHORT_FORMS + NOTICES
+
 NOT_WORD = "[^a-z0-9]+"
 PARAGRAPH = "\n[ \t\r\n]*\n"
 
@@ -65,7 +104,8 @@ def size_bounds(n: int, threshold: float) -> tuple[int, int]:
 
 
 #: Words too frequent in any text to tell a licence from other prose.
-COMMON = {"and", "any", "by", "for", "in", "is", "may", "not", "of", "or", "the", "this", "to", "under", "use", "with", "work", "you"}
+COMMON = {"all", "an", "and", "any", "as", "at", "be", "by", "can", "for", "from", "her", "his", "in", "is", "it", "may", "not", "of", "on", "or", "that", "the",
+          "this", "to", "under", "use", "was", "with", "work", "you"}
 
 
 def anchors(templates, threshold: float) -> list[str]:
@@ -100,6 +140,11 @@ def _bigrams(unit: Column) -> Column:
     return F.array_distinct(pairs[0])
 
 
+def _constant(grams: list[str]) -> Column:
+    """An array literal (folded by the optimizer)."""
+    return F.split(F.lit("\n".join(grams)), "\n")
+
+
 def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_hits, license, dice, licenses``.
 
@@ -122,7 +167,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
         for name, text in templates:
             own = template_bigrams(text)
             lo, hi = size_bounds(len(own), threshold)
-            shared = F.size(F.array_intersect(g, F.array(*map(F.lit, own))))
+            shared = F.size(F.array_intersect(g, _constant(own)))
             dice = 2.0 * shared / (F.size(g) + len(own))
             found.append(F.when(F.size(g).between(lo, hi) & (dice >= threshold), F.struct((-dice).alias("d"), F.lit(name).alias("name"))))
         return F.array_min(F.array(*found))
@@ -135,8 +180,9 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
                     F.when(F.col("n_hits") > 0, F.col("names")).alias("licenses")))
 
 
-def scan_sql(templates=TEMPLATES, threshold: float = THRESHOLD) -> str:
-    """The scan without its bounds, for DuckDB."""
+def scan_sql(templates=SHORT_FORMS, threshold: float = THRESHOLD) -> str:
+    """The scan of lines and paragraphs without its bounds, for DuckDB.  The
+    registered SQL knows the short forms; ``templates`` takes any list."""
     quoted = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in templates)
     grams = ("list_distinct(list_transform(range(1, len({0})), lambda i: {0}[i] || ' ' || {0}[i + 1]))")
     words = "list_filter(string_split(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w <> '')"

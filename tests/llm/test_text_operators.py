@@ -45,6 +45,30 @@ def test_licence_bounds_lose_nothing():
         assert len(bare) < licenses.size_bounds(len(grams), licenses.THRESHOLD)[0]
 
 
+def test_licence_notices(spark):
+    """Notices as real files carry them, one paragraph each."""
+    texts = {
+        "GPL-3.0": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as "
+                   "published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+        "GPL-2.0": "Foo is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+                   "by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+        "LGPL-2.1": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+                    "License as published by the Free Software Foundation; either version 2.1 of the License, or any later version.",
+        "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the "
+                        "following conditions are met:\n* Redistributions of source code must retain the above copyright notice, this list of "
+                        "conditions and the following disclaimer.\n* Redistributions in binary form must reproduce the above copyright notice, "
+                        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+                        "distribution.\n* Neither the name of Foo Inc. nor the names of its contributors may be used to endorse or promote "
+                        "products derived from this software without specific prior written permission.",
+        "ISC": "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided "
+               "that the above copyright notice and this permission notice appear in all copies.",
+    }
+    docs = docs_of(spark, [f"some prose\n\n{t}\n\nmore" for t in texts.values()])
+    got = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
+    assert [got[i]["license"] for i in range(len(texts))] == list(texts)
+    assert all(r["dice"] >= 0.8 and r["n_hits"] == 1 and r["licenses"] == r["license"] for r in got.values())
+
+
 # ---- url filter
 
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
