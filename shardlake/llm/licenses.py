@@ -1,12 +1,15 @@
-"""Licence scan: normalised lines and paragraphs compared to licence templates
-by the Dice coefficient over their sets of word bigrams.
+"""Licence scan: normalised lines and paragraphs, and runs of words inside a
+text, compared to licence templates by the Dice coefficient over their sets of
+word bigrams.
 
 Only DataFrame functions, and no shuffle: a document is judged where it is
 read.  Two bounds spare most work and lose nothing.  A unit with ``a`` bigrams
 can reach a coefficient of ``t`` with a template of ``b`` only if
 ``t / (2 - t) * b <= a <= (2 - t) / t * b``; and it shares at least
 ``t * b / (2 - t)`` bigrams with it, so it holds one of the template's anchor
-words, which leave fewer bigrams than that uncovered.
+words, which leave fewer bigrams than that uncovered.  A run of words is
+compared only if the whole text shares that many bigrams with the template,
+and so many bigrams of the template begin within the run.
 """
 from __future__ import annotations
 
@@ -132,12 +135,16 @@ def _any_anchor(text: Column, words: list[str]) -> Column:
     return found
 
 
-def _bigrams(unit: Column) -> Column:
+def _pairs(unit: Column) -> Column:
+    """All word bigrams, in their order (an array in an array of one)."""
     words = F.filter(F.split(F.regexp_replace(unit, NOT_WORD, " "), " "), lambda w: w != "")
-    pairs = F.transform(F.array(words), lambda w: F.zip_with(
+    return F.transform(F.array(words), lambda w: F.zip_with(
         F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))),
         lambda a, b: F.concat_ws(" ", a, b)))
-    return F.array_distinct(pairs[0])
+
+
+def _bigrams(unit: Column) -> Column:
+    return F.array_distinct(_pairs(unit)[0])
 
 
 def _constant(grams: list[str]) -> Column:
@@ -145,16 +152,65 @@ def _constant(grams: list[str]) -> Column:
     return F.split(F.lit("\n".join(grams)), "\n")
 
 
+def _runs(pairs: Column, seen: Column, name: str, text: str, threshold: float) -> Column:
+    """(shared, d, name, start, end) of the runs of as many words as the
+    template has (a shorter text is one run) that reach ``threshold``; the
+    first two are negative, for sorting.  A run begins with a bigram of the
+    template or ends the text: shifted to the next such place, it shares no
+    less.  ``seen``: the text's bigrams that any template has."""
+    own = template_bigrams(text)
+    n = len([w for w in re.split(NOT_WORD, text.lower()) if w]) - 1
+    need = size_bounds(len(own), threshold)[0]
+    places = F.filter(F.sequence(F.lit(0), F.size(pairs) - 1), lambda i: F.array_contains(_constant(own), F.get(pairs, i)))
+    last = F.greatest(F.size(pairs) - n, F.lit(0))
+    starts = F.transform(F.array(places), lambda at: F.array_distinct(F.transform(
+        F.filter(at, lambda i, k: (i > last) | (F.get(at, k + F.lit(need - 1)) - i < n)), lambda i: F.least(i, last))))[0]
+
+    def judged(start: Column) -> Column:
+        run = F.slice(pairs, start + 1, n)
+        shared = F.size(F.array_intersect(run, _constant(own)))
+        dice = 2.0 * shared / (F.size(F.array_distinct(run)) + len(own))
+        return F.when(dice >= threshold, F.struct((-shared).alias("shared"), (-dice).alias("d"), F.lit(name).alias("name"),
+                                                  start.alias("start"), (start + n).alias("end")))
+
+    return F.when(F.size(F.array_intersect(seen, _constant(own))) >= need, F.filter(F.transform(starts, judged), lambda r: r.isNotNull()))
+
+
+def _apart(found: Column) -> Column:
+    """Of runs that overlap, the one that shares the most bigrams (then the
+    best, the smaller name, the first)."""
+    return F.transform(F.array(F.array_sort(found)), lambda runs: F.aggregate(runs, F.slice(runs, 1, 0), lambda kept, r: F.when(
+        F.exists(kept, lambda o: (o["start"] < r["end"]) & (r["start"] < o["end"])), kept).otherwise(F.concat(kept, F.array(r)))))[0]
+
+
+def _inside(low: Column, templates, threshold: float) -> Column:
+    """(d, name) of the best run of each licence in the text."""
+    known = _constant(sorted({g for _, text in templates for g in template_bigrams(text)}))
+
+    def found(pairs: Column) -> Column:
+        return F.transform(F.array(F.array_intersect(pairs, known)), lambda seen: F.flatten(F.filter(
+            F.array(*[_runs(pairs, seen, name, text, threshold) for name, text in templates]), lambda r: r.isNotNull())))[0]
+
+    def best(runs: Column) -> Column:
+        return F.transform(F.array_distinct(F.transform(runs, lambda r: r["name"])), lambda n: F.struct(F.array_min(
+            F.transform(F.filter(runs, lambda r: r["name"] == n), lambda r: r["d"])).alias("d"), n.alias("name")))
+
+    return F.transform(F.transform(F.transform(_pairs(low), found), _apart), best)[0]
+
+
 def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_hits, license, dice, licenses``.
 
     Units are the distinct lines and paragraphs of a text (parts between
     blank lines; the whole text if there is none).  ``n_hits`` counts those
-    that reach ``threshold`` with a template, ``license`` and ``dice`` are
-    the best hit's (ties to the smaller name) and ``licenses`` all names hit,
-    sorted and joined by commas.  Without a hit, or with a null or empty
-    text, ``n_hits`` is 0 and the others are null.  Repeated rows and null
-    ids are judged each; other columns are ignored.
+    that reach ``threshold`` with a template, and each further licence of
+    which only a run of words inside the text does: as many words as the
+    template has, across lines, blank lines and comment signs; of runs that
+    overlap the one that shares the most bigrams counts.  ``license`` and
+    ``dice`` are the best hit's (ties to the smaller name) and ``licenses``
+    all names hit, sorted and joined by commas.  Without a hit, or with a null
+    or empty text, ``n_hits`` is 0 and the others are null.  Repeated rows and
+    null ids are judged each; other columns are ignored.
     """
     words = anchors(templates, threshold)
     low = F.lower(F.col("text"))
@@ -173,7 +229,10 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
         return F.array_min(F.array(*found))
 
     hits = F.when(_any_anchor(low, words), F.filter(F.transform(grams, best), lambda h: h.isNotNull()))
-    return (docs.select(F.col("doc_id"), hits.alias("hits"))
+    inside = F.when(_any_anchor(low, words), _inside(low, templates, threshold))
+    more = F.filter("inside", lambda r: ~F.exists("hits", lambda h: h["name"] == r["name"]))
+    return (docs.select(F.col("doc_id"), hits.alias("hits"), inside.alias("inside"))
+            .select("doc_id", F.concat("hits", more).alias("hits"))
             .select("doc_id", F.coalesce(F.size("hits"), F.lit(0)).cast("long").alias("n_hits"), F.array_min("hits").alias("top"),
                     F.array_join(F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["name"]))), ",").alias("names"))
             .select("doc_id", F.greatest("n_hits", F.lit(0)).alias("n_hits"), F.col("top.name").alias("license"), (-F.col("top.d")).alias("dice"),

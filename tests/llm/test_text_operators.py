@@ -69,6 +69,26 @@ def test_licence_notices(spark):
     assert all(r["dice"] >= 0.8 and r["n_hits"] == 1 and r["licenses"] == r["license"] for r in got.values())
 
 
+def test_licences_inside_lines_and_wrapped(spark):
+    bsd = dict(licenses.NOTICES)["BSD-3-Clause"].split()
+    wrapped = [" ".join(bsd[i : i + 11]) for i in range(0, len(bsd), 11)]
+    gpl = dict(licenses.NOTICES)["GPL-3.0"].split()
+    cases = [
+        ("Copyright (c) 2020 Example Inc. All rights reserved.", "proprietary"),
+        ("Thanks for reading this post. Licensed under CC BY-NC 4.0. See you next week.", "CC-BY-NC-4.0"),
+        ("Except where otherwise noted, content on this site is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0"),
+        ("/*\n * a tool for trees\n *\n * " + "\n * ".join(wrapped) + "\n *\n * and more\n */\nint main() {}", "BSD-3-Clause"),
+        ("# a tool\n#\n# " + " ".join(gpl[:20]) + "\n# " + " ".join(gpl[20:]) + "\n#\n# import os", "GPL-3.0"),
+        ("intro\n\n" + "\n\n".join(wrapped), "BSD-3-Clause"),
+        ("The code is released under the MIT License and its texts are licensed under CC BY-SA 4.0, all rights reserved.", "CC-BY-SA-4.0,MIT,proprietary"),
+        ("All rights reserved.\nprose in between, and all rights reserved.", "proprietary"),
+        ("released under licence by the mit, all of the rights", None), ("x" * 3000 + " license " + "software of the public " * 2000, None),
+    ]
+    got = {r["doc_id"]: r for r in licenses.scan(docs_of(spark, [t for t, _ in cases])).collect()}
+    assert [got[i]["licenses"] for i in range(len(cases))] == [n for _, n in cases]
+    assert [got[i]["n_hits"] for i in range(len(cases))] == [1, 1, 1, 1, 1, 1, 3, 1, 0, 0]
+
+
 # ---- url filter
 
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
