@@ -31,11 +31,21 @@ def mixed(x):
     return x ^ (x >> np.uint64(31))
 
 
-def coin(key, left, right):
+PLACE = 0x9E3779B97F4A7C15
+
+
+def candidate(place, left, right):
+    """A number for the merge of two symbols at a place (first character) of a
+    word, 64 bits; ints or arrays."""
+    if isinstance(place, int):
+        return mixed(((((left & 0xFFFFFFFF) << 32) | (right & 0xFFFFFFFF)) + place * PLACE) & MASK)
+    pair = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
+    return mixed(pair + place.astype(np.uint64) * np.uint64(PLACE))
+
+
+def coin(key, merge):
     """The keyed hash of one candidate merge, 64 bits; ints or arrays."""
-    if isinstance(key, int):
-        return mixed((key + mixed(((left & 0xFFFFFFFF) << 32) | (right & 0xFFFFFFFF))) & MASK)
-    return mixed(key + mixed((left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)))
+    return mixed((key + merge) & MASK) if isinstance(key, int) else mixed(key + merge)
 
 
 class MergeTable:
@@ -51,17 +61,21 @@ class MergeTable:
         by = np.argsort(keys)
         self.keys, self.ranks = keys[by], ranks[by]
 
-    def one(self, syms: list[int], key: int = 0, limit: int = 0) -> list[int]:
+    def one(self, syms: list[int], key: int = 0, limit: int = 0, trace: list | None = None) -> list[int]:
         """The symbols of one word after all its merges, through a heap.  A
-        merge is skipped if its keyed hash is below ``limit`` (of 2**64)."""
+        merge is skipped if its keyed hash is below ``limit`` (of 2**64).
+        ``trace`` takes the number of every candidate that came up."""
         syms = list(syms)
         after, before, alive = list(range(1, len(syms))) + [-1], list(range(-1, len(syms) - 1)), [True] * len(syms)
         agenda: list[tuple] = []
 
         def offer(i: int) -> None:
             j = after[i]
-            if j >= 0 and (got := self.pairs.get((syms[i], syms[j]))) and (not limit or coin(key, syms[i], syms[j]) >= limit):
-                heapq.heappush(agenda, (got[0], i, syms[i], syms[j], got[1]))
+            if j >= 0 and (got := self.pairs.get((syms[i], syms[j]))):
+                if trace is not None:
+                    trace.append(candidate(i, syms[i], syms[j]))
+                if not limit or coin(key, candidate(i, syms[i], syms[j])) >= limit:
+                    heapq.heappush(agenda, (got[0], i, syms[i], syms[j], got[1]))
 
         for i in range(len(syms) - 1):
             offer(i)
@@ -78,43 +92,52 @@ class MergeTable:
             offer(i)
         return [s for s, a in zip(syms, alive) if a]
 
-    def many(self, flat: np.ndarray, lengths: np.ndarray, keys: np.ndarray | None = None, limit: int = 0) -> list[bytes]:
+    def many(self, flat: np.ndarray, lengths: np.ndarray, keys: np.ndarray | None = None, limit: int = 0,
+             trace: list | None = None) -> list[bytes]:
         """Final symbols of each word as little-endian int32 bytes; ``flat``
-        holds the first symbols of all words, one after the other."""
+        holds the first symbols of all words, one after the other.  ``trace``
+        takes arrays (words, candidates) of all candidates that came up."""
         out: list[bytes] = [b""] * len(lengths)
         starts = np.cumsum(lengths) - lengths
         keys = np.zeros(len(lengths), dtype=np.uint64) if keys is None else keys
         for i in np.flatnonzero(lengths > LONG_WORD):
-            word = self.one(flat[starts[i] : starts[i] + lengths[i]].tolist(), int(keys[i]), limit)
+            seen = None if trace is None else []
+            word = self.one(flat[starts[i] : starts[i] + lengths[i]].tolist(), int(keys[i]), limit, seen)
+            if seen:
+                trace.append((np.full(len(seen), i), np.array(seen, dtype=np.uint64)))
             out[i] = np.array(word, dtype="<i4").tobytes()
         for lo, hi in ((0, 5), (5, 7), (7, 9), (9, 12), (12, 16), (16, 24), (24, 40), (40, LONG_WORD)):
             rows = np.flatnonzero((lengths > lo) & (lengths <= hi))
             for a in range(0, len(rows), ROWS):
                 part = rows[a : a + ROWS]
-                done = self._rounds(flat, starts[part], lengths[part], keys[part], limit)
+                done = self._rounds(flat, starts[part], lengths[part], keys[part], limit, part, trace)
                 sizes, width = (4 * (done != PADDING).sum(axis=1)).tolist(), 4 * done.shape[1]
                 raw = done.astype("<i4").tobytes()
                 for k, (i, m) in enumerate(zip(part.tolist(), sizes)):
                     out[i] = raw[k * width : k * width + m]
         return out
 
-    def _offers(self, left, right, keys, limit):
+    def _offers(self, left, right, place, keys, limit, words, trace):
         """Rank of each pair, NO_MERGE where there is no merge or it is skipped."""
         want = (left.astype(np.int64) << 32) | right
         at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
         hit = (self.keys[at] == want) & (right >= 0)
+        if trace is not None:
+            trace.append((words[hit], candidate(place[hit], left[hit], right[hit])))
         if limit:
-            hit &= coin(keys, left, right) >= np.uint64(limit)
+            at_hit = np.flatnonzero(hit)
+            hit[at_hit] = coin(keys[at_hit], candidate(place[at_hit], left[at_hit], right[at_hit])) >= np.uint64(limit)
         return np.where(hit, self.ranks[at], NO_MERGE)
 
-    def _rounds(self, flat, starts, lengths, keys, limit):
+    def _rounds(self, flat, starts, lengths, keys, limit, words, trace):
         n, width = len(lengths), int(lengths.max())
         inside = np.arange(width + 1) < lengths[:, None]
         syms = np.full((n, width + 1), PADDING, dtype=np.int32)
         syms[inside] = flat[(starts[:, None] + np.arange(width + 1))[inside]]
+        place = np.tile(np.arange(width + 1, dtype=np.uint8), (n, 1))
         ranks = np.full((n, width), NO_MERGE, dtype=np.int32)
         i, j = np.nonzero(inside[:, 1:])
-        ranks[i, j] = self._offers(syms[i, j], syms[i, j + 1], keys[i], limit)
+        ranks[i, j] = self._offers(syms[i, j], syms[i, j + 1], place[i, j], keys[i], limit, words[i], trace)
         done, live, cols = np.empty_like(syms), np.arange(n), np.arange(width)
         while len(live):
             best = ranks.argmin(axis=1)
@@ -123,18 +146,20 @@ class MergeTable:
             if (stop := top == NO_MERGE).any():
                 done[live[stop]] = syms[stop]
                 go = ~stop
-                live, syms, ranks, keys, best, top = live[go], syms[go], ranks[go], keys[go], best[go], top[go]
+                live, syms, place, ranks, keys, best, top = (x[go] for x in (live, syms, place, ranks, keys, best, top))
                 k = np.arange(len(live))
+            own = words[live]
             syms[k, best] = self.merged[top]
             shift = cols > best[:, None]
             syms[:, :-1] = np.where(shift, syms[:, 1:], syms[:, :-1])
             syms[:, -1] = PADDING
+            place[:, :-1] = np.where(shift, place[:, 1:], place[:, :-1])
             ranks[:, :-1] = np.where(shift[:, :-1], ranks[:, 1:], ranks[:, :-1])
             ranks[shift[:, -1], -1] = NO_MERGE
-            ranks[k, best] = self._offers(syms[k, best], syms[k, best + 1], keys, limit)
+            ranks[k, best] = self._offers(syms[k, best], syms[k, best + 1], place[k, best], keys, limit, own, trace)
             k = np.flatnonzero(best > 0)
             a = best[k] - 1
-            ranks[k, a] = self._offers(syms[k, a], syms[k, a + 1], keys[k], limit)
+            ranks[k, a] = self._offers(syms[k, a], syms[k, a + 1], place[k, a], keys[k], limit, own[k], trace)
         return done
 
 

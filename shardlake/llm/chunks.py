@@ -21,8 +21,8 @@ BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * BASE)
 
 
 class ChunkCoder:
-    """``learn`` takes chunks (strings) and their keys (uint64) and gives the
-    ids of each as little-endian 32-bit bytes."""
+    """``learn`` takes chunks (strings) and keys (zeros) and gives the ids of
+    each as little-endian 32-bit bytes."""
 
     def __init__(self, learn: Callable[[list[str], np.ndarray], list[bytes]], remembered: int = REMEMBERED):
         self.learn, self.remembered = learn, remembered
@@ -75,9 +75,10 @@ class ChunkCoder:
         self.stores = [(old, old_n), (late, late_n)]
         return numbers
 
-    def encode(self, texts: list[bytes], keys: Callable | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[bytes], vary: Callable | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin (one more for the end).
-        ``keys(text number, place in the text)`` gives each chunk's key."""
+        ``vary(chunk numbers, text numbers, places in the text, chunk_at)``
+        gives the occurrences that have ids of their own, and those ids."""
         if self.count > self.remembered:
             self._forget()
         buffer = b"".join([b" " + t if t else b"" for t in texts])
@@ -94,19 +95,27 @@ class ChunkCoder:
         sizes = np.diff(np.r_[starts, len(raw)])
         h = self._hashes(raw, starts, sizes)
         before = np.searchsorted(starts, np.r_[first, len(raw)])  # chunks ahead of each text
-        key = None
-        if keys:
-            owner = np.repeat(np.arange(len(texts)), np.diff(before))
-            key = keys(owner, np.arange(len(starts)) - before[owner])
-            h = h + mixed(key)
+
+        def chunk_at(places: np.ndarray) -> list[str]:
+            return [buffer[s:e].decode("utf-8", "replace") for s, e in zip(starts[places].tolist(), (starts[places] + sizes[places]).tolist())]
+
         h, at, back = np.unique(mixed(h), return_index=True, return_inverse=True)
         number = self._find(h)
         if (lack := np.flatnonzero(number < 0)).size:
             a = at[lack]
-            chunks = [buffer[s:e].decode("utf-8", "replace") for s, e in zip(starts[a].tolist(), (starts[a] + sizes[a]).tolist())]
-            number[lack] = self._add(h[lack], self.learn(chunks, key[a] if keys else np.zeros(len(a), dtype=np.uint64)))
+            number[lack] = self._add(h[lack], self.learn(chunk_at(a), np.zeros(len(a), dtype=np.uint64)))
         number = number[back]
-        n = self.size[number]
+        start, n = self.start[number], self.size[number]
+        if vary:
+            at, codes = vary(number, np.repeat(np.arange(len(texts)), np.diff(before)),
+                             np.arange(len(starts)) - np.repeat(before[:-1], np.diff(before)), chunk_at)
+            own = np.frombuffer(b"".join(codes), dtype="<i4")
+            while self.used + len(own) > len(self.pool):
+                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+            # behind what is remembered, until the next batch
+            self.pool[self.used : self.used + len(own)] = own
+            n[at] = np.fromiter(map(len, codes), dtype=np.int64, count=len(codes)) // 4
+            start[at] = self.used + np.cumsum(n[at]) - n[at]
         ends = np.cumsum(n)
-        ids = self.pool[np.arange(ends[-1]) + np.repeat(self.start[number] - (ends - n), n)]
+        ids = self.pool[np.arange(ends[-1]) + np.repeat(start - (ends - n), n)]
         return ids, np.r_[0, ends][before]

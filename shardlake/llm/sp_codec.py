@@ -2,12 +2,12 @@
 
 Merges follow the model's agenda: the best-scored adjacent pair that forms a
 piece comes first, the leftmost of equals.  With dropout, a candidate merge is
-skipped if a keyed hash of (seed, variant, chunk, left and right symbol) falls
-below the rate, so a document gets another segmentation for each seed, the
-same on every run and machine.  ``variant`` is a keyed hash of
-the document and the chunk's place in it, modulo ``VARIANTS``: equal words of
-a text are cut differently, and each (chunk, variant) is segmented once per
-worker.  The skipped merges change the cuts only, so decoding gives back the
+skipped if a keyed hash of (seed, document, the chunk's place in it, the
+merge's place in the chunk, left and right symbol) falls below the rate, so
+each occurrence of a word is cut by itself, otherwise for each seed, and the
+same on every run and machine.  A worker remembers the plain segmentation of a
+chunk and the candidates that came up in it: an occurrence that skips none of
+them is plain, every other one is segmented with its own key.  The skipped merges change the cuts only, so decoding gives back the
 text byte for byte: unknown characters, line feeds and a literal U+2581 are
 byte pieces.
 
@@ -18,17 +18,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import MASK, UNKNOWN, MergeTable, code_points, mixed
+from .bpe import MASK, UNKNOWN, MergeTable, code_points, coin, mixed
 from .chunks import ChunkCoder
 from .common import small_batches
 
 RATE = 0.1
-VARIANTS = 2
+#: Chunks that a worker remembers, with their candidates (about 140 bytes each).
+REMEMBERED = 1_000_000
+#: Occurrences whose candidates are looked at together.
+TOGETHER = 50_000
 SPACE = "▁"
 STEP = 0x9E3779B97F4A7C15
 
@@ -82,19 +84,22 @@ class PieceModel:
             at += size
         return np.array(out, dtype="<i4").tobytes()
 
-    def segment(self, chunks: list[str], keys: np.ndarray, limit: int = 0) -> list[bytes]:
-        """Ids of each chunk, as little-endian int32 bytes."""
+    def segment(self, chunks: list[str], keys: np.ndarray, limit: int = 0, trace: list | None = None) -> list[bytes]:
+        """Ids of each chunk, as little-endian int32 bytes; for ``trace`` see
+        ``MergeTable.many`` (it does not cover chunks with a literal mark)."""
         marked = [c.replace(" ", SPACE) for c in chunks]
         points, lengths = code_points(marked)
         first = self.char_symbol[points]
         starts = np.cumsum(lengths) - lengths
         odd = np.add.reduceat((first == UNKNOWN) | (first >= len(self.bytes_of)), starts)
-        got = self.merges.many(first, lengths, keys, limit)
+        got = self.merges.many(first, lengths, keys, limit, trace)
         for i in np.flatnonzero(odd):
             got[i] = self._with_bytes(got[i], marked[i])
         for i in [i for i, c in enumerate(chunks) if SPACE in c]:
             parts = chunks[i].split(SPACE)
-            ids = iter(self.segment([p for p in parts if p], np.repeat(keys[i], len(parts)), limit) if any(parts) else [])
+            full = [p for p in parts if p]
+            own = mixed(np.repeat(keys[i], len(full)) + np.arange(len(full), dtype=np.uint64))
+            ids = iter(self.segment(full, own, limit) if full else [])
             got[i] = self.literal.join([next(ids) if p else b"" for p in parts])
         return got
 
@@ -102,31 +107,67 @@ class PieceModel:
 class Encoder:
     """Ids of texts with seeded merge-dropout."""
 
-    def __init__(self, path: str, seed: int, rate: float, variants: int):
+    def __init__(self, path: str, seed: int, rate: float):
         self.model = PieceModel(path)
         self.seed, self.limit = seed, min(int(rate * 2.0 ** 64), MASK) if rate > 0 else 0
-        self.variants = variants if self.limit else 1
-        self.coder = ChunkCoder(self._learn)
+        self.coder = ChunkCoder(self._learn, REMEMBERED)
+        self.merges, self.start, self.size = np.zeros(0, dtype=np.uint64), np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        self.used, self.literal = 0, np.zeros(1, dtype=bool)
+
+    def _learn(self, chunks: list[str], keys: np.ndarray) -> list[bytes]:
+        """Plain ids; remembers the candidates by the numbers that the coder
+        will give to the chunks."""
+        trace: list | None = [] if self.limit else None
+        got = self.model.segment(chunks, keys, 0, trace)
+        if not self.limit:
+            return got
+        first, end = self.coder.count, self.coder.count + len(chunks)
+        if not first:
+            self.used = 0
+        word = np.concatenate([w for w, _ in trace]) if trace else np.zeros(0, dtype=np.int64)
+        found = np.concatenate([m for _, m in trace]) if trace else np.zeros(0, dtype=np.uint64)
+        while end > len(self.start):
+            self.start, self.size, self.literal = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size, self.literal))
+        while self.used + len(found) > len(self.merges):
+            self.merges = np.concatenate([self.merges, np.zeros(max(1 << 16, len(self.merges)), dtype=np.uint64)])
+        self.merges[self.used : self.used + len(found)] = found[np.argsort(word, kind="stable")]
+        sizes = np.bincount(word, minlength=len(chunks))
+        self.start[first:end], self.size[first:end] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.literal[first:end] = [SPACE in c for c in chunks]
+        self.used += len(found)
+        return got
 
-    def _learn(self, chunks: list[str], variants: np.ndarray) -> list[bytes]:
-        keys = np.fromiter((xxhash.xxh3_64_intdigest(c, (self.seed * STEP + v) & MASK) for c, v in zip(chunks, variants.tolist())),
-                           dtype=np.uint64, count=len(chunks))
-        return self.model.segment(chunks, keys, self.limit)
+    def _skips(self, number: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Which occurrences skip a candidate of their plain segmentation."""
+        out = self.literal[number]
+        for a in range(0, len(number), TOGETHER):
+            sizes = self.size[number[a : a + TOGETHER]]
+            ends = np.cumsum(sizes)
+            merges = self.merges[np.arange(ends[-1]) + np.repeat(self.start[number[a : a + TOGETHER]] - (ends - sizes), sizes)]
+            low = np.flatnonzero(coin(np.repeat(keys[a : a + TOGETHER], sizes), merges) < np.uint64(self.limit))
+            out[a + np.searchsorted(ends, low, side="right")] = True
+        return out
 
     def encode(self, doc_ids: list[int], texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         own = np.array([mixed((int(d) * STEP + self.seed) & MASK) for d in doc_ids], dtype=np.uint64)
 
-        def variant(doc: np.ndarray, place: np.ndarray) -> np.ndarray:
-            return mixed(own[doc] + place.astype(np.uint64) * np.uint64(STEP)) % np.uint64(self.variants)
+        def vary(number, doc, place, chunk_at):
+            keys = mixed(own[doc] + place.astype(np.uint64) * np.uint64(STEP))
+            at = np.flatnonzero(self._skips(number, keys))
+            codes: list[bytes] = []
+            for a in range(0, len(at), TOGETHER):
+                part = at[a : a + TOGETHER]
+                codes += self.model.segment(chunk_at(part), keys[part], self.limit)
+            return at, codes
 
-        return self.coder.encode(texts, variant)
+        return self.coder.encode(texts, vary if self.limit else None)
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
 _MODELS: dict[str, PieceModel] = {}
 
 
-def encode(docs: DataFrame, model_path: str, seed: int, rate: float = RATE, variants: int = VARIANTS,
+def encode(docs: DataFrame, model_path: str, seed: int, rate: float = RATE,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with its text replaced by ``ids`` (array of int).
 
@@ -139,7 +180,7 @@ def encode(docs: DataFrame, model_path: str, seed: int, rate: float = RATE, vari
     names = [f.name for f in keep]
 
     def run(batches):
-        if (at := (model_path, seed, rate, variants)) not in _ENCODERS:
+        if (at := (model_path, seed, rate)) not in _ENCODERS:
             _ENCODERS[at] = Encoder(*at)
         encoder = _ENCODERS[at]
         for b in batches:

@@ -145,6 +145,37 @@ def test_codec_round_trip(spark):
     assert sp_codec.encode(docs_of(spark, []), PIECES, seed=1).count() == 0
 
 
+def test_every_occurrence_is_cut_by_itself(spark):
+    word, n = "international", 400
+    docs = docs_of(spark, [" ".join([word] * 100)] * (n // 100) + ["xyz" * 300])
+    ids = {r["doc_id"]: r["ids"] for r in sp_codec.encode(docs, PIECES, seed=3, rate=0.5).collect()}
+    model = sp_codec.PieceModel(PIECES)
+    cuts = Counter()
+    for d in range(n // 100):
+        text, cut = "", ()
+        for i in ids[d]:
+            piece = model.bytes_of[i].decode()
+            if piece.startswith(" ") and cut:
+                cuts[cut], cut = cuts[cut] + 1, ()
+            cut += (piece,)
+        cuts[cut] += 1
+    assert sum(cuts.values()) == n and len(cuts) > 20 and max(cuts.values()) < n // 2
+    assert all("".join(c) == f" {word}" for c in cuts)
+    # a long chunk: the same pair is merged at some places and skipped at others
+    plain = sentencepiece.SentencePieceProcessor(model_file=PIECES).encode("xyz" * 300)
+    assert len(set(ids[n // 100])) > len(set(plain)) and len(ids[n // 100]) < 900
+
+
+def test_remembered_candidates_lose_no_skip(spark):
+    """The ids equal those of every chunk segmented with its own key."""
+    texts = [r["text"].encode() for r in spark.read.parquet(f"{SF}/documents.parquet").limit(40).collect()] + ["a ▁▁b ▁".encode(), b""]
+    coder = sp_codec.Encoder(PIECES, 7, 0.1)
+    got = [coder.encode(list(range(len(texts))), texts) for _ in range(2)]
+    coder._skips = lambda number, keys: np.ones(len(number), dtype=bool)
+    want = coder.encode(list(range(len(texts))), texts)
+    assert all((g[0].tolist(), g[1].tolist()) == (want[0].tolist(), want[1].tolist()) for g in got)
+
+
 def test_rounds_equal_the_agenda():
     model = sp_codec.PieceModel(PIECES)
     chunks = ["▁the", "▁international", "abababababab", "▁▁▁▁▁x", "éàü", "m" * 200, "a"]
