@@ -31,6 +31,14 @@ def test_held_out_accuracy(spark, module, column, threshold, least):
         assert sum(got[i]["predicted"] for i, y in truth.items() if not y) <= 1
 
 
+def test_held_out_toxic_rows_are_found(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.classify(docs, labels).collect()}
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect() if held(r["doc_id"])}
+    assert np.mean([got[i] for i, y in truth.items() if y]) >= 0.8
+    assert np.mean([got[i] for i, y in truth.items() if not y]) <= 0.01
+
+
 @pytest.mark.parametrize("module, column, threshold, least", CASES)
 def test_held_out_labels_are_never_learnt(spark, module, column, threshold, least):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
