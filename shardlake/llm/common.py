@@ -40,13 +40,27 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+
+
 def dropped(df: DataFrame) -> None:
     """Delete a table made by ``written`` that nothing refers to any more."""
     path = getattr(df, "stored_at", None)
     if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+        delete(df.sparkSession, path)
+
+
+def free_name(taken: list[str], base: str) -> str:
+    """``base``, or ``base_1`` and so on, whichever no column is called (Spark
+    takes names alike that differ in case only)."""
+    low = {c.lower() for c in taken}
+    name, k = base, 0
+    while name.lower() in low:
+        k += 1
+        name = f"{base}_{k}"
+    return name
 
 
 def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, line_dedup, ngram_join, packing, pq_dedup, quality, sp_codec, topk, toxicity, url_filter
+from . import feistel, filter_audit, licenses, line_dedup, ngram_join, packing, periodic_runs, pq_dedup, quality, sp_codec, topk, toxicity, url_filter
 from .common import table, workers_find_library
 
 QUERIES = {}
@@ -148,3 +148,115 @@ SELECT vec_id, (SELECT count(*) FROM l WHERE a = r.vec_id) AS n_links, min(other
 FROM r GROUP BY vec_id""")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+# CRC-32 in SQL: the table of its bytes by rule, then one step for each byte of x
+CRC_TABLE = """crc_table AS (SELECT list_transform(range(256), lambda b:
+  list_reduce([b::BIGINT] || range(8)::BIGINT[], lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))) AS t)"""
+
+
+def crc_sql(text: str) -> str:
+    """CRC-32 of a string in DuckDB, beside a row of ``crc_table``."""
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    return f"xor(list_reduce([4294967295::BIGINT] || {octets}, lambda c, x: xor(t[xor(c & 255, x) + 1], c >> 8)), 4294967295)"
+
+
+@query("op11_feistel_shards", f"""
+WITH RECURSIVE {CRC_TABLE},
+d AS (SELECT doc_id, CAST(strlen(coalesce(text, '')) + 16 AS BIGINT) AS size, {crc_sql("coalesce(text, '')")} AS text_crc32
+      FROM documents, crc_table),
+r AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS row FROM d),
+{feistel.permutation_sql("r")}
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(place % {feistel.SHARDS} AS INTEGER) AS shard,
+       CAST(place // {feistel.SHARDS} AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM r JOIN placed USING (row)""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards by the law `rows`; equal texts are spread as all other rows."""
+    rows = feistel.shuffle(feistel.document_digest(table(spark, sf_dir, "documents")), ["doc_id", "size", "text_crc32", "text_hash"])
+    return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op12_filter_audit", r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+f AS (
+  SELECT part, CAST(len(w) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INT)
+         + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS INT)
+         + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT)
+         + 16 * CAST(coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false) AS INT) AS mask,
+         doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) AS good,
+         doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) AS toxic FROM t),
+g AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY ALL),
+o(o, used) AS (
+  SELECT '', 0 UNION ALL
+  SELECT o || chr(65 + b), used | (1 << b) FROM o, (SELECT unnest(range(5))::INT AS b) WHERE (used >> b) & 1 = 0),
+s AS (
+  SELECT o AS filter_order, step, substr(o, step, 1) AS filter, 1 << (ascii(substr(o, step, 1)) - 65) AS bit,
+         list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(substr(o, i::INT, 1)) - 65))) AS prior
+  FROM (SELECT o FROM o WHERE length(o) = 5), (SELECT unnest(range(1, 6))::INT AS step)),
+c AS (
+  SELECT part, filter_order, step, filter,
+         coalesce(sum(n) FILTER (mask & (coalesce(prior, 0) | bit)::INT = 0), 0) AS kept,
+         coalesce(sum(n) FILTER (mask & coalesce(prior, 0)::INT = 0 AND mask & bit::INT <> 0), 0) AS removed,
+         coalesce(sum(n) FILTER (mask & coalesce(prior, 0)::INT <> 0 AND mask & bit::INT <> 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (mask & coalesce(prior, 0)::INT = 0 AND mask & bit::INT <> 0), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & coalesce(prior, 0)::INT = 0 AND mask & bit::INT <> 0), 0) AS toxic_lost
+  FROM g, s GROUP BY ALL)
+SELECT part, filter_order, step, filter, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM c""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """The input that the query's contract sets: (doc_id, text), where a tenth
+    of the documents, by a hash of the id, repeat some words to their end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", filter_audit.WORD_GAP), lambda w: w != "")
+
+    def repeated(w):
+        n, g = F.greatest(F.size(w), F.lit(1)).cast("long"), F.floor(h / 10)
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (3 + g % 8))
+        bound = F.transform(F.array(F.struct(a.alias("a"), p.alias("p"))), lambda x: F.transform(
+            F.sequence(F.lit(0).cast("long"), n - 1),
+            lambda i: F.get(w, F.when(i < x["a"], i).otherwise(x["a"] + (i - x["a"]) % x["p"]).cast("int"))))[0]
+        return F.array_join(bound, " ")
+
+    tail = F.transform(F.array(words), repeated)[0]
+    return docs.select("doc_id", F.when(h % 10 == 0, tail).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs", rf"""
+WITH {CRC_TABLE},
+h AS (SELECT *, {crc_sql("CAST(doc_id AS VARCHAR)")} AS h,
+             list_filter(string_split_regex(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') AS w FROM documents, crc_table),
+p AS (SELECT doc_id, h, w, len(w) AS n, (h // 10) % greatest(len(w), 1) AS a,
+             1 + (len(w) - (h // 10) % greatest(len(w), 1)) // (3 + (h // 10) % 8) AS p FROM h),
+d AS (SELECT row_number() OVER () AS d, doc_id, CASE WHEN h % 10 = 0 THEN
+        list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w FROM p),
+u AS (SELECT d, len(w) AS n, unnest(w) AS word, unnest(range(len(w))) AS i FROM d),
+-- equal words q apart; neighbours of one distance are a stretch
+m AS (SELECT x.d, y.i - x.i AS q, x.i FROM u x JOIN u y ON x.d = y.d AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+k AS (SELECT d, q, i, i - row_number() OVER (PARTITION BY d, q ORDER BY i) AS island FROM m),
+c AS (SELECT d, q, min(i) AS s, max(i) + q + 1 - min(i) AS len FROM k GROUP BY d, q, island HAVING max(i) + q + 1 - min(i) >= greatest(6, 4 * q)),
+r AS (SELECT * FROM c WHERE NOT EXISTS (
+        SELECT 1 FROM c e WHERE e.d = c.d AND e.q < c.q AND e.s <= c.s AND e.s + e.len >= c.s + c.len)),
+x AS (SELECT d, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS runs FROM r GROUP BY d),
+b AS (SELECT d, s, len, q FROM r QUALIFY row_number() OVER (PARTITION BY d ORDER BY (len * 1000000000000)::HUGEINT // q DESC, s, q) = 1),
+g AS (SELECT DISTINCT d, unnest(range(s + q, s + len)) AS i FROM r),
+t AS (SELECT d, string_agg(word, ' ' ORDER BY i) AS kept FROM u ANTI JOIN g USING (d, i) GROUP BY d)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(s AS BIGINT) AS start, CAST(len AS BIGINT) AS length, CAST(q AS BIGINT) AS period,
+       CAST(1000 * len // q AS BIGINT) AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN x USING (d) LEFT JOIN b USING (d) LEFT JOIN t USING (d)""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_periodic_tails(table(spark, sf_dir, "documents")))
+    return (found.withColumn("top", periodic_runs.strongest(F.col("runs")))
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+                    F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+                    F.sha2(periodic_runs.runs_text(F.col("runs")), 256).alias("runs_sha256"),
+                    F.sha2("collapsed", 256).alias("collapsed_sha256")))
