@@ -2,10 +2,11 @@
 
 A *positions* DataFrame has one row per shard: ``logstore, shard,
 start_seq, stop_seq`` (``stop_seq`` NULL = unbounded; the range is
-half-open).  It is resolved from a per-shard summary of the log-group table
-(``shard_index``: an aggregate with one row per shard, so its size is bounded
-by the shard count, never by the data) and joined back to the groups with a
-broadcast on ``(logstore, shard)`` plus a range condition on ``seq``.
+half-open).  For a stored log store it is resolved from the manifest
+(``sources.manifest.FileIndex``: rows of files, and at most one file of each
+shard), for other groups by an aggregate over them (``ScanIndex``), and joined
+back to the groups with a broadcast on ``(logstore, shard)`` plus a range
+condition on ``seq``; it has one row per shard, whatever the data.
 """
 from __future__ import annotations
 
@@ -74,6 +75,29 @@ def shard_index(groups: DataFrame) -> DataFrame:
         F.max("cursor_time").alias("end_time"))
 
 
+class ScanIndex:
+    """Positions and times from the groups themselves, for groups that are
+    not a stored log store (which has ``sources.manifest.FileIndex``)."""
+
+    def __init__(self, groups: DataFrame):
+        self.groups = groups
+
+    def shards(self) -> DataFrame:
+        return shard_index(self.groups)
+
+    def first_seq_at(self, seconds: int, strict_after: bool = False, name: str = "at_seq") -> DataFrame:
+        return first_seq_at(self.groups, seconds, strict_after, name)
+
+    def time_of(self, positions: DataFrame) -> DataFrame:
+        """``positions`` (``logstore, shard, next_seq``) with ``progress_time``."""
+        from .broadcast import checked_broadcast
+        key = ["logstore", "shard", "next_seq"]
+        at = checked_broadcast(positions.select(*key).distinct())  # one row per shard and position
+        last = self.groups.select("logstore", "shard", (F.col("seq") + 1).alias("next_seq"),
+                                  F.col("cursor_time").alias("progress_time")).join(at, key, "left_semi")
+        return positions.join(last, key, "left")
+
+
 def seconds_ntz(seconds: int):
     return F.timestamp_add("SECOND", F.lit(seconds), F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
 
@@ -89,8 +113,10 @@ def first_seq_at(groups: DataFrame, seconds: int, strict_after: bool = False, na
 def resolve_positions(groups: DataFrame, start: str | int | None = EARLIEST,
                       stop_time: str | int | None = None,
                       checkpoints: DataFrame | None = None, consumer_group: str | None = None,
-                      fallback: str | int | None = EARLIEST, as_of: int | None = None) -> DataFrame:
-    """Positions for reading ``groups``.
+                      fallback: str | int | None = EARLIEST, as_of: int | None = None,
+                      store=None) -> DataFrame:
+    """Positions for reading ``groups``.  ``store``: the ``FileIndex`` of the
+    store that holds the groups, which resolves them without a scan.
 
     * ``earliest``: from the first group; ``latest``: from the end (as of
       ``as_of`` seconds when given: the first group written after it).
@@ -102,7 +128,8 @@ def resolve_positions(groups: DataFrame, start: str | int | None = EARLIEST,
     """
     pos = parse_start_position(start)
     stop = parse_stop_time(stop_time)
-    index = shard_index(groups)
+    store = store or ScanIndex(groups)
+    index = store.shards()
     fb = parse_start_position(fallback)
     if pos.kind == CHECKPOINT and fb.kind == CHECKPOINT:
         raise ValueError("The fallback position of a checkpoint start cannot be 'checkpoint'")
@@ -115,10 +142,10 @@ def resolve_positions(groups: DataFrame, start: str | int | None = EARLIEST,
         if p.kind == LATEST:
             if as_of is None:
                 return frame, F.col("end_seq")
-            f = frame.join(first_seq_at(groups, as_of, strict_after=True, name="_latest"),
+            f = frame.join(store.first_seq_at(as_of, strict_after=True, name="_latest"),
                            ["logstore", "shard"], "left")
             return f, F.coalesce(F.col("_latest"), F.col("end_seq"))
-        f = frame.join(first_seq_at(groups, p.timestamp, name="_at"), ["logstore", "shard"], "left")
+        f = frame.join(store.first_seq_at(p.timestamp, name="_at"), ["logstore", "shard"], "left")
         return f, F.coalesce(F.col("_at"), F.col("end_seq"))
 
     frame = index
@@ -131,7 +158,7 @@ def resolve_positions(groups: DataFrame, start: str | int | None = EARLIEST,
     else:
         frame, start_col = plain(pos, frame)
     if stop is not None:
-        frame = frame.join(first_seq_at(groups, stop, name="_stop"), ["logstore", "shard"], "left")
+        frame = frame.join(store.first_seq_at(stop, name="_stop"), ["logstore", "shard"], "left")
         stop_col = F.coalesce(F.col("_stop"), F.col("end_seq"))
     else:
         stop_col = F.lit(None).cast("long")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.audit import dedup_by, duplicate_summary, missing_and_unexpected
 from ..operators.decode import decode, decode_logs, explode_logs, sequence_number
 from ..plans.positions import bounded, resolve_positions
-from ..sources.fixtures import events_log_store, table
+from ..sources.fixtures import events_index, events_log_store, table
 from ..streaming.progress import consumer_lag, merge_commit, progress_time, source_timestamps
 from .base import with_events
 from .reads import (CHECKPOINT_SQL, CONSUMER_GROUP, T_ASOF_SQL, T_STOP, T_STOP_SQL, _first_at,
@@ -38,9 +38,10 @@ def committed(spark, sf_dir):
     """The consumer group after reading from its checkpoint (else earliest)
     up to the stop time and committing."""
     g = events_log_store(spark, sf_dir)
-    cp = checkpoint_table(g)
+    store = events_index(spark, sf_dir)
+    cp = checkpoint_table(store)
     pos = resolve_positions(g, "checkpoint", stop_time=T_STOP, checkpoints=cp,
-                            consumer_group=CONSUMER_GROUP, fallback="earliest")
+                            consumer_group=CONSUMER_GROUP, fallback="earliest", store=store)
     return g, merge_commit(cp, bounded(g, pos), CONSUMER_GROUP, updated_at=COMMIT_AT)
 
 
@@ -60,7 +61,7 @@ FROM committed c LEFT JOIN groups g ON g.logstore = c.logstore AND g.shard = c.s
     CHECKPOINT_SQL, STOP_SQL, COMMITTED_SQL))
 def consumer_progress(spark, sf_dir):
     g, merged = committed(spark, sf_dir)
-    return progress_time(merged, g)
+    return progress_time(merged, g, events_index(spark, sf_dir))
 
 
 def _diff_s(a: str, b: str) -> str:
@@ -79,7 +80,7 @@ LEFT JOIN (SELECT logstore, shard, max(cursor_time) AS end_time FROM groups GROU
   ON e.logstore = c.logstore AND e.shard = c.shard""", CHECKPOINT_SQL, STOP_SQL, COMMITTED_SQL))
 def consumer_lag_q(spark, sf_dir):
     g, merged = committed(spark, sf_dir)
-    return consumer_lag(merged, g, now="2024-01-23 00:00:00")
+    return consumer_lag(merged, g, now="2024-01-23 00:00:00", store=events_index(spark, sf_dir))
 
 
 @register("source_timestamp", with_events("""
@@ -110,9 +111,10 @@ def _reads(spark, sf_dir):
     """Two reads of the same stores: before a restart (earliest to the stop
     time) and after it (from the consumer group's checkpoint to the end)."""
     g = events_log_store(spark, sf_dir)
-    first = bounded(g, resolve_positions(g, "earliest", stop_time=T_STOP))
-    second = bounded(g, resolve_positions(g, "checkpoint", checkpoints=checkpoint_table(g),
-                                          consumer_group=CONSUMER_GROUP, fallback="earliest"))
+    store = events_index(spark, sf_dir)
+    first = bounded(g, resolve_positions(g, "earliest", stop_time=T_STOP, store=store))
+    second = bounded(g, resolve_positions(g, "checkpoint", checkpoints=checkpoint_table(store),
+                                          consumer_group=CONSUMER_GROUP, fallback="earliest", store=store))
     return g, first, second
 
 

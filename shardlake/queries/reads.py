@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..operators.decode import decode
 from ..plans.assign import balanced_tasks, modulo_task, writable_rank_tasks
 from ..plans.positions import bounded, finished_shards, materialized, resolve_positions, shard_index
-from ..sources.fixtures import events_log_store, shards_of, table
+from ..sources.fixtures import events_index, events_log_store, events_shards, table
 from ..sources.logstore import select_logstores
+from ..sources.manifest import FileIndex
 from ..sql import register_log_table, sink_records
 from .base import with_events
 from .registry import register
@@ -96,7 +97,7 @@ def scan_logstore_pattern(spark, sf_dir):
 pos AS (SELECT logstore, shard, begin_seq AS start_seq, CAST(NULL AS BIGINT) AS stop_seq FROM shards)"""))
 def start_earliest(spark, sf_dir):
     g = groups(spark, sf_dir)
-    pos = resolve_positions(g, "begin_cursor")
+    pos = resolve_positions(g, "begin_cursor", store=events_index(spark, sf_dir))
     pos, fits = materialized(pos)
     return read_summary(pos, bounded(g, pos, fits))
 
@@ -106,7 +107,7 @@ pos AS (SELECT s.logstore, s.shard, coalesce(l.s, s.end_seq) AS start_seq, CAST(
         FROM shards s LEFT JOIN lat l USING (logstore, shard))"""))
 def start_latest_asof(spark, sf_dir):
     g = groups(spark, sf_dir)
-    pos = resolve_positions(g, "LATEST", as_of=T_ASOF)
+    pos = resolve_positions(g, "LATEST", as_of=T_ASOF, store=events_index(spark, sf_dir))
     pos, fits = materialized(pos)
     return read_summary(pos, bounded(g, pos, fits))
 
@@ -116,15 +117,15 @@ pos AS (SELECT s.logstore, s.shard, coalesce(a.s, s.end_seq) AS start_seq, CAST(
         FROM shards s LEFT JOIN at_t a USING (logstore, shard))"""))
 def start_timestamp(spark, sf_dir):
     g = groups(spark, sf_dir)
-    pos = resolve_positions(g, str(T_START))
+    pos = resolve_positions(g, str(T_START), store=events_index(spark, sf_dir))
     pos, fits = materialized(pos)
     return read_summary(pos, bounded(g, pos, fits))
 
 
-def checkpoint_table(g: DataFrame) -> DataFrame:
+def checkpoint_table(source: DataFrame | FileIndex) -> DataFrame:
     """A consumer group's committed positions, derived from the data: shards
     0 and 1 of every store committed half way (the other shards have none)."""
-    idx = shard_index(g).where(F.col("shard") < 2)
+    idx = (shard_index(source) if isinstance(source, DataFrame) else source.shards()).where(F.col("shard") < 2)
     seq = F.call_function("div", F.col("begin_seq") + F.col("end_seq"), F.lit(2))
     return idx.select(F.lit(CONSUMER_GROUP).alias("consumer_group"), "logstore", "shard",
                       F.base64(seq.cast("string").cast("binary")).alias("cursor"),
@@ -142,8 +143,9 @@ pos AS (SELECT s.logstore, s.shard, coalesce(c.s, a.s, s.end_seq) AS start_seq,
         FROM shards s LEFT JOIN cp c USING (logstore, shard) LEFT JOIN at_t a USING (logstore, shard))"""))
 def start_checkpoint_fallback(spark, sf_dir):
     g = groups(spark, sf_dir)
-    pos = resolve_positions(g, "consumer_from_checkpoint", checkpoints=checkpoint_table(g),
-                            consumer_group=CONSUMER_GROUP, fallback=T_START)
+    store = events_index(spark, sf_dir)
+    pos = resolve_positions(g, "consumer_from_checkpoint", checkpoints=checkpoint_table(store),
+                            consumer_group=CONSUMER_GROUP, fallback=T_START, store=store)
     pos, fits = materialized(pos)
     return read_summary(pos, bounded(g, pos, fits))
 
@@ -153,16 +155,16 @@ pos AS (SELECT s.logstore, s.shard, s.begin_seq AS start_seq, coalesce(t.s, s.en
         FROM shards s LEFT JOIN st t USING (logstore, shard))"""))
 def scan_stop_time(spark, sf_dir):
     g = groups(spark, sf_dir)
-    pos = resolve_positions(g, "earliest", stop_time=str(T_STOP))
+    pos = resolve_positions(g, "earliest", stop_time=str(T_STOP), store=events_index(spark, sf_dir))
     pos, fits = materialized(pos)
     return read_summary(pos, bounded(g, pos, fits))
 
 
 # ---------------------------------------------------------------- R12
-def progress_table(g: DataFrame) -> DataFrame:
+def progress_table(store: FileIndex) -> DataFrame:
     """Next position per shard of a consumer, derived from the data: shards
     1 and 3 read to their end, shards 0 and 2 one group short."""
-    idx = shard_index(g)
+    idx = store.shards()
     nxt = F.when(F.col("shard") % 2 == 1, F.col("end_seq")).otherwise(F.col("end_seq") - 1)
     return idx.select("logstore", "shard", nxt.alias("next_seq"))
 
@@ -174,8 +176,7 @@ SELECT s.logstore, s.shard, s.status, CAST(s.end_seq AS BIGINT) AS end_seq,
          AS finished
 FROM shards s"""))
 def finished_shards_q(spark, sf_dir):
-    g = groups(spark, sf_dir)
-    return finished_shards(shards_of(g), progress_table(g))
+    return finished_shards(events_shards(spark, sf_dir), progress_table(events_index(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- R14-R16
@@ -185,7 +186,7 @@ READERS = 3
 @register("shard_bucket_modulo", with_events(f"""
 SELECT logstore, shard, CAST(((shard % {READERS}) + {READERS}) % {READERS} AS INTEGER) AS task FROM shards"""))
 def shard_bucket_modulo(spark, sf_dir):
-    s = shards_of(groups(spark, sf_dir))
+    s = events_shards(spark, sf_dir)
     return s.select("logstore", "shard", modulo_task("shard", READERS).alias("task"))
 
 
@@ -195,7 +196,7 @@ SELECT logstore, shard,
             // ((count(*) OVER () + {READERS} - 1) // {READERS}) AS INTEGER) AS task
 FROM shards"""))
 def shard_bucket_balanced(spark, sf_dir):
-    s = shards_of(groups(spark, sf_dir))
+    s = events_shards(spark, sf_dir)
     return balanced_tasks(s, READERS).select("logstore", "shard", "task")
 
 
@@ -205,7 +206,7 @@ SELECT logstore, shard,
             ELSE (row_number() OVER (PARTITION BY logstore ORDER BY shard) - 1) % {READERS} END AS INTEGER) AS task
 FROM shards"""))
 def shard_bucket_writable_rank(spark, sf_dir):
-    s = shards_of(groups(spark, sf_dir))
+    s = events_shards(spark, sf_dir)
     return writable_rank_tasks(s, READERS).select("logstore", "shard", "task")
 
 

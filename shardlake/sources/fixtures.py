@@ -28,9 +28,10 @@ from ..model import cursor_of, epoch_micros, floor_div
 from ..plans.numbering import position_within
 from ..session import ensure_checkpoint_dir
 from .logstore import hadoop_fs, materialize_log_store, read_log_store
+from .manifest import READONLY, FileIndex, open_store, set_status
 
 # bump when the derivation below changes: stored copies are keyed by it
-FIXTURE_VERSION = "events-v2"
+FIXTURE_VERSION = "events-v3"
 LOGS_PER_GROUP = 10
 SHARDS_PER_STORE = 4
 MICROS_PER_DAY = 86_400_000_000
@@ -142,4 +143,20 @@ def events_log_root(spark: SparkSession, sf_dir: str) -> str:
         state.append(f"{name}|{status.getLen()}|{status.getModificationTime()}")
     key = hashlib.sha1("\n".join(map(str, state)).encode()).hexdigest()[:16]
     return materialize_log_store(spark, f"{base}/shardlake-logstores/{key}",
-                                 lambda: events_log_groups(spark, sf_dir))
+                                 lambda: events_log_groups(spark, sf_dir), lambda root: _close_shards(spark, root))
+
+
+def _close_shards(spark: SparkSession, root: str) -> None:
+    """The last shard of every derived store is closed."""
+    last = open_store(spark, root).ends().where(F.col("shard") == SHARDS_PER_STORE - 1)
+    set_status(spark, root, last.select("logstore", "shard", F.lit(READONLY).alias("status")))
+
+
+def events_index(spark: SparkSession, sf_dir: str) -> FileIndex:
+    """The manifest's index of the derived log stores."""
+    return FileIndex(spark, events_log_root(spark, sf_dir))
+
+
+def events_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard table of the derived log stores, as their manifest keeps it."""
+    return open_store(spark, events_log_root(spark, sf_dir)).shards()

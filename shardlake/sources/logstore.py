@@ -15,16 +15,18 @@ from ..model import LOG_GROUP
 
 
 def write_log_store(groups: DataFrame, root: str, mode: str = "append") -> None:
-    """Append (or overwrite) log groups under ``root``.
+    """Append (or overwrite) log groups, positions included, under ``root``.
 
-    Range partitioning on ``(logstore, shard, seq)``: a hot shard is cut
-    into many contiguous ``seq`` ranges written by different tasks (hash
-    partitioning on the shard would give one task a third of the data), and
-    every file covers a narrow ``seq`` range, so Parquet min/max statistics
-    prune position bounds."""
-    (groups.repartitionByRange("logstore", "shard", "seq")
-           .sortWithinPartitions("logstore", "shard", "seq")
-           .write.mode(mode).partitionBy("logstore", "shard").parquet(root))
+    Files are range partitioned on ``(logstore, shard, seq)``, so each covers
+    a narrow ``seq`` range and Parquet min/max statistics prune position
+    bounds; the store's manifest (``sources.manifest``) lists them."""
+    from .manifest import append_positioned
+    spark = groups.sparkSession
+    fs, path = hadoop_fs(spark, root)
+    if mode == "overwrite" and fs.exists(path):
+        fs.delete(path, True)
+    append_positioned(groups, root)
+    fs.create(path.suffix("/_SUCCESS"), True).close()
 
 
 def hadoop_fs(spark: SparkSession, path: str):
@@ -33,9 +35,9 @@ def hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def materialize_log_store(spark: SparkSession, root: str, build) -> str:
+def materialize_log_store(spark: SparkSession, root: str, build, finish=None) -> str:
     """Write ``build()`` as a log store at ``root`` once; later calls reuse
-    it.  The table is written next to ``root`` and renamed into place, so a
+    it.  ``finish(folder)`` may add to it before it is in place.  The table is written next to ``root`` and renamed into place, so a
     reader never sees a half-written store and an interrupted build is
     redone."""
     fs, final = hadoop_fs(spark, root)
@@ -43,9 +45,11 @@ def materialize_log_store(spark: SparkSession, root: str, build) -> str:
         return root
     import uuid
     tmp = f"{root}.tmp-{uuid.uuid4().hex}"
-    from ..plans.numbering import release_persisted
-    write_log_store(build(), tmp, mode="overwrite")
-    release_persisted()
+    from ..plans.cache import scoped
+    with scoped():
+        write_log_store(build(), tmp)
+    if finish is not None:
+        finish(tmp)
     _, tmp_path = hadoop_fs(spark, tmp)
     # another builder may have finished meanwhile: keep its store.  (A rename
     # onto an existing folder would move this copy *inside* it.)
@@ -87,6 +91,8 @@ def select_logstores(groups: DataFrame, logstore: str | Sequence[str] | None = N
 def read_log_store(spark: SparkSession, root: str, logstore: str | Sequence[str] | None = None,
                    pattern: str | None = None) -> DataFrame:
     """Batch scan of a log store table with log store selection."""
+    from .manifest import settle
+    settle(spark, root)
     df = spark.read.schema(LOG_GROUP).parquet(root)
     return select_logstores(df, logstore, pattern).select(*[f.name for f in LOG_GROUP.fields])
 
@@ -158,17 +164,16 @@ def records_to_groups(records: DataFrame, shards: DataFrame, ends: DataFrame | N
 
 def append_records(records: DataFrame, root: str, shards: DataFrame, order: Sequence[str] = ("time",),
                    max_lines: int = 4096, max_bytes: int | None = 3 * 1024 * 1024,
-                   write_time: str | None = None) -> None:
+                   write_time: str | None = None, key: tuple[str, int] | None = None) -> None:
     """K6-K11, then write: append encoded records to the log store at
     ``root`` (see :func:`records_to_groups`), after each shard's current end.
 
-    Delivery is at least once: a retried append writes its groups again at
-    new positions (the delivery checks in ``operators.audit`` find them)."""
-    from ..plans.cache import release_persisted
-    from ..plans.positions import shard_index
+    The ends come from the store's manifest, and the append becomes part of
+    the store by one commit to it: writers at the same time get positions of
+    their own.  An append with a ``key`` (writer, batch) that was committed
+    before adds nothing; one without is delivered at least once."""
+    from ..plans.cache import scoped
+    from .manifest import append_behind
 
-    spark = records.sparkSession
-    fs, path = hadoop_fs(spark, root)
-    ends = shard_index(read_log_store(spark, root)) if fs.exists(path) else None
-    write_log_store(records_to_groups(records, shards, ends, order, max_lines, max_bytes, write_time), root)
-    release_persisted()
+    with scoped():
+        append_behind(records_to_groups(records, shards, None, order, max_lines, max_bytes, write_time), root, key)

@@ -125,18 +125,22 @@ def log_table(spark: SparkSession, schema: T.StructType | str, options: dict,
               keep: tuple[str, ...] = ()) -> DataFrame:
     """The decoded table described by ``options``.  ``groups`` replaces the
     ``project`` path when the log groups are derived rather than stored."""
+    from .sources.manifest import FileIndex
     opts = LogTableOptions.from_options(options)
+    store = None
+    start, stop = parse_start_position(opts.scan_startup_mode), parse_stop_time(opts.stop_time)
     if groups is None:
         if not opts.project:
             raise ValueError("option 'project' is required")
         groups = read_log_store(spark, opts.project, **opts.selection())
+        if start.kind in (LATEST, CHECKPOINT):
+            store = FileIndex(spark, opts.project).select(**opts.selection())
     else:
         groups = select_logstores(groups, **opts.selection())
-    start, stop = parse_start_position(opts.scan_startup_mode), parse_stop_time(opts.stop_time)
     if start.kind in (LATEST, CHECKPOINT):
         groups = bounded(groups, resolve_positions(
             groups, opts.scan_startup_mode, None, checkpoints, opts.consumer_group,
-            opts.scan_startup_default_position))
+            opts.scan_startup_default_position, store=store))
     # write times never fall within a shard, so times are plain conditions
     # that reach the scan
     if start.kind == TIMESTAMP:
@@ -166,6 +170,7 @@ def stream_log_table(spark: SparkSession, schema: T.StructType | str, options: d
     found later has no stored position and is read from its beginning (from
     the fallback time, where the fallback is a time)."""
     from .sources.logstore import stream_log_store
+    from .sources.manifest import FileIndex
     opts = LogTableOptions.from_options(options)
     if not opts.project:
         raise ValueError("option 'project' is required")
@@ -181,7 +186,7 @@ def stream_log_table(spark: SparkSession, schema: T.StructType | str, options: d
             raise ValueError(f"a stream that starts from '{start.kind}' needs a state folder for its positions")
         pos = stored_positions(spark, state, lambda: resolve_positions(
             read_log_store(spark, opts.project, **sel), opts.scan_startup_mode, None, checkpoints,
-            opts.consumer_group, opts.scan_startup_default_position))
+            opts.consumer_group, opts.scan_startup_default_position, store=FileIndex(spark, opts.project).select(**sel)))
         fallback = parse_start_position(opts.scan_startup_default_position)
         since = fallback.timestamp if start.kind == CHECKPOINT and fallback.kind == TIMESTAMP else None
         groups = read_from(groups, pos, since)
@@ -231,24 +236,27 @@ def sink_records(rows: DataFrame, options: dict, now_seconds: int | None = None)
 
 
 def insert_into(rows: DataFrame, options: dict, order: tuple[str, ...] = ("time",), write_time: str | None = None,
-                now_seconds: int | None = None) -> None:
+                now_seconds: int | None = None, key: tuple[str, int] | None = None) -> None:
     """T4: ``INSERT INTO`` the log table described by ``options``: rows are
-    encoded and appended to the log stores under ``project``.
+    encoded and appended to the log stores under ``project``.  What is there
+    already is known from the store's manifest; a ``key`` (writer, batch) that
+    was committed before inserts nothing.
 
     A row goes to its ``__logstore__`` if that store exists, else to the
     default ``logstore``, which is created with ``sink.shards`` shards if
     need be; a row for another store raises."""
-    from .sources.logstore import append_records, hadoop_fs
+    from .sources.logstore import append_records
+    from .sources.manifest import open_store
     opts = LogTableOptions.from_options(options)
     if not opts.project:
         raise ValueError("option 'project' is required")
     spark = rows.sparkSession
-    fs, root = hadoop_fs(spark, opts.project)
     own = spark.range(opts.sink_shards).select(F.lit(opts.logstore).alias("logstore"), F.col("id").cast("int").alias("shard"))
-    if fs.exists(root):
-        have = read_log_store(spark, opts.project).select("logstore", "shard").distinct()
+    store = open_store(spark, opts.project)
+    if store.version:
+        have = store.shards().where("status <> 'readonly'").select("logstore", "shard")
         own = have.unionByName(own.join(have.select("logstore").distinct(), "logstore", "left_anti"))
-    append_records(sink_records(rows, options, now_seconds), opts.project, own, order=order, write_time=write_time)
+    append_records(sink_records(rows, options, now_seconds), opts.project, own, order=order, write_time=write_time, key=key)
 
 
 def insert_sql(spark: SparkSession, query: str, options: dict, **more) -> None:

@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..model import CONSUMER_GROUPS, cursor_of, seq_of
-from ..plans.broadcast import checked_broadcast
-from ..plans.positions import shard_index
+from ..plans.positions import ScanIndex
 
 SHARD_KEY = ["logstore", "shard"]
 COMMIT_COLUMNS = [f.name for f in CONSUMER_GROUPS.fields]
@@ -94,25 +93,23 @@ def merge_commit(commits: DataFrame, read_groups: DataFrame, consumer_group: str
     return current_positions(commits.select(*COMMIT_COLUMNS).unionByName(new))
 
 
-def progress_time(positions: DataFrame, groups: DataFrame) -> DataFrame:
+def progress_time(positions: DataFrame, groups: DataFrame, store=None) -> DataFrame:
     """Per shard, the write time of the last group read (the group just
     before the committed position): the consumer's position as a time.
-    NULL when nothing was read yet."""
+    NULL when nothing was read yet.  ``store``: the ``FileIndex`` of the store
+    that holds the groups, which knows most times without opening a file."""
     p = positions.select("consumer_group", *SHARD_KEY, F.col("seq").alias("next_seq"))
-    last = groups.select(*SHARD_KEY, (F.col("seq") + 1).alias("next_seq"),
-                         F.col("cursor_time").alias("progress_time"))
-    # one row per shard on the broadcast side; at most one hit per shard
-    hits = last.join(checked_broadcast(p), [*SHARD_KEY, "next_seq"], "inner")
-    return p.join(hits.select("consumer_group", *SHARD_KEY, "next_seq", "progress_time"),
-                  ["consumer_group", *SHARD_KEY, "next_seq"], "left")
+    timed = (store or ScanIndex(groups)).time_of(p)
+    return timed.select("consumer_group", *SHARD_KEY, "next_seq", "progress_time")
 
 
-def consumer_lag(positions: DataFrame, groups: DataFrame, now=None) -> DataFrame:
+def consumer_lag(positions: DataFrame, groups: DataFrame, now=None, store=None) -> DataFrame:
     """Per shard, groups not yet read, seconds between the newest write
     and the consumer's position, and the fetch lag ``now - progress time``
     (``now`` fixed for reproducible reports, else the current time)."""
-    idx = shard_index(groups)
-    t = progress_time(positions, groups).join(idx, SHARD_KEY, "left")
+    store = store or ScanIndex(groups)
+    idx = store.shards()
+    t = progress_time(positions, groups, store).join(idx, SHARD_KEY, "left")
     now_col = F.lit(now).cast("timestamp_ntz") if now is not None else F.localtimestamp()
     return t.select(
         "consumer_group", *SHARD_KEY, "next_seq", "progress_time",

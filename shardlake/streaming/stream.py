@@ -296,17 +296,21 @@ def console_sink(df: DataFrame, checkpoint: str, rows: int = 2 ** 31 - 1):
 def start_insert(rows: DataFrame, root: str, shards: DataFrame, options: dict, checkpoint: str,
                  order: tuple[str, ...] = ("time",), available_now: bool = True,
                  processing_time: str | None = None, once: bool = False):
-    """T4 on a stream: ``INSERT INTO`` a log table.  Each micro-batch is
-    encoded with the table's options (K1-K6) and appended to the log store
-    at ``root`` (K7-K11, continuing each shard's positions).  At least once,
-    as the sink it replaces: a retried batch is appended again."""
-    from ..plans.cache import release_persisted
+    """T4 on a stream: ``INSERT INTO`` a log table, exactly once.  Each
+    micro-batch is encoded with the table's options (K1-K6) and appended to
+    the log store at ``root`` (K7-K11, behind each shard's positions) under
+    the key (query id, batch id): a batch that runs again after a failure finds
+    its key in the store's manifest if it had been committed, and is not
+    written twice; if it had not, nothing of it is in the store."""
+    from ..plans.cache import scoped
     from ..sources.logstore import append_records
     from ..sql import sink_records
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        append_records(sink_records(batch, options), root, shards, order=order)
-        release_persisted()
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        with scoped():
+            append_records(sink_records(batch, options), root, shards, order=order,
+                           key=(query, batch_id) if query else None)
 
     w = rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if processing_time:
