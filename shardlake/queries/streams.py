@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.decode import log_to_json
 from ..session import ensure_checkpoint_dir
-from ..sources.fixtures import events_log_root, events_log_store
+from ..sources.fixtures import events_log_root, events_log_store, events_shards
 from ..sources.logstore import write_log_store
 from ..plans.positions import seconds_ntz
 from ..sql import insert_sql, register_log_table, stream_log_table
@@ -87,24 +87,48 @@ def stream_restart_latest(spark, sf_dir):
 @register("commit_out_of_order", with_events("""
 SELECT logstore, shard, CAST(0 AS BIGINT) AS late_only, CAST(least(max(seq) + 1, 2) AS BIGINT) AS with_gap,
        CAST(max(seq) + 1 AS BIGINT) AS all_read
-FROM groups GROUP BY logstore, shard HAVING max(seq) >= 3"""))
+FROM groups GROUP BY logstore, shard"""))
 def commit_out_of_order(spark, sf_dir):
     """Positions after the groups from 3 on, then 0 and 1, then 2 were
-    read and committed."""
+    read and committed; a shard nothing was committed for is at 0."""
     folder, groups = f"{_scratch(spark)}/commits", events_log_store(spark, sf_dir)
-    long = groups.groupBy("logstore", "shard").agg(F.max("seq").alias("top")).where("top >= 3").select("logstore", "shard")
-    groups = groups.join(long, ["logstore", "shard"], "left_semi")
-    committer, out = ProgressCommitter(folder, "cg"), None
+    committer, out = ProgressCommitter(folder, "cg"), events_shards(spark, sf_dir).select("logstore", "shard")
     for b, (name, part) in enumerate((("late_only", "seq >= 3"), ("with_gap", "seq < 2"), ("all_read", "seq = 2"))):
         committer.commit(groups.where(part), b)
         at = current_positions(read_commits(spark, folder), "cg").select("logstore", "shard", F.col("seq").alias(name))
         # the table grows with the next commit: keep what it says now
         at.coalesce(1).write.parquet(f"{folder}-{name}")
         at = spark.read.schema(at.schema).parquet(f"{folder}-{name}")
-        out = at if out is None else out.join(at, ["logstore", "shard"])
+        out = out.join(at, ["logstore", "shard"], "left").withColumn(name, F.coalesce(name, F.lit(0)).cast("long"))
     return out
 
 
+@register("commit_after_crash", with_events("""
+SELECT logstore, shard, (max(seq) + 3) // 3 AS before_crash, (max(seq) + 3) // 3 AS while_down, max(seq) + 1 AS recovered
+FROM groups GROUP BY logstore, shard"""))
+def commit_after_crash(spark, sf_dir):
+    """Periodic commits of three reads (thirds of each shard).  The first
+    is committed, the second held back when the process is lost, the third is
+    read by a new one, which commits all."""
+    folder, groups = f"{_scratch(spark)}/commits", events_log_store(spark, sf_dir)
+    shards = events_shards(spark, sf_dir).select("logstore", "shard", F.expr("(end_seq + 2) div 3").alias("third"))
+    cut = groups.select("logstore", "shard", "seq").join(F.broadcast(shards), ["logstore", "shard"])  # a row per shard
+
+    def positions(name):
+        at = current_positions(read_commits(spark, folder), "cg").select("logstore", "shard", F.col("seq").alias(name))
+        at.coalesce(1).write.parquet(f"{folder}-{name}")
+        return spark.read.schema(at.schema).parquet(f"{folder}-{name}")
+
+    lost = ProgressCommitter(folder, "cg", mode="PERIODIC", interval_ms=3_600_000)
+    lost.commit(cut.where("seq < third"), 0)
+    out = positions("before_crash")
+    lost.commit(cut.where("seq >= third AND seq < 2 * third"), 1)
+    del lost
+    out = out.join(positions("while_down"), ["logstore", "shard"])
+    ProgressCommitter(folder, "cg", mode="PERIODIC", interval_ms=3_600_000).commit(cut.where("seq >= 2 * third"), 2)
+    return out.join(positions("recovered"), ["logstore", "shard"])
+
+
 @register("stream_commit", with_events("""
 SELECT logstore, shard, CAST(max(seq) + 1 AS BIGINT) AS seq FROM groups GROUP BY logstore, shard"""))
 def stream_commit(spark, sf_dir):

@@ -31,7 +31,7 @@ from .logstore import hadoop_fs, materialize_log_store, read_log_store
 from .manifest import READONLY, FileIndex, open_store, set_status
 
 # bump when the derivation below changes: stored copies are keyed by it
-FIXTURE_VERSION = "events-v3"
+FIXTURE_VERSION = "events-v4"
 LOGS_PER_GROUP = 10
 SHARDS_PER_STORE = 4
 MICROS_PER_DAY = 86_400_000_000

@@ -13,8 +13,9 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -118,9 +119,10 @@ class ProgressCommitter:
     group's position is where they follow its start without a gap, so files
     read out of order never commit what was not read.  ``ON_CHECKPOINTS``
     commits every batch; ``PERIODIC`` the first one and then at most once per
-    ``interval_ms``: held-back ranges are merged (for a dense read that is one
-    row per shard) and go out with the next commit or with :meth:`flush`, to
-    be called when the query has ended; ``DISABLED`` commits never.  The table
+    ``interval_ms``: ranges held back are written ahead, beside the table, and
+    go out merged with the next commit or with :meth:`flush`, to be called when
+    the query has ended; those of a lost process go out with the first commit
+    of the next one.  ``DISABLED`` commits never.  The table
     (``commits_path``) is created by the first commit.  ``start``: positions
     (``logstore, shard, start_seq``) that the group begins at, if not at 0."""
     commits_path: str
@@ -130,7 +132,6 @@ class ProgressCommitter:
     start: DataFrame | None = None
     compact_every: int = 100
     _last: float | None = None
-    _held: list = field(default_factory=list)
     _commits: int = 0
     _started: bool = False
 
@@ -162,10 +163,8 @@ class ProgressCommitter:
             rows = rows.unionByName(self._rows(anchors, batch_id))
         self._started = True
         if self.mode == "PERIODIC":
-            # a batch is only valid inside its call: what it read is kept
-            # here as merged ranges, never as rows of each batch
-            held = spark.createDataFrame(self._held, RANGE_SCHEMA)
-            self._held = merged_ranges(rows.unionByName(held)).collect()
+            # the batch is delivered: what it read must not be lost with this process
+            rows.coalesce(1).write.parquet(f"{self._held_folder()}/{uuid.uuid4().hex}")
             now = time.monotonic()
             if self._last is not None and (now - self._last) * 1000 < self.interval_ms:
                 return
@@ -175,10 +174,20 @@ class ProgressCommitter:
         self._write(rows)
 
     def flush(self, spark: SparkSession) -> None:
-        """Commit what is held back."""
-        if self._held:
-            self._write(spark.createDataFrame(self._held, RANGE_SCHEMA))
-            self._held = []
+        """Commit what is held back, by this process or by one before it.  Lost
+        between the commit and the end of what it held, ranges are committed
+        twice, which changes no position."""
+        from ..sources.logstore import hadoop_fs
+        fs, folder = hadoop_fs(spark, self._held_folder())
+        held = [f.getPath() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+        whole = [p for p in held if fs.exists(p.suffix("/_SUCCESS"))]
+        if whole:
+            self._write(merged_ranges(spark.read.schema(RANGE_SCHEMA).parquet(*[p.toString() for p in whole])))
+            for p in whole:
+                fs.delete(p, True)
+
+    def _held_folder(self) -> str:
+        return f"{self.commits_path}/_held/{self.consumer_group.encode().hex()}"
 
     def _write(self, rows: DataFrame) -> None:
         # one small file per commit: a row per shard and run of the batch
