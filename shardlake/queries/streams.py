@@ -8,10 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.decode import log_to_json
+from ..operators.decode import decode, log_to_json
 from ..session import ensure_checkpoint_dir
 from ..sources.fixtures import events_log_root, events_log_store, events_shards
 from ..sources.logstore import write_log_store
+from ..sources.positions_source import end_when_finished, stream_groups
 from ..plans.positions import seconds_ntz
 from ..sql import insert_sql, register_log_table, stream_log_table
 from ..streaming.progress import current_positions
@@ -129,6 +130,52 @@ def commit_after_crash(spark, sf_dir):
     return out.join(positions("recovered"), ["logstore", "shard"])
 
 
+def _positions_read(spark: SparkSession, options: dict, folder: str) -> None:
+    """Run a continuous stream of groups until it ends by itself; each batch
+    is stored with its number."""
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        (decode(batch, "event_id bigint", keep=("logstore", "shard", "seq")).withColumn("batch", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}"))
+
+    q = (stream_groups(spark, options).writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/checkpoint")
+         .trigger(processingTime="0 seconds").start())
+    try:
+        if not end_when_finished(q, options, timeout=600):
+            raise TimeoutError("the stream did not end")
+    finally:
+        q.stop()
+
+
+@register("stream_stops_itself", with_events(
+    f"{DELIVERED_SQL} WHERE g.cursor_time >= {T_START_SQL} AND g.cursor_time < {T_STOP_SQL}"))
+def stream_stops_itself(spark, sf_dir):
+    """A continuous stream (no ``availableNow``) from a start time
+    that stops by itself when every shard has come to the stop time."""
+    folder = _scratch(spark)
+    options = {"project": events_log_root(spark, sf_dir), "logstore": "events-.*", "logstore.pattern": "true",
+               "scan.startup.mode": str(T_START), "stop.time": str(T_STOP), "max.number.per.fetch": "1000"}
+    _positions_read(spark, options, folder)
+    return _delivered(spark, folder)
+
+
+GROUPS_A_BATCH = 40
+#: Later than every event, and past: shards are read to their ends.
+T_END = 1750000000
+
+
+@register("stream_group_cap", with_events(f"""
+SELECT CAST(seq // {GROUPS_A_BATCH} AS BIGINT) AS batch, logstore, shard, CAST(count(*) AS BIGINT) AS n_groups
+FROM groups GROUP BY ALL"""))
+def stream_group_cap(spark, sf_dir):
+    """At most so many groups of each shard in a batch."""
+    folder = _scratch(spark)
+    options = {"project": events_log_root(spark, sf_dir), "logstore": "events-.*", "logstore.pattern": "true",
+               "stop.time": str(T_END), "max.number.per.fetch": str(GROUPS_A_BATCH)}
+    _positions_read(spark, options, folder)
+    out = spark.read.schema(f"{ROW}, batch long").parquet(f"{folder}/out")
+    return out.groupBy("batch", "logstore", "shard").agg(F.countDistinct("seq").alias("n_groups"))
+
+
 @register("stream_commit", with_events("""
 SELECT logstore, shard, CAST(max(seq) + 1 AS BIGINT) AS seq FROM groups GROUP BY logstore, shard"""))
 def stream_commit(spark, sf_dir):
