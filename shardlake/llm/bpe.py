@@ -48,6 +48,13 @@ def coin(key, merge):
     return mixed((key + merge) & MASK) if isinstance(key, int) else mixed(key + merge)
 
 
+def found(among: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if not len(among):
+        return np.zeros(len(values), dtype=bool)
+    return among[np.minimum(np.searchsorted(among, values), len(among) - 1)] == values
+
+
 class MergeTable:
     """``pairs``: (left symbol, right symbol) to (rank, merged symbol); the
     least rank merges first, and a rank stands for one merged symbol."""
@@ -58,13 +65,37 @@ class MergeTable:
         ranks = np.array([r for r, _ in pairs.values()], dtype=np.int32)
         self.merged = np.zeros(int(ranks.max()) + 1, dtype=np.int32)
         self.merged[ranks] = [m for _, m in pairs.values()]
-        by = np.argsort(keys)
+        # pairs by a hash of theirs: a few to a bucket, most buckets empty
+        self.shift = np.uint64(64 - max(4, (4 * len(keys)).bit_length()))
+        bucket = self._bucket(keys)
+        by = np.argsort(bucket, kind="stable")
         self.keys, self.ranks = keys[by], ranks[by]
+        counts = np.bincount(bucket, minlength=1 << (64 - int(self.shift)))
+        self.buckets = np.r_[0, np.cumsum(counts)].astype(np.int32)
+
+    def _bucket(self, pairs: np.ndarray) -> np.ndarray:
+        return (pairs.astype(np.uint64) * np.uint64(PLACE) >> self.shift).astype(np.int64)
+
+    def _ranks(self, pairs: np.ndarray) -> np.ndarray:
+        """The rank of each pair, NO_MERGE for those that do not merge."""
+        out = np.full(len(pairs), NO_MERGE, dtype=np.int32)
+        bucket = self._bucket(pairs)
+        at, end = self.buckets[bucket], self.buckets[bucket + 1]
+        rest = np.flatnonzero(at < end)
+        while len(rest):
+            same = self.keys[at[rest]] == pairs[rest]
+            out[rest[same]] = self.ranks[at[rest[same]]]
+            rest = rest[~same]
+            at[rest] += 1
+            rest = rest[at[rest] < end[rest]]
+        return out
 
-    def one(self, syms: list[int], key: int = 0, limit: int = 0, trace: list | None = None) -> list[int]:
+    def one(self, syms: list[int], key: int = 0, limit: int = 0, trace: list | None = None,
+            skips: set[int] | None = None) -> list[int]:
         """The symbols of one word after all its merges, through a heap.  A
-        merge is skipped if its keyed hash is below ``limit`` (of 2**64).
-        ``trace`` takes the number of every candidate that came up."""
+        merge is skipped if its keyed hash is below ``limit`` (of 2**64), or
+        one of ``skips``.  ``trace`` takes the number of every candidate that
+        came up."""
         syms = list(syms)
         after, before, alive = list(range(1, len(syms))) + [-1], list(range(-1, len(syms) - 1)), [True] * len(syms)
         agenda: list[tuple] = []
@@ -74,7 +105,8 @@ class MergeTable:
             if j >= 0 and (got := self.pairs.get((syms[i], syms[j]))):
                 if trace is not None:
                     trace.append(candidate(i, syms[i], syms[j]))
-                if not limit or coin(key, candidate(i, syms[i], syms[j])) >= limit:
+                toss = coin(key, candidate(i, syms[i], syms[j])) if limit or skips else limit
+                if toss >= limit and not (skips and toss in skips):
                     heapq.heappush(agenda, (got[0], i, syms[i], syms[j], got[1]))
 
         for i in range(len(syms) - 1):
@@ -93,16 +125,18 @@ class MergeTable:
         return [s for s, a in zip(syms, alive) if a]
 
     def many(self, flat: np.ndarray, lengths: np.ndarray, keys: np.ndarray | None = None, limit: int = 0,
-             trace: list | None = None) -> list[bytes]:
+             trace: list | None = None, skips: np.ndarray | None = None) -> list[bytes]:
         """Final symbols of each word as little-endian int32 bytes; ``flat``
-        holds the first symbols of all words, one after the other.  ``trace``
-        takes arrays (words, candidates) of all candidates that came up."""
+        holds the first symbols of all words, one after the other.  ``skips``
+        are keyed hashes (sorted) of merges to skip.  ``trace`` takes arrays
+        (words, candidates) of all candidates that came up."""
         out: list[bytes] = [b""] * len(lengths)
         starts = np.cumsum(lengths) - lengths
         keys = np.zeros(len(lengths), dtype=np.uint64) if keys is None else keys
+        skip_set = None if skips is None or not (lengths > LONG_WORD).any() else set(skips.tolist())
         for i in np.flatnonzero(lengths > LONG_WORD):
             seen = None if trace is None else []
-            word = self.one(flat[starts[i] : starts[i] + lengths[i]].tolist(), int(keys[i]), limit, seen)
+            word = self.one(flat[starts[i] : starts[i] + lengths[i]].tolist(), int(keys[i]), limit, seen, skip_set)
             if seen:
                 trace.append((np.full(len(seen), i), np.array(seen, dtype=np.uint64)))
             out[i] = np.array(word, dtype="<i4").tobytes()
@@ -110,7 +144,7 @@ class MergeTable:
             rows = np.flatnonzero((lengths > lo) & (lengths <= hi))
             for a in range(0, len(rows), ROWS):
                 part = rows[a : a + ROWS]
-                done = self._rounds(flat, starts[part], lengths[part], keys[part], limit, part, trace)
+                done = self._rounds(flat, starts[part], lengths[part], keys[part], (limit, skips), part, trace)
                 sizes, width = (4 * (done != PADDING).sum(axis=1)).tolist(), 4 * done.shape[1]
                 raw = done.astype("<i4").tobytes()
                 for k, (i, m) in enumerate(zip(part.tolist(), sizes)):
@@ -119,15 +153,16 @@ class MergeTable:
 
     def _offers(self, left, right, place, keys, limit, words, trace):
         """Rank of each pair, NO_MERGE where there is no merge or it is skipped."""
-        want = (left.astype(np.int64) << 32) | right
-        at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
-        hit = (self.keys[at] == want) & (right >= 0)
+        ranks = self._ranks((left.astype(np.int64) << 32) | right)
+        hit = (ranks != NO_MERGE) & (right >= 0)
         if trace is not None:
             trace.append((words[hit], candidate(place[hit], left[hit], right[hit])))
-        if limit:
+        limit, skips = limit
+        if limit or skips is not None:
             at_hit = np.flatnonzero(hit)
-            hit[at_hit] = coin(keys[at_hit], candidate(place[at_hit], left[at_hit], right[at_hit])) >= np.uint64(limit)
-        return np.where(hit, self.ranks[at], NO_MERGE)
+            toss = coin(keys[at_hit], candidate(place[at_hit], left[at_hit], right[at_hit]))
+            hit[at_hit] = toss >= np.uint64(limit) if skips is None else ~found(skips, toss)
+        return np.where(hit, ranks, NO_MERGE)
 
     def _rounds(self, flat, starts, lengths, keys, limit, words, trace):
         n, width = len(lengths), int(lengths.max())

@@ -78,7 +78,8 @@ class ChunkCoder:
     def encode(self, texts: list[bytes], vary: Callable | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin (one more for the end).
         ``vary(chunk numbers, text numbers, places in the text, chunk_at)``
-        gives the occurrences that have ids of their own, and those ids."""
+        gives the occurrences that have ids of their own, those ids, and how
+        many each has."""
         if self.count > self.remembered:
             self._forget()
         buffer = b"".join([b" " + t if t else b"" for t in texts])
@@ -107,14 +108,13 @@ class ChunkCoder:
         number = number[back]
         start, n = self.start[number], self.size[number]
         if vary:
-            at, codes = vary(number, np.repeat(np.arange(len(texts)), np.diff(before)),
+            at, own, sizes = vary(number, np.repeat(np.arange(len(texts)), np.diff(before)),
                              np.arange(len(starts)) - np.repeat(before[:-1], np.diff(before)), chunk_at)
-            own = np.frombuffer(b"".join(codes), dtype="<i4")
             while self.used + len(own) > len(self.pool):
                 self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
             # behind what is remembered, until the next batch
             self.pool[self.used : self.used + len(own)] = own
-            n[at] = np.fromiter(map(len, codes), dtype=np.int64, count=len(codes)) // 4
+            n[at] = sizes
             start[at] = self.used + np.cumsum(n[at]) - n[at]
         ends = np.cumsum(n)
         ids = self.pool[np.arange(ends[-1]) + np.repeat(start - (ends - n), n)]

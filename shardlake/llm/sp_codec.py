@@ -5,30 +5,41 @@ piece comes first, the leftmost of equals.  With dropout, a candidate merge is
 skipped if a keyed hash of (seed, document, the chunk's place in it, the
 merge's place in the chunk, left and right symbol) falls below the rate, so
 each occurrence of a word is cut by itself, otherwise for each seed, and the
-same on every run and machine.  A worker remembers the plain segmentation of a
-chunk and the candidates that came up in it: an occurrence that skips none of
-them is plain, every other one is segmented with its own key.  The skipped merges change the cuts only, so decoding gives back the
-text byte for byte: unknown characters, line feeds and a literal U+2581 are
-byte pieces.
+same on every run and machine.  The skipped merges change the cuts only, so
+decoding gives back the text byte for byte: unknown characters, line feeds and
+a literal U+2581 are byte pieces.
+
+A segmentation depends on its chunk and on which candidates are skipped, not
+on the key that skips them, so a worker remembers segmentations in a tree
+(``Outcomes``).  A node is a chunk with a set of skipped candidates; it holds
+the ids and the other candidates that came up.  An occurrence tosses for
+these; if none is skipped, the ids are its own, else it goes on at the node
+with them in the set.  The root is the plain segmentation.
 
 No piece has a space mark after another character, and none holds a line
 feed, so texts are cut there into chunks first; no merge is lost by that.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import MASK, UNKNOWN, MergeTable, code_points, coin, mixed
+from .bpe import LONG_WORD, MASK, UNKNOWN, MergeTable, code_points, coin, found, mixed
 from .chunks import ChunkCoder
-from .common import small_batches
+from .common import free_name, small_batches
 
 RATE = 0.1
-#: Chunks that a worker remembers, with their candidates (about 140 bytes each).
+#: Chunks, and nodes of their trees, that a worker remembers, with their
+#: candidates (about 140 bytes each).
 REMEMBERED = 1_000_000
+#: A set of one, two, ... skipped candidates gets a node once a worker has seen
+#: its chunk so often; other occurrences are segmented by themselves.
+SEEN = (16, 128, 1024)
 #: Occurrences whose candidates are looked at together.
 TOGETHER = 50_000
 SPACE = "▁"
@@ -84,7 +95,8 @@ class PieceModel:
             at += size
         return np.array(out, dtype="<i4").tobytes()
 
-    def segment(self, chunks: list[str], keys: np.ndarray, limit: int = 0, trace: list | None = None) -> list[bytes]:
+    def segment(self, chunks: list[str], keys: np.ndarray, limit: int = 0, trace: list | None = None,
+                skips: np.ndarray | None = None) -> list[bytes]:
         """Ids of each chunk, as little-endian int32 bytes; for ``trace`` see
         ``MergeTable.many`` (it does not cover chunks with a literal mark)."""
         marked = [c.replace(" ", SPACE) for c in chunks]
@@ -92,7 +104,7 @@ class PieceModel:
         first = self.char_symbol[points]
         starts = np.cumsum(lengths) - lengths
         odd = np.add.reduceat((first == UNKNOWN) | (first >= len(self.bytes_of)), starts)
-        got = self.merges.many(first, lengths, keys, limit, trace)
+        got = self.merges.many(first, lengths, keys, limit, trace, skips)
         for i in np.flatnonzero(odd):
             got[i] = self._with_bytes(got[i], marked[i])
         for i in [i for i, c in enumerate(chunks) if SPACE in c]:
@@ -104,6 +116,114 @@ class PieceModel:
         return got
 
 
+class Ragged:
+    """Rows of numbers, one behind the other."""
+
+    def __init__(self, dtype):
+        self.flat, self.ends, self.rows, self.used = np.zeros(1 << 12, dtype=dtype), np.zeros(1 << 12, dtype=np.int64), 0, 0
+
+    def add(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        while self.used + len(flat) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.rows + len(sizes) > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.ends[self.rows : self.rows + len(sizes)] = self.used + np.cumsum(sizes)
+        self.used, self.rows = self.used + len(flat), self.rows + len(sizes)
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of some rows, one behind the other, and their counts."""
+        start = np.where(rows > 0, self.ends[rows - 1], 0)
+        sizes = self.ends[rows] - start
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.arange(total) + np.repeat(start - (ends - sizes), sizes)], sizes
+
+
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    total = np.r_[np.zeros(1, dtype=values.dtype), np.cumsum(values, dtype=values.dtype)]
+    ends = np.cumsum(sizes)
+    return total[ends] - total[ends - sizes]
+
+
+class Outcomes:
+    """Segmentations of chunks with skipped candidates, by chunk and set."""
+
+    def __init__(self, model: PieceModel, limit: int):
+        self.model, self.limit = model, np.uint64(limit)
+        self.forget()
+
+    def forget(self) -> None:
+        self.nodes = ChunkCoder(None)
+        self.open, self.skipped = Ragged(np.uint64), Ragged(np.uint64)
+
+    def tosses(self, trace: np.ndarray, sizes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        return coin(np.repeat(keys, sizes), trace) < self.limit
+
+    def _learn(self, codes: np.ndarray, chunks: list[str], sets: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Nodes for chunks with skipped candidates ``sets``; ``codes`` (sorted) name them."""
+        skips = np.sort(coin(np.repeat(codes, sizes), sets))
+        trace: list = []
+        ids = self.model.segment(chunks, codes, 0, trace, skips)
+        word = np.concatenate([w for w, _ in trace])
+        came = np.concatenate([m for _, m in trace])
+        left = ~found(skips, coin(codes[word], came))
+        word, came = word[left], came[left]
+        self.open.add(came[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(codes)))
+        self.skipped.add(sets, sizes)
+        return self.nodes._add(codes, ids)
+
+    def find(self, number: np.ndarray, keys: np.ndarray, seen: np.ndarray, trace: np.ndarray, sizes: np.ndarray,
+             chunk_at: Callable, direct: Callable):
+        """(ids, counts) of occurrences that skip some candidate of the plain
+        ``trace`` of their chunk, which was ``seen`` so often;
+        ``direct(indices)`` segments those whose set gets no node."""
+        n, least = len(number), np.array([0, *SEEN])
+        node = np.full(n, -1, dtype=np.int64)
+        total, count = np.zeros(n, dtype=np.uint64), np.zeros(n, dtype=np.int64)
+        live = np.arange(n)
+        apart = []
+        while len(live):
+            low = self.tosses(trace, sizes, keys[live])
+            new = _sums(low.astype(np.int64), sizes)
+            total[live] += _sums(np.where(low, mixed(trace), np.uint64(0)), sizes)
+            count[live] += new
+            skips = count[live]
+            on = (new > 0) & (skips < len(least)) & (seen[live] >= least[np.minimum(skips, len(least) - 1)])
+            apart.append(live[(new > 0) & ~on])
+            fresh, fresh_sizes = trace[low & np.repeat(on, sizes)], new[on]
+            live = live[on]
+            if not len(live):
+                break
+            code = mixed(total[live] + number[live].astype(np.uint64) * np.uint64(STEP))
+            code, first, back = np.unique(code, return_index=True, return_inverse=True)
+            at = self.nodes._find(code)
+            if (lack := np.flatnonzero(at < 0)).size:
+                who = first[lack]
+                old, old_sizes = self.skipped.take(np.maximum(node[live[who]], 0)) if self.skipped.rows else (fresh[:0], np.zeros(len(who), dtype=np.int64))
+                root = node[live[who]] < 0
+                old, old_sizes = old[~np.repeat(root, old_sizes)], np.where(root, 0, old_sizes)
+                ends = np.cumsum(fresh_sizes)
+                own = np.concatenate([np.arange(ends[w] - fresh_sizes[w], ends[w]) for w in who])
+                row = np.concatenate([np.repeat(np.arange(len(who)), old_sizes), np.repeat(np.arange(len(who)), fresh_sizes[who])])
+                sets = np.concatenate([old, fresh[own]])[np.argsort(row, kind="stable")]
+                at[lack] = self._learn(code[lack], chunk_at(live[who]), sets, old_sizes + fresh_sizes[who])
+            node[live] = at[back]
+            trace, sizes = self.open.take(node[live])
+        apart = np.concatenate(apart) if apart else live
+        start, length = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+        kept = np.ones(n, dtype=bool)
+        kept[apart] = False
+        start[kept], length[kept] = self.nodes.start[node[kept]], self.nodes.size[node[kept]]
+        codes = direct(apart) if len(apart) else []
+        own = np.frombuffer(b"".join(codes), dtype="<i4")
+        length[apart] = np.fromiter(map(len, codes), dtype=np.int64, count=len(codes)) // 4
+        start[apart] = self.nodes.used + np.cumsum(length[apart]) - length[apart]
+        pool = np.concatenate([self.nodes.pool[: self.nodes.used], own])
+        ends = np.cumsum(length)
+        return pool[np.arange(ends[-1]) + np.repeat(start - (ends - length), length)], length
+
+
 class Encoder:
     """Ids of texts with seeded merge-dropout."""
 
@@ -111,8 +231,13 @@ class Encoder:
         self.model = PieceModel(path)
         self.seed, self.limit = seed, min(int(rate * 2.0 ** 64), MASK) if rate > 0 else 0
         self.coder = ChunkCoder(self._learn, REMEMBERED)
-        self.merges, self.start, self.size = np.zeros(0, dtype=np.uint64), np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
-        self.used, self.literal = 0, np.zeros(1, dtype=bool)
+        self.outcomes = Outcomes(self.model, self.limit)
+        self._start_over()
+
+    def _start_over(self) -> None:
+        self.plain, self.direct = Ragged(np.uint64), np.zeros(0, dtype=bool)
+        self.seen = np.zeros(0, dtype=np.int64)
+        self.outcomes.forget()
 
     def _learn(self, chunks: list[str], keys: np.ndarray) -> list[bytes]:
         """Plain ids; remembers the candidates by the numbers that the coder
@@ -121,44 +246,58 @@ class Encoder:
         got = self.model.segment(chunks, keys, 0, trace)
         if not self.limit:
             return got
-        first, end = self.coder.count, self.coder.count + len(chunks)
-        if not first:
-            self.used = 0
+        if not self.coder.count:
+            self._start_over()
         word = np.concatenate([w for w, _ in trace]) if trace else np.zeros(0, dtype=np.int64)
-        found = np.concatenate([m for _, m in trace]) if trace else np.zeros(0, dtype=np.uint64)
-        while end > len(self.start):
-            self.start, self.size, self.literal = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size, self.literal))
-        while self.used + len(found) > len(self.merges):
-            self.merges = np.concatenate([self.merges, np.zeros(max(1 << 16, len(self.merges)), dtype=np.uint64)])
-        self.merges[self.used : self.used + len(found)] = found[np.argsort(word, kind="stable")]
-        sizes = np.bincount(word, minlength=len(chunks))
-        self.start[first:end], self.size[first:end] = self.used + np.cumsum(sizes) - sizes, sizes
-        self.literal[first:end] = [SPACE in c for c in chunks]
-        self.used += len(found)
+        came = np.concatenate([m for _, m in trace]) if trace else np.zeros(0, dtype=np.uint64)
+        self.plain.add(came[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(chunks)))
+        # a literal mark cuts a chunk further; sets of a long chunk hardly come twice
+        self.direct = np.r_[self.direct, [SPACE in c or len(c) > LONG_WORD for c in chunks]]
         return got
 
     def _skips(self, number: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """Which occurrences skip a candidate of their plain segmentation."""
-        out = self.literal[number]
+        out = np.zeros(len(number), dtype=bool)
         for a in range(0, len(number), TOGETHER):
-            sizes = self.size[number[a : a + TOGETHER]]
-            ends = np.cumsum(sizes)
-            merges = self.merges[np.arange(ends[-1]) + np.repeat(self.start[number[a : a + TOGETHER]] - (ends - sizes), sizes)]
-            low = np.flatnonzero(coin(np.repeat(keys[a : a + TOGETHER], sizes), merges) < np.uint64(self.limit))
-            out[a + np.searchsorted(ends, low, side="right")] = True
-        return out
+            part = slice(a, a + TOGETHER)
+            trace, sizes = self.plain.take(number[part])
+            low = np.flatnonzero(self.outcomes.tosses(trace, sizes, keys[part]))
+            out[a + np.searchsorted(np.cumsum(sizes), low, side="right")] = True
+        return out | (self.direct[number] & (self.limit > 0))
+
+    def _own(self, number: np.ndarray, keys: np.ndarray, chunk_at: Callable) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, counts) of the occurrences, each segmented with its own key."""
+        trace, sizes = self.plain.take(number)
+        tree = ~self.direct[number] & (_sums(self.outcomes.tosses(trace, sizes, keys).astype(np.int64), sizes) > 0)
+        ids, lengths = [], np.zeros(len(number), dtype=np.int64)
+        if (by := np.flatnonzero(tree)).size:
+            got, lengths[by] = self.outcomes.find(number[by], keys[by], self.seen[number[by]], trace[np.repeat(tree, sizes)], sizes[by], lambda i: chunk_at(by[i]),
+                                                  lambda i: self.model.segment(chunk_at(by[i]), keys[by[i]], self.limit))
+            ids.append((by, got))
+        if (by := np.flatnonzero(~tree)).size:
+            codes = self.model.segment(chunk_at(by), keys[by], self.limit)
+            lengths[by] = np.fromiter(map(len, codes), dtype=np.int64, count=len(codes)) // 4
+            ids.append((by, np.frombuffer(b"".join(codes), dtype="<i4")))
+        place = np.concatenate([np.repeat(by, lengths[by]) for by, _ in ids])
+        return np.concatenate([x for _, x in ids])[np.argsort(place, kind="stable")], lengths
 
     def encode(self, doc_ids: list[int], texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         own = np.array([mixed((int(d) * STEP + self.seed) & MASK) for d in doc_ids], dtype=np.uint64)
+        if self.outcomes.nodes.count > REMEMBERED:
+            self.outcomes.forget()
 
         def vary(number, doc, place, chunk_at):
             keys = mixed(own[doc] + place.astype(np.uint64) * np.uint64(STEP))
+            come = np.bincount(number, minlength=len(self.direct))
+            self.seen = come + np.r_[self.seen, np.zeros(len(come) - len(self.seen), dtype=np.int64)]
             at = np.flatnonzero(self._skips(number, keys))
-            codes: list[bytes] = []
+            ids, sizes = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int64)]
             for a in range(0, len(at), TOGETHER):
                 part = at[a : a + TOGETHER]
-                codes += self.model.segment(chunk_at(part), keys[part], self.limit)
-            return at, codes
+                got = self._own(number[part], keys[part], lambda i: chunk_at(part[i]))
+                ids.append(got[0])
+                sizes.append(got[1])
+            return at, np.concatenate(ids), np.concatenate(sizes)
 
         return self.coder.encode(texts, vary if self.limit else None)
 
@@ -178,6 +317,7 @@ def encode(docs: DataFrame, model_path: str, seed: int, rate: float = RATE,
     small_batches(docs.sparkSession)
     keep = [f for f in docs.schema.fields if f.name not in (text_col, "ids")]
     names = [f.name for f in keep]
+    key_name = free_name([*names, text_col, "ids"], "key")
 
     def run(batches):
         if (at := (model_path, seed, rate)) not in _ENCODERS:
@@ -185,14 +325,14 @@ def encode(docs: DataFrame, model_path: str, seed: int, rate: float = RATE,
         encoder = _ENCODERS[at]
         for b in batches:
             texts = b.column(text_col).cast(pa.binary()).to_pylist()
-            got, ends = encoder.encode([i or 0 for i in b.column("__key").to_pylist()], [t or b"" for t in texts])
+            got, ends = encoder.encode([i or 0 for i in b.column(key_name).to_pylist()], [t or b"" for t in texts])
             null = np.array([t is None for t in texts], dtype=bool)
             offsets = pa.array(ends.astype(np.int32), mask=np.r_[null, False] if null.any() else None)
             ids = pa.ListArray.from_arrays(offsets, pa.array(got))
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), ids], names=[*names, "ids"])
 
     schema = T.StructType([*keep, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    key = F.col(id_col).cast("long").alias("__key")
+    key = F.col(id_col).cast("long").alias(key_name)
     return docs.select(*names, text_col, key).mapInArrow(run, schema)
 
 

@@ -1,6 +1,7 @@
 """Licence scan, url filter, codec, packing, line dedup and n-gram join."""
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -176,6 +177,46 @@ def test_remembered_candidates_lose_no_skip(spark):
     assert all((g[0].tolist(), g[1].tolist()) == (want[0].tolist(), want[1].tolist()) for g in got)
 
 
+def naive_ids(model, chunk: str, key: int, limit: int) -> list[int]:
+    """A chunk by the plainest agenda: of all adjacent pairs that merge and are
+    not skipped, the best ranked, leftmost one merges, until none is left."""
+    marked = chunk.replace(" ", sp_codec.SPACE)
+    parts = [(i, int(model.char_symbol[ord(c)]), c) for i, c in enumerate(marked)]
+    while True:
+        best = None
+        for j, ((i, a, _), (_, b, _)) in enumerate(zip(parts, parts[1:])):
+            got = model.merges.pairs.get((a, b))
+            if got and bpe.coin(key, bpe.candidate(i, a, b)) >= limit and (best is None or got[0] < best[0]):
+                best = (got[0], j, got[1])
+        if best is None:
+            break
+        _, j, new = best
+        parts[j : j + 2] = [(parts[j][0], new, parts[j][2] + parts[j + 1][2])]
+    out = []
+    for _, symbol, text in parts:
+        out += [symbol] if 0 <= symbol < len(model.bytes_of) else [model.byte_id[b] for b in text.encode()]
+    return out
+
+
+@pytest.mark.parametrize("seen, rate", [((1, 1, 1, 1, 1, 1), 0.3), ((1, 2), 0.1), ((16, 128, 1024), 0.1), ((), 0.2)])
+def test_dropout_equals_a_naive_agenda(spark, monkeypatch, seen, rate):
+    """Whatever a worker remembers, on a second pass as on the first."""
+    monkeypatch.setattr(sp_codec, "SEEN", seen)
+    texts = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(12).collect()]
+    texts += ["the the  the\nthe\n\n the", "日本語 テスト x" * 3, "a" * 150, "", "ab " * 300]
+    encoder = sp_codec.Encoder(PIECES, 11, rate)
+    limit, mark = encoder.limit, sp_codec.STEP
+    want = []
+    for d, t in enumerate(texts):
+        own = bpe.mixed((d * mark + 11) & bpe.MASK)
+        chunks = re.findall(r" +[^ \n]*|[^ \n]+|\n", " " + t) if t else []
+        want.append([i for k, c in enumerate(chunks) for i in naive_ids(encoder.model, c, bpe.mixed((own + k * mark) & bpe.MASK), limit)])
+    for _ in range(2):
+        ids, ends = encoder.encode(list(range(len(texts))), [t.encode() for t in texts])
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == want
+    assert (encoder.outcomes.nodes.count > 0) == bool(seen)
+
+
 def test_rounds_equal_the_agenda():
     model = sp_codec.PieceModel(PIECES)
     chunks = ["▁the", "▁international", "abababababab", "▁▁▁▁▁x", "éàü", "m" * 200, "a"]
