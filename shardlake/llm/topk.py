@@ -9,10 +9,16 @@ lives in; the kth score found there travels with it to every other shard.
 
 Queries are streamed through each shard in Arrow batches, so a task holds one
 shard and one batch, whatever the number of rows or queries.
+
+Scores are exact: a query and a tree multiply as doubles where the largest
+components of both keep every sum below 2**53, as longs below 2**63, and as
+Python integers beyond.
 """
 from __future__ import annotations
 
+import copy
 import math
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -24,12 +30,30 @@ from .common import finite_vectors, small_batches, sorted_runs, written
 SHARD_ROWS = 2048
 LEAF_ROWS = 64
 SCALE = 256
-#: A larger scaled component would take a score beyond a long.
-LARGEST = 2 ** 27
+#: Scores stay within a long; one beyond it counts as the nearest.
+MOST = 2 ** 63 - 1
+
+
+def _number_type(dim: int, a: float, b: float) -> type:
+    """In which numbers sums of ``dim`` products of up to ``a`` times ``b`` are exact."""
+    if math.isinf(a) or math.isinf(b):
+        return object
+    top = int(dim) * int(a) * int(b)
+    return np.float64 if top < 2 ** 53 else np.int64 if top < 2 ** 63 and max(a, b) < 2 ** 62 else object
+
+
+def _as(x: np.ndarray, kind: type) -> np.ndarray:
+    return np.frompyfunc(int, 1, 1)(x) if kind is object else x.astype(kind, copy=False)
+
+
+def _longs(scores: np.ndarray) -> np.ndarray:
+    if scores.dtype == object:
+        scores = np.minimum(np.maximum(scores, -MOST), MOST)
+    return scores.astype(np.int64)
 
 
 class KDTree:
-    """Rows ``x`` (n, d) integers with ``ids``; at most ``keep`` smallest ids
+    """Rows ``x`` (n, d) of whole numbers with ``ids``; at most ``keep`` smallest ids
     of equal rows are kept, more can never be among the best."""
 
     def __init__(self, x: np.ndarray, ids: np.ndarray, keep: int):
@@ -44,6 +68,16 @@ class KDTree:
         self._grow(np.arange(len(x)))
         self.lo, self.hi = np.array(self.lo), np.array(self.hi)
         self.least_id = np.array(self.least_id)
+        self.top = _top(x)
+        self._kinds: dict[type, KDTree] = {}
+
+    def of(self, kind: type) -> "KDTree":
+        """The same tree with its numbers of another type."""
+        if kind not in self._kinds:
+            tree = copy.copy(self)
+            tree.x, tree.lo, tree.hi = (_as(x, kind) for x in (self.x, self.lo, self.hi))
+            self._kinds[kind] = tree
+        return self._kinds[kind]
 
     def _grow(self, rows: np.ndarray) -> int:
         me, x = len(self.lo), self.x[rows]
@@ -63,7 +97,7 @@ class KDTree:
 
     def bound(self, q: np.ndarray, node: int) -> np.ndarray:
         """Highest inner product that a point of the node's box can have."""
-        return np.maximum(q, 0) @ self.hi[node] + np.minimum(q, 0) @ self.lo[node]
+        return _longs(np.maximum(q, 0) @ self.hi[node] + np.minimum(q, 0) @ self.lo[node])
 
     def search(self, q: np.ndarray, qid: np.ndarray, score: np.ndarray, who: np.ndarray) -> None:
         """Best-first for a batch of queries at once; ``score`` and ``who``
@@ -89,7 +123,7 @@ class KDTree:
                         front[at, kid] = self.bound(q[at], kid)
                     continue
                 rows = self.rows[n]
-                got = (q[at] @ self.x[rows].T).astype(np.int64)
+                got = _longs(q[at] @ self.x[rows].T)
                 ids = np.broadcast_to(self.ids[rows], got.shape)
                 own = ids == qid[at, None]
                 s = np.concatenate([score[at], np.where(own, nothing, got)], axis=1)
@@ -99,11 +133,17 @@ class KDTree:
 
 
 def scaled(vectors) -> np.ndarray:
-    """floor(256 x) of every component, as float64 where all products are
-    exact in a double, else as int64."""
-    m = np.floor(SCALE * np.stack([np.asarray(v, dtype=np.float64) for v in vectors]))
-    top = np.abs(m).max(initial=0)
-    return m if m.shape[1] * top * top < 2 ** 53 else m.astype(np.int64)
+    """floor(256 x) of every component: doubles, which are exact here, or
+    Python integers where 256 x is beyond a double."""
+    x = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+    with np.errstate(over="ignore"):
+        m = np.floor(SCALE * x)
+    return m if np.isfinite(m).all() else np.frompyfunc(lambda c: math.floor(SCALE * Fraction(c)), 1, 1)(x)
+
+
+def _top(x: np.ndarray) -> float:
+    """The largest component by size; infinite for one beyond a double."""
+    return math.inf if x.dtype == object else float(np.abs(x).max(initial=0))
 
 
 def _walk(k: int):
@@ -129,9 +169,12 @@ def _walk(k: int):
             who = np.full((len(q), k), np.iinfo(np.int64).max, dtype=np.int64)
             score[:, -1], who[:, -1] = pdf["kth"].to_numpy(), pdf["kth_id"].to_numpy()
             handed = who[:, -1].copy()
-            if (d := np.result_type(q, tree.x)) != q.dtype:
-                q = q.astype(d)
-            tree.search(q, qid, score, who)
+            kinds = [_number_type(dim, tree.top, _top(row)) for row in q]
+            for kind in dict.fromkeys(kinds):
+                at = np.flatnonzero([x is kind for x in kinds])
+                s, w = score[at], who[at]
+                tree.of(kind).search(_as(q[at], kind), qid[at], s, w)
+                score[at], who[at] = s, w
             # the handed-in bound is a row of another shard, not a find of this one
             found = (score > nothing) & (who != handed[:, None])
             at, col = found.nonzero()
@@ -147,15 +190,14 @@ def top_k(vectors: DataFrame, every: int, k: int = 5, id_col: str = "vec_id", ve
     by ``every``; the query's own id is no candidate.
 
     Null ids, null or empty vectors and vectors with null or non-finite
-    components (or one beyond ``LARGEST`` once scaled) take no part.  Of rows
-    that share an id the smallest vector counts.  Vectors of different length
+    components take no part.  A score beyond a long counts as the nearest
+    long.  Of rows that share an id the smallest vector counts.  Vectors of different length
     are never compared.  Fewer than ``k`` candidates give fewer rows; an empty
     table gives none.  Other columns are ignored.
     """
     spark = vectors.sparkSession
     small_batches(spark)
     usable = (finite_vectors(vectors, id_col, vec_col)
-              .filter(~F.exists("v", lambda x: F.abs(x) > LARGEST / SCALE))
               .groupBy("id").agg(F.min("v").alias("v")))
     base = written(usable.withColumn("dim", F.size("v")), "vectors")
     shards = max(1, math.ceil(base.count() / shard_rows))

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -35,11 +36,12 @@ def brute_top(rows, every, k):
         if i is None or not v or any(c is None or not math.isfinite(c) for c in v):
             continue
         best[i] = min(best[i], v) if i in best else v
-    q = {i: [math.floor(256 * c) for c in v] for i, v in best.items()}
+    q = {i: [math.floor(256 * Fraction(c)) for c in v] for i, v in best.items()}
     out = set()
     for i in q:
         if i % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(q[i], q[j])), j) for j in q if j != i and len(q[j]) == len(q[i]))
+            most = 2 ** 63 - 1
+            scores = sorted((-max(-most, min(most, sum(a * b for a, b in zip(q[i], q[j])))), j) for j in q if j != i and len(q[j]) == len(q[i]))
             out.update((i, r + 1, j, -s) for r, (s, j) in enumerate(scores[:k]))
     return out
 
@@ -60,9 +62,30 @@ def test_top_k_few_rows(spark):
 
 
 def test_large_components_stay_exact(spark):
-    rows = [(0, [500_000.0, 3.0]), (1, [400_000.0, 1.0]), (2, [400_000.0, 2.0]), (3, [1e30, 1.0])]
-    got = [tuple(r) for r in topk.top_k(table(spark, rows), every=50).orderBy("rank").collect()]
-    assert got == sorted(brute_top(rows[:3], 50, 5), key=lambda r: r[1])
+    """Every finite vector takes part; a score beyond a long counts as the nearest."""
+    rows = [(0, [500_000.0, 3.0]), (1, [400_000.0, 1.0]), (2, [400_000.0, 2.0]), (3, [1e30, 1.0]), (4, [-3e38, 1.0]), (50, [1e6, 1.0]), (100, [2.0, 1.0]),
+            (7, [1.0, 3.0])]
+    got = {tuple(r) for r in topk.top_k(table(spark, rows), every=50).collect()}
+    assert got == brute_top([(i, [float(np.float32(c)) for c in v]) for i, v in rows], 50, 5)
+
+
+def test_components_beyond_a_double_once_scaled(spark):
+    """256 x is beyond a double: exact integers all the same."""
+    rows = [(0, [1.0, 1e308]), (1, [5.0, -1e-300]), (2, [-4.0, 1e-306]), (3, [0.25, 1.5e308]), (50, [-1e308, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in topk.top_k(df, every=50).collect()} == brute_top(rows, 50, 5)
+
+
+@pytest.mark.parametrize("shard_rows", [40, 1000])
+def test_mixed_magnitudes(spark, shard_rows):
+    """64 dimensions, queries far larger than candidates, several shards and batches."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(400):
+        size = 2.0 ** (18.9 if i % 50 == 0 else rng.choice([3, 10, 15]))
+        rows.append((i, [float(np.float32(c)) for c in rng.uniform(-size, size, 64)]))
+    got = {tuple(r) for r in topk.top_k(table(spark, rows), every=50, shard_rows=shard_rows).collect()}
+    assert got == brute_top(rows, 50, 5)
 
 
 def test_near_duplicates(spark):
