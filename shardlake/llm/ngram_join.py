@@ -64,7 +64,7 @@ def set_table(docs: DataFrame, width: int, percent: int) -> DataFrame:
 def _checked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(a, b, linked) of each pair, by the exact overlap of its shingle sets."""
     ids = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct().join(
-        reps.select("rep", "d1", "d2"), "rep")
+        reps.select("rep", "doc", "d1", "d2"), "rep")
     wanted = written(ids, "asked")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
@@ -79,7 +79,7 @@ def _checked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, per
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()),
                                               pa.array([sh.tobytes() for _, sh in rows], pa.binary())], names=["rep", "sh"])
 
-    sets = (docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("binary").alias("text")).join(wanted, "rep")
+    sets = (docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("binary").alias("text")).join(wanted, "doc")
             .mapInArrow(run, "rep long, sh binary").dropDuplicates(["rep"]))
     sets = written(sets, "sets")
 
@@ -187,10 +187,26 @@ def _open_tiles(hits: DataFrame, comps: DataFrame, reps: DataFrame, wrong: DataF
             .select("key", "ba", "bb", "block", "rep", "comp", "n", "bits", "no"))
 
 
+def _same_id(sets: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Edges (a, b) between the classes that share a doc_id; None if no id
+    stands on rows of two classes."""
+    found = sets.filter("n > 0 AND doc_id IS NOT NULL").select("doc_id", "d1", "d2")
+    several = (found.groupBy("doc_id").agg(F.min(F.struct("d1", "d2")).alias("lo"), F.max(F.struct("d1", "d2")).alias("hi"))
+               .filter("lo <> hi").select("doc_id"))
+    several = written(several, "several")
+    if not several.head(1):
+        return None
+    rows = found.join(several, "doc_id").distinct().join(classes.select("d1", "d2", "rep"), ["d1", "d2"])
+    least = rows.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    return written(rows.join(least, "doc_id").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct(), "same-id")
+
+
 def link(docs: DataFrame, sets: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """(node, component) of the classes' representatives that have a link."""
-    reps = written(sets.filter(F.size("keys") > 0).join(classes.select("d1", "d2", F.col("rep").alias("doc_id")), ["d1", "d2", "doc_id"])
-                   .withColumnRenamed("doc_id", "rep").dropDuplicates(["rep"]), "reps")
+    """(node, component) of the classes that have a link: numbers of classes
+    (``rep``), each with the least id ``doc`` that has its set."""
+    reps = written(sets.filter(F.size("keys") > 0).join(classes.select("d1", "d2", "rep", F.col("doc").alias("doc_id")), ["d1", "d2", "doc_id"])
+                   .withColumnRenamed("doc_id", "doc").dropDuplicates(["rep"]), "reps")
+    given = _same_id(sets, classes)
     rows = reps.select("rep", F.explode("keys").alias("key"))
     tiles = rows.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("key", "lo")
     hits = written(rows.join(tiles, "key").select("key", "rep", "lo"), "tiles")
@@ -198,7 +214,7 @@ def link(docs: DataFrame, sets: DataFrame, classes: DataFrame, width: int, perce
     checked = _checked(written(_passing(stars, reps, percent), "pairs"), reps, docs, width, percent)
     # enough to tell tiles that are settled: the least member that each one links with
     comps = checked.filter("linked").groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
-    edges = wrong = None
+    edges, wrong = given, None
     while True:
         good, bad = checked.filter("linked").select("a", "b"), checked.filter("not linked").select("a", "b")
         bad = bad.unionByName(bad.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -221,16 +237,20 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     ``percent`` * united.  ``component_id`` is the smallest doc_id reachable
     by links, the document's own where there is none; null, empty and blank
     texts have no shingles and link with nothing.  Rows that share a doc_id
-    are one document for the links of others, each with its own row; a null
+    are one document with the links of all its texts, each with its own row; a null
     id belongs to its set's component (null if no other row has the set).  An
     empty table gives no rows; other columns are ignored.
     """
     small_batches(docs.sparkSession)
     sets = written(set_table(docs, width, percent), "signatures")
-    classes = sets.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    comps = link(docs, sets, classes, width, percent)
-    classes = (classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-               .select("d1", "d2", F.coalesce("component", "rep").alias("component")))
+    # a class has a number of its own: one id can stand on rows of several
+    classes = written(sets.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("doc"))
+                      .withColumn("rep", F.monotonically_increasing_id()), "classes")
+    comps = written(link(docs, sets, classes, width, percent), "linked")
+    least = (comps.join(classes.select(F.col("rep").alias("node"), "doc"), "node")
+             .groupBy("component").agg(F.min("doc").alias("least")))
+    named = comps.join(least, "component").select(F.col("node").alias("rep"), "least")
+    classes = (classes.join(named, "rep", "left").select("d1", "d2", F.coalesce("least", "doc").alias("component")))
     return (sets.select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id")))

@@ -383,6 +383,21 @@ def test_ngram_join_near_copies(spark, monkeypatch, per_member, block):
         assert got == brute_join(list(enumerate(texts)), width, percent)
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+@pytest.mark.parametrize("turn", [False, True])
+def test_one_id_on_two_texts_loses_no_link(spark, parts, turn):
+    """Id 1 stands on texts a and b, id 2 is near a, id 3 near b, 4 equals b; also an id on equal classes of others."""
+    import random
+    from helpers import prose
+    rng = random.Random(2)
+    a, b, c = (prose(rng, 80) for _ in range(3))
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, b), (5, c), (5, None), (6, c + " more"), (7, prose(rng, 80)), (None, a)]
+    rows = rows[::-1] if turn else rows
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS).repartition(parts)
+    got = sorted(((r["doc_id"], r["component_id"]) for r in ngram_join.near_duplicates(docs).collect() if r["n_shingles"]), key=str)
+    assert got == sorted([(1, 1), (1, 1), (2, 1), (3, 1), (4, 1), (5, 5), (6, 5), (7, 7), (None, 1)], key=str)
+
+
 def test_ngram_join_awkward(spark):
     got = ngram_join.near_duplicates(awkward_documents(spark)).collect()
     of = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in got}
