@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, small_batches, written
+from .common import dropped, free_name, small_batches, written
 
 MIN_WORDS = 8
 KEY = ["k", "t"]
@@ -177,14 +177,16 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     deleted = F.pandas_udf(_deleted, "gone array<boolean>, n long")
     runs = (repeated_windows(docs, min_words).distinct().groupBy(*KEY)
             .agg(F.max("m").alias("m"), F.flatten(F.collect_list(F.array("i", "size", "line", "end"))).alias("rows"))
-            .withColumn("__cut", deleted("rows"))
-            .select(F.col("k").alias("__k"), F.col("t").alias("__t"), F.col("m").alias("__m"), "__cut.gone", F.col("__cut.n").alias("__n"))
-            .withColumnRenamed("gone", "__gone"))
+            .withColumn("cut", deleted("rows")))
     keep = [c for c in docs.columns if c not in ("n_removed", "emptied")]
+    # names that no column of the table has
+    key, line_text, cut = (free_name(keep, c) for c in ("key", "key_text", "cut"))
+    runs = runs.select(F.col("k").alias(key), F.col("t").alias(line_text), F.struct("cut.gone", "cut.n", "m").alias(cut))
     k, t = keyed(docs)
-    both = docs.select(*keep, k.alias("__k"), t.alias("__t")).join(runs, ["__k", "__t"], "left")
-    rest = F.filter(F.split(F.col("text").cast("string"), "\n"), lambda x, n: ~F.coalesce(F.get(F.col("__gone"), n), F.lit(False)))
-    all_gone = F.coalesce(F.col("__n") == F.col("__m"), F.lit(False))
-    text = F.when(F.col("__n").isNull(), F.col("text")).when(all_gone, F.lit("")).otherwise(F.array_join(rest, "\n"))
+    both = docs.select(*keep, k.alias(key), t.alias(line_text)).join(runs, [key, line_text], "left")
+    gone, n, m = (F.col(cut)[c] for c in ("gone", "n", "m"))
+    rest = F.filter(F.split(F.col("text").cast("string"), "\n"), lambda x, i: ~F.coalesce(F.get(gone, i), F.lit(False)))
+    all_gone = F.coalesce(n == m, F.lit(False))
+    text = F.when(n.isNull(), F.col("text")).when(all_gone, F.lit("")).otherwise(F.array_join(rest, "\n"))
     return both.select(*(text.alias(c) if c == "text" else F.col(c) for c in keep),
-                       F.coalesce("__n", F.lit(0)).alias("n_removed"), all_gone.alias("emptied"))
+                       F.coalesce(n, F.lit(0)).alias("n_removed"), all_gone.alias("emptied"))

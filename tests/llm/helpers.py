@@ -23,7 +23,7 @@ def awkward_documents(spark, extra: bool = True):
     rows = [(d, t, "en", "s", len(t or "")) for d, t in rows]
     df = spark.createDataFrame(rows, DOCS)
     if extra:
-        for name in ("rank", "rep", "key", "size", "id", "v", "n", "score", "ids", "component", "n_removed", "kept", "y"):
+        for name in ("rank", "rep", "key", "size", "id", "v", "n", "score", "ids", "component", "n_removed", "kept", "y", "key_text", "cut", "__key", "__k", "__t", "__score"):
             df = df.selectExpr("*", f"'clash' AS {name}")
     return df
 
