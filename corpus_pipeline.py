@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardlake.llm import line_dedup, ngram_join, packing, quality, toxicity
-from shardlake.llm.common import table, workers_find_library, written
+from shardlake.llm.common import free_name, table, workers_find_library, written
 from shardlake.llm.queries import PACK_TOKENIZER
 
 #: Near duplicates of the pipeline: shingles of five words, Jaccard 0.8.
@@ -26,7 +26,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     workers_find_library(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     score = toxicity.score_column(model, F.col("text"))
-    return docs.withColumn("__score", score).filter(F.col("__score") < toxicity.THRESHOLD).select(*docs.columns)
+    name = free_name(docs.columns, "score")
+    return docs.withColumn(name, score).filter(F.col(name) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +35,8 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     workers_find_library(spark)
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     score = toxicity.score_column(model, F.col("text"))
-    return docs.withColumn("__score", score).filter(F.col("__score") >= quality.THRESHOLD).select(*docs.columns)
+    name = free_name(docs.columns, "score")
+    return docs.withColumn(name, score).filter(F.col(name) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
