@@ -15,7 +15,7 @@ import numpy as np
 LONG_WORD = 64
 ROWS = 4000
 NO_MERGE = np.int32(2 ** 31 - 1)
-UNKNOWN, PADDING = -2, -1
+UNKNOWN, PADDING, GONE = -2, -1, -3
 MASK = 2 ** 64 - 1
 MIX_1, MIX_2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
@@ -144,11 +144,10 @@ class MergeTable:
             rows = np.flatnonzero((lengths > lo) & (lengths <= hi))
             for a in range(0, len(rows), ROWS):
                 part = rows[a : a + ROWS]
-                done = self._rounds(flat, starts[part], lengths[part], keys[part], (limit, skips), part, trace)
-                sizes, width = (4 * (done != PADDING).sum(axis=1)).tolist(), 4 * done.shape[1]
-                raw = done.astype("<i4").tobytes()
-                for k, (i, m) in enumerate(zip(part.tolist(), sizes)):
-                    out[i] = raw[k * width : k * width + m]
+                done, sizes = self._rounds(flat, starts[part], lengths[part], keys[part], (limit, skips), part, trace)
+                raw, ends = done.astype("<i4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+                for i, a, z in zip(part.tolist(), [0, *ends], ends):
+                    out[i] = raw[a:z]
         return out
 
     def _offers(self, left, right, place, keys, limit, words, trace):
@@ -165,37 +164,48 @@ class MergeTable:
         return np.where(hit, ranks, NO_MERGE)
 
     def _rounds(self, flat, starts, lengths, keys, limit, words, trace):
+        """(final symbols, one row behind the other; how many of each row).
+        Symbols keep their places: a merge takes the right one away and links
+        the left one to what follows."""
         n, width = len(lengths), int(lengths.max())
         inside = np.arange(width + 1) < lengths[:, None]
         syms = np.full((n, width + 1), PADDING, dtype=np.int32)
         syms[inside] = flat[(starts[:, None] + np.arange(width + 1))[inside]]
-        place = np.tile(np.arange(width + 1, dtype=np.uint8), (n, 1))
+        after = np.tile(np.arange(1, width + 2, dtype=np.int8), (n, 1))
+        before = np.tile(np.arange(-1, width, dtype=np.int8), (n, 1))
         ranks = np.full((n, width), NO_MERGE, dtype=np.int32)
         i, j = np.nonzero(inside[:, 1:])
-        ranks[i, j] = self._offers(syms[i, j], syms[i, j + 1], place[i, j], keys[i], limit, words[i], trace)
-        done, live, cols = np.empty_like(syms), np.arange(n), np.arange(width)
-        while len(live):
+        ranks[i, j] = self._offers(syms[i, j], syms[i, j + 1], j.astype(np.uint8), keys[i], limit, words[i], trace)
+        rows, final = np.arange(n), syms
+        while len(rows):
             best = ranks.argmin(axis=1)
-            k = np.arange(len(live))
-            top = ranks[k, best]
-            if (stop := top == NO_MERGE).any():
-                done[live[stop]] = syms[stop]
-                go = ~stop
-                live, syms, place, ranks, keys, best, top = (x[go] for x in (live, syms, place, ranks, keys, best, top))
-                k = np.arange(len(live))
-            own = words[live]
-            syms[k, best] = self.merged[top]
-            shift = cols > best[:, None]
-            syms[:, :-1] = np.where(shift, syms[:, 1:], syms[:, :-1])
-            syms[:, -1] = PADDING
-            place[:, :-1] = np.where(shift, place[:, 1:], place[:, :-1])
-            ranks[:, :-1] = np.where(shift[:, :-1], ranks[:, 1:], ranks[:, :-1])
-            ranks[shift[:, -1], -1] = NO_MERGE
-            ranks[k, best] = self._offers(syms[k, best], syms[k, best + 1], place[k, best], keys, limit, own, trace)
-            k = np.flatnonzero(best > 0)
-            a = best[k] - 1
-            ranks[k, a] = self._offers(syms[k, a], syms[k, a + 1], place[k, a], keys[k], limit, own[k], trace)
-        return done
+            top = ranks[np.arange(len(rows)), best]
+            go = np.flatnonzero(top != NO_MERGE)
+            if 2 * len(go) < len(rows):     # most are done: put them aside
+                if syms is not final:
+                    final[rows] = syms
+                rows, syms, after, before, ranks, best, top = (x[go] for x in (rows, syms, after, before, ranks, best, top))
+                go = np.arange(len(rows))
+            b = best[go]
+            gone = after[go, b].astype(np.int64)
+            then = after[go, gone].astype(np.int64)
+            syms[go, b] = self.merged[top[go]]
+            syms[go, gone] = GONE
+            open_ = gone < width
+            ranks[go[open_], gone[open_]] = NO_MERGE
+            after[go, b] = then
+            last = then <= width
+            before[go[last], then[last]] = b[last]
+            ahead = before[go, b].astype(np.int64)
+            k = np.flatnonzero(ahead >= 0)
+            row, left = np.r_[go, go[k]], np.r_[b, ahead[k]]
+            right = np.r_[syms[go, np.minimum(then, width)], syms[go[k], b[k]]]
+            own = rows[row]
+            ranks[row, left] = self._offers(syms[row, left], right, left.astype(np.uint8), keys[own], limit, words[own], trace)
+        if syms is not final and len(rows):
+            final[rows] = syms
+        kept = (final != PADDING) & (final != GONE)
+        return final[kept], kept.sum(axis=1)
 
 
 def code_points(words: list[str]) -> tuple[np.ndarray, np.ndarray]:

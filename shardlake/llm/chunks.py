@@ -20,6 +20,50 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * BASE)
 
 
+class HashIndex:
+    """Numbers by 64-bit hashes, in a table of places that is half empty; a
+    taken place sends on to the next one.  All steps are array operations."""
+
+    def __init__(self, places: int = 1 << 12):
+        self.keys, self.numbers, self.count = np.zeros(places, dtype=np.uint64), np.zeros(places, dtype=np.int32), 0
+
+    @staticmethod
+    def _key(h: np.ndarray) -> np.ndarray:
+        return np.where(h == 0, np.uint64(1), h)  # 0 marks an empty place
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 for those not there."""
+        h, mask = self._key(h), np.uint64(len(self.keys) - 1)
+        out, rest, at = np.full(len(h), -1, dtype=np.int64), np.arange(len(h)), h & mask
+        while len(rest):
+            here = self.keys[at]
+            same = here == h[rest]
+            out[rest[same]] = self.numbers[at[same]]
+            on = ~same & (here != 0)
+            rest, at = rest[on], (at[on] + np.uint64(1)) & mask
+        return out
+
+    def add(self, h: np.ndarray, numbers: np.ndarray) -> None:
+        """Add hashes that differ from each other and are not there."""
+        if 2 * (self.count + len(h)) > len(self.keys):
+            bigger = HashIndex(1 << (4 * (self.count + len(h))).bit_length())
+            used = np.flatnonzero(self.keys)
+            bigger._put(self.keys[used], self.numbers[used])
+            self.keys, self.numbers = bigger.keys, bigger.numbers
+        self._put(self._key(h), numbers)
+        self.count += len(h)
+
+    def _put(self, h: np.ndarray, numbers: np.ndarray) -> None:
+        mask = np.uint64(len(self.keys) - 1)
+        at = h & mask
+        while len(h):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = h[free]               # of several at one place the last one stays
+            won = free & (self.keys[at] == h)
+            self.numbers[at[won]] = numbers[won]
+            h, numbers, at = h[~won], numbers[~won], (at[~won] + np.uint64(1)) & mask
+
+
 class ChunkCoder:
     """``learn`` takes chunks (strings) and keys (zeros) and gives the ids of
     each as little-endian 32-bit bytes."""
@@ -30,8 +74,7 @@ class ChunkCoder:
         self._forget()
 
     def _forget(self) -> None:
-        none = np.zeros(0, dtype=np.uint64)
-        self.stores = [(none, np.zeros(0, dtype=np.int64)), (none, np.zeros(0, dtype=np.int64))]
+        self.index = HashIndex()
         self.pool, self.used = np.zeros(1 << 16, dtype=np.int32), 0
         self.start, self.size, self.count = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64), 0
 
@@ -44,15 +87,10 @@ class ChunkCoder:
 
     def _find(self, h: np.ndarray) -> np.ndarray:
         """Number of each remembered chunk, -1 for the others."""
-        out = np.full(len(h), -1, dtype=np.int64)
-        for keys, numbers in self.stores:
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-                out = np.where(keys[at] == h, numbers[at], out)
-        return out
+        return self.index.find(h)
 
     def _add(self, h: np.ndarray, codes: list[bytes]) -> np.ndarray:
-        """Remember new chunks (``h`` sorted); their numbers."""
+        """Remember new chunks, all different; their numbers."""
         n, ids = len(codes), np.frombuffer(b"".join(codes), dtype="<i4")
         sizes = np.fromiter(map(len, codes), dtype=np.int64, count=n) // 4
         while self.used + len(ids) > len(self.pool):
@@ -63,16 +101,7 @@ class ChunkCoder:
         self.pool[self.used : self.used + len(ids)] = ids
         self.start[numbers], self.size[numbers] = self.used + np.cumsum(sizes) - sizes, sizes
         self.used, self.count = self.used + len(ids), self.count + n
-        (old, old_n), (late, late_n) = self.stores
-        late, late_n = np.r_[late, h], np.r_[late_n, numbers]
-        if 4 * len(late) > len(old):
-            old, old_n, late, late_n = np.r_[old, late], np.r_[old_n, late_n], late[:0], late_n[:0]
-            by = np.argsort(old, kind="stable")
-            old, old_n = old[by], old_n[by]
-        else:
-            by = np.argsort(late, kind="stable")
-            late, late_n = late[by], late_n[by]
-        self.stores = [(old, old_n), (late, late_n)]
+        self.index.add(h, numbers)
         return numbers
 
     def encode(self, texts: list[bytes], vary: Callable | None = None) -> tuple[np.ndarray, np.ndarray]:

@@ -36,10 +36,10 @@ from .common import free_name, small_batches
 RATE = 0.1
 #: Chunks, and nodes of their trees, that a worker remembers, with their
 #: candidates (about 140 bytes each).
-REMEMBERED = 1_000_000
+REMEMBERED = 2_000_000
 #: A set of one, two, ... skipped candidates gets a node once a worker has seen
 #: its chunk so often; other occurrences are segmented by themselves.
-SEEN = (16, 128, 1024)
+SEEN = (32, 256)
 #: Occurrences whose candidates are looked at together.
 TOGETHER = 50_000
 SPACE = "▁"
