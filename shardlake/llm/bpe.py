@@ -13,7 +13,7 @@ import numpy as np
 
 #: Longer words go through a heap one by one, shorter ones through arrays.
 LONG_WORD = 64
-ROWS = 4000
+ROWS = 16_000
 NO_MERGE = np.int32(2 ** 31 - 1)
 UNKNOWN, PADDING, GONE = -2, -1, -3
 MASK = 2 ** 64 - 1

@@ -41,7 +41,7 @@ REMEMBERED = 2_000_000
 #: its chunk so often; other occurrences are segmented by themselves.
 SEEN = (32, 256)
 #: Occurrences whose candidates are looked at together.
-TOGETHER = 50_000
+TOGETHER = 200_000
 SPACE = "▁"
 STEP = 0x9E3779B97F4A7C15
 
@@ -99,15 +99,16 @@ class PieceModel:
                 skips: np.ndarray | None = None) -> list[bytes]:
         """Ids of each chunk, as little-endian int32 bytes; for ``trace`` see
         ``MergeTable.many`` (it does not cover chunks with a literal mark)."""
-        marked = [c.replace(" ", SPACE) for c in chunks]
-        points, lengths = code_points(marked)
+        points, lengths = code_points(chunks)
+        literal = (points == ord(SPACE)).any()
+        points = np.where(points == 32, np.uint32(ord(SPACE)), points)
         first = self.char_symbol[points]
         starts = np.cumsum(lengths) - lengths
         odd = np.add.reduceat((first == UNKNOWN) | (first >= len(self.bytes_of)), starts)
         got = self.merges.many(first, lengths, keys, limit, trace, skips)
         for i in np.flatnonzero(odd):
-            got[i] = self._with_bytes(got[i], marked[i])
-        for i in [i for i, c in enumerate(chunks) if SPACE in c]:
+            got[i] = self._with_bytes(got[i], chunks[i].replace(" ", SPACE))
+        for i in [i for i, c in enumerate(chunks) if SPACE in c] if literal else ():
             parts = chunks[i].split(SPACE)
             full = [p for p in parts if p]
             own = mixed(np.repeat(keys[i], len(full)) + np.arange(len(full), dtype=np.uint64))
@@ -190,7 +191,7 @@ class Outcomes:
             count[live] += new
             skips = count[live]
             on = (new > 0) & (skips < len(least)) & (seen[live] >= least[np.minimum(skips, len(least) - 1)])
-            apart.append(live[(new > 0) & ~on])
+            apart.append(live[~on & ((new > 0) | (node[live] < 0))])
             fresh, fresh_sizes = trace[low & np.repeat(on, sizes)], new[on]
             live = live[on]
             if not len(live):
@@ -267,12 +268,11 @@ class Encoder:
 
     def _own(self, number: np.ndarray, keys: np.ndarray, chunk_at: Callable) -> tuple[np.ndarray, np.ndarray]:
         """(ids, counts) of the occurrences, each segmented with its own key."""
-        trace, sizes = self.plain.take(number)
-        tree = ~self.direct[number] & (_sums(self.outcomes.tosses(trace, sizes, keys).astype(np.int64), sizes) > 0)
+        tree = ~self.direct[number]
         ids, lengths = [], np.zeros(len(number), dtype=np.int64)
         if (by := np.flatnonzero(tree)).size:
-            got, lengths[by] = self.outcomes.find(number[by], keys[by], self.seen[number[by]], trace[np.repeat(tree, sizes)], sizes[by], lambda i: chunk_at(by[i]),
-                                                  lambda i: self.model.segment(chunk_at(by[i]), keys[by[i]], self.limit))
+            got, lengths[by] = self.outcomes.find(number[by], keys[by], self.seen[number[by]], *self.plain.take(number[by]),
+                                                  lambda i: chunk_at(by[i]), lambda i: self.model.segment(chunk_at(by[i]), keys[by[i]], self.limit))
             ids.append((by, got))
         if (by := np.flatnonzero(~tree)).size:
             codes = self.model.segment(chunk_at(by), keys[by], self.limit)
