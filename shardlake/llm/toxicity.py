@@ -6,9 +6,11 @@ voter fires with its own rate in each class, which is its accuracy) is fitted
 by expectation-maximisation over the votes of *all* documents, with the
 labelled rows as prior counts.  From the pairs of votes it estimates how
 voters correlate within a class; strongly correlated voters see the same thing
-and count once.  The posterior labels a bounded sample (labelled rows keep
-their label), on which a linear (logistic) classifier of the voters' hits is
-trained; the classifier scores every whole text.
+and count once.  A given label is the vote of one more voter, the annotator,
+whose error rates are estimated too (``fit_annotator``): it can be outvoted.
+The posterior of all votes labels a bounded sample, on which a linear
+(logistic) classifier of the voters' hits is trained; the classifier scores
+every whole text.
 
 Bounded, by parameters: the labelled rows that stems are mined from
 (``TOXIC_ROWS``, ``CLEAN_ROWS``), the mined stems (``STEMS``) and the rows the
@@ -44,6 +46,9 @@ ROUNDS = 4
 #: Voters correlated by this much within a class see the same thing.  Weaker
 #: correlations also come from the language and the length of a text.
 DEPENDENT = 0.6
+#: The annotator's error rate before any row is seen, and the rows of each
+#: class that this guess counts for.
+MISLABELLED, GUESS_ROWS = 0.001, 1000
 THRESHOLD = 0.7
 
 # Insults by theme (fixed values).
@@ -200,12 +205,18 @@ class LabelModel:
     prior: float
     groups: list[np.ndarray]
 
-    def posterior(self, votes: np.ndarray) -> np.ndarray:
+    def posterior(self, votes: np.ndarray, given: np.ndarray | None = None, errors: np.ndarray | None = None) -> np.ndarray:
+        """Probability of class 1 by the votes and, where ``given`` is not nan,
+        by the annotator's label with ``errors`` (share of class 0 given label
+        1, share of class 1 given label 0)."""
         gain = np.log(self.rate[1] / self.rate[0])
         z = np.log(self.prior / (1 - self.prior)) + np.where(votes.any(axis=1), 0.0, gain[-1])
         for g in self.groups:
             best = np.where(votes[:, g], gain[g], -np.inf).max(axis=1)
             z += np.where(np.isfinite(best), best, 0.0)
+        if given is not None:
+            says = np.log([errors[1] / (1 - errors[0]), (1 - errors[1]) / errors[0]])
+            z += np.where(np.isnan(given), 0.0, says[(given > 0).astype(int)])
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -249,6 +260,18 @@ def fit_label_model(votes: DataFrame, known: np.ndarray, sizes: np.ndarray) -> L
     return model
 
 
+def fit_annotator(model: LabelModel, votes: np.ndarray, given: np.ndarray) -> np.ndarray:
+    """The annotator's error rates in class 0 and class 1 by expectation-
+    maximisation over the labelled rows (``given``: 0, 1, or nan for none)."""
+    errors = np.full(2, MISLABELLED)
+    own = ~np.isnan(given)
+    for _ in range(ROUNDS):
+        q = model.posterior(votes[own], given[own], errors)
+        wrong = np.array([((1 - q) * (given[own] > 0)).sum(), (q * (given[own] <= 0)).sum()])
+        errors = np.clip((wrong + MISLABELLED * GUESS_ROWS) / (np.array([(1 - q).sum(), q.sum()]) + GUESS_ROWS), 1e-6, 0.5)
+    return errors
+
+
 def fit_linear(x: np.ndarray, q: np.ndarray, ridge: float = 0.1, steps: int = 30) -> np.ndarray:
     """Logistic regression on soft labels by Newton steps; the last weight is
     the intercept, which is not shrunk."""
@@ -305,13 +328,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
         else:
             known[int(r["y"] > 0), r["k"]] += r["c"]
     model = fit_label_model(patterns, known, size)
-    # half labelled rows, half others; a label, where there is one, is the posterior
+    # half labelled rows, half others; all are labelled by the posterior
     own_votes = votes.filter(~held_out(F.col("doc_id")))
     others = bounded_sample(own_votes.join(own.select("doc_id"), "doc_id", "left_anti"), "doc_id", TRAIN_ROWS // 2)
     train = (own_votes.join(F.broadcast(sample), "doc_id").limit(TRAIN_ROWS // 2).select("hits", "y")
              .unionByName(others.select("hits", F.lit(None).cast("int").alias("y"))).toPandas())
     x = np.array(train["hits"].tolist(), dtype=float).reshape(len(train), j + 1)
-    q = np.where(train["y"].isna(), model.posterior(x[:, :j] > 0), train["y"].fillna(0).to_numpy(dtype=float) > 0)
+    given = train["y"].to_numpy(dtype=float)
+    q = model.posterior(x[:, :j] > 0, given, fit_annotator(model, x[:, :j] > 0, given))
     weights = fit_linear(np.log1p(x), q) if len(x) else np.r_[np.zeros(j + 1), -30.0]
     dropped(votes)
     dropped(patterns)
