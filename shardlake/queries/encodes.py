@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..operators.decode import content
 from ..operators.encode import encode_flatmap, encode_group, encode_rows, json_to_group, time_seconds
+from ..operators.packing import pack_greedy
 from ..operators.route import (bucket_of_key, hash_key_md5, pack_groups, record_bytes, shard_by_hash_key,
                                shard_key_ranges)
 from ..sources.fixtures import table
@@ -255,6 +256,38 @@ def pack_groups_q(spark, sf_dir):
                        F.min("doc_id").alias("first_doc")))
 
 
+# A group that starts at a record ends before the first record with which it
+# would pass a limit; the recursion walks from start to start.
+@register("pack_groups_greedy", f"""
+WITH RECURSIVE r AS (
+  SELECT lang, source, doc_id, {DOC_BYTES_SQL} AS bytes, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY lang, source) AS n,
+         sum({DOC_BYTES_SQL}) OVER (PARTITION BY lang, source ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS through
+  FROM documents WINDOW w AS (PARTITION BY lang, source ORDER BY doc_id)),
+a AS (
+  SELECT r.*, greatest(r.pos + 1, least(r.pos + {PACK_LINES}, r.n, coalesce(e.pos + 1, 0))) AS next
+  FROM r ASOF LEFT JOIN r AS e
+    ON r.lang IS NOT DISTINCT FROM e.lang AND r.source IS NOT DISTINCT FROM e.source
+       AND r.through - r.bytes + {PACK_BYTES} >= e.through),
+walk AS (
+  SELECT lang, source, pos, next FROM a WHERE pos = 0
+  UNION ALL
+  SELECT a.lang, a.source, a.pos, a.next FROM walk JOIN a
+    ON walk.lang IS NOT DISTINCT FROM a.lang AND walk.source IS NOT DISTINCT FROM a.source AND walk.next = a.pos)
+SELECT w.lang AS topic, w.source, CAST(w.next AS BIGINT) AS group_end, CAST(count(*) AS BIGINT) AS n_records,
+       CAST(sum(r.bytes) AS BIGINT) AS n_bytes, min(r.doc_id) AS first_doc, max(r.doc_id) AS last_doc
+FROM walk w JOIN r ON w.lang IS NOT DISTINCT FROM r.lang AND w.source IS NOT DISTINCT FROM r.source
+                  AND r.pos >= w.pos AND r.pos < w.next
+GROUP BY ALL""")
+def pack_groups_greedy_q(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    rows = d.select("doc_id", "text", "n_chars", F.col("lang").alias("__topic__"), F.col("source").alias("__source__"))
+    rec = encode_rows(rows, default_logstore="documents", now_seconds=T_NOW, keep=("doc_id",))
+    packed = pack_greedy(rec, ["doc_id"], max_lines=PACK_LINES, max_bytes=PACK_BYTES)
+    return (packed.groupBy("topic", "source", "group_end")
+                  .agg(F.count(F.lit(1)).alias("n_records"), F.sum(record_bytes()).alias("n_bytes"),
+                       F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")))
+
+
 @register("encode_group", """
 SELECT CAST(conv_id AS BIGINT) AS conv_id, 'conversations' AS logstore, CAST(count(*) AS INTEGER) AS n_logs,
        CAST(sum(3 + CASE WHEN text IS NULL THEN 0 ELSE 1 END) AS INTEGER) AS n_contents,

@@ -121,12 +121,13 @@ def records_to_groups(records: DataFrame, shards: DataFrame, ends: DataFrame | N
     * shard: the key range holding the record's hash key, else a stable hash
       (``shards``: ``logstore, shard`` of the target stores, one row each);
     * groups: the records of one ``(logstore, shard, topic, source)`` packed
-      by ``max_lines`` / ``max_bytes`` in ``order`` (bounded collects);
+      greedily by ``max_lines`` / ``max_bytes`` in ``order`` (bounded collects);
     * positions: a shard's groups follow its current end (``ends``:
       ``logstore, shard, end_seq``; else from 0), dense in group order, with
       ``cursor``, ``next_cursor`` and the write time as ``cursor_time``."""
     from ..model import cursor_of
-    from ..operators.route import pack_groups, shard_by_hash_key, shard_key_ranges
+    from ..operators.packing import pack_greedy
+    from ..operators.route import shard_by_hash_key, shard_key_ranges
     from ..plans.broadcast import checked_broadcast
     from ..plans.numbering import largest_key_rows, position_within
 
@@ -136,17 +137,17 @@ def records_to_groups(records: DataFrame, shards: DataFrame, ends: DataFrame | N
     # key and the groups of any shard, so it is measured once
     per_shard = largest_key_rows(routed, ["logstore", "shard"])
     sort_keys = [*order, "_tie"]
-    packed = pack_groups(routed, sort_keys, max_lines=max_lines, max_bytes=max_bytes, keys=keys,
+    packed = pack_greedy(routed, sort_keys, max_lines=max_lines, max_bytes=max_bytes, keys=keys,
                          largest=per_shard)
     entry = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(sort_keys)],
                      F.col("time").alias("time"), F.col("time_ns").alias("time_ns"),
                      F.col("contents").alias("contents"))
-    grouped = packed.groupBy(*keys, "line_block", "byte_block").agg(
+    grouped = packed.groupBy(*keys, "group_end").agg(
         F.sort_array(F.collect_list(entry)).alias("_logs"))
     logs = F.transform("_logs", lambda e: F.struct(e["time"].alias("time"), e["time_ns"].alias("time_ns"),
                                                    e["contents"].alias("contents")))
-    groups = grouped.select(*keys, "line_block", "byte_block", logs.alias("logs"))
-    numbered = position_within(groups, ["logstore", "shard"], ["topic", "source", "line_block", "byte_block"],
+    groups = grouped.select(*keys, "group_end", logs.alias("logs"))
+    numbered = position_within(groups, ["logstore", "shard"], ["topic", "source", "group_end"],
                                out="_gpos", largest=per_shard)
     if ends is not None:
         numbered = numbered.join(checked_broadcast(ends.select("logstore", "shard", "end_seq")),
