@@ -13,6 +13,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources.fixtures import events_log_root, events_log_store, events_shards
 from ..sources.logstore import write_log_store
 from ..sources.positions_source import end_when_finished, stream_groups
+from ..sources.using import register_format
 from ..plans.positions import seconds_ntz
 from ..sql import insert_sql, register_log_table, stream_log_table
 from ..streaming.progress import current_positions
@@ -238,3 +239,26 @@ def sql_insert_select(spark, sf_dir):
     name = f"orders_log_{uuid.uuid4().hex}"
     register_log_table(spark, name, schema, {"project": root, "logstore": "orders"})
     return spark.sql(f"SELECT * FROM {name}")
+
+
+@register("sql_using_view", with_events(f"""
+SELECT CAST(l.event_id AS BIGINT) AS event_id, l.event_id % 3 <> 1 AS ok, CAST(l.ts AS DATE) AS day,
+       CASE WHEN l.event_id % 2 = 0 THEN date_trunc('second', l.ts) ELSE date_trunc('milliseconds', l.ts) END AS at,
+       CAST(l.c_attempt AS INT) AS attempt, l.props, l.topic AS __topic__, 'copied' AS __source__
+FROM logs l JOIN groups g ON l.logstore = g.logstore AND l.shard = g.shard AND l.seq = g.seq
+WHERE g.cursor_time >= {T_START_SQL} AND g.cursor_time < {T_STOP_SQL} AND l.shard <> 1"""))
+def sql_using_view(spark, sf_dir):
+    """T1, T2, T4 by SQL text only: a source and a sink declared with USING,
+    INSERT INTO the sink the source's rows but those of one shard, SELECT them
+    back."""
+    register_format(spark)
+    source, sink = (f"{name}_{uuid.uuid4().hex}" for name in ("using_source", "using_sink"))
+    columns = "event_id BIGINT, ok BOOLEAN, day DATE, at TIMESTAMP_NTZ, attempt INT, props STRING, __topic__ STRING"
+    spark.sql(f"""CREATE TEMPORARY VIEW {source} ({columns}, __shard__ INT) USING shardlake OPTIONS (
+        project '{events_log_root(spark, sf_dir)}', logstore 'events-.*', logstore.pattern 'true',
+        scan.startup.mode '{T_START}', stop.time '{T_STOP}')""")
+    spark.sql(f"""CREATE TEMPORARY VIEW {sink} ({columns}, __source__ STRING) USING shardlake OPTIONS (
+        project '{_scratch(spark)}/store', logstore 'copy', sink.shards '4', sink.source 'copied')""")
+    spark.sql(f"""INSERT INTO {sink} SELECT event_id, ok, day, at, attempt, props, __topic__, NULL
+        FROM {source} WHERE __shard__ <> 1""")
+    return spark.sql(f"SELECT * FROM {sink}")

@@ -221,8 +221,14 @@ def settle(spark: SparkSession, root: str) -> None:
         return
     tokens = [f.getPath().getName() for f in fs.listStatus(staged)]
     if tokens:
-        entries = Manifest.open(spark, root).entries()
-        done = entries.where((F.col("kind") == "commit") & F.col("token").isin(tokens)).select("token").collect()
+        entries = Manifest.open(spark, root).entries().where(F.col("token").isin(tokens))
+        # files with a token were inserted by SQL: they get their positions as they are moved
+        inserted = entries.where("kind = 'file'").select("token").distinct().collect()
+        for token in [r["token"] for r in inserted]:
+            from .using import place_inserted
+            place_inserted(entries.where((F.col("kind") == "file") & (F.col("token") == token)), root)
+            _discard(spark, root.rstrip("/"), token)
+        done = entries.where("kind = 'commit'").select("token").collect()
         for r in done:
             _publish(spark, root.rstrip("/"), r["token"])
 

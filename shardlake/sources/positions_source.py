@@ -18,6 +18,7 @@ that ``pyarrow.fs`` reads (local, HDFS, S3).
 from __future__ import annotations
 
 import ast
+import base64
 import datetime as dt
 import json
 import re
@@ -26,6 +27,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.dataset as pads
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +35,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..model import LOG_GROUP
-from .manifest import FOLDER, READONLY
+from .manifest import FOLDER, READONLY, STAGED
 
 FORMAT = "shardlake-groups"
 #: Groups of a shard in a batch where no option says otherwise.
@@ -111,12 +113,52 @@ def seconds(text) -> dt.datetime:
 
 @dataclass
 class Groups(InputPartition):
-    """The groups ``[lo, hi)`` of one file."""
+    """The groups ``[lo, hi)`` of one file.  A file with a ``token`` was
+    inserted by SQL and may still be staged, numbered from 0 (``sources.using``):
+    its positions begin at ``begin`` and its groups were written at ``when``."""
     path: str
     logstore: str
     shard: int
     lo: int
     hi: int
+    begin: int = 0
+    token: str | None = None
+    when: dt.datetime | None = None
+
+
+def file_partition(s: dict, f: dict, lo: int, hi: int) -> Groups | None:
+    """What of a shard's positions ``[lo, hi)`` lies in its file ``f``."""
+    a, z = max(lo, f["begin_seq"]), min(hi, f["end_seq"])
+    return Groups(f["path"], s["logstore"], s["shard"], a, z, f["begin_seq"], f["token"], f["max_time"]) if a < z else None
+
+
+def cursor_texts(positions) -> list[str]:
+    return [base64.b64encode(str(p).encode()).decode() for p in positions]
+
+
+def rebased(groups: pa.RecordBatch, begin: int, when: dt.datetime) -> pa.RecordBatch:
+    """Groups numbered from 0 with positions from ``begin`` and a write time;
+    columns that are not there are left out."""
+    seq = [p + begin for p in groups.column("seq").to_pylist()]
+    new = {"seq": pa.array(seq, pa.int64()), "cursor": pa.array(cursor_texts(seq)), "next_cursor": pa.array(cursor_texts(p + 1 for p in seq)),
+           "cursor_time": pa.array([when] * len(seq), pa.timestamp("us"))}
+    names = groups.schema.names
+    return pa.RecordBatch.from_arrays([new[n] if n in new else groups.column(n) for n in names], names)
+
+
+def read_groups(store: Store, p: Groups, columns: list[str], where: pc.Expression | None = None):
+    """Batches of the groups of a partition (``columns`` has ``seq``)."""
+    path, staged = f"{store.root}/{p.path}", False
+    if p.token is not None and store.fs.get_file_info(path).type == pafs.FileType.NotFound:
+        path, staged = f"{store.root}/{STAGED}/{p.token}/{p.path}", True
+        if store.fs.get_file_info(path).type == pafs.FileType.NotFound:
+            path, staged = f"{store.root}/{p.path}", False      # moved into place meanwhile
+    base = p.begin if staged else 0
+    within = (pc.field("seq") >= p.lo - base) & (pc.field("seq") < p.hi - base)
+    data = pads.dataset(path, filesystem=store.fs, format="parquet")
+    for b in data.to_batches(columns=columns, filter=within if where is None else within & where, batch_size=1000):
+        if b.num_rows:
+            yield rebased(b, p.begin, p.when) if staged else b
 
 
 class GroupStreamReader(DataSourceStreamReader):
@@ -171,18 +213,14 @@ class GroupStreamReader(DataSourceStreamReader):
         out = []
         for k, s in sorted(self.store.shards(self._wanted).items()):
             lo, hi = start.get(k, self._begin(s)), end.get(k, 0)
-            for f in s["files"]:
-                a, z = max(lo, f["begin_seq"]), min(hi, f["end_seq"])
-                if a < z:
-                    out.append(Groups(f["path"], s["logstore"], s["shard"], a, z))
+            out += [p for p in (file_partition(s, f, lo, hi) for f in s["files"]) if p is not None]
         return out
 
     def read(self, partition: Groups):
         schema = to_arrow_schema(LOG_GROUP)
         stored = pa.schema([f for f in schema if f.name not in ("logstore", "shard")])
-        within = (pc.field("seq") >= partition.lo) & (pc.field("seq") < partition.hi)
-        rows = pq.read_table(f"{self.store.root}/{partition.path}", filesystem=self.store.fs, partitioning=None, columns=stored.names, filters=within)
-        for b in rows.cast(stored).sort_by("seq").to_batches(max_chunksize=1000):
+        for b in read_groups(self.store, partition, stored.names):
+            b = b.cast(stored)
             n = b.num_rows
             columns = {"logstore": pa.array([partition.logstore] * n, pa.string()), "shard": pa.array([partition.shard] * n, pa.int32()),
                        **{name: b.column(name) for name in stored.names}}
