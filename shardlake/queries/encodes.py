@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 from ..operators.decode import content
 from ..operators.encode import encode_flatmap, encode_group, encode_rows, json_to_group, time_seconds
 from ..operators.packing import pack_greedy
+from ..operators.udtf import register_deserializer, register_serializer
 from ..operators.route import (bucket_of_key, hash_key_md5, pack_groups, record_bytes, shard_by_hash_key,
                                shard_key_ranges)
-from ..sources.fixtures import table
+from ..sources.fixtures import events_log_store, table
+from .base import with_events
 from .registry import register
 
 # Fixed query parameter: the "now" of the default record time (epoch seconds).
@@ -381,3 +383,44 @@ def sink_groups(spark, sf_dir):
     return g.groupBy("logstore", "shard").agg(
         F.count(F.lit(1)).alias("n_groups"), F.sum(F.size("logs")).cast("long").alias("n_logs"),
         F.max("seq").alias("last_seq"), F.max(F.size("logs")).alias("max_logs_per_group"))
+
+
+def numbered_contents(group: dict):
+    """A row for each content of each log of a group."""
+    for idx, log in enumerate(group["logs"]):
+        for place, pair in enumerate(log["contents"]):
+            yield {"idx": idx, "place": place, "key": pair["key"], "size": len(pair["value"])}
+
+
+@register("udtf_deserialize", with_events("""
+SELECT logstore, shard, key, CAST(count(*) AS BIGINT) AS n, CAST(sum(size) AS BIGINT) AS size, CAST(count(DISTINCT idx) AS BIGINT) AS n_idx
+FROM (SELECT logstore, shard, idx, unnest(['event_id', 'user_id', 'value', 'props']) AS key,
+             length(unnest([c_event_id, c_user_id, c_value, c_props])) AS size FROM logs)
+WHERE size IS NOT NULL AND key <> 'value' GROUP BY ALL"""))
+def udtf_deserialize(spark, sf_dir):
+    """U1 in SQL: a user's function over the groups as a table function that
+    yields a row for each content; three keys are counted and measured."""
+    register_deserializer(spark, "numbered_contents", numbered_contents, "idx int, place int, key string, size int")
+    events_log_store(spark, sf_dir).createOrReplaceTempView("_groups_to_deserialize")
+    return spark.sql("""SELECT logstore, shard, key, count(*) AS n, sum(size) AS size, count(DISTINCT idx) AS n_idx
+                        FROM numbered_contents(TABLE(_groups_to_deserialize), 'logstore', 'shard')
+                        WHERE key IN ('event_id', 'user_id', 'props') GROUP BY ALL""")
+
+
+def price_records(order: dict):
+    """A record for each order, and one more for a dear one."""
+    for topic in ("all", "dear") if order["o_totalprice"] >= 250000 else ("all",):
+        yield {"logstore": "orders", "topic": topic, "time": 1704067200, "time_ns": 0,
+               "contents": [("order", str(order["o_orderkey"])), ("status", order["o_orderstatus"])]}
+
+
+@register("udtf_serialize", """
+SELECT topic, CAST(o_orderkey AS VARCHAR) AS order_key, o_orderstatus AS status, CAST(2 AS INTEGER) AS n_contents
+FROM orders, (VALUES ('all', -1), ('dear', 250000)) AS t(topic, least) WHERE least < 0 OR o_totalprice >= least""")
+def udtf_serialize(spark, sf_dir):
+    """U3 in SQL: a user's function over rows as a table function that yields
+    records."""
+    register_serializer(spark, "price_records", price_records)
+    spark.read.parquet(f"{sf_dir}/orders.parquet").createOrReplaceTempView("_orders_to_serialize")
+    records = spark.sql("SELECT * FROM price_records(TABLE(_orders_to_serialize))")
+    return records.select("topic", content("order").alias("order_key"), content("status").alias("status"), F.size("contents").alias("n_contents"))

@@ -16,6 +16,7 @@ from ..sources.positions_source import end_when_finished, stream_groups
 from ..sources.using import register_format
 from ..plans.positions import seconds_ntz
 from ..sql import insert_sql, register_log_table, stream_log_table
+from ..streaming.dedup import dedup_positions, interval_state
 from ..streaming.progress import current_positions
 from ..streaming.stream import ProgressCommitter, batch_sink, finish, read_commits, stream_decoded, with_event_time
 from .base import with_events
@@ -246,19 +247,33 @@ SELECT CAST(l.event_id AS BIGINT) AS event_id, l.event_id % 3 <> 1 AS ok, CAST(l
        CASE WHEN l.event_id % 2 = 0 THEN date_trunc('second', l.ts) ELSE date_trunc('milliseconds', l.ts) END AS at,
        CAST(l.c_attempt AS INT) AS attempt, l.props, l.topic AS __topic__, 'copied' AS __source__
 FROM logs l JOIN groups g ON l.logstore = g.logstore AND l.shard = g.shard AND l.seq = g.seq
-WHERE g.cursor_time >= {T_START_SQL} AND g.cursor_time < {T_STOP_SQL} AND l.shard <> 1"""))
+WHERE g.cursor_time >= {T_START_SQL} AND g.cursor_time < {T_STOP_SQL}"""))
 def sql_using_view(spark, sf_dir):
     """T1, T2, T4 by SQL text only: a source and a sink declared with USING,
-    INSERT INTO the sink the source's rows but those of one shard, SELECT them
-    back."""
+    INSERT INTO the sink the source's rows, SELECT them back."""
     register_format(spark)
     source, sink = (f"{name}_{uuid.uuid4().hex}" for name in ("using_source", "using_sink"))
     columns = "event_id BIGINT, ok BOOLEAN, day DATE, at TIMESTAMP_NTZ, attempt INT, props STRING, __topic__ STRING"
-    spark.sql(f"""CREATE TEMPORARY VIEW {source} ({columns}, __shard__ INT) USING shardlake OPTIONS (
+    spark.sql(f"""CREATE TEMPORARY VIEW {source} ({columns}) USING shardlake OPTIONS (
         project '{events_log_root(spark, sf_dir)}', logstore 'events-.*', logstore.pattern 'true',
         scan.startup.mode '{T_START}', stop.time '{T_STOP}')""")
     spark.sql(f"""CREATE TEMPORARY VIEW {sink} ({columns}, __source__ STRING) USING shardlake OPTIONS (
         project '{_scratch(spark)}/store', logstore 'copy', sink.shards '4', sink.source 'copied')""")
-    spark.sql(f"""INSERT INTO {sink} SELECT event_id, ok, day, at, attempt, props, __topic__, NULL
-        FROM {source} WHERE __shard__ <> 1""")
+    spark.sql(f"""INSERT INTO {sink} SELECT event_id, ok, day, at, attempt, props, __topic__, NULL FROM {source}""")
     return spark.sql(f"SELECT * FROM {sink}")
+
+
+@register("stream_dedup_intervals", with_events(DELIVERED_SQL))
+def stream_dedup_intervals(spark, sf_dir):
+    """A3: the first two thirds of each shard's groups are delivered, then, to
+    the same query started again, all groups: those delivered before are
+    dropped, however old."""
+    folder, groups = _scratch(spark), events_log_store(spark, sf_dir)
+    shards = events_shards(spark, sf_dir).select("logstore", "shard", "end_seq")
+    for part in ("3 * seq < 2 * end_seq", "true"):
+        (groups.join(F.broadcast(shards), ["logstore", "shard"]).where(part).select(*groups.columns)   # a row per shard
+         .write.mode("append").parquet(f"{folder}/in"))
+        fresh = dedup_positions(spark.readStream.schema(groups.schema).parquet(f"{folder}/in"))
+        with interval_state(spark):
+            _deliver(spark, decode(fresh, "event_id bigint", keep=("logstore", "shard", "seq")), folder)
+    return _delivered(spark, folder)

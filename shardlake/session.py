@@ -77,5 +77,15 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return base
 
 
+def workers_find_library(spark: SparkSession) -> None:
+    """Python workers import this library wherever they start: data sources,
+    table functions and stateful processors are pickled by name."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

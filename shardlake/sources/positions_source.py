@@ -257,11 +257,13 @@ def stream_groups(spark: SparkSession, options: dict, checkpoints: DataFrame | N
     of the consumer group (``checkpoints``) when the query is made; a query
     that starts again goes on from its own checkpoint."""
     from ..plans.positions import CHECKPOINT, parse_start_position, resolve_positions
+    from ..session import workers_find_library
     from ..sql import LogTableOptions
     from .logstore import read_log_store
     from .manifest import FileIndex, open_store
     opts = LogTableOptions.from_options(options)
     open_store(spark, opts.project)     # indexes a store that has no manifest yet
+    workers_find_library(spark)
     spark.dataSource.register(GroupSource)
     reader = spark.readStream.format(FORMAT).options(**{k: str(v) for k, v in options.items() if v is not None})
     if parse_start_position(opts.scan_startup_mode).kind == CHECKPOINT:

@@ -53,6 +53,7 @@ from ..functions.values import BITS, rule, texts, typed
 from ..model import (ENCODE_METADATA, FIELD_CURSOR, FIELD_HASH_KEY, FIELD_LOGSTORE, FIELD_SHARD, FIELD_SOURCE, FIELD_TIME, FIELD_TOPIC,
                      LOG_GROUP)
 from ..operators.encode import BLANK
+from ..session import workers_find_library
 from .manifest import ATTEMPTS, ENTRY, FOLDER, STAGED, ManifestConflict
 from .positions_source import Groups, GroupStreamReader, Store, cursor_texts, file_partition, read_groups, rebased
 
@@ -68,6 +69,7 @@ TIMES = (T.TimestampNTZType, T.TimestampType)
 
 def register_format(spark: SparkSession) -> None:
     """Make ``USING shardlake`` known to this session."""
+    workers_find_library(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(LogTable)
 
@@ -389,6 +391,7 @@ def place_inserted(files: DataFrame, root: str) -> None:
                 place_file(store, r)
             yield b.select(["path"])
 
+    workers_find_library(files.sparkSession)
     todo = files.select("path", "token", "begin_seq", "max_time").repartition("path")
     todo.mapInArrow(move, "path string").foreach(lambda r: None)
 
