@@ -189,19 +189,28 @@ def json_to_group(json_text: Column | str, now_seconds: int | None = None, stric
     value of a repeated key.  Values keep their JSON text (strings unquoted).
     A line that is no JSON object raises, or gives NULL without ``strict``."""
     js = F.col(json_text) if isinstance(json_text, str) else json_text
-    m = F.from_json(js, T.MapType(T.StringType(), T.StringType()))
-    entries = last_per_key(F.map_entries(m))
-    tags = F.map_from_entries(F.transform(F.filter(entries, lambda e: e["key"].startswith(TAG_PREFIX)), lambda e: F.struct(
-        F.substr(e["key"], F.lit(len(TAG_PREFIX) + 1)).alias("key"), e["value"].alias("value"))))
     now = F.lit(now_seconds).cast("int") if now_seconds is not None else F.unix_timestamp().cast("int")
-    contents = F.filter(entries, lambda e: ~e["key"].startswith(TAG_PREFIX))
-    log = F.struct(now.alias("time"), F.lit(0).alias("time_ns"), contents.alias("contents"))
-    group = F.struct(F.lit(None).cast("string").alias("topic"), F.lit(None).cast("string").alias("source"),
-                     tags.alias("tags"), F.array(log).alias("logs"))
-    bad = js.isNotNull() & m.isNull()
-    checked = F.when(m.isNotNull(), group)
-    if not strict:
-        return checked
-    return F.when(bad, F.raise_error(F.concat(F.lit("Not a JSON object: "), js)).cast(
-        "struct<topic:string,source:string,tags:map<string,string>,logs:array<struct<time:int,time_ns:int,"
-        "contents:array<struct<key:string,value:string>>>>>")).otherwise(checked)
+
+    def group(entries: Column) -> Column:
+        tags = F.map_from_entries(F.transform(F.filter(entries, lambda e: e["key"].startswith(TAG_PREFIX)), lambda e: F.struct(
+            F.substr(e["key"], F.lit(len(TAG_PREFIX) + 1)).alias("key"), e["value"].alias("value"))))
+        contents = F.filter(entries, lambda e: ~e["key"].startswith(TAG_PREFIX))
+        log = F.struct(now.alias("time"), F.lit(0).alias("time_ns"), contents.alias("contents"))
+        return F.struct(F.lit(None).cast("string").alias("topic"), F.lit(None).cast("string").alias("source"),
+                        tags.alias("tags"), F.array(log).alias("logs"))
+
+    def checked(m: Column) -> Column:
+        known = F.when(m.isNotNull(), _bound(last_per_key(F.map_entries(m)), group))
+        if not strict:
+            return known
+        return F.when(js.isNotNull() & m.isNull(), F.raise_error(F.concat(F.lit("Not a JSON object: "), js)).cast(
+            "struct<topic:string,source:string,tags:map<string,string>,logs:array<struct<time:int,time_ns:int,"
+            "contents:array<struct<key:string,value:string>>>>>")).otherwise(known)
+
+    return _bound(F.from_json(js, T.MapType(T.StringType(), T.StringType())), checked)
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used
+    (branches of a condition are not merged by the optimizer)."""
+    return F.element_at(F.transform(F.array(value), use), 1)
