@@ -278,14 +278,20 @@ def stream_groups(spark: SparkSession, options: dict, checkpoints: DataFrame | N
 def offset_of(query) -> dict:
     """The positions that a query's last finished batch has come to."""
     progress = query.lastProgress
-    if not progress:
-        return {}
-    end = progress["sources"][0]["endOffset"]
-    if isinstance(end, str):    # the text of the parsed offset, or its JSON
+    return parsed_offset(progress["sources"][0]["endOffset"]) if progress else {}
+
+
+def parsed_offset(end) -> dict:
+    """An offset as a progress report has it: parsed, its text, or its JSON."""
+    if isinstance(end, str):
         end = ast.literal_eval(end) if "'" in end or end == "None" else json.loads(end)
     return end or {}
 
 
+def utc_now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 def end_when_finished(query, options: dict, poll: float = 0.5, timeout: float | None = None) -> bool:
     """Stop ``query`` (over ``stream_groups``) once every shard is finished and
     delivered; False if it was not within ``timeout`` seconds.  Raises what
@@ -294,7 +300,7 @@ def end_when_finished(query, options: dict, poll: float = 0.5, timeout: float |
     deadline = None if timeout is None else time.monotonic() + timeout
     while query.isActive:
         at = offset_of(query)
-        done = reader.finished(at, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) if at else {}
+        done = reader.finished(at, utc_now()) if at else {}
         if done and all(done.values()):
             query.stop()
             break
