@@ -7,11 +7,13 @@ record in one task.  The records of a key are cut into *stretches* of a fixed
 number of lines.  The first group of a stretch starts within its first
 ``max_lines`` records, so a stretch is a small table: for each such start, the
 place in the next stretch where the first group starts (found with prefix sums
-over the stretch and the ``max_lines`` records behind it).  The tables of two
-neighbours compose into one, pairs of pairs again, up to one table a key; then
-the start 0 of the key goes down that tree and gives every stretch its first
-start.  Each level is a shuffle by (key, pair) of half as many rows as the one
-below.
+over the stretch and the ``max_lines`` records behind it).  The tables of
+``FAN`` neighbours compose into one, ``FAN`` of those again, up to one table a
+key; then the start 0 of the key goes down that tree and gives every stretch its
+first start.  Each level is a shuffle by (key, node) of the tables of the one
+below.  The plan holds every level twice, and the plans below it, so the tree is
+wide: a million stretches take four levels.  Without a limit of bytes groups
+start at the multiples of ``max_lines`` and need no tree.
 """
 from __future__ import annotations
 
@@ -22,6 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.broadcast import checked_broadcast
 from ..plans.cache import persist_fresh
 from ..plans.numbering import largest_key_rows, position_within
 from .route import floor_div, record_bytes
@@ -29,6 +32,9 @@ from .route import floor_div, record_bytes
 #: Lines of a stretch for each line of a group: a longer stretch carries less
 #: of its neighbour and has fewer tables, and needs more memory.
 STRETCH = 4
+#: Tables composed into one: fewer make the tree and so the plan deeper, more
+#: make the rows larger (a row holds ``FAN * max_lines`` numbers).
+FAN = 32
 
 
 def next_starts(sizes: np.ndarray, own: int, max_lines: int, max_bytes: int | None) -> np.ndarray:
@@ -78,21 +84,22 @@ def _first_starts(tables: DataFrame, keys: list[str], stretches: int) -> DataFra
     ``tables``: (keys, _at, _table), ``_table`` null for a key's last one."""
     levels = []
     while stretches > 1:
-        odd = F.col("_at") % 2 == 1
-        pairs = persist_fresh(tables.groupBy(*keys, floor_div(F.col("_at"), 2).alias("_pair")).agg(
-            F.any_value(F.when(~odd, F.col("_table")), ignoreNulls=True).alias("_left"),
-            F.any_value(F.when(odd, F.col("_table")), ignoreNulls=True).alias("_right"), F.count("*").alias("_n")))
-        levels.append(pairs)
-        composed = F.transform("_left", lambda s: F.get("_right", s))
-        tables = pairs.select(*keys, F.col("_pair").alias("_at"), F.when(F.col("_right").isNotNull(), composed).alias("_table"))
-        stretches = -(-stretches // 2)
+        below = F.sort_array(F.collect_list(F.struct("_at", "_table")))    # at most FAN tables
+        nodes = persist_fresh(tables.groupBy(*keys, floor_div(F.col("_at"), FAN).alias("_node")).agg(
+            F.transform(below, lambda t: t["_table"]).alias("_tables")))
+        levels.append(nodes)
+        composed = F.aggregate(F.slice("_tables", 2, FAN), F.get("_tables", F.lit(0)),
+                               lambda acc, t: F.transform(acc, lambda s: F.get(t, s)))
+        whole = F.get("_tables", F.lit(FAN - 1)).isNotNull()
+        tables = nodes.select(*keys, F.col("_node").alias("_at"), F.when(whole, composed).alias("_table"))
+        stretches = -(-stretches // FAN)
     starts = tables.select(*keys, "_at", F.lit(0).alias("_start"))
-    for pairs in reversed(levels):
-        down = _same(pairs, starts.withColumnRenamed("_at", "_pair"), keys, ["_pair"])
-        left = F.struct((2 * F.col("_pair")).alias("_at"), F.col("_start"))
-        right = F.struct((2 * F.col("_pair") + 1).alias("_at"), F.get("_left", F.col("_start")).alias("_start"))
-        both = F.when(F.col("_n") > 1, F.array(left, right)).otherwise(F.array(left))
-        starts = down.select(*keys, F.explode(both).alias("_s")).select(*keys, "_s.*")
+    for nodes in reversed(levels):
+        down = _same(nodes, starts.withColumnRenamed("_at", "_node"), keys, ["_node"])
+        each = F.aggregate(F.slice("_tables", 1, F.size("_tables") - 1), F.array("_start"),
+                           lambda acc, t: F.concat(acc, F.array(F.get(t, F.element_at(acc, -1)))))
+        starts = (down.select(*keys, "_node", F.posexplode(each).alias("_place", "_start"))
+                  .select(*keys, (F.col("_node") * FAN + F.col("_place")).alias("_at"), "_start"))
     return starts
 
 
@@ -115,7 +122,13 @@ def pack_greedy(records: DataFrame, order: Sequence[str], max_lines: int = 4096,
         raise ValueError("max_lines and stretch must be positive, max_bytes not negative")
     lines = max_lines * stretch
     top = largest if largest is not None else largest_key_rows(records, keys)
-    placed = position_within(records, keys, order, out="_pos", largest=top).withColumn("_at", floor_div(F.col("_pos"), lines))
+    placed = position_within(records, keys, order, out="_pos", largest=top)
+    if max_bytes is None:
+        # groups start at the multiples of max_lines: the place alone tells where one ends
+        totals = checked_broadcast(records.groupBy(*keys).agg(F.count("*").alias("_n")))
+        end = F.least((floor_div(F.col("_pos"), max_lines) + 1) * max_lines, F.col("_n"))
+        return _same(placed, totals, keys, []).withColumn("group_end", end).drop("_pos", "_n")
+    placed = placed.withColumn("_at", floor_div(F.col("_pos"), lines))
     size = F.coalesce(record_bytes(), F.lit(0)).cast("long")
     within = F.col("_pos") - F.col("_at") * lines
     lent = F.when((within < max_lines) & (F.col("_at") > 0), F.array(F.col("_at"), F.col("_at") - 1)).otherwise(F.array(F.col("_at")))
