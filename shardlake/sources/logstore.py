@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from ..model import LOG_GROUP
 
 
-def write_log_store(groups: DataFrame, root: str, mode: str = "append") -> None:
+def write_log_store(groups: DataFrame, root: str, mode: str = "append", placed: bool = False) -> None:
     """Append (or overwrite) log groups, positions included, under ``root``.
+    ``placed``: they lie in range partitions on their positions already.
 
     Files are range partitioned on ``(logstore, shard, seq)``, so each covers
     a narrow ``seq`` range and Parquet min/max statistics prune position
@@ -25,7 +26,7 @@ def write_log_store(groups: DataFrame, root: str, mode: str = "append") -> None:
     fs, path = hadoop_fs(spark, root)
     if mode == "overwrite" and fs.exists(path):
         fs.delete(path, True)
-    append_positioned(groups, root)
+    append_positioned(groups, root, placed)
     fs.create(path.suffix("/_SUCCESS"), True).close()
 
 
@@ -35,9 +36,9 @@ def hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def materialize_log_store(spark: SparkSession, root: str, build, finish=None) -> str:
+def materialize_log_store(spark: SparkSession, root: str, build, finish=None, placed: bool = False) -> str:
     """Write ``build()`` as a log store at ``root`` once; later calls reuse
-    it.  ``finish(folder)`` may add to it before it is in place.  The table is written next to ``root`` and renamed into place, so a
+    it (``placed``: see ``write_log_store``).  ``finish(folder)`` may add to it before it is in place.  The table is written next to ``root`` and renamed into place, so a
     reader never sees a half-written store and an interrupted build is
     redone."""
     fs, final = hadoop_fs(spark, root)
@@ -47,7 +48,7 @@ def materialize_log_store(spark: SparkSession, root: str, build, finish=None) ->
     tmp = f"{root}.tmp-{uuid.uuid4().hex}"
     from ..plans.cache import scoped
     with scoped():
-        write_log_store(build(), tmp)
+        write_log_store(build(), tmp, placed=placed)
     if finish is not None:
         finish(tmp)
     _, tmp_path = hadoop_fs(spark, tmp)

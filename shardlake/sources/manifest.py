@@ -169,11 +169,23 @@ def shard_ends(files: DataFrame) -> DataFrame:
         F.min("begin_seq").alias("begin_seq"), F.max("end_seq").alias("end_seq"), F.max("max_time").alias("end_time"))
 
 
-def _write_files(groups: DataFrame, path: str) -> None:
-    """Files of one narrow range of positions each.  A hot shard is cut into
-    many ranges written by different tasks."""
-    (groups.repartitionByRange("logstore", "shard", "seq").sortWithinPartitions("logstore", "shard", "seq")
-     .write.mode("overwrite").partitionBy("logstore", "shard").parquet(path))
+#: Groups and bytes of a row group: a reader of few positions (a stream's batch,
+#: the edge of a time) decodes whole row groups, however large the file.
+ROW_GROUP, ROW_GROUP_BYTES = 1000, 16 * 1024 * 1024
+
+
+def by_position(rows: DataFrame) -> DataFrame:
+    """Rows in range partitions on their position.  A hot shard is cut into
+    many ranges."""
+    return rows.repartitionByRange("logstore", "shard", "seq")
+
+
+def _write_files(groups: DataFrame, path: str, placed: bool = False) -> None:
+    """Files of one narrow range of positions each, written by different tasks.
+    ``placed``: the groups lie in range partitions already (:func:`by_position`)."""
+    ranged = groups if placed else by_position(groups)
+    (ranged.sortWithinPartitions("logstore", "shard", "seq").write.mode("overwrite").partitionBy("logstore", "shard")
+     .option("parquet.block.row.count.limit", ROW_GROUP).option("parquet.block.size", ROW_GROUP_BYTES).parquet(path))
 
 
 def index_files(spark: SparkSession, path: str) -> DataFrame:
@@ -263,11 +275,12 @@ def _retry(spark: SparkSession, root: str, attempt: Callable[[Manifest], Manifes
     raise ManifestConflict(f"{ATTEMPTS} attempts on {root}")
 
 
-def append_positioned(groups: DataFrame, root: str) -> Manifest:
-    """Append groups that have their positions already."""
+def append_positioned(groups: DataFrame, root: str, placed: bool = False) -> Manifest:
+    """Append groups that have their positions already (``placed``: and lie in
+    range partitions on them)."""
     spark, root, token = groups.sparkSession, root.rstrip("/"), uuid.uuid4().hex
     staged = f"{root}/{STAGED}/{token}"
-    _write_files(groups, staged)
+    _write_files(groups, staged, placed)
     rows = index_files(spark, staged)
     done = _retry(spark, root, lambda m: m.put(rows, token))
     _publish(spark, root, token)

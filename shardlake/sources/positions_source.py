@@ -40,6 +40,9 @@ from .manifest import FOLDER, READONLY, STAGED
 FORMAT = "shardlake-groups"
 #: Groups of a shard in a batch where no option says otherwise.
 GROUPS_PER_FETCH = 100
+#: Bytes of groups that a batch of a reading task holds, and of a column chunk
+#: that it reads at once.
+READ_BYTES, READ_BUFFER = 8 * 1024 * 1024, 1024 * 1024
 EPOCH = dt.datetime(1970, 1, 1)
 
 
@@ -155,10 +158,22 @@ def read_groups(store: Store, p: Groups, columns: list[str], where: pc.Expressio
             path, staged = f"{store.root}/{p.path}", False      # moved into place meanwhile
     base = p.begin if staged else 0
     within = (pc.field("seq") >= p.lo - base) & (pc.field("seq") < p.hi - base)
-    data = pads.dataset(path, filesystem=store.fs, format="parquet")
-    for b in data.to_batches(columns=columns, filter=within if where is None else within & where, batch_size=1000):
-        if b.num_rows:
-            yield rebased(b, p.begin, p.when) if staged else b
+    if where is not None:
+        within = within & where
+    # only the row groups that may hold them, and of each no more than a batch at once:
+    # the dataset's scanner decodes whole row groups, several ahead
+    file = pads.ParquetFileFormat().make_fragment(path, filesystem=store.fs)
+    hits = file.subset(within).row_groups
+    if not hits:
+        return
+    rows = sum(g.num_rows for g in hits)
+    size = max(1, min(1000, READ_BYTES * rows // max(1, sum(g.total_byte_size for g in hits))))
+    with pq.ParquetFile(path, filesystem=store.fs, metadata=file.metadata, buffer_size=READ_BUFFER) as data:
+        for b in data.iter_batches(batch_size=size, row_groups=[g.id for g in hits], columns=columns, use_threads=False):
+            b = b.filter(within)
+            if b.num_rows:
+                b = b.select(columns)
+                yield rebased(b, p.begin, p.when) if staged else b
 
 
 class GroupStreamReader(DataSourceStreamReader):
