@@ -28,10 +28,10 @@ from ..model import cursor_of, epoch_micros, floor_div
 from ..plans.numbering import position_within
 from ..session import ensure_checkpoint_dir
 from .logstore import hadoop_fs, materialize_log_store, read_log_store
-from .manifest import READONLY, FileIndex, open_store, set_status
+from .manifest import READONLY, FileIndex, by_position, open_store, set_status
 
 # bump when the derivation below changes: stored copies are keyed by it
-FIXTURE_VERSION = "events-v4"
+FIXTURE_VERSION = "events-v5"
 LOGS_PER_GROUP = 10
 SHARDS_PER_STORE = 4
 MICROS_PER_DAY = 86_400_000_000
@@ -45,10 +45,16 @@ def _kv(key: str, value) -> F.Column:
     return F.struct(F.lit(key).alias("key"), value.cast("string").alias("value"))
 
 
-def events_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per event as a log: ``logstore, shard, ts, event_id, time,
-    time_ns, contents`` (before packing into groups)."""
-    ev = table(spark, sf_dir, "events")
+def events_by_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per event, as it is, with its ``logstore`` and ``shard``."""
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("events-"), F.col("event_type")).alias("logstore"),
+        F.pmod(F.col("user_id"), F.lit(SHARDS_PER_STORE)).cast("int").alias("shard"),
+        "ts", "event_id", "user_id", "value", "props")
+
+
+def event_log() -> F.Column:
+    """An event as a log (``time, time_ns, contents``)."""
     us = epoch_micros(F.col("ts"))
     even = F.col("event_id") % 2 == 0
     contents = F.array(
@@ -67,15 +73,10 @@ def events_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         _kv("attempt", F.lit("1")),
     )
     retry = F.array(_kv("attempt", (F.col("event_id") % 3 + 2)))
-    contents = F.when(F.col("event_type") == "error", F.concat(contents, retry)).otherwise(contents)
-    return ev.select(
-        F.concat(F.lit("events-"), F.col("event_type")).alias("logstore"),
-        F.pmod(F.col("user_id"), F.lit(SHARDS_PER_STORE)).cast("int").alias("shard"),
-        "ts", "event_id",
+    return F.struct(
         floor_div(us, 1000000).cast("int").alias("time"),
         (F.pmod(us, F.lit(1000000)) * 1000).cast("int").alias("time_ns"),
-        contents.alias("contents"),
-    )
+        F.when(F.col("logstore") == "events-error", F.concat(contents, retry)).otherwise(contents).alias("contents"))
 
 
 def pack_sequential(logs: DataFrame, order: list[str], per_group: int = LOGS_PER_GROUP) -> DataFrame:
@@ -89,13 +90,18 @@ def pack_sequential(logs: DataFrame, order: list[str], per_group: int = LOGS_PER
 
 
 def events_log_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` log store family as log-group rows (``model.LOG_GROUP``)."""
-    logs = pack_sequential(events_logs(spark, sf_dir), ["ts", "event_id"])
+    """The ``events`` log store family as log-group rows (``model.LOG_GROUP``),
+    in range partitions on their positions (``manifest.by_position``).
+
+    The events are numbered and dealt as they are; a log, about ten times as
+    large, is made of each last, where its group is written."""
+    events = by_position(pack_sequential(events_by_shard(spark, sf_dir), ["ts", "event_id"]))
+    logs = events.select("logstore", "shard", "seq", "idx", "ts", event_log().alias("log"))
     grouped = logs.groupBy("logstore", "shard", "seq").agg(
         F.max("ts").alias("cursor_time"),
         F.min("ts").alias("first_ts"),
         # a group holds at most LOGS_PER_GROUP logs: bounded collect
-        F.sort_array(F.collect_list(F.struct("idx", "time", "time_ns", "contents"))).alias("entries"),
+        F.sort_array(F.collect_list(F.struct("idx", "log"))).alias("entries"),
     )
     shard = F.col("shard")
     return grouped.select(
@@ -107,8 +113,7 @@ def events_log_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("10.0."), shard.cast("string"), F.lit(".1")).alias("source"),
         F.create_map(F.lit("hostname"), F.concat(F.lit("host-"), shard.cast("string")),
                      F.lit("day"), F.date_format("first_ts", "yyyy-MM-dd")).alias("tags"),
-        F.transform("entries", lambda e: F.struct(e["time"].alias("time"), e["time_ns"].alias("time_ns"),
-                                                  e["contents"].alias("contents"))).alias("logs"),
+        F.col("entries.log").alias("logs"),
     )
 
 
@@ -143,7 +148,7 @@ def events_log_root(spark: SparkSession, sf_dir: str) -> str:
         state.append(f"{name}|{status.getLen()}|{status.getModificationTime()}")
     key = hashlib.sha1("\n".join(map(str, state)).encode()).hexdigest()[:16]
     return materialize_log_store(spark, f"{base}/shardlake-logstores/{key}",
-                                 lambda: events_log_groups(spark, sf_dir), lambda root: _close_shards(spark, root))
+                                 lambda: events_log_groups(spark, sf_dir), lambda root: _close_shards(spark, root), placed=True)
 
 
 def _close_shards(spark: SparkSession, root: str) -> None:
