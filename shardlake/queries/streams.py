@@ -134,16 +134,17 @@ def commit_after_crash(spark, sf_dir):
 
 def _positions_read(spark: SparkSession, options: dict, folder: str) -> None:
     """Run a continuous stream of groups until it ends by itself; each batch
-    is stored with its number."""
+    is stored with its number.  The number of batches grows with the store, so
+    only a stream that stands still is given up."""
     def keep(batch: DataFrame, batch_id: int) -> None:
-        (decode(batch, "event_id bigint", keep=("logstore", "shard", "seq")).withColumn("batch", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}"))
+        batch.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
 
-    q = (stream_groups(spark, options).writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/checkpoint")
+    logs = decode(stream_groups(spark, options), "event_id bigint", keep=("logstore", "shard", "seq"))
+    q = (logs.writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/checkpoint")
          .trigger(processingTime="0 seconds").start())
     try:
-        if not end_when_finished(q, options, timeout=600):
-            raise TimeoutError("the stream did not end")
+        if not end_when_finished(q, options, idle=600):
+            raise TimeoutError("the stream stands still")
     finally:
         q.stop()
 

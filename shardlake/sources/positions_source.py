@@ -3,7 +3,7 @@
 ``spark.readStream.format("shardlake-groups")`` plans from the store's manifest:
 an offset is a map from shard (``logstore$shard``) to its next ``seq``, a batch
 takes at most ``max.number.per.fetch`` groups of each shard, and a partition
-holds the groups of one file.  Executors read their row groups as Arrow
+holds the groups of one file, or of several where they are few.  Executors read their row groups as Arrow
 batches.  Shards found later start at their beginning.
 
 ``stop.time`` ends each shard before its first group written at or after that
@@ -40,6 +40,8 @@ from .manifest import FOLDER, READONLY, STAGED
 FORMAT = "shardlake-groups"
 #: Groups of a shard in a batch where no option says otherwise.
 GROUPS_PER_FETCH = 100
+#: A task for each of a few dozen groups costs more than reading them.
+GROUPS_PER_TASK = 200
 #: Bytes of groups that a batch of a reading task holds, and of a column chunk
 #: that it reads at once.
 READ_BYTES, READ_BUFFER = 8 * 1024 * 1024, 1024 * 1024
@@ -129,6 +131,27 @@ class Groups(InputPartition):
     when: dt.datetime | None = None
 
 
+@dataclass
+class Several(InputPartition):
+    """What one task reads: parts of files one after the other."""
+    parts: list[Groups]
+
+
+def in_tasks(parts: list[Groups]) -> list[Several]:
+    """The parts dealt to tasks, in order: a task takes more as long as it has
+    at most ``GROUPS_PER_TASK`` groups."""
+    out: list[Several] = []
+    held = 0
+    for p in parts:
+        n = p.hi - p.lo
+        if not out or held + n > GROUPS_PER_TASK:
+            out.append(Several([]))
+            held = 0
+        out[-1].parts.append(p)
+        held += n
+    return out
+
+
 def file_partition(s: dict, f: dict, lo: int, hi: int) -> Groups | None:
     """What of a shard's positions ``[lo, hi)`` lies in its file ``f``."""
     a, z = max(lo, f["begin_seq"]), min(hi, f["end_seq"])
@@ -229,9 +252,13 @@ class GroupStreamReader(DataSourceStreamReader):
         for k, s in sorted(self.store.shards(self._wanted).items()):
             lo, hi = start.get(k, self._begin(s)), end.get(k, 0)
             out += [p for p in (file_partition(s, f, lo, hi) for f in s["files"]) if p is not None]
-        return out
+        return in_tasks(out)
+
+    def read(self, partition: Several):
+        for part in partition.parts:
+            yield from self._read(part)
 
-    def read(self, partition: Groups):
+    def _read(self, partition: Groups):
         schema = to_arrow_schema(LOG_GROUP)
         stored = pa.schema([f for f in schema if f.name not in ("logstore", "shard")])
         for b in read_groups(self.store, partition, stored.names):
@@ -307,19 +334,24 @@ def utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def end_when_finished(query, options: dict, poll: float = 0.5, timeout: float | None = None) -> bool:
+def end_when_finished(query, options: dict, poll: float = 0.5, timeout: float | None = None,
+                      idle: float | None = None) -> bool:
     """Stop ``query`` (over ``stream_groups``) once every shard is finished and
-    delivered; False if it was not within ``timeout`` seconds.  Raises what
-    the query raises."""
+    delivered; False if it was not within ``timeout`` seconds, or if no shard
+    has moved for ``idle`` seconds.  Raises what the query raises."""
     reader = GroupStreamReader({k: str(v) for k, v in options.items() if v is not None} | {"start.positions": "{}"})
     deadline = None if timeout is None else time.monotonic() + timeout
+    seen, moved = None, time.monotonic()
     while query.isActive:
         at = offset_of(query)
+        if at != seen:
+            seen, moved = at, time.monotonic()
         done = reader.finished(at, utc_now()) if at else {}
         if done and all(done.values()):
             query.stop()
             break
-        if deadline is not None and time.monotonic() > deadline:
+        now = time.monotonic()
+        if (deadline is not None and now > deadline) or (idle is not None and now - moved > idle):
             return False
         time.sleep(poll)
     if query.exception() is not None:
