@@ -66,9 +66,9 @@ class HashIndex:
 
 class ChunkCoder:
     """``learn`` takes chunks (strings) and keys (zeros) and gives the ids of
-    each as little-endian 32-bit bytes."""
+    all, one chunk's behind the other's, and how many each has."""
 
-    def __init__(self, learn: Callable[[list[str], np.ndarray], list[bytes]], remembered: int = REMEMBERED):
+    def __init__(self, learn: Callable[[list[str], np.ndarray], tuple[np.ndarray, np.ndarray]], remembered: int = REMEMBERED):
         self.learn, self.remembered = learn, remembered
         self.power = np.ones(1, dtype=np.uint64)
         self._forget()
@@ -89,10 +89,9 @@ class ChunkCoder:
         """Number of each remembered chunk, -1 for the others."""
         return self.index.find(h)
 
-    def _add(self, h: np.ndarray, codes: list[bytes]) -> np.ndarray:
+    def _add(self, h: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Remember new chunks, all different; their numbers."""
-        n, ids = len(codes), np.frombuffer(b"".join(codes), dtype="<i4")
-        sizes = np.fromiter(map(len, codes), dtype=np.int64, count=n) // 4
+        n = len(sizes)
         while self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         while self.count + n > len(self.start):
@@ -104,6 +103,12 @@ class ChunkCoder:
         self.index.add(h, numbers)
         return numbers
 
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, counts) of remembered chunks."""
+        start, n = self.start[numbers], self.size[numbers]
+        ends = np.cumsum(n)
+        return self.pool[np.arange(ends[-1] if len(n) else 0) + np.repeat(start - (ends - n), n)], n
+
     def encode(self, texts: list[bytes], vary: Callable | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin (one more for the end).
         ``vary(chunk numbers, text numbers, places in the text, chunk_at)``
@@ -133,7 +138,7 @@ class ChunkCoder:
         number = self._find(h)
         if (lack := np.flatnonzero(number < 0)).size:
             a = at[lack]
-            number[lack] = self._add(h[lack], self.learn(chunk_at(a), np.zeros(len(a), dtype=np.uint64)))
+            number[lack] = self._add(h[lack], *self.learn(chunk_at(a), np.zeros(len(a), dtype=np.uint64)))
         number = number[back]
         start, n = self.start[number], self.size[number]
         if vary:

@@ -59,7 +59,7 @@ class WordTokenizer:
         self.last = np.array([vocab[c + end] for c in names], dtype=np.int32)
         self.coder = ChunkCoder(self._learn)
 
-    def _learn(self, chunks: list[str], _keys) -> list[bytes]:
+    def _learn(self, chunks: list[str], _keys) -> tuple[np.ndarray, np.ndarray]:
         out: list = [None] * len(chunks)
         plain = [i for i, c in enumerate(chunks) if self.plain.fullmatch(c)]
         parts = [self.words.findall(chunks[i].lower()) for i in plain]
@@ -75,7 +75,7 @@ class WordTokenizer:
         other = [i for i, x in enumerate(out) if x is None]
         for i, e in zip(other, self.model.encode_batch_fast([chunks[i] for i in other], add_special_tokens=False)):
             out[i] = np.array(e.ids, dtype="<u4").tobytes()
-        return out
+        return np.frombuffer(b"".join(out), dtype="<i4"), np.fromiter(map(len, out), dtype=np.int64, count=len(out)) // 4
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit bytes."""

@@ -12,9 +12,10 @@ a literal U+2581 are byte pieces.
 A segmentation depends on its chunk and on which candidates are skipped, not
 on the key that skips them, so a worker remembers segmentations in a tree
 (``Outcomes``).  A node is a chunk with a set of skipped candidates; it holds
-the ids and the other candidates that came up.  An occurrence tosses for
-these; if none is skipped, the ids are its own, else it goes on at the node
-with them in the set.  The root is the plain segmentation.
+the ids and the merges that were made.  An occurrence tosses for these; if
+none is skipped, the ids are its own, else it goes on at the node with them in
+the set.  The root is the plain segmentation.  Candidates that came up but were
+not merged need no toss: the agenda makes the same merges without them.
 
 No piece has a space mark after another character, and none holds a line
 feed, so texts are cut there into chunks first; no merge is lost by that.
@@ -29,19 +30,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import LONG_WORD, MASK, UNKNOWN, MergeTable, code_points, coin, found, mixed
+from .bpe import LONG_WORD, MASK, UNKNOWN, MergeTable, code_points, coin, in_order, mixed, traced
 from .chunks import ChunkCoder
 from .common import free_name, small_batches
 
 RATE = 0.1
 #: Chunks, and nodes of their trees, that a worker remembers, with their
-#: candidates (about 140 bytes each).
+#: merges and first symbols (about 140 bytes each).
 REMEMBERED = 2_000_000
 #: A set of one, two, ... skipped candidates gets a node once a worker has seen
 #: its chunk so often; other occurrences are segmented by themselves.
 SEEN = (32, 256)
-#: Occurrences whose candidates are looked at together.
+#: Occurrences that are segmented by themselves together.
 TOGETHER = 200_000
+#: Occurrences whose merges are tossed for at once (these fit a core's cache).
+TOSSED = 16_000
 SPACE = "▁"
 STEP = 0x9E3779B97F4A7C15
 
@@ -78,7 +81,7 @@ class PieceModel:
                 if left is not None and right is not None:
                     pairs[(left, right)] = (rank, pieces[p])
         self.merges = MergeTable(pairs)
-        self.literal = np.array([self.byte_id[b] for b in SPACE.encode()], dtype="<i4").tobytes()
+        self.literal = [self.byte_id[b] for b in SPACE.encode()]
         self.char_symbol = np.full(0x110000, UNKNOWN, dtype=np.int32)
         self.length = {}
         for p, i in symbol.items():
@@ -86,35 +89,47 @@ class PieceModel:
             if len(p) == 1:
                 self.char_symbol[ord(p)] = i
 
-    def _with_bytes(self, symbols: bytes, chunk: str) -> bytes:
+    def _with_bytes(self, symbols: list[int], chunk: str) -> list[int]:
         """Ids of a chunk's final symbols; what is no piece becomes bytes."""
         out, at = [], 0
-        for s in np.frombuffer(symbols, dtype="<i4").tolist():
+        for s in symbols:
             size = self.length.get(s, 1)
             out += [s] if 0 <= s < len(self.bytes_of) else [self.byte_id[b] for b in chunk[at : at + size].encode()]
             at += size
-        return np.array(out, dtype="<i4").tobytes()
+        return out
 
-    def segment(self, chunks: list[str], keys: np.ndarray, limit: int = 0, trace: list | None = None,
-                skips: np.ndarray | None = None) -> list[bytes]:
-        """Ids of each chunk, as little-endian int32 bytes; for ``trace`` see
-        ``MergeTable.many`` (it does not cover chunks with a literal mark)."""
+    def symbols(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The first symbols of all chunks, one behind the other, and how many of each."""
         points, lengths = code_points(chunks)
-        literal = (points == ord(SPACE)).any()
-        points = np.where(points == 32, np.uint32(ord(SPACE)), points)
-        first = self.char_symbol[points]
-        starts = np.cumsum(lengths) - lengths
-        odd = np.add.reduceat((first == UNKNOWN) | (first >= len(self.bytes_of)), starts)
-        got = self.merges.many(first, lengths, keys, limit, trace, skips)
-        for i in np.flatnonzero(odd):
-            got[i] = self._with_bytes(got[i], chunks[i].replace(" ", SPACE))
-        for i in [i for i, c in enumerate(chunks) if SPACE in c] if literal else ():
+        return self.char_symbol[np.where(points == 32, np.uint32(ord(SPACE)), points)], lengths
+
+    def odd(self, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Which chunks have symbols that are no pieces."""
+        return np.add.reduceat((first == UNKNOWN) | (first >= len(self.bytes_of)), np.cumsum(lengths) - lengths) > 0
+
+    def segment(self, chunks: list[str], keys: np.ndarray, limit: int = 0, trace: list | None = None,
+                skips: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks, how many of each); for ``trace`` see
+        ``MergeTable.merge`` (it does not cover chunks with a literal mark)."""
+        first, lengths = self.symbols(chunks)
+        got, sizes = self.merges.merge(first, lengths, keys, limit, trace, skips)
+        literal = [i for i, c in enumerate(chunks) if SPACE in c] if (first == self.char_symbol[ord(SPACE)]).any() else []
+        odd = self.odd(first, lengths)
+        odd[literal] = True
+        if not odd.any():
+            return got, sizes
+        ends = np.cumsum(sizes)
+        own = {i: self._with_bytes(got[ends[i] - sizes[i] : ends[i]].tolist(), chunks[i].replace(" ", SPACE)) for i in np.flatnonzero(odd).tolist()}
+        for i in literal:
             parts = chunks[i].split(SPACE)
             full = [p for p in parts if p]
-            own = mixed(np.repeat(keys[i], len(full)) + np.arange(len(full), dtype=np.uint64))
-            ids = iter(self.segment(full, own, limit) if full else [])
-            got[i] = self.literal.join([next(ids) if p else b"" for p in parts])
-        return got
+            mark = mixed(np.repeat(keys[i], len(full)) + np.arange(len(full), dtype=np.uint64))
+            ids, counts = self.segment(full, mark, limit) if full else (np.zeros(0, dtype=np.int32), [])
+            cut = iter(np.split(ids, np.cumsum(counts)))
+            own[i] = [x for k, p in enumerate(parts) for x in [*(self.literal if k else ()), *(next(cut).tolist() if p else ())]]
+        rest = np.flatnonzero(~odd)
+        return in_order([(rest, got[np.repeat(~odd, sizes)], sizes[rest]), (np.array(list(own)), np.array([x for c in own.values() for x in c], dtype=np.int32),
+                                                                            np.array([len(c) for c in own.values()]))], len(chunks))
 
 
 class Ragged:
@@ -156,7 +171,7 @@ class Outcomes:
 
     def forget(self) -> None:
         self.nodes = ChunkCoder(None)
-        self.open, self.skipped = Ragged(np.uint64), Ragged(np.uint64)
+        self.made, self.skipped = Ragged(np.uint64), Ragged(np.uint64)
 
     def tosses(self, trace: np.ndarray, sizes: np.ndarray, keys: np.ndarray) -> np.ndarray:
         return coin(np.repeat(keys, sizes), trace) < self.limit
@@ -166,17 +181,13 @@ class Outcomes:
         skips = np.sort(coin(np.repeat(codes, sizes), sets))
         trace: list = []
         ids = self.model.segment(chunks, codes, 0, trace, skips)
-        word = np.concatenate([w for w, _ in trace])
-        came = np.concatenate([m for _, m in trace])
-        left = ~found(skips, coin(codes[word], came))
-        word, came = word[left], came[left]
-        self.open.add(came[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(codes)))
+        self.made.add(*traced(trace, len(codes)))
         self.skipped.add(sets, sizes)
-        return self.nodes._add(codes, ids)
+        return self.nodes._add(codes, *ids)
 
     def find(self, number: np.ndarray, keys: np.ndarray, seen: np.ndarray, trace: np.ndarray, sizes: np.ndarray,
              chunk_at: Callable, direct: Callable):
-        """(ids, counts) of occurrences that skip some candidate of the plain
+        """(ids, counts) of occurrences that skip some merge of the plain
         ``trace`` of their chunk, which was ``seen`` so often;
         ``direct(indices)`` segments those whose set gets no node."""
         n, least = len(number), np.array([0, *SEEN])
@@ -210,19 +221,13 @@ class Outcomes:
                 sets = np.concatenate([old, fresh[own]])[np.argsort(row, kind="stable")]
                 at[lack] = self._learn(code[lack], chunk_at(live[who]), sets, old_sizes + fresh_sizes[who])
             node[live] = at[back]
-            trace, sizes = self.open.take(node[live])
+            trace, sizes = self.made.take(node[live])
         apart = np.concatenate(apart) if apart else live
-        start, length = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
         kept = np.ones(n, dtype=bool)
         kept[apart] = False
-        start[kept], length[kept] = self.nodes.start[node[kept]], self.nodes.size[node[kept]]
-        codes = direct(apart) if len(apart) else []
-        own = np.frombuffer(b"".join(codes), dtype="<i4")
-        length[apart] = np.fromiter(map(len, codes), dtype=np.int64, count=len(codes)) // 4
-        start[apart] = self.nodes.used + np.cumsum(length[apart]) - length[apart]
-        pool = np.concatenate([self.nodes.pool[: self.nodes.used], own])
-        ends = np.cumsum(length)
-        return pool[np.arange(ends[-1]) + np.repeat(start - (ends - length), length)], length
+        kept = np.flatnonzero(kept)
+        blocks = [(kept, *self.nodes.take(node[kept]))]
+        return in_order([*blocks, (apart, *direct(apart))] if len(apart) else blocks, n)
 
 
 class Encoder:
@@ -236,31 +241,33 @@ class Encoder:
         self._start_over()
 
     def _start_over(self) -> None:
-        self.plain, self.direct = Ragged(np.uint64), np.zeros(0, dtype=bool)
+        self.plain, self.first = Ragged(np.uint64), Ragged(np.int32)
+        self.direct, self.odd = np.zeros(0, dtype=bool), np.zeros(0, dtype=bool)
         self.seen = np.zeros(0, dtype=np.int64)
         self.outcomes.forget()
 
-    def _learn(self, chunks: list[str], keys: np.ndarray) -> list[bytes]:
-        """Plain ids; remembers the candidates by the numbers that the coder
-        will give to the chunks."""
+    def _learn(self, chunks: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Plain ids; remembers the merges and first symbols by the numbers
+        that the coder will give to the chunks."""
         trace: list | None = [] if self.limit else None
         got = self.model.segment(chunks, keys, 0, trace)
         if not self.limit:
             return got
         if not self.coder.count:
             self._start_over()
-        word = np.concatenate([w for w, _ in trace]) if trace else np.zeros(0, dtype=np.int64)
-        came = np.concatenate([m for _, m in trace]) if trace else np.zeros(0, dtype=np.uint64)
-        self.plain.add(came[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(chunks)))
+        self.plain.add(*traced(trace, len(chunks)))
+        first, lengths = self.model.symbols(chunks)
+        self.first.add(first, lengths)
+        self.odd = np.r_[self.odd, self.model.odd(first, lengths)]
         # a literal mark cuts a chunk further; sets of a long chunk hardly come twice
         self.direct = np.r_[self.direct, [SPACE in c or len(c) > LONG_WORD for c in chunks]]
         return got
 
     def _skips(self, number: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """Which occurrences skip a candidate of their plain segmentation."""
+        """Which occurrences skip a merge of their plain segmentation."""
         out = np.zeros(len(number), dtype=bool)
-        for a in range(0, len(number), TOGETHER):
-            part = slice(a, a + TOGETHER)
+        for a in range(0, len(number), TOSSED):
+            part = slice(a, a + TOSSED)
             trace, sizes = self.plain.take(number[part])
             low = np.flatnonzero(self.outcomes.tosses(trace, sizes, keys[part]))
             out[a + np.searchsorted(np.cumsum(sizes), low, side="right")] = True
@@ -269,17 +276,23 @@ class Encoder:
     def _own(self, number: np.ndarray, keys: np.ndarray, chunk_at: Callable) -> tuple[np.ndarray, np.ndarray]:
         """(ids, counts) of the occurrences, each segmented with its own key."""
         tree = ~self.direct[number]
-        ids, lengths = [], np.zeros(len(number), dtype=np.int64)
+        blocks = []
         if (by := np.flatnonzero(tree)).size:
-            got, lengths[by] = self.outcomes.find(number[by], keys[by], self.seen[number[by]], *self.plain.take(number[by]),
-                                                  lambda i: chunk_at(by[i]), lambda i: self.model.segment(chunk_at(by[i]), keys[by[i]], self.limit))
-            ids.append((by, got))
-        if (by := np.flatnonzero(~tree)).size:
-            codes = self.model.segment(chunk_at(by), keys[by], self.limit)
-            lengths[by] = np.fromiter(map(len, codes), dtype=np.int64, count=len(codes)) // 4
-            ids.append((by, np.frombuffer(b"".join(codes), dtype="<i4")))
-        place = np.concatenate([np.repeat(by, lengths[by]) for by, _ in ids])
-        return np.concatenate([x for _, x in ids])[np.argsort(place, kind="stable")], lengths
+            blocks.append((by, *self.outcomes.find(number[by], keys[by], self.seen[number[by]], *self.plain.take(number[by]),
+                                                   lambda i: chunk_at(by[i]), lambda i: self._anew(number[by[i]], keys[by[i]], lambda j: chunk_at(by[i[j]])))))
+        if (rest := np.flatnonzero(~tree)).size:
+            blocks.append((rest, *self.model.segment(chunk_at(rest), keys[rest], self.limit)))
+        return in_order(blocks, len(number))
+
+    def _anew(self, number: np.ndarray, keys: np.ndarray, chunk_at: Callable) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, counts) of occurrences from their first symbols; ``chunk_at``
+        is asked for those with symbols that are no pieces."""
+        odd = self.odd[number]
+        by, rest = np.flatnonzero(~odd), np.flatnonzero(odd)
+        blocks = [(by, *self.model.merges.merge(*self.first.take(number[by]), keys[by], self.limit))]
+        if len(rest):
+            blocks.append((rest, *self.model.segment(chunk_at(rest), keys[rest], self.limit)))
+        return in_order(blocks, len(number))
 
     def encode(self, doc_ids: list[int], texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         own = np.array([mixed((int(d) * STEP + self.seed) & MASK) for d in doc_ids], dtype=np.uint64)

@@ -217,6 +217,24 @@ def test_dropout_equals_a_naive_agenda(spark, monkeypatch, seen, rate):
     assert (encoder.outcomes.nodes.count > 0) == bool(seen)
 
 
+def test_only_merges_that_are_made_are_tossed_for(spark, monkeypatch):
+    """A candidate that no merge was made of changes nothing if it is skipped:
+    it costs no toss, and an occurrence that skips only such ones is plain."""
+    texts = [r["text"].encode() for r in spark.read.parquet(f"{SF}/documents.parquet").limit(40).collect()]
+    encoder, learned = sp_codec.Encoder(PIECES, 5, 0.1), []
+    segment = encoder.model.segment
+
+    def noted(chunks, keys, limit=0, trace=None, skips=None):
+        learned.extend(chunks if not limit and skips is None else [])
+        return segment(chunks, keys, limit, trace, skips)
+
+    monkeypatch.setattr(encoder.model, "segment", noted)
+    encoder.encode(list(range(len(texts))), texts)
+    tosses, ids = encoder.plain.take(np.arange(len(learned)))[1], encoder.coder.size[: len(learned)]
+    ascii_ = [i for i, c in enumerate(learned) if c.isascii()]
+    assert len(ascii_) > 500 and all(tosses[i] == len(learned[i]) - ids[i] for i in ascii_)
+
+
 def test_rounds_equal_the_agenda():
     model = sp_codec.PieceModel(PIECES)
     chunks = ["▁the", "▁international", "abababababab", "▁▁▁▁▁x", "éàü", "m" * 200, "a"]
