@@ -8,6 +8,7 @@ __hash_key__`` are not written as contents; when NULL the default stays.
 """
 from __future__ import annotations
 
+import time as clock
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -109,8 +110,12 @@ def route_logstore(record_logstore: Column | None, default: str | None) -> Colum
 def encode_rows(df: DataFrame, default_topic: str = "", default_source: str | None = None,
                 default_logstore: str | None = None, now_seconds: int | None = None,
                 keep: Sequence[str] = ()) -> DataFrame:
-    """K1-K6: one record per row.  ``now_seconds`` fixes the default time
-    (else the query's current time)."""
+    """K1-K6: one record per row.  ``now_seconds`` is the default time, else
+    the time of this call (of each batch for a streaming ``df``).  It is fixed
+    here: a record without a hash key is dealt to a shard by its time, and an
+    append runs several jobs over its records, which must deal them alike."""
+    if now_seconds is None and not df.isStreaming:
+        now_seconds = int(clock.time())
     dtypes = {f.name: f.dataType for f in df.schema.fields}
     now = F.lit(now_seconds).cast("int") if now_seconds is not None else F.unix_timestamp().cast("int")
     if FIELD_TIME in df.columns:

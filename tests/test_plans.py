@@ -7,6 +7,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from shardlake.operators import packing
 from shardlake.operators.decode import contents_map, decode
 from shardlake.plans.positions import bounded, resolve_positions
 from shardlake.sources.fixtures import events_log_groups
@@ -69,6 +70,23 @@ def test_map_of_many_keys_is_linear(spark):
     assert seconds(4000) < 40 * max(seconds(400), 0.05)
 
 
+def test_insert_loses_no_row_as_time_goes_on(spark, scratch, monkeypatch):
+    """A row without a time is dealt by the time it gets: the same in all jobs
+    of the insert, also where they begin in different seconds."""
+    persist = packing.persist_fresh
+
+    def slow(df):
+        kept = persist(df)
+        time.sleep(1.1)
+        return kept
+
+    monkeypatch.setattr(packing, "persist_fresh", slow)
+    root = os.path.join(scratch, "slow")
+    insert_into(spark.range(8).selectExpr("concat('r', id) AS x"), {"project": root, "logstore": "new", "sink.shards": "64"})
+    got = read_log_store(spark, root, "new").selectExpr("inline(logs)").collect()
+    assert len(got) == 8 and len({r["time"] for r in got}) == 1
+
+
 def test_insert_creates_its_store_only(spark, scratch):
     root = os.path.join(scratch, "store")
     rows = spark.createDataFrame([("a", None), ("b", "")], "x string, __logstore__ string")
